@@ -138,19 +138,32 @@ def max_gust_record(records: DataFrame) -> DataFrame:
 
 
 def climate_summary(obs: DataFrame) -> DataFrame:
+    """K4 (typed) from observations; see :func:`summary_of`."""
+    return summary_of(year_mean_of_stations(yearly_avg_temp(obs)), station_total_prcp(obs),
+                      station_max_gust(obs))
+
+
+def climate_summary_from_cube(c: DataFrame) -> DataFrame:
+    """K4 (typed) from the station-month cube."""
+    from . import cube
+    return summary_of(year_mean_of_stations(cube.yearly_avg_temp(c)), cube.station_total_prcp(c),
+                      cube.station_max_gust(c))
+
+
+def summary_of(year_means: DataFrame, totals: DataFrame, gusts: DataFrame) -> DataFrame:
     """K4 (typed): one row with the three headline facts; NULL / 0.0 when empty.
 
     The three rankings are unioned and reduced in a single global aggregation
     (each picks ``min(struct(-value, key))``: highest value, lowest key), which
     always yields exactly one row -- no cross join, nothing collected.
     """
-    years = year_mean_of_stations(yearly_avg_temp(obs)).select(
+    years = year_means.select(
         F.lit("year").alias("kind"), F.col("year"), F.lit(None).cast("string").alias("station"),
         F.col("avg_temp").alias("value"))
-    prcp = station_total_prcp(obs).select(
+    prcp = totals.select(
         F.lit("prcp").alias("kind"), F.lit(None).cast("int").alias("year"), "station",
         F.col("total_prcp").alias("value"))
-    gust = station_max_gust(obs).select(
+    gust = gusts.select(
         F.lit("gust").alias("kind"), F.lit(None).cast("int").alias("year"), "station",
         F.col("max_gust").alias("value"))
     u = years.unionByName(prcp).unionByName(gust)

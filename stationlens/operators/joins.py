@@ -1,0 +1,21 @@
+"""Joins with a checked broadcast side."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension is broadcast only up to this many rows (a station table of a few
+# hundred bytes per row stays far below executor memory); beyond it the join
+# stays a shuffle join, which Spark's AQE may still demote at run time.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "inner",
+                   max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Join a large ``fact`` to a ``dim`` table, broadcasting ``dim`` only when
+    its row count (one cheap aggregation over the dimension) is proven small."""
+    n = dim.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return fact.join(F.broadcast(dim), on, how)
+    return fact.join(dim, on, how)

@@ -127,7 +127,12 @@ def observations(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     Schema: ``station, date, obs_date, year, month, season, temp, max_temp,
     min_temp, prcp, wdsp, gust (DOUBLE), frshtt, events MAP<STRING,BOOLEAN>``.
     """
-    obs = with_date_parts(valid_records(lines, keep)).filter(F.col("obs_date").isNotNull())
+    return observations_from_records(valid_records(lines, keep), keep)
+
+
+def observations_from_records(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """P4-P7 on valid records: add date parts, drop invalid dates, decode events."""
+    obs = with_date_parts(records).filter(F.col("obs_date").isNotNull())
     return obs.select(*keep, "station", "date", "obs_date", "year", "month", "season",
                       *MEASURE_COLUMNS, "frshtt", decode_events(F.col("frshtt")).alias("events"))
 

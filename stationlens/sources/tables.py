@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.values import SUM_TYPE
+from ..operators.joins import join_dimension
 
 # The 28 columns of a GSOD daily CSV file, in file order.
 GSOD_COLUMNS = (
@@ -120,7 +121,7 @@ def gsod_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     r = readings(spark, sf_dir)
     st = stations(spark, sf_dir)
-    data = r.join(st.drop("STATION"), "suppkey", "left")
+    data = join_dimension(r, st.drop("STATION"), "suppkey", "left")
     padded = (F.col("suppkey") % 2) == 1
     fields = {c: (F.col(c) if c in data.columns else _filler(c)) for c in GSOD_COLUMNS}
     path = F.concat(F.lit("gsod/"), _station_id(F.col("suppkey")), F.lit(".csv"))
