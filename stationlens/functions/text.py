@@ -71,9 +71,8 @@ def strip_quotes(value: Column) -> Column:
 
 
 def _simple(token: Column) -> Column:
-    """Unquoted, or quoted with no other quote than (at most) a closing one."""
-    nxt = F.locate('"', token, 2)
-    return ~token.startswith('"') | (nxt == 0) | (nxt == F.length(token))
+    """Unquoted, or quoted with exactly one closing quote, at the end."""
+    return ~token.startswith('"') | (F.locate('"', token, 2) == F.length(token))
 
 
 def clean_field(token: Column) -> Column:

@@ -56,7 +56,7 @@ def raw_token(name: str, t: Column | None = None) -> Column:
     t = F.col("_t") if t is None else t
     idx = FIELD_INDEX[name]
     if idx < 2:
-        return F.element_at(t, idx + 1)
+        return F.try_element_at(t, F.lit(idx + 1))  # a one-field line has no DATE
     return F.when(F.size(t).isin(*LAYOUT_SIZES), F.element_at(t, F.size(t) - F.lit(28 - idx - 1)))
 
 

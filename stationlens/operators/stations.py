@@ -36,7 +36,7 @@ def station_rows(lines: DataFrame) -> DataFrame:
     t = first.select("file_path", once(tokenize(F.col("value"))).alias("_t"))
 
     def tok(i: int):
-        return F.element_at("_t", i + 1)
+        return F.try_element_at(F.col("_t"), F.lit(i + 1))  # NULL past the end
 
     n = F.size("_t")
     texts = F.struct(

@@ -18,7 +18,7 @@ class NoInputError(RuntimeError):
     """The input path does not exist or cannot be read (reference: log, write nothing)."""
 
 
-def read_lines(spark: SparkSession, path: str | list[str], *, min_split_bytes: int | None = None) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines of one file, a directory (its ``*.csv`` files) or a glob.
 
     Splits are planned by Spark (``spark.sql.files.maxPartitionBytes``); small files
@@ -28,8 +28,6 @@ def read_lines(spark: SparkSession, path: str | list[str], *, min_split_bytes: i
     paths = [path] if isinstance(path, str) else list(path)
     if len(paths) == 1 and _is_directory(spark, paths[0]):
         reader = reader.option("pathGlobFilter", "*.csv")
-    if min_split_bytes:
-        reader = reader.option("maxPartitionBytes", str(min_split_bytes))
     try:
         df = reader.load(paths)
     except AnalysisException as exc:  # missing path, unreadable glob

@@ -180,3 +180,16 @@ def test_no_valid_record_writes_nothing(spark, tmp_path):
     rep = run_climate_job(spark, src, str(tmp_path / "out"))
     assert rep.get("error") == "no valid records after cleaning"
     assert not os.path.exists(tmp_path / "out")
+
+
+def test_odd_lines_are_dropped_not_fatal(spark, tmp_path):
+    good = gsod_line("01", "2025-12-31", "10.0", "20.0", "0.0", "0.10", "5.0", "9.0", "100000")
+    src = write_files(str(tmp_path / "in"), {"a.csv": [HEADER_PADDED, "", "no commas here", '"a","b"', good,
+                                                       good + ', "extra"', good.replace("2025-12-31", "2025-02-30")]})
+    from stationlens.operators.parse import ingest_profile
+    from stationlens.sources.text import read_lines
+    p = ingest_profile(read_lines(spark, src)).first()
+    assert (p.lines, p.headers, p.valid_rows, p.kept_rows, p.stations) == (7, 1, 2, 1, 1)
+    rep = run_climate_job(spark, src, str(tmp_path / "out"))
+    assert (rep["lines"], rep["valid_rows"], rep["kept_rows"]) == (7, 2, 1)
+    assert _read(str(tmp_path / "out" / "seasonal_prcp")) == ["01,2025,Winter,0.1"]
