@@ -42,7 +42,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only when unset."""
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(conf_dir)
@@ -50,7 +50,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    # Unset: local runs only (tests).  A cluster names a shared folder instead.
     local_dir = tempfile.mkdtemp(prefix="stationlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local_dir)
     spark.sparkContext.setCheckpointDir(local_dir)
-    return local_dir
+    return spark.sparkContext.getCheckpointDir() or local_dir
