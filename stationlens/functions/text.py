@@ -31,28 +31,53 @@ def _python_whitespace() -> str:
 
 
 PY_WHITESPACE = _python_whitespace()
-# Python's whitespace is Java's ``Character.isWhitespace`` plus
-# the four characters Java leaves out (NEL, no-break space, figure space, narrow
-# no-break space).  One table lookup per character instead of a 29-way union;
-# a test checks the two sets are equal.
-JAVA_WHITESPACE_EXTRAS = "\x85\xa0\u2007\u202f"
-_WS = r"[\p{javaWhitespace}\x{85}\x{a0}\x{2007}\x{202f}]"
-
-# Cleaning in one anchored pass, for the two token shapes that cover real files:
-# a simple quoted token (no quote inside: the reader drops the quotes) or an
-# unquoted one (quotes are literal).  ``strip()`` removes a whitespace run,
-# ``strip('"')`` then a quote run, from each end; a lazy middle between greedy
-# edge runs is exactly that.  ``NUMBER_TEXT`` adds the second ``strip()`` that
-# ``float(x.strip())`` applies.
-TEXT_PATTERN = rf'^(?:"{_WS}*([^"]*?){_WS}*"|{_WS}*"*(.*?)"*{_WS}*)$'
-NUMBER_TEXT_PATTERN = rf'^(?:"{_WS}*([^"]*?){_WS}*"|{_WS}*"*{_WS}*(.*?){_WS}*"*{_WS}*)$'
-
-
 def tokenize(line: Column) -> Column:
     """``ARRAY<STRING>`` of raw (still quoted) CSV tokens of one line."""
     return F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(FIELD_PATTERN), 1)
 
 
+# Fixed value: stands in for the 3-character separator '","' so that the compact
+# split uses the single-character (non-regex) fast path.  A line that already
+# contains it takes the exact path.
+_SEP = "\u0001"
+
+# Kinds of the value arrays produced by :func:`split_fields`.
+VALUES, FIRST_RAW, ALL_RAW = 0, 1, 2
+
+
+def _count(line: Column, what: str) -> Column:
+    """Occurrences of an ASCII substring (byte-length difference after removing it)."""
+    return (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(what), F.lit("")))) / F.lit(len(what))
+
+
+def split_fields(line: Column) -> Column:
+    """``STRUCT<kind INT, v ARRAY<STRING>>``: the line's fields, exactly as the reader splits them.
+
+    Two shapes cover real files and split without a regular expression:
+
+    * compact -- every field quoted once, ``"a","b, c","d"``: if the line starts
+      and ends with a quote and holds exactly two quotes per field, the fields
+      are the pieces between ``","`` and already unquoted (``kind`` 0);
+    * padded -- ``"a", "b", "c"``: with no ``,"`` in the line no field but the
+      first opens a quote, so a plain comma split gives the raw tokens; only the
+      first may still need unquoting (``kind`` 1).
+
+    Any other line is tokenised by :func:`tokenize` (``kind`` 2: all raw).
+    """
+    n = F.length(line)
+    quoted_ends = line.startswith('"') & line.endswith('"') & (n >= 2)
+    compact = (quoted_ends & (F.instr(line, _SEP) == 0)
+               & (_count(line, '"') == 2 * (_count(line, '","') + 1)))
+    first = F.substring_index(line, ",", 1)
+    first_simple = ~first.startswith('"') | (first.endswith('"') & (F.length(first) >= 2) & (_count(first, '"') == 2))
+    padded = (F.instr(line, ',"') == 0) & first_simple
+    inner = F.substring(line, 2, n - 2)
+    return (F.when(compact, F.struct(F.lit(VALUES).alias("kind"),
+                                     F.split(F.replace(inner, F.lit('","'), F.lit(_SEP)), _SEP, -1).alias("v")))
+            .when(padded, F.struct(F.lit(FIRST_RAW).alias("kind"), F.split(line, ",", -1).alias("v")))
+            .otherwise(F.struct(F.lit(ALL_RAW).alias("kind"), tokenize(line).alias("v"))))
+
+
 def unquote(token: Column) -> Column:
     """Field value of one raw token, exactly as the CSV reader yields it."""
     body = F.regexp_extract(token, QUOTED_PATTERN, 1)
@@ -70,18 +95,55 @@ def strip_quotes(value: Column) -> Column:
     return F.btrim(value, F.lit('"'))
 
 
-def _simple(token: Column) -> Column:
-    """Unquoted, or quoted with exactly one closing quote, at the end."""
-    return ~token.startswith('"') | (F.locate('"', token, 2) == F.length(token))
+def csv_value(token: Column) -> Column:
+    """The reader's value of a raw token.
+
+    Unquoted tokens are their own value; a token quoted once around its whole
+    text loses the two quotes (plain ``substring``); anything else -- doubled or
+    stray quotes, an unterminated quote -- takes the exact regex path.
+    """
+    n = F.length(token)
+    simple_quoted = token.startswith('"') & (F.locate('"', token, 2) == n)
+    return (F.when(~token.startswith('"'), token)
+            .when(simple_quoted, F.substring(token, 2, n - 2))
+            .otherwise(unquote(token)))
+
+
+# Whitespace other than the plain space, which the cheap ``trim`` handles.
+_OTHER_WHITESPACE = PY_WHITESPACE.replace(" ", "")
+
+
+def strip_spaces_first(value: Column) -> Column:
+    """First half of :func:`py_strip_fast`: the cheap space-only ``trim``."""
+    return F.trim(value)
+
+
+def finish_strip(trimmed: Column) -> Column:
+    """Second half of :func:`py_strip_fast`, on a space-trimmed column.
+
+    Only when a tab, line break or Unicode space is left at an edge does the
+    set-based ``btrim`` (which copies every edge character) run.  Pass a plain
+    column: it is read several times.
+    """
+    first, last = F.left(trimmed, F.lit(1)), F.right(trimmed, F.lit(1))
+    other = F.lit(_OTHER_WHITESPACE)
+    at_edge = (F.length(trimmed) > 0) & (other.contains(first) | other.contains(last))
+    return F.when(at_edge, F.btrim(trimmed, F.lit(PY_WHITESPACE))).otherwise(trimmed)
+
+
+def strip_quotes_fast(value: Column) -> Column:
+    """``strip('"')`` that only calls ``btrim`` when a quote is at an edge.
+
+    Pass a plain column: it is read several times."""
+    return F.when(value.startswith('"') | value.endswith('"'), F.btrim(value, F.lit('"'))).otherwise(value)
 
 
 def clean_field(token: Column) -> Column:
-    """The reference's ``field.strip().strip('"')`` applied to a raw token."""
-    return F.when(_simple(token), F.regexp_replace(token, TEXT_PATTERN, "$1$2")).otherwise(
-        strip_quotes(py_strip(unquote(token))))
+    """The reference's ``field.strip().strip('"')`` of a raw token (one expression;
+    for bulk parsing :mod:`stationlens.operators.parse` stages the same steps)."""
+    return strip_quotes(py_strip(csv_value(token)))
 
 
 def number_text(token: Column) -> Column:
     """``field.strip().strip('"').strip()``: the text ``float()`` finally reads."""
-    return F.when(_simple(token), F.regexp_replace(token, NUMBER_TEXT_PATTERN, "$1$2")).otherwise(
-        py_strip(strip_quotes(py_strip(unquote(token)))))
+    return py_strip(clean_field(token))

@@ -26,9 +26,13 @@ MISSING_THRESHOLD = 999.0
 SUM_TYPE = "decimal(18,2)"
 
 
-# On this alphabet Java's and Python's decimal grammars coincide,
-# so a plain cast is exact; the spelled-out specials are read alike by both.
-PLAIN_NUMBER_CHARS = "0123456789+-.eE"
+# A string whose first character is one of FIRST_CHARS, whose
+# last is one of LAST_CHARS and that holds no 'x' or '_' is read alike by Java's
+# Double.parseDouble and Python's float(): that rules out Java's f/d suffixes,
+# hex forms and the control characters Java trims; both then share one decimal
+# grammar, so a plain cast is exact.  Specials are spelled the same way by both.
+FIRST_CHARS = "0123456789.+-"
+LAST_CHARS = "0123456789."
 SPECIAL_WORDS = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity", "nan", "+nan", "-nan")
 
 
@@ -36,12 +40,12 @@ def parse_float(value: Column, stripped: bool = False) -> Column:
     """DOUBLE of ``float(value.strip())``, NULL where Python would raise.
 
     Pass ``value`` as a plain column: it is read several times.  The common case
-    -- only digits, sign, point and exponent -- is a character check plus a cast;
-    the full pattern runs only for other strings (underscores, specials, junk
-    such as Spark-only ``1.0d`` or hex forms).
+    is two edge-character checks plus a cast; the full pattern runs only for
+    other strings (underscores, junk such as Spark-only ``1.0d`` or hex forms).
     """
     s = value if stripped else py_strip(value)
-    plain = F.translate(s, PLAIN_NUMBER_CHARS, "") == F.lit("")
+    plain = (F.lit(FIRST_CHARS).contains(F.left(s, F.lit(1))) & F.lit(LAST_CHARS).contains(F.right(s, F.lit(1)))
+             & (F.octet_length(s) > 0) & ~s.contains("x") & ~s.contains("X") & ~s.contains("_"))
     special = F.lower(s).isin(*SPECIAL_WORDS)
     return (F.when(plain | special, s.try_cast("double"))
             .otherwise(F.replace(F.regexp_extract(s, NUMBER_PATTERN, 1), F.lit("_"), F.lit("")).try_cast("double")))

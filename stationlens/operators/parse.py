@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date, season
 from ..functions.events import EVENT_NAMES, decode_events, event_flag
-from ..functions.text import clean_field, number_text, tokenize
+from ..functions.text import ALL_RAW, VALUES, csv_value, finish_strip, split_fields, strip_quotes_fast
 from ..functions.values import below_missing, parse_float
 
 # Position of each used field in the 28-field layout.  In the
@@ -45,13 +45,16 @@ def tokens(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def _tokens_all(lines: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    return lines.select(*keep, once(tokenize(F.col("value"))).alias("_t"))
+    """``_t`` (the line's fields) and ``_k`` (which of them are still raw tokens)."""
+    f = lines.select(*keep, once(split_fields(F.col("value"))).alias("_f"))
+    return f.select(*keep, F.col("_f.kind").alias("_k"), F.col("_f.v").alias("_t"))
 
 
 def raw_token(name: str, t: Column | None = None) -> Column:
-    """Raw token of one used field, taken by position from ``_t``.
+    """Field of one used column, taken by position from ``_t``.
 
-    NULL unless the line has an accepted layout (28 or 29 fields).
+    NULL unless the line has an accepted layout (28 or 29 fields).  Whether it
+    is still a raw token or already the reader's value depends on ``_k``.
     """
     t = F.col("_t") if t is None else t
     idx = FIELD_INDEX[name]
@@ -60,32 +63,61 @@ def raw_token(name: str, t: Column | None = None) -> Column:
     return F.when(F.size(t).isin(*LAYOUT_SIZES), F.element_at(t, F.size(t) - F.lit(28 - idx - 1)))
 
 
-def field(name: str, t: Column | None = None) -> Column:
-    """Cleaned value of one used field (``.strip().strip('"')``)."""
-    return clean_field(raw_token(name, t))
+def field_value(name: str) -> Column:
+    """The reader's value of one used field: unquote only where ``_k`` says raw."""
+    tok = raw_token(name)
+    raw = (F.col("_k") != VALUES) if FIELD_INDEX[name] == 0 else (F.col("_k") == ALL_RAW)
+    return F.when(raw, csv_value(tok)).otherwise(tok)
+
+
+def clean_columns(df: DataFrame, carry: list, tokens: dict[str, Column],
+                  numbers: tuple[str, ...] = ()) -> DataFrame:
+    """Clean several raw tokens at once, one projection per step.
+
+    ``tokens`` are the reader's values (see :func:`field_value`).  Steps: space ``trim``, rare-whitespace strip, quote
+    strip; names in ``numbers`` get the extra ``strip()`` of ``float(x.strip())``.
+    Each step reads the previous step's columns, so every step runs once per
+    field (a step that reads a non-cheap column several times is never merged
+    into the next one by ``CollapseProject``).
+    """
+    names = list(tokens)
+    df = df.select(*[F.col(c) if isinstance(c, str) else c for c in carry],
+                   *[tok.alias(n) for n, tok in tokens.items()])
+    kept = [c for c in df.columns if c not in names]
+
+    def step(frame: DataFrame, fn, which: list[str]) -> DataFrame:
+        return frame.select(*kept, *[(fn(F.col(n)) if n in which else F.col(n)).alias(n) for n in names])
+
+    df = step(df, F.trim, names)
+    df = step(df, finish_strip, names)
+    df = step(df, strip_quotes_fast, names)
+    nums = [n for n in names if n in numbers]
+    if nums:
+        df = step(df, F.trim, nums)
+        df = step(df, finish_strip, nums)
+    return df
 
 
 def extract_fields(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """The nine used fields as strings, ``.strip().strip('"')``-cleaned."""
-    rec = F.struct(*[field(n).alias(n) for n in FIELD_INDEX])
-    return tokens(lines, keep).select(*keep, once(rec).alias("_r")).select(*keep, "_r.*")
+    t = tokens(lines, keep)
+    return clean_columns(t, list(keep), {n: field_value(n) for n in FIELD_INDEX})
 
 
 def parsed_lines(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Every line with ``layout_ok``, the used fields and the six readings as DOUBLE.
 
     Nothing is filtered here; :func:`valid_records` and :func:`ingest_profile`
-    decide.  Two barriers: texts first (each token cleaned once, in one regex
-    pass), then the numbers, whose guards read the texts several times cheaply.
+    decide.  The numbers are computed behind a generator barrier, so the
+    validity filter that follows cannot be pushed into (and duplicate) the
+    cleaning steps.
     """
-    layout_ok = F.size("_t").isin(*LAYOUT_SIZES)
-    texts = F.struct(layout_ok.alias("layout_ok"),
-                     field("STATION").alias("station"), field("DATE").alias("date"),
-                     *[number_text(raw_token(src)).alias(dst) for dst, src, _ in MEASURES],
-                     field("FRSHTT").alias("frshtt"))
-    f = _tokens_all(lines, keep).select(*keep, once(texts).alias("_x")).select(*keep, "_x.*")
+    t = _tokens_all(lines, keep)
+    sources = {"station": "STATION", "date": "DATE", "frshtt": "FRSHTT", **{d: s for d, s, _ in MEASURES}}
+    f = clean_columns(t, [*keep, F.size("_t").isin(*LAYOUT_SIZES).alias("layout_ok")],
+                      {d: field_value(s) for d, s in sources.items()}, numbers=MEASURE_COLUMNS)
     nums = F.struct("layout_ok", "station", "date",
-                    *[parse_float(F.col(dst), stripped=True).alias(dst) for dst, _, _ in MEASURES],
+                    *[parse_float(F.col(dst), stripped=True).alias(dst) for dst in MEASURE_COLUMNS],
                     "frshtt")
     return f.select(*keep, once(nums).alias("_p")).select(*keep, "_p.*")
 

@@ -32,6 +32,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        # One JVM: list many input folders with a few tasks, not one per folder.
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(shuffle_partitions))
     )
     for key, value in {**DEFAULT_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
