@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.events import EVENT_NAMES, event_flag
-from ..functions.values import exact_sum
+from ..functions.values import SUM_TYPE, exact_sum
 
 
 def mean(x: Column) -> Column:
@@ -138,45 +138,54 @@ def max_gust_record(records: DataFrame) -> DataFrame:
 
 
 def climate_summary(obs: DataFrame) -> DataFrame:
-    """K4 (typed) from observations; see :func:`summary_of`.
+    """K4 (typed) from observations, in one linear plan (one scan of the lines).
 
-    Goes through the station-month cube: the three roll-ups then share one
-    aggregation exchange (Spark reuses identical exchanges), so the raw lines
-    are scanned once instead of three times.
+    Station-year aggregates, then one ``GROUPING SETS ((year), (station))``
+    aggregation gives both the per-year means of station means and the
+    per-station totals, then one global aggregation picks the three facts.
+    Three separate roll-ups would each prune the shared aggregation differently,
+    so Spark could not reuse it and would scan the lines three times.
     """
-    from . import cube
-    return climate_summary_from_cube(cube.station_month_cube(obs))
+    neg_inf = F.lit(float("-inf"))
+    sy = obs.groupBy("station", "year").agg(
+        F.count(F.lit(1)).alias("n_obs"),
+        F.sum(F.col("temp").try_cast(SUM_TYPE)).alias("sum_temp"),
+        F.sum(F.col("prcp").try_cast(SUM_TYPE)).alias("sum_prcp"),
+        F.count_if(F.col("prcp") == neg_inf).alias("n_prcp_neg_inf"),
+        F.max("gust").alias("max_gust"))
+    return summary_from_station_years(sy)
 
 
 def climate_summary_from_cube(c: DataFrame) -> DataFrame:
     """K4 (typed) from the station-month cube."""
-    from . import cube
-    return summary_of(year_mean_of_stations(cube.yearly_avg_temp(c)), cube.station_total_prcp(c),
-                      cube.station_max_gust(c))
+    sy = c.groupBy("station", "year").agg(
+        F.sum("n_obs").alias("n_obs"), F.sum("sum_temp").alias("sum_temp"),
+        F.sum("sum_prcp").alias("sum_prcp"), F.sum("n_prcp_neg_inf").alias("n_prcp_neg_inf"),
+        F.max("max_gust").alias("max_gust"))
+    return summary_from_station_years(sy)
 
 
-def summary_of(year_means: DataFrame, totals: DataFrame, gusts: DataFrame) -> DataFrame:
-    """K4 (typed): one row with the three headline facts; NULL / 0.0 when empty.
+def summary_from_station_years(sy: DataFrame) -> DataFrame:
+    """The three facts from station-year aggregates; NULL / 0.0 when empty.
 
-    The three rankings are unioned and reduced in a single global aggregation
-    (each picks ``min(struct(-value, key))``: highest value, lowest key), which
-    always yields exactly one row -- no cross join, nothing collected.
+    Each fact is ``min(struct(-value, key))`` (highest value, lowest key) over
+    its grouping set, in a global aggregation that always yields one row.
     """
-    years = year_means.select(
-        F.lit("year").alias("kind"), F.col("year"), F.lit(None).cast("string").alias("station"),
-        F.col("avg_temp").alias("value"))
-    prcp = totals.select(
-        F.lit("prcp").alias("kind"), F.lit(None).cast("int").alias("year"), "station",
-        F.col("total_prcp").alias("value"))
-    gust = gusts.select(
-        F.lit("gust").alias("kind"), F.lit(None).cast("int").alias("year"), "station",
-        F.col("max_gust").alias("value"))
-    u = years.unionByName(prcp).unionByName(gust)
-
-    def best(kind: str, key: str) -> Column:
-        return F.min(F.when(F.col("kind") == kind, F.struct((-F.col("value")).alias("neg"), F.col(key).alias("key"))))
-
-    r = u.agg(best("year", "year").alias("y"), best("prcp", "station").alias("p"), best("gust", "station").alias("g"))
+    neg_inf = F.lit(float("-inf"))
+    g = sy.withColumn("year_mean", F.col("sum_temp").cast("double") / F.col("n_obs")).groupingSets(
+        [["year"], ["station"]], "year", "station").agg(
+        F.grouping_id().alias("gid"),
+        F.round(F.avg("year_mean"), 6).alias("avg_temp"),
+        F.when(F.sum("n_prcp_neg_inf") > 0, neg_inf).otherwise(F.sum("sum_prcp").cast("double")).alias("total_prcp"),
+        F.max("max_gust").alias("max_gust"))
+    # grouping_id: bit set for each grouping column left out (year, station order).
+    by_year, by_station = F.col("gid") == 1, F.col("gid") == 2
+
+    def best(cond, value: str, key: str):
+        return F.min(F.when(cond, F.struct((-F.col(value)).alias("neg"), F.col(key).alias("key"))))
+
+    r = g.agg(best(by_year, "avg_temp", "year").alias("y"), best(by_station, "total_prcp", "station").alias("p"),
+              best(by_station, "max_gust", "station").alias("g"))
     zero = F.lit(0.0)
     return r.select(
         F.col("y.key").alias("hottest_year"), F.coalesce(-F.col("y.neg"), zero).alias("hottest_year_temp"),
