@@ -59,12 +59,17 @@ def station_rows(lines: DataFrame) -> DataFrame:
 
 
 def station_dimension(lines: DataFrame) -> DataFrame:
-    """G1 + G2: one row per station; the first file (by path) wins.
+    """G1 + G2: one row per station; the first file (by path) wins."""
+    return dimension_from_rows(station_rows(lines))
+
+
+def dimension_from_rows(rows: DataFrame) -> DataFrame:
+    """G2 on :func:`station_rows` output.
 
     ``min_by`` is an aggregate, so duplicates of a busy station combine
     map-side before the shuffle.
     """
-    rows = station_rows(lines).filter("ok")
+    rows = rows.filter("ok")
     best = F.min_by(F.struct(*[c for c in DIM_COLUMNS if c != "station"]), F.col("file_path"))
     return rows.groupBy("station").agg(best.alias("_a")).select("station", "_a.*")
 
@@ -76,14 +81,25 @@ def extraction_report(lines: DataFrame, total_files: int | None = None) -> DataF
     no scan returns); without it, the files seen in ``lines`` are counted.
     """
     rows = station_rows(lines)
+    if total_files is not None:
+        return report_from_rows(rows, total_files)
     seen = lines.agg(F.count_distinct("file_path").alias("files_seen"))
-    ok = rows.agg(F.count_if("ok").alias("ok_files"),
-                  F.count_distinct(F.when(F.col("ok"), F.col("station"))).alias("stations"))
-    files = F.lit(total_files).cast("bigint") if total_files is not None else F.col("files_seen")
+    ok = _ok_counts(rows)
     # Two one-row aggregates merged by a union and a max: no join needed.
-    r = seen.unionByName(ok, allowMissingColumns=True).agg(F.max("files_seen").alias("files_seen"), F.max("ok_files").alias("ok_files"),
-                 F.max("stations").alias("stations"))
-    return r.select(files.alias("files"), F.col("stations"), (files - F.col("ok_files")).alias("failed_files"))
+    r = seen.unionByName(ok, allowMissingColumns=True).agg(
+        F.max("files_seen").alias("files"), F.max("ok_files").alias("ok_files"), F.max("stations").alias("stations"))
+    return r.select("files", "stations", (F.col("files") - F.col("ok_files")).alias("failed_files"))
+
+
+def _ok_counts(rows: DataFrame) -> DataFrame:
+    return rows.agg(F.count_if("ok").alias("ok_files"),
+                    F.count_distinct(F.when(F.col("ok"), F.col("station"))).alias("stations"))
+
+
+def report_from_rows(rows: DataFrame, total_files: int) -> DataFrame:
+    """G3 on :func:`station_rows` output and the listed file count."""
+    files = F.lit(total_files).cast("bigint")
+    return _ok_counts(rows).select(files.alias("files"), "stations", (files - F.col("ok_files")).alias("failed_files"))
 
 
 def station_centre(dim: DataFrame) -> DataFrame:

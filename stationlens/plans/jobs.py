@@ -31,6 +31,13 @@ OUTPUTS = ("monthly_avg_temp", "yearly_avg_temp", "seasonal_prcp", "highest_max_
            "extreme_events", "summary")
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table of this job (any Hadoop file system)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def _metric(observation: Observation, name: str) -> int | None:
     """An observed count, or None when the metrics were not reported.
 
@@ -95,6 +102,7 @@ def run_climate_job(spark: SparkSession, input_path: str, output_path: str, fmt:
         report["error"] = "no valid records after cleaning"
     if "error" in report:
         log.error(report["error"])
+        _delete(spark, cube_path)
         return report
 
     c = spark.read.parquet(cube_path)
@@ -110,6 +118,7 @@ def run_climate_job(spark: SparkSession, input_path: str, output_path: str, fmt:
         write_result(df, f"{output_path.rstrip('/')}/{name}", n, fmt)
     report["steps"]["write_results"] = time.time() - t0
     report["stations"] = c.select("station").distinct().count()
+    _delete(spark, cube_path)
     total = time.time() - t_start
     report["total_seconds"] = total
     report["records_per_second"] = n_kept / total if total > 0 else 0.0
@@ -117,23 +126,32 @@ def run_climate_job(spark: SparkSession, input_path: str, output_path: str, fmt:
 
 
 def run_station_job(spark: SparkSession, input_path: str, output_path: str) -> dict:
-    """Station dimension and map markers (JSON lines) from the first row of each file."""
+    """Station dimension and map markers (JSON lines) from the first row of each file.
+
+    The raw lines are scanned once: the per-file first rows (one row per file)
+    are written to the checkpoint folder, and the dimension, the report, the
+    markers and the map centre all read that small table.
+    """
     t0 = time.time()
     try:
         lines = read_lines(spark, input_path)
         total_files = count_input_files(spark, input_path)
     except NoInputError as exc:
         return {"error": f"no CSV files found at {input_path}: {exc}"}
-    dim = stations.station_dimension(lines)
-    rep = stations.extraction_report(lines, total_files).first().asDict()
+    rows_path = f"{checkpoint_dir(spark).rstrip('/')}/station_rows-{uuid.uuid4().hex}"
+    stations.station_rows(lines).write.mode("overwrite").parquet(rows_path)
+    rows = spark.read.parquet(rows_path)
+    rep = stations.report_from_rows(rows, total_files).first().asDict()
     if rep["stations"] == 0:
         rep["error"] = "no valid station data found in input files"
+        _delete(spark, rows_path)
         return rep
     out = output_path.rstrip("/")
-    dim.write.mode("overwrite").parquet(f"{out}/stations")
-    markers = stations.station_markers(spark.read.parquet(f"{out}/stations"))
-    markers.coalesce(1).write.mode("overwrite").json(f"{out}/markers")
-    centre = stations.station_centre(spark.read.parquet(f"{out}/stations")).first()
+    stations.dimension_from_rows(rows).write.mode("overwrite").parquet(f"{out}/stations")
+    dim = spark.read.parquet(f"{out}/stations")
+    stations.station_markers(dim).coalesce(1).write.mode("overwrite").json(f"{out}/markers")
+    centre = stations.station_centre(dim).first()
+    _delete(spark, rows_path)
     rep.update(centre_latitude=centre[0], centre_longitude=centre[1], total_seconds=time.time() - t0)
     return rep
 

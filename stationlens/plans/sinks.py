@@ -30,8 +30,14 @@ def as_text(df: DataFrame, float_cols: tuple[str, ...] = ()) -> DataFrame:
 
 
 def write_result(df: DataFrame, path: str, partitions: int, fmt: str = "parquet") -> None:
-    """K1: delete-and-replace ``path`` (any Hadoop file system) with ``df``."""
-    out = df.coalesce(partitions).write.mode("overwrite")
+    """K1: delete-and-replace ``path`` (any Hadoop file system) with ``df``.
+
+    One file: ``coalesce(1)`` (small results only).  Several files (large
+    results): ``repartition`` -- a shuffle of result rows -- so the roll-up that
+    produces them keeps its full parallelism instead of running in ``n`` tasks.
+    """
+    shaped = df.coalesce(1) if partitions == 1 else df.repartition(partitions)
+    out = shaped.write.mode("overwrite")
     if fmt == "text":
         out.text(path)
     else:
