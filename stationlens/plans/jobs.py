@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import parse_date
 from ..operators import climate, cube, parse, stations
 from ..session import checkpoint_dir
-from ..sources.text import NoInputError, count_input_files, read_lines
+from ..sources.text import NoInputError, count_input_files, preview, read_lines
 from .report import summary_lines
 from .sinks import as_text, num_output_partitions, write_result
 
@@ -80,6 +80,9 @@ def run_climate_job(spark: SparkSession, input_path: str, output_path: str, fmt:
         log.error(report["error"])
         return report
 
+    # The first three lines, cut to 200 characters (reads one split only).
+    report["preview"] = [r.line for r in preview(lines).collect()]
+
     # One pass: count lines, valid and dated records on the way into the cube.
     seen, ok, dated = Observation("lines"), Observation("valid"), Observation("dated")
     lines = lines.observe(seen, F.count(F.lit(1)).alias("lines"))
