@@ -62,6 +62,31 @@ def climate_results(c: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def climate_from_observations(spark: SparkSession, obs: DataFrame, output_path: str,
+                              fmt: str = "text") -> dict:
+    """The six results from already typed observations (e.g. landed Parquet)."""
+    t0 = time.time()
+    cube_path = f"{checkpoint_dir(spark).rstrip('/')}/station_month_cube-{uuid.uuid4().hex}"
+    cube.station_month_cube(obs).write.mode("overwrite").parquet(cube_path)
+    c = spark.read.parquet(cube_path)
+    kept = c.agg(F.sum("n_obs")).first()[0] or 0
+    _write_climate(spark, c, output_path, fmt, kept)
+    _delete(spark, cube_path)
+    return {"output": output_path, "kept_rows": kept, "total_seconds": time.time() - t0}
+
+
+def _write_climate(spark: SparkSession, c: DataFrame, output_path: str, fmt: str, kept: int) -> None:
+    results = climate_results(c)
+    parts = num_output_partitions(spark, kept)
+    for name in OUTPUTS:
+        df = results[name]
+        n = 1 if name in ("highest_max_temp", "summary") else parts
+        if fmt == "text":
+            df = summary_lines(df) if name == "summary" else as_text(
+                df, tuple(f for f in ("avg_temp", "avg_prcp", "max_temp") if f in df.columns))
+        write_result(df, f"{output_path.rstrip('/')}/{name}", n, fmt)
+
+
 def run_climate_job(spark: SparkSession, input_path: str, output_path: str, fmt: str = "text",
                     lines: DataFrame | None = None) -> dict:
     """Raw GSOD lines -> six results under ``output_path``.
@@ -109,16 +134,8 @@ def run_climate_job(spark: SparkSession, input_path: str, output_path: str, fmt:
         return report
 
     c = spark.read.parquet(cube_path)
-    results = climate_results(c)
-    parts = num_output_partitions(spark, n_kept)
     t0 = time.time()
-    for name in OUTPUTS:
-        df = results[name]
-        n = 1 if name in ("highest_max_temp", "summary") else parts
-        if fmt == "text":
-            df = summary_lines(df) if name == "summary" else as_text(
-                df, tuple(f for f in ("avg_temp", "avg_prcp", "max_temp") if f in df.columns))
-        write_result(df, f"{output_path.rstrip('/')}/{name}", n, fmt)
+    _write_climate(spark, c, output_path, fmt, n_kept)
     report["steps"]["write_results"] = time.time() - t0
     report["stations"] = c.select("station").distinct().count()
     _delete(spark, cube_path)
@@ -128,6 +145,32 @@ def run_climate_job(spark: SparkSession, input_path: str, output_path: str, fmt:
     return report
 
 
+def land_observations(spark: SparkSession, input_path: str, output_path: str) -> dict:
+    """Parse raw lines once and store the observations as Parquet partitioned by year.
+
+    Later runs read typed columns instead of text: vectorised scans, column
+    pruning, and partition pruning on ``year``.  ``events`` is not stored (it
+    is a function of ``frshtt``).  Only the years present in the input are
+    replaced, so a new day only rewrites its year.
+    """
+    t0 = time.time()
+    try:
+        lines = read_lines(spark, input_path)
+    except NoInputError as exc:
+        return {"error": f"could not load data from {input_path}: {exc}"}
+    obs = parse.observations(lines).drop("events")
+    (obs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("year").parquet(output_path))
+    return {"output": output_path, "total_seconds": time.time() - t0}
+
+
+def read_observations(spark: SparkSession, path: str) -> DataFrame:
+    """Observations landed by :func:`land_observations` (schema of ``parse.observations``)."""
+    from ..functions.events import decode_events
+    obs = spark.read.parquet(path)
+    return obs.withColumn("events", decode_events(F.col("frshtt")))
+
+
 def run_station_job(spark: SparkSession, input_path: str, output_path: str) -> dict:
     """Station dimension and map markers (JSON lines) from the first row of each file.
 
@@ -162,7 +205,7 @@ def run_station_job(spark: SparkSession, input_path: str, output_path: str) -> d
 def main(argv: list[str] | None = None) -> None:
     """``spark-submit -m stationlens.plans.jobs climate|stations --input X --output Y``."""
     ap = argparse.ArgumentParser(description="GSOD climate analysis on Spark")
-    ap.add_argument("job", choices=("climate", "stations"))
+    ap.add_argument("job", choices=("climate", "stations", "land", "climate-from-landed"))
     ap.add_argument("--input", required=True)
     ap.add_argument("--output", required=True)
     ap.add_argument("--format", default="text", choices=("text", "parquet"))
@@ -170,6 +213,10 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"stationlens-{args.job}").getOrCreate()
     if args.job == "climate":
         print(run_climate_job(spark, args.input, args.output, args.format))
+    elif args.job == "land":
+        print(land_observations(spark, args.input, args.output))
+    elif args.job == "climate-from-landed":
+        print(climate_from_observations(spark, read_observations(spark, args.input), args.output, args.format))
     else:
         print(run_station_job(spark, args.input, args.output))
 

@@ -193,3 +193,18 @@ def test_odd_lines_are_dropped_not_fatal(spark, tmp_path):
     rep = run_climate_job(spark, src, str(tmp_path / "out"))
     assert (rep["lines"], rep["valid_rows"], rep["kept_rows"]) == (7, 2, 1)
     assert _read(str(tmp_path / "out" / "seasonal_prcp")) == ["01,2025,Winter,0.1"]
+
+
+def test_landed_parquet_gives_the_same_results(spark, tmp_path):
+    from stationlens.plans.jobs import climate_from_observations, land_observations, read_observations
+    src = str(tmp_path / "in")
+    build_input(src)
+    land_observations(spark, src, str(tmp_path / "landed"))
+    rep = climate_from_observations(spark, read_observations(spark, str(tmp_path / "landed")), str(tmp_path / "out"))
+    assert rep["kept_rows"] > 0
+    out = str(tmp_path / "out")
+    _close(_read(f"{out}/monthly_avg_temp"), EXPECTED_MONTHLY)
+    _close(_read(f"{out}/seasonal_prcp"), EXPECTED_SEASONAL)
+    assert sorted(_read(f"{out}/extreme_events")) == sorted(EXPECTED_EVENTS.splitlines())
+    assert _read(f"{out}/summary") == EXPECTED_SUMMARY.splitlines()
+    assert sorted(os.listdir(tmp_path / "landed"))[-1] == "year=2025"
