@@ -17,7 +17,6 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import parse_date
 from ..operators import climate, cube, parse, stations
 from ..session import checkpoint_dir
 from ..sources.text import NoInputError, count_input_files, preview, read_lines
