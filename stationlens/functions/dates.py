@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # strptime's fields -- %Y exactly four digits (year 0000 is not a
 # Python date), %m 1-12 with an optional leading zero, %d 1-31 with an optional
 # leading zero or space -- and nothing else on the line.
-DATE_PATTERN = r"^(?!0000)[0-9]{4}-(?:1[0-2]|0[1-9]|[1-9])-(?:3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])$"
+DATE_PATTERN = r"^(?!0000)[0-9]{4}-(?:1[0-2]|0[1-9]|[1-9])-(?:3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])\z"
 
 # Meteorological seasons; December stays in its own calendar year.
 SEASONS = (("Winter", (12, 1, 2)), ("Spring", (3, 4, 5)), ("Summer", (6, 7, 8)), ("Autumn", (9, 10, 11)))

@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 # characters up to the next comma, or the end of the line -- or a plain run of
 # non-comma characters.  The leading comma added to every line anchors each match
 # on a separator so a zero-length first field cannot swallow the next comma.
-FIELD_PATTERN = r',("(?:[^"]++|"")*+(?:"[^,]*|$)|[^,]*)'
+# ``\z`` and DOTALL: Java's ``$`` and ``.`` treat U+0085, U+2028 and U+2029 as
+# line ends, the reader treats them as ordinary characters.
+FIELD_PATTERN = r',("(?:[^"]++|"")*+(?:"[^,]*|\z)|[^,]*)'
 # A quoted token: body with doubled quotes, optional closing quote, literal tail.
-QUOTED_PATTERN = r'^"((?:[^"]++|"")*+)"?(.*)$'
+QUOTED_PATTERN = r'(?s)^"((?:[^"]++|"")*+)"?(.*)\z'
 
 
 def _python_whitespace() -> str:
@@ -31,6 +33,8 @@ def _python_whitespace() -> str:
 
 
 PY_WHITESPACE = _python_whitespace()
+
+
 def tokenize(line: Column) -> Column:
     """``ARRAY<STRING>`` of raw (still quoted) CSV tokens of one line."""
     return F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(FIELD_PATTERN), 1)

@@ -14,7 +14,7 @@ from .text import py_strip
 _DIGITS = r"[0-9](?:_?[0-9])*"
 NUMBER_PATTERN = (
     r"^([+-]?(?:(?:" + _DIGITS + r"(?:\.(?:" + _DIGITS + r")?)?|\." + _DIGITS + r")"
-    r"(?:[eE][+-]?" + _DIGITS + r")?|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?|[nN][aA][nN]))$"
+    r"(?:[eE][+-]?" + _DIGITS + r")?|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?|[nN][aA][nN]))\z"
 )
 
 # Fixed value: readings at or above this magnitude are missing-value markers

@@ -28,7 +28,7 @@ def test_parse_date_valid(spark):
 
 @pytest.mark.parametrize("text,expected", [
     ("invalid", None), ("2025-1-5", "2025-01-05"), ("2025-01- 5", "2025-01-05"), ("2025-02-30", None),
-    ("2025-13-01", None), ("2025-01-01 ", None), ("0000-01-01", None), ("25-01-01", None), ("2025-001-01", None),
+    ("2025-13-01", None), ("2025-01-01 ", None), ("2025-01-01\u2028", None), ("0000-01-01", None), ("25-01-01", None), ("2025-001-01", None),
 ])
 def test_parse_date_edges(spark, text, expected):
     got = one(spark, lambda c: parse_date(c).cast("string"), text)
@@ -105,7 +105,7 @@ def _py_clean(tok):
     return tok.strip().strip('"')
 
 
-ALPHABET = st.sampled_from(list('ab ,"\t1.-') + ["\xa0", "　"])
+ALPHABET = st.sampled_from(list('ab ,"\t1.-') + ["\xa0", "　", "\u2028", "\x85"])
 
 
 @settings(max_examples=60, deadline=None)
@@ -133,7 +133,7 @@ def test_padded_header_and_quoted_name(spark):
 
 from stationlens.functions.text import csv_value, split_fields  # noqa: E402
 
-FIELD = st.text(alphabet=st.sampled_from(list('ab ,"1.') + ["\x01"]), max_size=6)
+FIELD = st.text(alphabet=st.sampled_from(list('ab ,"1.') + ["\x01", "\u2028"]), max_size=6)
 
 
 @st.composite
