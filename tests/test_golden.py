@@ -208,3 +208,18 @@ def test_landed_parquet_gives_the_same_results(spark, tmp_path):
     assert sorted(_read(f"{out}/extreme_events")) == sorted(EXPECTED_EVENTS.splitlines())
     assert _read(f"{out}/summary") == EXPECTED_SUMMARY.splitlines()
     assert sorted(os.listdir(tmp_path / "landed"))[-1] == "year=2025"
+
+
+def test_parquet_sink_typed_results(spark, tmp_path):
+    src = str(tmp_path / "in")
+    build_input(src)
+    out = str(tmp_path / "out")
+    rep = run_climate_job(spark, src, out, fmt="parquet")
+    assert "error" not in rep
+    monthly = spark.read.parquet(f"{out}/monthly_avg_temp")
+    assert monthly.dtypes == [("station", "string"), ("year", "int"), ("month", "int"), ("avg_temp", "double")]
+    got = [f"{r.station},{r.year},{r.month},{r.avg_temp!r}" for r in monthly.collect()]
+    _close(got, EXPECTED_MONTHLY)
+    s = spark.read.parquet(f"{out}/summary").first()
+    assert (s.hottest_year, s.wettest_station, s.gust_station) == (2025, "01001499999", "01001099999")
+    assert round(s.wettest_station_prcp, 2) == 4399.56 and s.highest_gust == 58.5
