@@ -210,14 +210,21 @@ def run_station_job(spark: SparkSession, input_path: str, output_path: str) -> d
 def main(argv: list[str] | None = None) -> None:
     """``spark-submit -m stationlens.plans.jobs climate|stations --input X --output Y``."""
     ap = argparse.ArgumentParser(description="GSOD climate analysis on Spark")
-    ap.add_argument("job", choices=("climate", "stations", "land", "climate-from-landed"))
+    ap.add_argument("job", choices=("climate", "stations", "land", "climate-from-landed", "stream-cube"))
     ap.add_argument("--input", required=True)
     ap.add_argument("--output", required=True)
     ap.add_argument("--format", default="text", choices=("text", "parquet"))
+    ap.add_argument("--trigger-seconds", type=int, default=None,
+                    help="stream-cube: run continuously with this trigger (default: process what is there, stop)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"stationlens-{args.job}").getOrCreate()
     if args.job == "climate":
         print(run_climate_job(spark, args.input, args.output, args.format))
+    elif args.job == "stream-cube":
+        from ..streaming.climate_stream import start_cube_stream
+        q = start_cube_stream(spark, args.input, args.output, trigger_seconds=args.trigger_seconds,
+                              available_now=args.trigger_seconds is None)
+        q.awaitTermination()
     elif args.job == "land":
         print(land_observations(spark, args.input, args.output))
     elif args.job == "climate-from-landed":
