@@ -87,6 +87,8 @@ def count_input_files(spark: SparkSession, path: str | list[str]) -> int:
     if len(paths) == 1 and _is_directory(spark, paths[0]):
         reader = reader.option("pathGlobFilter", "*.csv")
     try:
-        return len(reader.load(paths).inputFiles())
+        # The JVM already holds the listing: py4j's len() of the returned Java
+        # array is one call, where DataFrame.inputFiles copies every path.
+        return len(reader.load(paths)._jdf.inputFiles())
     except AnalysisException as exc:
         raise NoInputError(str(exc)) from exc
