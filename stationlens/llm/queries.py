@@ -5,10 +5,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import id_files, packing, warc_store
+from . import byte_bpe, id_files, packing, warc_store
 from .common import table, tokenizer_file
 
 WORD_VOCABULARY = "word_bpe_49k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +26,19 @@ def op8_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import PATTERN
+
+    ranks = tokenizer_file(RANKS)
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, PATTERN)
+    return byte_bpe.decode(encoded, ranks, keep_ids=True).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids_decimal", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_warc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc_store.write_archive(table(spark, sf_dir, "pages"), min_revisit_bytes=0)
     return warc_store.read_archive(spark, archive).select(
@@ -35,6 +49,7 @@ def op10_warc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op8_id_files": op8_id_files,
+    "op9_byte_bpe": op9_byte_bpe,
     "op10_warc_store": op10_warc_store,
 }
 
