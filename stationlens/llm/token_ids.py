@@ -6,6 +6,8 @@ words that it has met; only new words reach the library.
 """
 
 import os
+import sys
+from array import array
 
 ID_BYTES = 4  # little-endian unsigned 32-bit
 END_ID = (1).to_bytes(ID_BYTES, "little")
@@ -16,27 +18,37 @@ MARK_LEADS = (b"\xcc", b"\xcd")
 
 
 class WordIds(dict):
-    """UTF-8 word to its ids as bytes.  It forgets everything after ``limit`` words."""
+    """UTF-8 word to its ids as bytes.
 
-    def __init__(self, vocabulary: str, limit: int = 400_000):
+    After ``limit`` new words it starts afresh, but words met again are taken over from the
+    generation before; so what is remembered is bounded and common words stay.
+    """
+
+    def __init__(self, vocabulary: str, limit: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.limit = limit
+        self.before: dict[bytes, bytes] = {}
 
     def _encode(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return b"".join(i.to_bytes(ID_BYTES, "little") for i in ids)
+        found = array("I", ids)
+        if sys.byteorder == "big":
+            found.byteswap()
+        return found.tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
         core = word.rstrip(TRAILING)
         if core and len(core) < len(word) and core.decode()[-1].isalnum():
-            ids = self[core] + self[word[len(core):]]
-        else:
+            return self[core] + self[word[len(core):]]  # not kept: both parts are
+        ids = self.before.get(word)
+        if ids is None:
             ids = self._encode(word.decode())
         if len(self) >= self.limit:
+            self.before = dict(self)
             self.clear()
         self[word] = ids
         return ids
