@@ -55,8 +55,11 @@ def backward(d_states: np.ndarray, u: np.ndarray, kept: tuple) -> tuple[np.ndarr
 
 
 class Adam:
-    def __init__(self, weights: dict[str, np.ndarray], rate: float):
-        self.weights, self.rate, self.t = weights, rate, 0
+    """Adam; tables named in ``shared`` take plain steps scaled by their largest gradient, so that
+    rows of rare words move as little as their small gradients say."""
+
+    def __init__(self, weights: dict[str, np.ndarray], rate: float, shared: frozenset = frozenset()):
+        self.weights, self.rate, self.t, self.shared = weights, rate, 0, shared
         self.m = {k: np.zeros_like(w) for k, w in weights.items()}
         self.v = {k: np.zeros_like(w) for k, w in weights.items()}
 
@@ -66,6 +69,9 @@ class Adam:
         scale = min(1.0, clip / max(norm, 1e-12))
         for k, g in grads.items():
             g = g * scale
+            if k in self.shared:
+                self.weights[k] -= 4 * self.rate * g / max(np.abs(g).max(), 1e-12)
+                continue
             self.m[k] += 0.1 * (g - self.m[k])
             self.v[k] += 0.001 * (g * g - self.v[k])
             m, v = self.m[k] / (1 - 0.9**self.t), self.v[k] / (1 - 0.999**self.t)

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, id_files, packing, warc_store
+from . import byte_bpe, id_files, packing, quality, toxicity, warc_store
 from .common import table, tokenizer_file
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -19,6 +19,14 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.5)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
+
+
 def op8_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = id_files.write_ids(table(spark, sf_dir, "documents"), tokenizer_file(WORD_VOCABULARY))
     return id_files.read_ids(spark, path).select(
@@ -48,6 +56,8 @@ def op10_warc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
+    "op6_quality": op6_quality,
+    "op7_toxicity": op7_toxicity,
     "op8_id_files": op8_id_files,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_warc_store": op10_warc_store,
