@@ -62,13 +62,19 @@ def _encoder(rank_file: str, pattern: str):
     return _encoders[rank_file, pattern]
 
 
-def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, n_tokens, ids (little-endian unsigned 32-bit)."""
+def encode(
+    docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", store: bool = False
+) -> DataFrame:
+    """Per document: doc_id, n_tokens, ids (little-endian unsigned 32-bit).
+
+    ``store`` writes the numbered texts to the shared folder first; it is needed where ``docs``
+    is not read from files (see ``word_blocks``).
+    """
     texts = common.id_and_text(docs, id_col, text_col).withColumn("flag", F.lit(0))
-    blocks = wb.write_blocks(texts, splitter(pattern))
+    blocks = wb.cut_blocks(texts, splitter(pattern), store=store)
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("n", pa.int32()), ("body", pa.binary())])
+        schema = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("n", pa.int32()), ("check", pa.int64()), ("body", pa.binary())])
         encoder, bucket, known = _encoder(rank_file, pattern), None, {}
         for row in wb.rows_of(batches):
             if row["part"] != bucket:
@@ -80,25 +86,27 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id"
             ids = [known[word] for word in words]
             lengths = np.fromiter(map(len, ids), np.uint32, len(ids)) // ID_BYTES
             body = wb.join_parts(wb.pack_numbers(lengths), wb.pack_numbers(np.frombuffer(b"".join(ids), "<u4")))
-            yield wb.batch_of([(row["block"], bucket, row["n"], body)], schema)
+            yield wb.batch_of([(row["block"], bucket, row["n"], row["check"], body)], schema)
 
-    encoded = wb.by_bucket(blocks).mapInArrow(encode_words, "block long, part int, n int, body binary")
+    encoded = wb.by_bucket(blocks).mapInArrow(encode_words, "block long, part int, n int, check long, body binary")
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
-        block, lengths, ids, ready = None, [], [], None
+        block, lengths, ids, checks, ready, places = None, [], [], [], None, wb.Places()
         for row in wb.rows_of(batches):
             if row["block"] != block:
-                block, lengths, ids, ready = row["block"], [], [], None
+                block, lengths, ids, checks, ready, places = row["block"], [], [], [], None, wb.Places()
             if row["kind"] == wb.WORDS:
+                checks.append(row["check"])
                 for into, part in zip((lengths, ids), wb.split_parts(row["body"]), strict=True):
                     into.append(wb.unpack_numbers(part))
                 continue
+            wb.same_words(checks, row)
             if ready is None:
                 length = np.concatenate(lengths).astype(np.int64) if lengths else np.empty(0, np.int64)
                 ready = length, np.cumsum(length) - length, np.concatenate(ids) if ids else np.empty(0, "<u4")
             length, start, table = ready
-            numbers = wb.unpack_numbers(row["body"])
+            numbers = places.of(row["body"])
             sizes = np.array(row["sizes"], np.int64)
             each = length[numbers]
             ends = np.cumsum(each)
@@ -123,7 +131,7 @@ def decode(encoded: DataFrame, rank_file: str, keep_ids: bool = False) -> DataFr
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token_bytes = {rank: token for token, rank in ranks(rank_file).items()}
         decimal = {rank: str(rank).encode() for rank in token_bytes}
-        for batch in batches:
+        for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
             decoded, written = [], []
             for ids in batch.column(2):
                 listed = np.frombuffer(ids.as_py(), "<u4").tolist()

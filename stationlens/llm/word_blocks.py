@@ -6,10 +6,13 @@ block's distinct words travel, dealt by a hash of the word into *buckets*, so th
 rows from all blocks meet once, as one row for each block however often the block has it.
 What is worked out there goes back to the blocks, where the documents are put together again.
 
-Both tables are written to the shared folder before anything is shuffled.  Rows:
+The two tables are either written to the shared folder before anything is shuffled, or cut twice
+from an input whose partitions are the same at every reading, as those of files are; a check
+over a block's words stops the job if they weren't.  Rows:
 
-* words: (block, part = bucket, n = words, body = the words and a count for each)
-* documents: (block, part = running number, n = documents, doc_ids, sizes, body = numbers)
+* words: (block, part = bucket, n = words, check, body = the words and a count for each)
+* documents: (block, part = running number, n = documents, check, doc_ids, flags, sizes, body =
+  codes of their words)
 """
 
 import zlib
@@ -18,26 +21,30 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import common
 
 WORDS, DOCUMENTS = 0, 1
 SCHEMA = pa.schema([
-    ("kind", pa.int32()), ("block", pa.int64()), ("part", pa.int32()), ("n", pa.int32()),
+    ("kind", pa.int32()), ("block", pa.int64()), ("part", pa.int32()), ("n", pa.int32()), ("check", pa.int64()),
     ("doc_ids", pa.list_(pa.int64())), ("flags", pa.list_(pa.int32())), ("sizes", pa.list_(pa.int32())),
     ("body", pa.binary()),
 ])
 COLUMNS = (
-    "kind int, block long, part int, n int, doc_ids array<long>, flags array<int>, sizes array<int>, body binary"
+    "kind int, block long, part int, n int, check long, doc_ids array<long>, flags array<int>, sizes array<int>, body binary"
 )
 #: A block ends with the document that brings it to so many bytes of words, or distinct words.
-BLOCK_BYTES = 24 << 20
-BLOCK_WORDS = 400_000
+BLOCK_BYTES = 32 << 20
+BLOCK_WORDS = 600_000
+#: Words of a block that get short codes.
+COMMON = 1 << 16
 #: Words in one row of documents, unless one document has more.
-ROW_WORDS = 400_000
+ROW_WORDS = 200_000
 
 
 def squeeze(data: bytes) -> bytes:
@@ -99,23 +106,45 @@ def batch_of(rows: Iterable[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
-def _finished(block: int, buckets: int, numbered: Numbered, docs: list, counted: Callable) -> Iterator[tuple]:
+def _finished(
+    block: int, buckets: int, numbered: Numbered, docs: list, counted: Callable, kinds: tuple = (WORDS, DOCUMENTS)
+) -> Iterator[tuple]:
     words = list(numbered)
-    bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
-    order = np.argsort(bucket, kind="stable")
-    final = np.empty(len(words), np.uint32)
-    final[order] = np.arange(len(words), dtype=np.uint32)
-    # A word's number is its place in the list of all words, bucket by bucket.
-    counts = np.zeros(len(words), np.int64)
-    for _, flag, numbers in docs:
-        if counted(flag):
-            counts += np.bincount(numbers, minlength=len(words))
+    count = len(words)
+    # Bucket by bucket, sorted inside, which packs well; a word's place is its place in this list.
+    order = pc.sort_indices(pa.array(words, pa.binary())).to_numpy().astype(np.int64)
+    bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, count)
+    order = order[np.argsort(bucket[order], kind="stable")]
+    place = np.empty(count, np.int64)
+    place[order] = np.arange(count)
+    every, counts = np.zeros(count, np.int64), np.zeros(count, np.int64)
+    waiting = [[], []]
+    for i, (_, flag, numbers) in enumerate(docs, 1):
+        waiting[bool(counted(flag))].append(numbers)
+        if i % 512 == 0 or i == len(docs):
+            for y, into in enumerate(waiting):
+                if into:
+                    here = np.bincount(np.concatenate(into), minlength=count)
+                    every += here
+                    counts += here * y
+            waiting = [[], []]
     edges = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
+    check = 0
     for b in range(buckets):
         at = order[edges[b] : edges[b + 1]]
         if len(at):
-            body = join_parts(pack_words([words[i] for i in at.tolist()]), pack_numbers(counts[at]))
-            yield (WORDS, block, b, len(at), None, None, None, body)
+            own = [words[i] for i in at.tolist()]
+            crc = zlib.crc32(b"\0".join(own), b)
+            check ^= crc
+            if WORDS in kinds:
+                body = join_parts(pack_words(own), pack_numbers(counts[at]))
+                yield (WORDS, block, b, len(at), crc, None, None, None, body)
+    if DOCUMENTS not in kinds:
+        return
+    # Common words have short codes: below COMMON the rank by count, above it the place.
+    common_words = np.argsort(-every, kind="stable")[:COMMON]
+    code = place + COMMON
+    code[common_words] = np.arange(len(common_words))
     start, part = 0, 0
     while start < len(docs):
         end, size = start, 0
@@ -123,76 +152,107 @@ def _finished(block: int, buckets: int, numbered: Numbered, docs: list, counted:
             size += len(docs[end][2])
             end += 1
         row = docs[start:end]
-        numbers = np.concatenate([d[2] for d in row])
+        body = pack_numbers(code[np.concatenate([d[2] for d in row])])
+        places = pack_numbers(place[common_words]) if part == 0 else b""
         yield (
-            DOCUMENTS, block, part, len(row), [d[0] for d in row], [d[1] for d in row],
-            [len(d[2]) for d in row], pack_numbers(final[numbers]),
+            DOCUMENTS, block, part, len(row), check if part == 0 else 0, [d[0] for d in row], [d[1] for d in row],
+            [len(d[2]) for d in row], join_parts(body, places),
         )
         start, part = end, part + 1
 
 
+class Places:
+    """The places of a block's words in its list, from the codes in its rows of documents.
+
+    The first row of a block has the places of its common words.
+    """
+
+    def __init__(self):
+        self.common = np.empty(0, np.int64)
+
+    def of(self, body: bytes) -> np.ndarray:
+        codes, places = split_parts(body)
+        if places:
+            self.common = unpack_numbers(places).astype(np.int64)
+        codes = unpack_numbers(codes).astype(np.int64)
+        short = codes < COMMON
+        codes[short] = self.common[codes[short]]
+        codes[~short] -= COMMON
+        return codes
+
+
 @dataclass
 class Blocks:
-    """The stored tables; ``buckets`` is the number of parts that words are dealt into."""
+    """The two tables; ``buckets`` is the number of parts that words are dealt into."""
 
     words: DataFrame
     documents: DataFrame
     buckets: int
-    path: str
 
 
-def write_blocks(docs: DataFrame, split: Callable[[str], list[bytes]], counted: Callable[[int], bool] | None = None) -> Blocks:
+def cut_blocks(
+    docs: DataFrame,
+    split: Callable[[str], list[bytes]],
+    counted: Callable[[int], bool] | None = None,
+    store: bool = True,
+) -> Blocks:
     """Cut ``docs`` (doc_id, text, flag) into blocks.
 
     ``split`` gives a text's words; a word's count in a block takes in the documents whose
-    flag ``counted`` accepts (all without it).
+    flag ``counted`` accepts (all without it).  Without ``store`` the input is read twice and
+    nothing is written.
     """
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     counted = counted or (lambda flag: True)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, blocks = TaskContext.get().partitionId(), 0
-        numbered, found, size = Numbered(), [], 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for row in _finished((task << 32) + blocks, buckets, numbered, found, counted):
-                yield batch_of([row], SCHEMA)
-
-        for batch in batches:
-            ids, flags = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            for doc_id, text, flag in zip(ids, batch.column(1), flags, strict=True):
-                words = split(text.as_py())
-                numbers = np.fromiter(map(numbered.__getitem__, words), np.uint32, len(words))
-                found.append((doc_id, flag, numbers))
-                size += sum(map(len, words))
-                if size >= BLOCK_BYTES or len(numbered) >= BLOCK_WORDS:
-                    yield from flush()
-                    blocks += 1
-                    numbered, found, size = Numbered(), [], 0
-        if found:
-            yield from flush()
-
-    rows = docs.select("doc_id", "text", "flag").mapInArrow(cut, COLUMNS)
-    stored, path = common.stored(rows, "word-blocks", partition_by="kind")
+    def cut(kinds: tuple) -> Callable:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            task, blocks = TaskContext.get().partitionId(), 0
+            numbered, found, size = Numbered(), [], 0
+
+            def flush() -> Iterator[pa.RecordBatch]:
+                for row in _finished((task << 32) + blocks, buckets, numbered, found, counted, kinds):
+                    yield batch_of([row], SCHEMA)
+
+            for batch in batches:
+                ids, flags = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+                for doc_id, text, flag in zip(ids, batch.column(1), flags, strict=True):
+                    words = split(text.as_py())
+                    numbers = np.fromiter(map(numbered.__getitem__, words), np.uint32, len(words))
+                    found.append((doc_id, flag, numbers))
+                    size += sum(map(len, words))
+                    if size >= BLOCK_BYTES or len(numbered) >= BLOCK_WORDS:
+                        yield from flush()
+                        blocks += 1
+                        numbered, found, size = Numbered(), [], 0
+            if found:
+                yield from flush()
+
+        return run
+
+    def rows(*kinds: int) -> DataFrame:
+        return docs.select("doc_id", "text", "flag").mapInArrow(cut(kinds), COLUMNS)
+
+    if not store:
+        return Blocks(rows(WORDS).drop("kind"), rows(DOCUMENTS).drop("kind"), buckets)
+    stored, _ = common.stored(rows(WORDS, DOCUMENTS), "word-blocks", partition_by="kind")
     return Blocks(
-        stored.where(f"kind = {WORDS}").drop("kind"), stored.where(f"kind = {DOCUMENTS}").drop("kind"), buckets, path
+        stored.where(f"kind = {WORDS}").drop("kind"), stored.where(f"kind = {DOCUMENTS}").drop("kind"), buckets
     )
 
 
 def by_bucket(blocks: Blocks) -> DataFrame:
     """The rows of words, those of a bucket together, by block."""
     return (
-        blocks.words.select("part", "block", "n", "body")
+        blocks.words.select("part", "block", "n", "check", "body")
         .repartition(blocks.buckets, "part")
         .sortWithinPartitions("part", "block")
     )
 
 
 def to_blocks(blocks: Blocks, answers: DataFrame) -> DataFrame:
-    """Per block first its answers (block, part, n, body) by bucket, then its documents."""
-    from pyspark.sql import functions as F
-
+    """Per block first its answers (block, part, n, check, body) by bucket, then its documents."""
     none = {c: F.lit(None) for c in ("doc_ids", "flags", "sizes")}
     answered = answers.withColumns(none).withColumn("kind", F.lit(WORDS))
     documents = blocks.documents.withColumn("kind", F.lit(DOCUMENTS))
@@ -200,10 +260,19 @@ def to_blocks(blocks: Blocks, answers: DataFrame) -> DataFrame:
         documents.unionByName(answered)
         .repartition(blocks.buckets, "block")
         .sortWithinPartitions("block", "kind", "part")
-        .select("kind", "block", "part", "n", "doc_ids", "flags", "sizes", "body")
+        .select("kind", "block", "part", "n", "check", "doc_ids", "flags", "sizes", "body")
     )
 
 
+def same_words(answered: list[int], document_row: dict) -> None:
+    """Stop if the answers are not those to the words of the block's documents."""
+    check = 0
+    for crc in answered:
+        check ^= crc
+    if document_row["part"] == 0 and check != document_row["check"]:
+        raise RuntimeError("the input's partitions differ between two readings; write it to a table first")
+
+
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for i in range(batch.num_rows):
