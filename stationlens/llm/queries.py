@@ -5,13 +5,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, id_files, packing, quality, toxicity, warc_store
+from . import byte_bpe, id_files, minhash, packing, quality, toxicity, warc_store
 from .common import table, tokenizer_file
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), threshold=75)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(WORD_VOCABULARY))
     return pieces.select(
@@ -55,6 +59,7 @@ def op10_warc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_minhash": op2_minhash,
     "op3_packing": op3_packing,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
