@@ -5,13 +5,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, id_files, minhash, packing, quality, toxicity, warc_store
+from . import byte_bpe, cover_tree, id_files, minhash, multi_index, packing, quality, toxicity, warc_store
 from .common import table, tokenizer_file
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"), least_cosine=0.98)
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), threshold=75)
 
@@ -23,6 +27,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.5)
 
@@ -59,8 +67,10 @@ def op10_warc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_multi_index": op1_multi_index,
     "op2_minhash": op2_minhash,
     "op3_packing": op3_packing,
+    "op4_cover_tree": op4_cover_tree,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
     "op8_id_files": op8_id_files,
