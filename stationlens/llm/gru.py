@@ -16,12 +16,17 @@ def step(x: np.ndarray, h: np.ndarray, u: np.ndarray) -> np.ndarray:
     return new + gates[:, :n] * (h - new)
 
 
-def forward(x: np.ndarray, u: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
-    """States (time, batch, hidden) of inputs (time, batch, 3 hidden); and what backward needs."""
+def forward(x: np.ndarray, u: np.ndarray, h: np.ndarray, keep: np.ndarray | None = None) -> tuple[np.ndarray, tuple]:
+    """States (time, batch, hidden) of inputs (time, batch, 3 hidden); and what backward needs.
+
+    ``keep`` (time, batch) is 0 where the state before a step is to be forgotten, else 1.
+    """
     n = h.shape[1]
     states, gates, news, resets = [], [], [], []
     first = h
-    for xt in x:
+    for t, xt in enumerate(x):
+        if keep is not None:
+            h = h * keep[t][:, None]
         hu = h @ u
         gate = sigmoid(xt[:, : 2 * n] + hu[:, : 2 * n])
         new = 2 * sigmoid(2 * (xt[:, 2 * n :] + gate[:, n:] * hu[:, 2 * n :])) - 1
@@ -30,18 +35,20 @@ def forward(x: np.ndarray, u: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tu
         gates.append(gate)
         news.append(new)
         resets.append(hu[:, 2 * n :])
-    return np.stack(states), (first, states, gates, news, resets)
+    return np.stack(states), (first, states, gates, news, resets, keep)
 
 
 def backward(d_states: np.ndarray, u: np.ndarray, kept: tuple) -> tuple[np.ndarray, np.ndarray]:
     """Gradients of the projected inputs and of ``u``; no gradient enters before the first step."""
-    first, states, gates, news, resets = kept
+    first, states, gates, news, resets, keep = kept
     n = u.shape[0]
     d_x = np.empty((*d_states.shape[:2], 3 * n), d_states.dtype)
     d_u = np.zeros_like(u)
     d_h = np.zeros_like(first)
     for t in range(len(d_states) - 1, -1, -1):
         h = states[t - 1] if t else first
+        if keep is not None:
+            h = h * keep[t][:, None]
         z, r = gates[t][:, :n], gates[t][:, n:]
         d = d_states[t] + d_h
         d_new = d * (1 - z) * (1 - news[t] ** 2)
@@ -51,6 +58,8 @@ def backward(d_states: np.ndarray, u: np.ndarray, kept: tuple) -> tuple[np.ndarr
         d_x[t, :, :n], d_x[t, :, n : 2 * n], d_x[t, :, 2 * n :] = d_z, d_r, d_new
         d_u += h.T @ d_hu
         d_h = d * z + d_hu @ u.T
+        if keep is not None:
+            d_h *= keep[t][:, None]
     return d_x, d_u
 
 

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, cover_tree, id_files, minhash, multi_index, packing, quality, toxicity, warc_store
+from . import byte_bpe, cover_tree, id_files, lm, minhash, multi_index, packing, quality, toxicity, warc_store
 from .common import table, tokenizer_file
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -31,6 +31,10 @@ def op4_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
 
 
+def op5_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.5)
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash": op2_minhash,
     "op3_packing": op3_packing,
     "op4_cover_tree": op4_cover_tree,
+    "op5_gru_lm": op5_gru_lm,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
     "op8_id_files": op8_id_files,
