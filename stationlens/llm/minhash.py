@@ -148,10 +148,16 @@ def near_duplicates(
     ``threshold`` is in percent; pairs whose estimated index is more than ``margin`` (over
     four standard deviations) below it are not confirmed on full sets.
     """
-    spark = docs.sparkSession
+    spark, used = docs.sparkSession, []
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        made, path = common.stored(df, name)
+        used.append(path)
+        return made
+
     texts = common.id_and_text(docs, id_col, text_col)
-    rows, _ = common.stored(sketches(texts), "sketches")
-    classes, _ = common.stored(
+    rows = stored(sketches(texts), "sketches")
+    classes = stored(
         rows.where("n_shingles > 0").groupBy("cls").agg(
             F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")
         ),
@@ -168,7 +174,7 @@ def near_duplicates(
         "weight": F.sum("classes").over(own),
     })
     sizes = classes.select("cls", "n", F.size("sketch").alias("k"))
-    lists, _ = common.stored(
+    lists = stored(
         ranked.join(sizes, "cls")
         .where(F.col("rank") + F.col("k") - F.col("listed") <= F.col("k") - least_shared(F.col("n")) + 1)
         .select("value", "cls", "n", "weight"),
@@ -189,11 +195,12 @@ def near_duplicates(
         .where((F.col("cls") != F.col("lead.cls")) & similar_size(F.col("n"), F.col("lead.n")))
         .select(F.least("cls", "lead.cls").alias("a"), F.greatest("cls", "lead.cls").alias("b")).distinct()
     )
-    first, _ = common.stored(
+    first = stored(
         with_leader.join(a, "a").join(b, "b").where(_estimate(F.col("x"), F.col("y")) >= least).select("a", "b"), "pairs"
     )
-    sets, _ = common.stored(full_sets(_texts_of(lists, classes, texts)), "sets")
-    linked, _ = common.stored(_confirmed(first, sets, threshold), "linked")
+    wanted = stored(_representatives(lists, classes), "wanted")
+    sets = stored(full_sets(_texts_of(wanted, texts)), "sets")
+    linked = stored(_confirmed(first, sets, threshold), "linked")
     found = links.components(linked)
 
     # Round 2: pairs of different components in lists that still have several.
@@ -211,8 +218,8 @@ def near_duplicates(
         (left.value == right.value) & (F.col("a") < F.col("b")) & (F.col("c") != F.col("d"))
         & similar_size(F.col("n"), F.col("m")) & (_estimate(F.col("x"), F.col("y")) >= least),
     ).select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
-    second, _ = common.stored(across, "pairs")
-    more, _ = common.stored(_confirmed(second, sets, threshold), "linked")
+    second = stored(across, "pairs")
+    more = stored(_confirmed(second, sets, threshold), "linked")
     final = links.components(linked.union(more))
 
     # A component's id is the least document id of its classes' rows.
@@ -220,15 +227,48 @@ def near_duplicates(
         _component_ids(classes, final), "cls", "left"
     )
     component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return labelled.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+    answer, _ = common.stored(
+        labelled.select(
+            "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        ),
+        "near-duplicates",
+    )
+    common.remove(spark, *used)
+    return answer
+
+
+def one_of_each(docs: DataFrame, threshold: int = 75) -> DataFrame:
+    """The rows of ``docs``, all columns, without the documents that are not kept.
+
+    Of rows that repeat a kept id one stays.  Rows with a null id stay, as nothing tells them apart.
+    """
+    found = near_duplicates(docs, threshold).where("doc_id is not null")
+    dropped = found.where("not kept").select("doc_id").distinct()
+    again = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    id_ = docs["doc_id"].cast("long")
+    rest = docs.join(_small(dropped.union(again)), id_ == F.col("dropped_id"), "left_anti")
+    if not again.limit(1).count():
+        return rest
+    repeated = docs.join(again.select(F.col("doc_id").alias("again_id")), id_ == F.col("again_id"), "left_semi")
+    kept = found.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return rest.unionByName(
+        repeated.join(kept, id_ == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
     )
 
 
-def _texts_of(lists: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """(cls, text) of the representatives of all classes in any list."""
-    wanted = classes.select("cls", "doc_id", "n").join(lists.select("cls").distinct(), "cls", "left_semi").select("cls", "doc_id")
-    wanted, _ = common.stored(wanted, "wanted")
+def _small(ids: DataFrame) -> DataFrame:
+    """Ids under the name dropped_id, to be broadcast if there are few."""
+    ids, _ = common.stored(ids.toDF("dropped_id"), "dropped")
+    return F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
+
+
+def _representatives(lists: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cls, doc_id) of all classes in any list."""
+    return classes.select("cls", "doc_id").join(lists.select("cls").distinct(), "cls", "left_semi")
+
+
+def _texts_of(wanted: DataFrame, texts: DataFrame) -> DataFrame:
+    """(cls, text) of the rows with a representative's id."""
     if wanted.count() <= MAX_BROADCAST_IDS:
         wanted = F.broadcast(wanted)
     return texts.join(wanted, texts.doc_id.eqNullSafe(wanted.doc_id)).select("cls", "text")
