@@ -1,6 +1,6 @@
 """MinHash near-duplicates by bottom-k sketches of one hash function.
 
-A document's set is its distinct five-word shingles, as 64-bit hashes; its sketch is the K
+A document's set is its distinct five-word shingles, as 63-bit hashes; its sketch is the K
 least of them.  Documents with one set (a 128-bit digest of all its hashes) are a *class* with
 one representative, so copies are never compared.  Classes are then linked in two rounds:
 
@@ -8,11 +8,13 @@ one representative, so copies are never compared.  Classes are then linked in tw
    their sketches share at least T values (see ``least_shared``), so it is enough to list each class
    under its rarest ones (all but T - 1).  Each list names one leader, its class with the most
    common values; every class of the list is compared with that leader alone.
-2. Lists whose classes all are in one component by now are done.  In the others, pairs of
-   different components are compared.
+2. Classes that share a value share the leader of its list, so lists with one leader are joined
+   to one, which a class is in once.  Where all its classes are in one component by now, nothing is left
+   to do; in the others pairs of different components are compared, block by block.
 
 In both rounds the union sketch (the K least values of two sketches) estimates the Jaccard
-index; pairs whose estimate is near or over the threshold are confirmed on the full sets.
+index; pairs whose estimate is near or over the threshold are confirmed on the full sets (in
+round 2 first on their hashes' low halves, which can only overstate what is shared).
 
 Defined cases: null and empty texts have an empty set and are linked with nothing; texts of
 fewer than five words are one shingle; rows with a null id take part by their text (a component
@@ -34,6 +36,10 @@ from .word_blocks import Numbered, batch_of
 
 K = 64
 WORDS = 5
+#: Fills up sketches of fewer than K values; no value of a sketch, as those are the least ones.
+NONE = np.iinfo(np.int64).max
+#: Classes in a block of a joined list, about; and columns into which a block's values are hashed.
+BLOCK, COLUMNS = 1_024, 1_024
 #: Ids of candidates are broadcast up to this number (16 bytes each), else joined by shuffle.
 MAX_BROADCAST_IDS = 1_000_000
 
@@ -68,7 +74,7 @@ def shingle_sets(texts: list[str]) -> Iterator[np.ndarray]:
             out = np.full(len(h) - size + 1, size, np.uint64)
             for i in range(size):
                 out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + h[i : len(h) - size + 1 + i])
-            yield np.unique(out)
+            yield np.unique(out >> np.uint64(1))  # signed and unsigned order alike
 
 
 def class_of(shingles: np.ndarray) -> int:
@@ -140,6 +146,72 @@ def _estimate(x, y):
     return F.size(F.array_intersect(F.array_intersect(x, y), union)) / F.size(union)
 
 
+def estimates(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The union sketch's estimate for rows of two arrays of sketches, filled up with NONE."""
+    both = np.sort(np.concatenate([x, y], axis=1), axis=1)
+    real = both != NONE
+    first = np.ones(both.shape, bool)
+    first[:, 1:] = both[:, 1:] != both[:, :-1]
+    rank = (first & real).cumsum(axis=1)
+    inside = real & (rank <= K)
+    return (inside & ~first).sum(axis=1) / np.maximum((inside & first).sum(axis=1), 1)
+
+
+def _across(rows: DataFrame, threshold: int, margin: float) -> DataFrame:
+    """Pairs (a, b) of different components in each pair of blocks that may be similar enough."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(parts, "lead", "i", "j").sortWithinPartitions("lead", "i", "j", "block")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def pairs_of(group: list[tuple]) -> Iterator[tuple]:
+        block, cls, n, component = (np.array(c, np.int64) for c in list(zip(*(g[:4] for g in group), strict=True)))
+        sketch = np.full((len(group), K), NONE)
+        for row, g in zip(sketch, group, strict=True):
+            row[: len(g[4])] = g[4]
+        least = np.where(n <= 48, np.ceil(n * 3 / 4), 28)
+        at = np.nonzero(sketch != NONE)
+        hashed = np.zeros((len(group), COLUMNS), np.float32)
+        np.add.at(hashed, (at[0], sketch[at] % COLUMNS), 1)
+        one = block[0] == block[-1]
+        left = np.arange(len(group)) if one else np.flatnonzero(block == block[0])
+        right = left if one else np.flatnonzero(block != block[0])
+        # Every shared value adds at least one, so no pair with enough of them is passed over.
+        near = hashed[left] @ hashed[right].T >= np.maximum(least[left][:, None], least[right])
+        near &= component[left][:, None] != component[right]
+        near &= 100 * np.minimum(n[left][:, None], n[right]) >= threshold * np.maximum(n[left][:, None], n[right])
+        if one:
+            near &= left[:, None] < right
+        x, y = (side[z] for side, z in zip((left, right), np.nonzero(near), strict=True))
+        halves: dict[int, np.ndarray] = {}
+        for start in range(0, len(x), 8192):
+            u, v = x[start : start + 8192], y[start : start + 8192]
+            likely = estimates(sketch[u], sketch[v]) >= threshold / 100 - margin
+            for p, q in zip(u[likely].tolist(), v[likely].tolist(), strict=True):
+                for z in (p, q):
+                    if z not in halves:
+                        halves[z] = np.sort(np.frombuffer(group[z][5], "<u4")[::2])
+                places = np.searchsorted(halves[p], halves[q])
+                shared = int((halves[p][np.minimum(places, len(halves[p]) - 1)] == halves[q]).sum())
+                if 100 * shared >= threshold * (len(halves[p]) + len(halves[q]) - shared):
+                    yield min(cls[p], cls[q]), max(cls[p], cls[q])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, group = None, []
+        for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:3] != key:
+                    found = list(pairs_of(group)) if len(group) > 1 else []
+                    if found:
+                        yield batch_of(found, schema)
+                    key, group = row[:3], []
+                group.append(row[3:])
+        found = list(pairs_of(group)) if len(group) > 1 else []
+        if found:
+            yield batch_of(found, schema)
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame, threshold: int = 75, margin: float = 0.25, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -203,22 +275,24 @@ def near_duplicates(
     linked = stored(_confirmed(first, sets, threshold), "linked")
     found = links.components(linked)
 
-    # Round 2: pairs of different components in lists that still have several.
-    placed = lists.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
+    # Round 2: pairs of different components in joined lists that still have several.
+    joined = lists.join(leaders.select("value", F.col("lead.cls").alias("lead")), "value").select("lead", "cls", "n").distinct()
+    placed = joined.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls")
     )
     several = (
-        placed.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low < high").select("value")
+        placed.groupBy("lead")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("classes"))
+        .where("low < high").select("lead", F.ceil(F.col("classes") / BLOCK).cast("int").alias("blocks"))
+    )
+    open_lists = (
+        placed.join(several, "lead").join(side, "cls").join(sets, "cls")
+        .withColumn("block", F.expr("cast(pmod(xxhash64(cls), blocks) as int)"))
+        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+        .select("lead", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
+                "cls", "n", "component", "sketch", "shingles")
     )
-    open_lists = placed.join(several, "value").join(side, "cls").select("value", "cls", "n", "component", "sketch")
-    left, right = open_lists.toDF("value", "a", "n", "c", "x"), open_lists.toDF("value", "b", "m", "d", "y")
-    across = left.join(
-        right,
-        (left.value == right.value) & (F.col("a") < F.col("b")) & (F.col("c") != F.col("d"))
-        & similar_size(F.col("n"), F.col("m")) & (_estimate(F.col("x"), F.col("y")) >= least),
-    ).select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
-    second = stored(across, "pairs")
+    second = stored(_across(open_lists, threshold, margin).distinct(), "pairs")
     more = stored(_confirmed(second, sets, threshold), "linked")
     final = links.components(linked.union(more))
 
