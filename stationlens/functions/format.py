@@ -1,37 +1,39 @@
-"""Text rendering that must equal Python's (the reference formats with Python).
+"""Text of DOUBLE values in results, in built-in expressions.
 
-Spark's ``format_string`` rounds half-up on the shortest decimal text of a
-double, and casts doubles to strings like Java (``1.0E-4``), while Python rounds
-the exact binary value and prints ``0.0001``.  Output text therefore goes through
-these vectorised pandas UDFs -- Arrow batches, applied only to final result rows
-(one per station or per station-month), never to the raw lines.
+``str(float)`` and Spark's cast agree on the digits (the shortest text that reads
+back alike); they differ in when and how an exponent is written, which ``py_str``
+mends.  ``py_fixed`` rounds the shortest text half up where Python rounds the exact
+binary value, so a last digit can differ on a tie such as 0.125.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
 
-
-@pandas_udf(StringType())
-def _py_fixed(values: pd.Series, decimals: pd.Series) -> pd.Series:
-    return pd.Series([None if pd.isna(v) else f"{v:.{int(d)}f}" for v, d in zip(values, decimals)],
-                     dtype=object)
-
-
-@pandas_udf(StringType())
-def _py_str(values: pd.Series) -> pd.Series:
-    return pd.Series([None if pd.isna(v) else str(float(v)) for v in values], dtype=object)
+# Python writes an exponent below and from these magnitudes on.
+EXPONENT_BELOW, EXPONENT_FROM = 1e-4, 1e16
 
 
 def py_fixed(x: Column, decimals: int) -> Column:
-    """Python ``f"{x:.Nf}"`` of a DOUBLE column (NULL stays NULL)."""
-    return _py_fixed(x.cast("double"), F.lit(decimals))
+    """``f"{x:.Nf}"`` of a DOUBLE column (NULL stays NULL)."""
+    v = x.cast("double")
+    special = F.isnan(v) | (F.abs(v) == F.lit(float("inf")))
+    return F.when(v.isNull(), F.lit(None)).when(special, py_str(v)).otherwise(F.format_string(f"%.{decimals}f", v))
 
 
 def py_str(x: Column) -> Column:
-    """Python ``str(float)`` (shortest round-trip text, ``1e-05`` style exponents)."""
-    return _py_str(x.cast("double"))
+    """``str(float)`` of a DOUBLE column (NULL stays NULL)."""
+    v = x.cast("double")
+    size, text = F.abs(v), v.cast("string")
+    # Without an exponent: Java's text from 1e-3 to 1e7, else the digits of an exact decimal.
+    digits = F.rtrim(v.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
+    digits = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0\z", "")
+    power = F.substring_index(text, "E", -1).try_cast("int")
+    exponent = F.concat(F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")), F.lpad(F.abs(power).cast("string"), 2, "0"))
+    return (F.when(F.isnan(v), F.lit("nan"))
+            .when(size == F.lit(float("inf")), F.when(v > 0, F.lit("inf")).otherwise(F.lit("-inf")))
+            .when((size == 0) | ((size >= 1e-3) & (size < 1e7)), text)
+            .when((size >= EXPONENT_BELOW) & (size < EXPONENT_FROM), digits)
+            .otherwise(F.concat(mantissa, exponent)))

@@ -9,8 +9,6 @@ whole-stage codegen and no row crosses into Python.
 
 from __future__ import annotations
 
-import sys
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,12 +25,8 @@ FIELD_PATTERN = r',("(?:[^"]++|"")*+(?:"[^,]*|\z)|[^,]*)'
 QUOTED_PATTERN = r'(?s)^"((?:[^"]++|"")*+)"?(.*)\z'
 
 
-def _python_whitespace() -> str:
-    """The characters Python's ``str.strip()`` removes, derived from ``isspace``."""
-    return "".join(chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace())
-
-
-PY_WHITESPACE = _python_whitespace()
+# The characters Python's ``str.strip()`` removes; all of them are below U+3001.
+PY_WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def tokenize(line: Column) -> Column:
@@ -55,13 +49,13 @@ def _count(line: Column, what: str) -> Column:
 
 
 def split_fields(line: Column) -> Column:
-    """``STRUCT<kind INT, v ARRAY<STRING>>``: the line's fields, exactly as the reader splits them.
+    """``STRUCT<kind INT, v ARRAY<STRING>>``: the line's fields, as the reader splits them.
 
     Two shapes cover real files and split without a regular expression:
 
     * compact -- every field quoted once, ``"a","b, c","d"``: if the line starts
-      and ends with a quote and holds exactly two quotes per field, the fields
-      are the pieces between ``","`` and already unquoted (``kind`` 0);
+      and ends with a quote and no quote is left between the separators ``","``,
+      the fields are the pieces between them and already unquoted (``kind`` 0);
     * padded -- ``"a", "b", "c"``: with no ``,"`` in the line no field but the
       first opens a quote, so a plain comma split gives the raw tokens; only the
       first may still need unquoting (``kind`` 1).
@@ -70,14 +64,13 @@ def split_fields(line: Column) -> Column:
     """
     n = F.length(line)
     quoted_ends = line.startswith('"') & line.endswith('"') & (n >= 2)
-    compact = (quoted_ends & (F.instr(line, _SEP) == 0)
-               & (_count(line, '"') == 2 * (_count(line, '","') + 1)))
+    pieces = F.replace(F.substring(line, 2, n - 2), F.lit('","'), F.lit(_SEP))
+    compact = quoted_ends & (F.instr(line, _SEP) == 0) & (F.instr(pieces, '"') == 0)
     first = F.substring_index(line, ",", 1)
     first_simple = ~first.startswith('"') | (first.endswith('"') & (F.length(first) >= 2) & (_count(first, '"') == 2))
     padded = (F.instr(line, ',"') == 0) & first_simple
-    inner = F.substring(line, 2, n - 2)
     return (F.when(compact, F.struct(F.lit(VALUES).alias("kind"),
-                                     F.split(F.replace(inner, F.lit('","'), F.lit(_SEP)), _SEP, -1).alias("v")))
+                                     F.split(pieces, _SEP, -1).alias("v")))
             .when(padded, F.struct(F.lit(FIRST_RAW).alias("kind"), F.split(line, ",", -1).alias("v")))
             .otherwise(F.struct(F.lit(ALL_RAW).alias("kind"), tokenize(line).alias("v"))))
 
@@ -113,38 +106,14 @@ def csv_value(token: Column) -> Column:
             .otherwise(unquote(token)))
 
 
-# Whitespace other than the plain space, which the cheap ``trim`` handles.
-_OTHER_WHITESPACE = PY_WHITESPACE.replace(" ", "")
-
-
-def strip_spaces_first(value: Column) -> Column:
-    """First half of :func:`py_strip_fast`: the cheap space-only ``trim``."""
-    return F.trim(value)
-
-
-def finish_strip(trimmed: Column) -> Column:
-    """Second half of :func:`py_strip_fast`, on a space-trimmed column.
-
-    Only when a tab, line break or Unicode space is left at an edge does the
-    set-based ``btrim`` (which copies every edge character) run.  Pass a plain
-    column: it is read several times.
-    """
-    first, last = F.left(trimmed, F.lit(1)), F.right(trimmed, F.lit(1))
-    other = F.lit(_OTHER_WHITESPACE)
-    at_edge = (F.length(trimmed) > 0) & (other.contains(first) | other.contains(last))
-    return F.when(at_edge, F.btrim(trimmed, F.lit(PY_WHITESPACE))).otherwise(trimmed)
-
-
-def strip_quotes_fast(value: Column) -> Column:
-    """``strip('"')`` that only calls ``btrim`` when a quote is at an edge.
-
-    Pass a plain column: it is read several times."""
-    return F.when(value.startswith('"') | value.endswith('"'), F.btrim(value, F.lit('"'))).otherwise(value)
+def has_plain_edges(trimmed: Column) -> Column:
+    """True where a space-trimmed text has no other whitespace at its ends (or is empty)."""
+    return (F.length(trimmed) == 0) | (F.left(trimmed, F.lit(1)).between("!", "~")
+                                       & F.right(trimmed, F.lit(1)).between("!", "~"))
 
 
 def clean_field(token: Column) -> Column:
-    """The reference's ``field.strip().strip('"')`` of a raw token (one expression;
-    for bulk parsing :mod:`stationlens.operators.parse` stages the same steps)."""
+    """The reference's ``field.strip().strip('"')`` of a raw token."""
     return strip_quotes(py_strip(csv_value(token)))
 
 

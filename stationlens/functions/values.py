@@ -22,8 +22,9 @@ NUMBER_PATTERN = (
 MISSING_THRESHOLD = 999.0
 
 # Sums run on exact decimals so results do not depend on partitioning or on the
-# order rows reach an aggregate; GSOD readings carry at most two decimals.
-SUM_TYPE = "decimal(18,2)"
+# order rows reach an aggregate.  A reading that this type does not hold exactly (more
+# decimals, a very large magnitude) goes into a DOUBLE sum beside it.
+SUM_TYPE = "decimal(18,6)"
 
 
 # A string whose first character is one of FIRST_CHARS, whose
@@ -36,6 +37,12 @@ LAST_CHARS = "0123456789."
 SPECIAL_WORDS = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity", "nan", "+nan", "-nan")
 
 
+def is_plain_number(s: Column) -> Column:
+    """True for the common spellings that a cast reads as Python does."""
+    return (F.lit(FIRST_CHARS).contains(F.left(s, F.lit(1))) & F.lit(LAST_CHARS).contains(F.right(s, F.lit(1)))
+            & (F.octet_length(s) > 0) & ~s.contains("x") & ~s.contains("X") & ~s.contains("_"))
+
+
 def parse_float(value: Column, stripped: bool = False) -> Column:
     """DOUBLE of ``float(value.strip())``, NULL where Python would raise.
 
@@ -44,8 +51,7 @@ def parse_float(value: Column, stripped: bool = False) -> Column:
     other strings (underscores, junk such as Spark-only ``1.0d`` or hex forms).
     """
     s = value if stripped else py_strip(value)
-    plain = (F.lit(FIRST_CHARS).contains(F.left(s, F.lit(1))) & F.lit(LAST_CHARS).contains(F.right(s, F.lit(1)))
-             & (F.octet_length(s) > 0) & ~s.contains("x") & ~s.contains("X") & ~s.contains("_"))
+    plain = is_plain_number(s)
     special = F.lower(s).isin(*SPECIAL_WORDS)
     return (F.when(plain | special, s.try_cast("double"))
             .otherwise(F.replace(F.regexp_extract(s, NUMBER_PATTERN, 1), F.lit("_"), F.lit("")).try_cast("double")))
@@ -57,14 +63,34 @@ def below_missing(x: Column, absolute: bool) -> Column:
     return F.coalesce(v < F.lit(MISSING_THRESHOLD), F.lit(False))
 
 
+def _held(x: Column) -> Column:
+    """True where SUM_TYPE holds the reading exactly."""
+    return F.coalesce(x.try_cast(SUM_TYPE).cast("double") == x, F.lit(False))
+
+
+def exact_part(x: Column) -> Column:
+    """Sum of the readings that SUM_TYPE holds, as a decimal."""
+    return F.sum(F.when(_held(x), x.try_cast(SUM_TYPE)))
+
+
+def other_part(x: Column) -> Column:
+    """DOUBLE sum of all other readings.
+
+    A valid reading can be ``-inf`` (the rule for PRCP, WDSP and GUST has no ``abs``);
+    as with Python floats the sum then is ``-inf``.
+    """
+    return F.sum(F.when(~_held(x), x))
+
+
+def joined_parts(exact: Column, other: Column) -> Column:
+    """The DOUBLE sum of both parts; NULL without any reading."""
+    return F.when(other.isNull(), exact.cast("double")).otherwise(
+        F.coalesce(exact.cast("double"), F.lit(0.0)) + other)
+
+
 def exact_sum(x: Column) -> Column:
-    """Partition-independent sum of a DOUBLE reading, returned as DOUBLE.
+    """Sum of a DOUBLE reading that keeps every reading, returned as DOUBLE.
 
-    Finite readings are summed as decimals.  A valid reading can still be
-    ``-inf`` (the rule for PRCP, WDSP and GUST has no ``abs``); Python's float sum
-    then yields ``-inf``, and so does this.
+    It does not depend on partitioning as long as SUM_TYPE holds all readings.
     """
-    neg_inf = F.lit(float("-inf"))
-    return F.when(F.max(F.when(x == neg_inf, F.lit(1))) == 1, neg_inf).otherwise(
-        F.sum(x.try_cast(SUM_TYPE)).cast("double")
-    )
+    return joined_parts(exact_part(x), other_part(x))

@@ -16,12 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.events import EVENT_NAMES, event_flag
-from ..functions.values import SUM_TYPE, exact_sum
+from ..functions.values import exact_part, exact_sum, joined_parts, other_part
 
 
 def mean(x: Column) -> Column:
-    """Mean of a reading as DOUBLE: exact sum divided by the row count."""
-    return exact_sum(x) / F.count(F.lit(1))
+    """Mean of a reading as DOUBLE: exact sum divided by the number of readings."""
+    return exact_sum(x) / F.count(x)
 
 
 def monthly_avg_temp(obs: DataFrame) -> DataFrame:
@@ -75,12 +75,8 @@ def event_totals(records: DataFrame) -> DataFrame:
 
 
 def year_mean_of_stations(yearly: DataFrame) -> DataFrame:
-    """Per year, the unweighted mean of the stations' yearly means.
-
-    Rounded to 6 decimals: a mean of DOUBLE means is otherwise exact only up to
-    summation order.
-    """
-    return yearly.groupBy("year").agg(F.round(F.avg("avg_temp"), 6).alias("avg_temp"))
+    """Per year, the unweighted mean of the stations' yearly means."""
+    return yearly.groupBy("year").agg(F.avg("avg_temp").alias("avg_temp"))
 
 
 def station_total_prcp(obs: DataFrame) -> DataFrame:
@@ -146,12 +142,10 @@ def climate_summary(obs: DataFrame) -> DataFrame:
     Three separate roll-ups would each prune the shared aggregation differently,
     so Spark could not reuse it and would scan the lines three times.
     """
-    neg_inf = F.lit(float("-inf"))
     sy = obs.groupBy("station", "year").agg(
         F.count(F.lit(1)).alias("n_obs"),
-        F.sum(F.col("temp").try_cast(SUM_TYPE)).alias("sum_temp"),
-        F.sum(F.col("prcp").try_cast(SUM_TYPE)).alias("sum_prcp"),
-        F.count_if(F.col("prcp") == neg_inf).alias("n_prcp_neg_inf"),
+        *[part(F.col(x)).alias(f"{name}_{x}") for x in ("temp", "prcp")
+          for name, part in (("sum", exact_part), ("other", other_part))],
         F.max("gust").alias("max_gust"))
     return summary_from_station_years(sy)
 
@@ -159,8 +153,8 @@ def climate_summary(obs: DataFrame) -> DataFrame:
 def climate_summary_from_cube(c: DataFrame) -> DataFrame:
     """K4 (typed) from the station-month cube."""
     sy = c.groupBy("station", "year").agg(
-        F.sum("n_obs").alias("n_obs"), F.sum("sum_temp").alias("sum_temp"),
-        F.sum("sum_prcp").alias("sum_prcp"), F.sum("n_prcp_neg_inf").alias("n_prcp_neg_inf"),
+        F.sum("n_obs").alias("n_obs"),
+        *[F.sum(f"{part}_{x}").alias(f"{part}_{x}") for x in ("temp", "prcp") for part in ("sum", "other")],
         F.max("max_gust").alias("max_gust"))
     return summary_from_station_years(sy)
 
@@ -171,12 +165,12 @@ def summary_from_station_years(sy: DataFrame) -> DataFrame:
     Each fact is ``min(struct(-value, key))`` (highest value, lowest key) over
     its grouping set, in a global aggregation that always yields one row.
     """
-    neg_inf = F.lit(float("-inf"))
-    g = sy.withColumn("year_mean", F.col("sum_temp").cast("double") / F.col("n_obs")).groupingSets(
+    year_mean = joined_parts(F.col("sum_temp"), F.col("other_temp")) / F.col("n_obs")
+    g = sy.withColumn("year_mean", year_mean).groupingSets(
         [["year"], ["station"]], "year", "station").agg(
         F.grouping_id().alias("gid"),
-        F.round(F.avg("year_mean"), 6).alias("avg_temp"),
-        F.when(F.sum("n_prcp_neg_inf") > 0, neg_inf).otherwise(F.sum("sum_prcp").cast("double")).alias("total_prcp"),
+        F.avg("year_mean").alias("avg_temp"),
+        joined_parts(F.sum("sum_prcp"), F.sum("other_prcp")).alias("total_prcp"),
         F.max("max_gust").alias("max_gust"))
     # grouping_id: bit set for each grouping column left out (year, station order).
     by_year, by_station = F.col("gid") == 1, F.col("gid") == 2

@@ -3,8 +3,9 @@
 Every climate result is a roll-up of ``(station, year, month)`` -- year and
 season are functions of that key -- so the job aggregates the observations once
 into this cube (at most stations x months rows, tiny next to the raw lines) and
-derives A1-A10 and T1-T4 from it.  Sums stay DECIMAL in the cube, so a roll-up
-of sums is exact and equals the direct aggregation bit for bit.
+derives A1-A10 and T1-T4 from it.  Sums stay DECIMAL in the cube (readings that
+the decimal type does not hold are summed beside them as DOUBLE), so a roll-up of
+decimal sums is exact and equals the direct aggregation bit for bit.
 """
 
 from __future__ import annotations
@@ -13,54 +14,51 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.events import EVENT_NAMES, event_flag
-from ..functions.values import SUM_TYPE
+from ..functions.values import exact_part, joined_parts, other_part
 from .climate import _event_counts_from, top_k, year_mean_of_stations
 
 KEY = ("station", "year", "month", "season")
-NEG_INF = float("-inf")
 
 
 def station_month_cube(obs: DataFrame) -> DataFrame:
     """Aggregate observations to one row per (station, year, month).
 
-    Columns: ``station, year, month, season, n_obs, sum_temp, sum_prcp (DECIMAL),
-    n_prcp_neg_inf, max_max_temp, max_gust, fog .. tornado`` (event counts).
+    Columns: ``station, year, month, season, n_obs, n_prcp, sum_temp, sum_prcp
+    (DECIMAL), other_temp, other_prcp (DOUBLE), max_max_temp, max_gust, fog ..
+    tornado`` (event counts).
     """
     return obs.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("n_obs"),
-        F.sum(F.col("temp").try_cast(SUM_TYPE)).alias("sum_temp"),
-        F.sum(F.col("prcp").try_cast(SUM_TYPE)).alias("sum_prcp"),
-        F.count_if(F.col("prcp") == F.lit(NEG_INF)).alias("n_prcp_neg_inf"),
+        F.count("prcp").alias("n_prcp"),
+        *[part(F.col(x)).alias(f"{name}_{x}") for name, part in (("sum", exact_part), ("other", other_part))
+          for x in ("temp", "prcp")],
         F.max("max_temp").alias("max_max_temp"),
         F.max("gust").alias("max_gust"),
         *[F.count_if(F.coalesce(event_flag(F.col("frshtt"), i), F.lit(False))).alias(n.lower())
           for i, n in enumerate(EVENT_NAMES)])
 
 
-def _total(sum_col: str, neg_inf_col: str | None = None) -> Column:
-    total = F.sum(sum_col).cast("double")
-    if neg_inf_col is None:
-        return total
-    return F.when(F.sum(neg_inf_col) > 0, F.lit(NEG_INF)).otherwise(total)
+def _total(reading: str) -> Column:
+    return joined_parts(F.sum(f"sum_{reading}"), F.sum(f"other_{reading}"))
 
 
-def _mean(sum_col: str, neg_inf_col: str | None = None) -> Column:
-    return _total(sum_col, neg_inf_col) / F.sum("n_obs")
+def _mean(reading: str, count: str = "n_obs") -> Column:
+    return _total(reading) / F.sum(count)
 
 
 def monthly_avg_temp(cube: DataFrame) -> DataFrame:
     """A1 from the cube (already at the month grain: no further shuffle)."""
-    return cube.groupBy("station", "year", "month").agg(_mean("sum_temp").alias("avg_temp"))
+    return cube.groupBy("station", "year", "month").agg(_mean("temp").alias("avg_temp"))
 
 
 def yearly_avg_temp(cube: DataFrame) -> DataFrame:
     """A2 from the cube."""
-    return cube.groupBy("station", "year").agg(_mean("sum_temp").alias("avg_temp"))
+    return cube.groupBy("station", "year").agg(_mean("temp").alias("avg_temp"))
 
 
 def seasonal_avg_prcp(cube: DataFrame) -> DataFrame:
     """A3 from the cube."""
-    return cube.groupBy("station", "year", "season").agg(_mean("sum_prcp", "n_prcp_neg_inf").alias("avg_prcp"))
+    return cube.groupBy("station", "year", "season").agg(_mean("prcp", "n_prcp").alias("avg_prcp"))
 
 
 def station_max_temp(cube: DataFrame) -> DataFrame:
@@ -80,7 +78,7 @@ def event_totals(cube: DataFrame) -> DataFrame:
 
 def station_total_prcp(cube: DataFrame) -> DataFrame:
     """A8 from the cube."""
-    return cube.groupBy("station").agg(_total("sum_prcp", "n_prcp_neg_inf").alias("total_prcp"))
+    return cube.groupBy("station").agg(_total("prcp").alias("total_prcp"))
 
 
 def station_max_gust(cube: DataFrame) -> DataFrame:
@@ -90,7 +88,7 @@ def station_max_gust(cube: DataFrame) -> DataFrame:
 
 def station_total_temp(cube: DataFrame) -> DataFrame:
     """A10 from the cube."""
-    return cube.groupBy("station").agg(_total("sum_temp").alias("total_temp"))
+    return cube.groupBy("station").agg(_total("temp").alias("total_temp"))
 
 
 def highest_max_temp(cube: DataFrame, k: int = 10) -> DataFrame:

@@ -1,6 +1,6 @@
 """From raw lines to typed observations (P1-P7), column expressions only.
 
-``extract_fields`` -> ``valid_records`` -> ``observations``.  Every step is a
+``parsed_lines`` -> ``valid_records`` -> ``observations``.  Every step is a
 narrow projection/filter that Catalyst fuses into the scan's stage; nothing
 here shuffles.
 
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date, season
 from ..functions.events import EVENT_NAMES, decode_events, event_flag
-from ..functions.text import ALL_RAW, VALUES, csv_value, finish_strip, split_fields, strip_quotes_fast
-from ..functions.values import below_missing, parse_float
+from ..functions.text import ALL_RAW, VALUES, csv_value, has_plain_edges, py_strip, split_fields, strip_quotes
+from ..functions.values import below_missing, is_plain_number, parse_float
 
 # Position of each used field in the 28-field layout.  In the
 # 29-field layout (a station name split at its comma) every index from TEMP on
@@ -39,87 +39,69 @@ def once(expr: Column) -> Column:
     return F.explode(F.array(expr))
 
 
-def tokens(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``_t ARRAY<STRING>`` of raw tokens for lines of an accepted layout."""
-    return _tokens_all(lines, keep).filter(F.size("_t").isin(*LAYOUT_SIZES))
-
-
 def _tokens_all(lines: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     """``_t`` (the line's fields) and ``_k`` (which of them are still raw tokens)."""
     f = lines.select(*keep, once(split_fields(F.col("value"))).alias("_f"))
     return f.select(*keep, F.col("_f.kind").alias("_k"), F.col("_f.v").alias("_t"))
 
 
-def raw_token(name: str, t: Column | None = None) -> Column:
-    """Field of one used column, taken by position from ``_t``.
-
-    NULL unless the line has an accepted layout (28 or 29 fields).  Whether it
-    is still a raw token or already the reader's value depends on ``_k``.
-    """
-    t = F.col("_t") if t is None else t
+def _raw_token(name: str, t: Column) -> Column:
+    """Field of one used column, taken by position (P2); NULL where the line has none."""
     idx = FIELD_INDEX[name]
-    if idx < 2:
-        return F.try_element_at(t, F.lit(idx + 1))  # a one-field line has no DATE
-    return F.when(F.size(t).isin(*LAYOUT_SIZES), F.element_at(t, F.size(t) - F.lit(28 - idx - 1)))
-
+    return F.get(t, F.lit(idx) if idx < 2 else F.size(t) - F.lit(28 - idx))
 
-def field_value(name: str) -> Column:
-    """The reader's value of one used field: unquote only where ``_k`` says raw."""
-    tok = raw_token(name)
-    raw = (F.col("_k") != VALUES) if FIELD_INDEX[name] == 0 else (F.col("_k") == ALL_RAW)
-    return F.when(raw, csv_value(tok)).otherwise(tok)
-
-
-def clean_columns(df: DataFrame, carry: list, tokens: dict[str, Column],
-                  numbers: tuple[str, ...] = ()) -> DataFrame:
-    """Clean several raw tokens at once, one projection per step.
-
-    ``tokens`` are the reader's values (see :func:`field_value`).  Steps: space ``trim``, rare-whitespace strip, quote
-    strip; names in ``numbers`` get the extra ``strip()`` of ``float(x.strip())``.
-    Each step reads the previous step's columns, so every step runs once per
-    field (a step that reads a non-cheap column several times is never merged
-    into the next one by ``CollapseProject``).
-    """
-    names = list(tokens)
-    df = df.select(*[F.col(c) if isinstance(c, str) else c for c in carry],
-                   *[tok.alias(n) for n, tok in tokens.items()])
-    kept = [c for c in df.columns if c not in names]
 
-    def step(frame: DataFrame, fn, which: list[str]) -> DataFrame:
-        return frame.select(*kept, *[(fn(F.col(n)) if n in which else F.col(n)).alias(n) for n in names])
+def _trimmed(name: str) -> Column:
+    """A field without the spaces around it."""
+    token = _raw_token(name, F.col("_t"))
+    if FIELD_INDEX[name] == 0:  # the one field that may still be in its quotes
+        quoted = (F.col("_k") != VALUES) & token.startswith('"')
+        token = F.when(quoted, F.substring(token, 2, F.length(token) - 2)).otherwise(token)
+    return F.trim(token)
 
-    df = step(df, F.trim, names)
-    df = step(df, finish_strip, names)
-    df = step(df, strip_quotes_fast, names)
-    nums = [n for n in names if n in numbers]
-    if nums:
-        df = step(df, F.trim, nums)
-        df = step(df, finish_strip, nums)
-    return df
 
+def _any_record(kind: Column, t: Column) -> Column:
+    """The record of any line, by the exact expressions."""
+    def value(name: str) -> Column:
+        token = _raw_token(name, t)
+        raw = (kind != VALUES) if FIELD_INDEX[name] == 0 else (kind == ALL_RAW)
+        return strip_quotes(py_strip(F.when(raw, csv_value(token)).otherwise(token)))
 
-def extract_fields(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The nine used fields as strings, ``.strip().strip('"')``-cleaned."""
-    t = tokens(lines, keep)
-    return clean_columns(t, list(keep), {n: field_value(n) for n in FIELD_INDEX})
+    return F.struct(
+        F.size(t).isin(*LAYOUT_SIZES).alias("layout_ok"), value("STATION").alias("station"), value("DATE").alias("date"),
+        *[parse_float(value(source)).alias(name) for name, source, _ in MEASURES], value("FRSHTT").alias("frshtt"))
 
 
 def parsed_lines(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Every line with ``layout_ok``, the used fields and the six readings as DOUBLE.
+    """Every line with ``layout_ok``, the used fields and the six readings as DOUBLE.
 
     Nothing is filtered here; :func:`valid_records` and :func:`ingest_profile`
-    decide.  The numbers are computed behind a generator barrier, so the
-    validity filter that follows cannot be pushed into (and duplicate) the
-    cleaning steps.
+    decide.  Almost all lines have plain numbers and no whitespace but spaces around their
+    fields: two trims a field and a cast.  For the others the exact expressions stand in a ``transform`` over a
+    one-element array, which Spark evaluates outside the generated loops; these so stay
+    short enough for the JIT compiler (8,000 bytes).  The record is computed behind a
+    generator barrier, so the validity filter that follows cannot be pushed into (and
+    duplicate) it.
     """
     t = _tokens_all(lines, keep)
     sources = {"station": "STATION", "date": "DATE", "frshtt": "FRSHTT", **{d: s for d, s, _ in MEASURES}}
-    f = clean_columns(t, [*keep, F.size("_t").isin(*LAYOUT_SIZES).alias("layout_ok")],
-                      {d: field_value(s) for d, s in sources.items()}, numbers=MEASURE_COLUMNS)
-    nums = F.struct("layout_ok", "station", "date",
-                    *[parse_float(F.col(dst), stripped=True).alias(dst) for dst in MEASURE_COLUMNS],
-                    "frshtt")
-    return f.select(*keep, once(nums).alias("_p")).select(*keep, "_p.*")
+    texts = list(sources)
+    f = t.select(*keep, "_k", "_t", *[
+        F.trim(F.btrim(_trimmed(s), F.lit('"'))).alias(d) if d in MEASURE_COLUMNS else _trimmed(s).alias(d)
+        for d, s in sources.items()])
+    plain = (F.col("_k") != ALL_RAW) & F.size("_t").isin(*LAYOUT_SIZES)
+    for name in texts:
+        plain = plain & (is_plain_number if name in MEASURE_COLUMNS else has_plain_edges)(F.col(name))
+    f = f.select(*keep, "_k", "_t", F.coalesce(plain, F.lit(False)).alias("_plain"), *texts)
+    odd = F.transform(F.array(F.struct(F.col("_k").alias("k"), F.col("_t").alias("t"))),
+                      lambda x: _any_record(x["k"], x["t"]))
+    f = f.select(*keep, "_plain", *texts, F.when(~F.col("_plain"), F.element_at(odd, 1)).alias("_odd"))
+    record = F.struct(F.lit(True).alias("layout_ok"), strip_quotes(F.col("station")).alias("station"),
+                      strip_quotes(F.col("date")).alias("date"),
+                      *[F.col(d).try_cast("double").alias(d) for d in MEASURE_COLUMNS],
+                      strip_quotes(F.col("frshtt")).alias("frshtt"))
+    p = f.select(*keep, once(F.when(F.col("_plain"), record).otherwise(F.col("_odd"))).alias("_p"))
+    return p.select(*keep, "_p.*")
 
 
 def validity(measures: tuple[str, ...] = MEASURE_COLUMNS) -> Column:
@@ -135,14 +117,19 @@ def validity(measures: tuple[str, ...] = MEASURE_COLUMNS) -> Column:
     return ok
 
 
-def valid_records(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def valid_records(lines: DataFrame, keep: tuple[str, ...] = (), prcp_missing: float | None = None) -> DataFrame:
     """Records whose six readings all parse and are not missing markers.
 
     Schema: ``station, date, temp, max_temp, min_temp, prcp, wdsp, gust DOUBLE,
-    frshtt``.  PRCP 99.99 (GSOD's own missing code) is kept, as in the reference.
+    frshtt``.  PRCP 99.99 (GSOD's own missing code) is kept as a reading, as in the
+    reference, unless ``prcp_missing`` names it: then PRCP of such a record is NULL and
+    counts in no sum or mean, and the record stays.
     """
-    return (parsed_lines(lines, keep).filter(F.col("layout_ok") & validity())
-            .select(*keep, "station", "date", *MEASURE_COLUMNS, "frshtt"))
+    records = (parsed_lines(lines, keep).filter(F.col("layout_ok") & validity())
+               .select(*keep, "station", "date", *MEASURE_COLUMNS, "frshtt"))
+    if prcp_missing is None:
+        return records
+    return records.withColumn("prcp", F.when(F.col("prcp") != F.lit(prcp_missing), F.col("prcp")))
 
 
 def with_date_parts(records: DataFrame) -> DataFrame:
@@ -153,13 +140,13 @@ def with_date_parts(records: DataFrame) -> DataFrame:
             .withColumn("season", season(F.col("month"))))
 
 
-def observations(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def observations(lines: DataFrame, keep: tuple[str, ...] = (), prcp_missing: float | None = None) -> DataFrame:
     """Typed observations (P7): valid records with a valid date, plus event map.
 
     Schema: ``station, date, obs_date, year, month, season, temp, max_temp,
     min_temp, prcp, wdsp, gust (DOUBLE), frshtt, events MAP<STRING,BOOLEAN>``.
     """
-    return observations_from_records(valid_records(lines, keep), keep)
+    return observations_from_records(valid_records(lines, keep, prcp_missing), keep)
 
 
 def observations_from_records(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -74,15 +74,13 @@ def dimension_from_rows(rows: DataFrame) -> DataFrame:
     return rows.groupBy("station").agg(best.alias("_a")).select("station", "_a.*")
 
 
-def extraction_report(lines: DataFrame, total_files: int | None = None) -> DataFrame:
-    """One row ``files, stations, failed_files``.
+def extraction_report(lines: DataFrame) -> DataFrame:
+    """One row ``files, stations, failed_files`` of the files seen in ``lines``.
 
-    ``total_files`` comes from the file listing (it counts zero-byte files, which
-    no scan returns); without it, the files seen in ``lines`` are counted.
+    Jobs on real files count the listing instead (:func:`report_from_rows`): it has
+    zero-byte files, which no scan returns.
     """
     rows = station_rows(lines)
-    if total_files is not None:
-        return report_from_rows(rows, total_files)
     seen = lines.agg(F.count_distinct("file_path").alias("files_seen"))
     ok = _ok_counts(rows)
     # Two one-row aggregates merged by a union and a max: no join needed.
@@ -105,7 +103,11 @@ def report_from_rows(rows: DataFrame, total_files: int) -> DataFrame:
 def station_centre(dim: DataFrame) -> DataFrame:
     """Mean latitude and longitude over the stations (exact decimal sums)."""
     def mean(c: str):
-        return F.sum(F.col(c).cast("decimal(30,10)")).cast("double") / F.count(F.lit(1))
+        x = F.col(c)
+        held = ~F.isnan(x) & (F.abs(x) != float("inf"))
+        other = F.sum(F.when(~held, x))  # nan and inf count, as in a sum of floats
+        exact = F.sum(F.when(held, x).cast("decimal(30,10)")).cast("double")
+        return F.when(other.isNull(), exact).otherwise(other) / F.count(F.lit(1))
     return dim.agg(mean("latitude").alias("centre_latitude"), mean("longitude").alias("centre_longitude"))
 
 

@@ -14,6 +14,8 @@ import logging
 import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,11 @@ def _delete(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+
+
 def _metric(observation: Observation, name: str) -> int | None:
     """An observed count, or None when the metrics were not reported.
 
@@ -45,7 +52,7 @@ def _metric(observation: Observation, name: str) -> int | None:
     """
     try:
         return int(observation.get[name])
-    except Exception:
+    except (KeyError, PySparkException, Py4JJavaError):
         return None
 
 
@@ -65,12 +72,16 @@ def climate_from_observations(spark: SparkSession, obs: DataFrame, output_path:
                               fmt: str = "text") -> dict:
     """The six results from already typed observations (e.g. landed Parquet)."""
     t0 = time.time()
-    cube_path = f"{checkpoint_dir(spark).rstrip('/')}/station_month_cube-{uuid.uuid4().hex}"
-    cube.station_month_cube(obs).write.mode("overwrite").parquet(cube_path)
-    c = spark.read.parquet(cube_path)
-    kept = c.agg(F.sum("n_obs")).first()[0] or 0
-    _write_climate(spark, c, output_path, fmt, kept)
-    _delete(spark, cube_path)
+    cube_path = f"{checkpoint_dir(spark, output_path)}/station_month_cube-{uuid.uuid4().hex}"
+    try:
+        cube.station_month_cube(obs).write.mode("overwrite").parquet(cube_path)
+        c = spark.read.parquet(cube_path)
+        kept = c.agg(F.sum("n_obs")).first()[0] or 0
+        if not kept:
+            return {"error": "no valid records after cleaning"}
+        _write_climate(spark, c, output_path, fmt, kept)
+    finally:
+        _delete(spark, cube_path)
     return {"output": output_path, "kept_rows": kept, "total_seconds": time.time() - t0}
 
 
@@ -113,8 +124,19 @@ def run_climate_job(spark: SparkSession, input_path: str, output_path: str, fmt:
     records = parse.valid_records(lines).observe(ok, F.count(F.lit(1)).alias("valid_rows"))
     obs = parse.observations_from_records(records).observe(dated, F.count(F.lit(1)).alias("kept_rows"))
 
+    cube_path = f"{checkpoint_dir(spark, output_path)}/station_month_cube-{uuid.uuid4().hex}"
+    try:
+        return _climate_by_cube(spark, report, lines, obs, (seen, ok, dated), cube_path, fmt, t_start)
+    finally:
+        _delete(spark, cube_path)
+
+
+def _climate_by_cube(spark: SparkSession, report: dict, lines: DataFrame, obs: DataFrame,
+                     observed: tuple, cube_path: str, fmt: str, t_start: float) -> dict:
+    """The part of J1 that needs its intermediate table."""
+    input_path, output_path = report["input"], report["output"]
+    seen, ok, dated = observed
     t0 = time.time()
-    cube_path = f"{checkpoint_dir(spark).rstrip('/')}/station_month_cube-{uuid.uuid4().hex}"
     cube.station_month_cube(obs).write.mode("overwrite").parquet(cube_path)
     report["steps"]["scan_and_cube"] = time.time() - t0
     n_lines, n_valid, n_kept = _metric(seen, "lines"), _metric(ok, "valid_rows"), _metric(dated, "kept_rows")
@@ -129,7 +151,6 @@ def run_climate_job(spark: SparkSession, input_path: str, output_path: str, fmt:
         report["error"] = "no valid records after cleaning"
     if "error" in report:
         log.error(report["error"])
-        _delete(spark, cube_path)
         return report
 
     c = spark.read.parquet(cube_path)
@@ -137,43 +158,58 @@ def run_climate_job(spark: SparkSession, input_path: str, output_path: str, fmt:
     # add a task's counts twice.  The kept-record count drives the output layout,
     # so it is taken exactly from the durable cube; lines / valid_rows stay
     # best-effort report figures (their zero tests above are unaffected).
-    n_kept = int(c.agg(F.sum("n_obs")).first()[0] or 0)
-    report["kept_rows"] = n_kept
+    totals = c.agg(F.sum("n_obs").alias("kept"), F.count_distinct("station").alias("stations")).first()
+    n_kept = int(totals["kept"] or 0)
+    report.update(kept_rows=n_kept, stations=totals["stations"])
     t0 = time.time()
     _write_climate(spark, c, output_path, fmt, n_kept)
     report["steps"]["write_results"] = time.time() - t0
-    report["stations"] = c.select("station").distinct().count()
-    _delete(spark, cube_path)
     total = time.time() - t_start
     report["total_seconds"] = total
     report["records_per_second"] = n_kept / total if total > 0 else 0.0
     return report
 
 
+# Tasks that write one year of a landing at most.
+LAND_SPREAD = 8
+
+
 def land_observations(spark: SparkSession, input_path: str, output_path: str) -> dict:
     """Parse raw lines once and store the observations as Parquet partitioned by year.
 
     Later runs read typed columns instead of text: vectorised scans, column
     pruning, and partition pruning on ``year``.  ``events`` is not stored (it
-    is a function of ``frshtt``).  Only the years present in the input are
-    replaced, so a new day only rewrites its year.
+    is a function of ``frshtt``).
+
+    Landing only appends: ``data`` gets the rows with the input file and the landing they
+    come from, then ``files`` gets one row for each input file.  A file that is landed again
+    thereby replaces its own earlier rows, and no others, in
+    :func:`read_observations`; a landing that breaks off leaves rows that nothing reads.
     """
     t0 = time.time()
     try:
         lines = read_lines(spark, input_path)
     except NoInputError as exc:
         return {"error": f"could not load data from {input_path}: {exc}"}
-    obs = parse.observations(lines).drop("events")
-    (obs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("year").parquet(output_path))
-    return {"output": output_path, "total_seconds": time.time() - t0}
+    out, landing = output_path.rstrip("/"), f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    obs = parse.observations(lines, keep=("file_path",)).drop("events").withColumn("landing", F.lit(landing))
+    spread = F.pmod(F.xxhash64("station", "date"), F.lit(LAND_SPREAD))
+    (obs.repartition(F.col("year"), spread).write.mode("append").partitionBy("landing", "year")
+     .parquet(f"{out}/data"))
+    lines.select("file_path").distinct().withColumn("landing", F.lit(landing)).write.mode("append").parquet(f"{out}/files")
+    return {"output": output_path, "landing": landing, "total_seconds": time.time() - t0}
 
 
 def read_observations(spark: SparkSession, path: str) -> DataFrame:
-    """Observations landed by :func:`land_observations` (schema of ``parse.observations``)."""
+    """Observations landed by :func:`land_observations` (schema of ``parse.observations``):
+    of every input file the rows of its last complete landing."""
     from ..functions.events import decode_events
-    obs = spark.read.parquet(path)
-    return obs.withColumn("events", decode_events(F.col("frshtt")))
+    root = path.rstrip("/")
+    last = spark.read.parquet(f"{root}/files").groupBy("file_path").agg(F.max("landing").alias("landing"))
+    obs = spark.read.option("basePath", f"{root}/data").parquet(f"{root}/data")
+    obs = obs.withColumn("landing", F.col("landing").cast("string")).join(last, ["file_path", "landing"], "left_semi")
+    columns = ["station", "date", "obs_date", "year", "month", "season", *parse.MEASURE_COLUMNS, "frshtt"]
+    return obs.select(*columns).withColumn("events", decode_events(F.col("frshtt")))
 
 
 def run_station_job(spark: SparkSession, input_path: str, output_path: str) -> dict:
@@ -189,20 +225,21 @@ def run_station_job(spark: SparkSession, input_path: str, output_path: str) -> d
         total_files = count_input_files(spark, input_path)
     except NoInputError as exc:
         return {"error": f"no CSV files found at {input_path}: {exc}"}
-    rows_path = f"{checkpoint_dir(spark).rstrip('/')}/station_rows-{uuid.uuid4().hex}"
-    stations.station_rows(lines).write.mode("overwrite").parquet(rows_path)
-    rows = spark.read.parquet(rows_path)
-    rep = stations.report_from_rows(rows, total_files).first().asDict()
-    if rep["stations"] == 0:
-        rep["error"] = "no valid station data found in input files"
+    rows_path = f"{checkpoint_dir(spark, output_path)}/station_rows-{uuid.uuid4().hex}"
+    try:
+        stations.station_rows(lines).write.mode("overwrite").parquet(rows_path)
+        rows = spark.read.parquet(rows_path)
+        rep = stations.report_from_rows(rows, total_files).first().asDict()
+        if rep["stations"] == 0:
+            rep["error"] = "no valid station data found in input files"
+            return rep
+        out = output_path.rstrip("/")
+        stations.dimension_from_rows(rows).write.mode("overwrite").parquet(f"{out}/stations")
+    finally:
         _delete(spark, rows_path)
-        return rep
-    out = output_path.rstrip("/")
-    stations.dimension_from_rows(rows).write.mode("overwrite").parquet(f"{out}/stations")
     dim = spark.read.parquet(f"{out}/stations")
-    stations.station_markers(dim).coalesce(1).write.mode("overwrite").json(f"{out}/markers")
+    stations.station_markers(dim).write.mode("overwrite").json(f"{out}/markers")
     centre = stations.station_centre(dim).first()
-    _delete(spark, rows_path)
     rep.update(centre_latitude=centre[0], centre_longitude=centre[1], total_seconds=time.time() - t0)
     return rep
 

@@ -18,9 +18,16 @@ def num_output_partitions(spark: SparkSession, records: int) -> int:
     return 1 if records < SINGLE_FILE_ROWS else min(MAX_OUTPUT_FILES, spark.sparkContext.defaultParallelism)
 
 
+# Fixed value: how Python prints a missing value.
+MISSING = "None"
+
+
 def text_line(*cols: Column) -> Column:
-    """K2: ``a,b,c`` with no header and no quoting; doubles printed as Python does."""
-    return F.concat_ws(",", *cols).alias("value")
+    """K2: ``a,b,c`` with no header and no quoting; doubles printed as Python does.
+
+    A NULL is written as ``None``, so that the values after it keep their places.
+    """
+    return F.concat_ws(",", *[F.coalesce(c, F.lit(MISSING)) for c in cols]).alias("value")
 
 
 def as_text(df: DataFrame, float_cols: tuple[str, ...] = ()) -> DataFrame:
@@ -32,13 +39,13 @@ def as_text(df: DataFrame, float_cols: tuple[str, ...] = ()) -> DataFrame:
 def write_result(df: DataFrame, path: str, partitions: int, fmt: str = "parquet") -> None:
     """K1: delete-and-replace ``path`` (any Hadoop file system) with ``df``.
 
-    One file: ``coalesce(1)`` (small results only).  Several files (large
-    results): ``repartition`` -- a shuffle of result rows -- so the roll-up that
-    produces them keeps its full parallelism instead of running in ``n`` tasks.
+    Text has the file count of K3: ``coalesce(1)`` for one file (small results
+    only), else ``repartition`` -- a shuffle of result rows -- so the roll-up that
+    produces them keeps its full parallelism.  Parquet follows the plan's own
+    partitions.
     """
-    shaped = df.coalesce(1) if partitions == 1 else df.repartition(partitions)
-    out = shaped.write.mode("overwrite")
     if fmt == "text":
-        out.text(path)
+        shaped = df.coalesce(1) if partitions == 1 else df.repartition(partitions)
+        shaped.write.mode("overwrite").text(path)
     else:
-        out.parquet(path)
+        df.write.mode("overwrite").parquet(path)

@@ -3,13 +3,12 @@
 A cluster deployment gets its session from ``spark-submit``; nothing here
 hard-codes a master except :func:`local_session`, which exists for tests and the
 benchmark.  :func:`checkpoint_dir` reads ``spark.checkpoint.dir`` from the session
-(the shared folder the cluster names) and only falls back to a scratch folder when
-the setting is absent, as in local tests.
+(the shared folder the cluster names); where it is absent, a job keeps its intermediate
+tables beside its output.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -42,17 +41,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only when unset."""
-    conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if conf_dir:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(conf_dir)
-        return conf_dir
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    # Unset: local runs only (tests).  A cluster names a shared folder instead.
-    local_dir = tempfile.mkdtemp(prefix="stationlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(local_dir)
-    return spark.sparkContext.getCheckpointDir() or local_dir
+def checkpoint_dir(spark: SparkSession, near: str | None = None) -> str:
+    """The folder for intermediate tables, which driver and executors share.
+
+    ``spark.checkpoint.dir`` names it; where that is unset, a folder beside ``near`` (a
+    job's output path) is used, as the cluster can reach that.  Without either only a local
+    session gets a temporary folder of its own (tests).
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and near:
+        folder = f"{near.rstrip('/')}-intermediate"
+    if not folder and spark.sparkContext.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="stationlens-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return folder.rstrip("/")

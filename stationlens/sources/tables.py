@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.values import SUM_TYPE
-from ..operators.joins import join_dimension
 
 # The 28 columns of a GSOD daily CSV file, in file order.
 GSOD_COLUMNS = (
@@ -28,21 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(spark: SparkSession, df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
-
-    A parquet file with one row group is read by one task; the line parsing that
-    follows is CPU-bound, so it would run single-threaded.  The hash is over a
-    near-unique row key (never the station, which may hold a third of the rows),
-    so the spread is even and deterministic on task retry.  Large inputs already
-    have enough splits and are left untouched (no shuffle).
-    """
-    parallelism = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= parallelism:
-        return df
-    return df.repartition(parallelism, *[F.col(k) for k in keys])
-
-
 def _station_id(key: Column) -> Column:
     return F.lpad(key.cast("string"), 11, "0")
 
@@ -50,12 +33,13 @@ def _station_id(key: Column) -> Column:
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed-as-text daily readings from ``lineitem`` (one row per line item).
 
-    Sentinels (9999.9, 999.9), the unfiltered 99.99 PRCP code and malformed
-    FRSHTT codes are injected by fixed rules so the cleaning rules have work to do.
+    Sentinels (9999.9, 999.9), the unfiltered 99.99 PRCP code, malformed FRSHTT codes,
+    readings of three decimals, impossible dates, unreadable numbers and lines of 27 or 30
+    fields are injected by fixed rules so the parsing and cleaning rules have work to do.
     """
-    li = spread(spark, table(spark, sf_dir, "lineitem"),
-                "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    m = lambda e: F.expr(e).cast(SUM_TYPE).cast("string")
+    # Line parsing is CPU work; a table of one row group would be one task.
+    li = table(spark, sf_dir, "lineitem").hint("rebalance")
+    m = lambda e: F.expr(e).cast("decimal(18,3)").cast("string")
     frshtt = F.expr(
         "case when l_linenumber = 7 then '123' else concat("
         "cast(l_orderkey % 2 as string), cast(l_partkey % 2 as string), cast(l_suppkey % 2 as string),"
@@ -65,14 +49,19 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("suppkey"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line_pos"),
         _station_id(F.col("l_suppkey")).alias("STATION"),
-        F.substring(F.col("l_shipdate").cast("string"), 1, 10).alias("DATE"),
-        m("case when l_orderkey % 97 = 0 then 9999.9 else l_quantity + 0.1 * l_linenumber end").alias("TEMP"),
+        F.expr("case when l_orderkey % 53 = 0 then '1995-13-41'"
+               " else substring(cast(l_shipdate as string), 1, 10) end").alias("DATE"),
+        m("case when l_orderkey % 97 = 0 then 9999.9 when l_orderkey % 7 = 0 then l_quantity + 0.125"
+          " else l_quantity + 0.1 * l_linenumber end").alias("TEMP"),
         m("case when l_partkey % 89 = 0 then 9999.9 else l_quantity + 20 end").alias("MAX"),
         m("l_quantity - 20").alias("MIN"),
         m("case when l_orderkey % 11 = 0 then 99.99 else l_discount end").alias("PRCP"),
         m("l_tax * 100").alias("WDSP"),
-        m("case when l_partkey % 13 = 0 then 999.9 else l_quantity end").alias("GUST"),
+        F.when(F.col("l_partkey") % 71 == 0, F.lit("n/a")).otherwise(
+            m("case when l_partkey % 13 = 0 then 999.9 else l_quantity end")).alias("GUST"),
         frshtt.alias("FRSHTT"),
+        F.expr("case when l_orderkey % 61 = 0 and l_linenumber = 1 then 27"
+               " when l_orderkey % 67 = 0 and l_linenumber = 2 then 30 end").alias("odd_fields"),
     )
 
 
@@ -86,7 +75,8 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("s_name"), F.lit(", "), F.coalesce(F.col("n_name"), F.lit(""))).alias("NAME"),
         F.expr("cast((s_suppkey * 7) % 180 - 90 as double)").cast("string").alias("LATITUDE"),
         F.expr("cast((s_suppkey * 13 + s_nationkey) % 360 - 180 as double)").cast("string").alias("LONGITUDE"),
-        F.col("s_acctbal").cast("string").alias("ELEVATION"),
+        F.when(F.col("s_suppkey") % 17 == 0, F.lit("unknown")).otherwise(
+            F.col("s_acctbal").cast("string")).alias("ELEVATION"),
     )
 
 
@@ -104,6 +94,14 @@ def _render(fields: dict[str, Column], padded: Column) -> Column:
     return F.when(padded, F.concat_ws(", ", *parts)).otherwise(F.concat_ws(",", *parts))
 
 
+def _with_odd_fields(line: Column, padded: Column) -> Column:
+    """Cut or lengthen a line (28 fields if compact, 29 if padded) to ``odd_fields`` fields."""
+    n = F.col("odd_fields")
+    short = F.when(padded, F.substring_index(line, ", ", 27)).otherwise(F.substring_index(line, ',"', 27))
+    more = F.when(padded, F.lit(", 0")).otherwise(F.lit(",0,0"))
+    return F.when(n == 27, short).when(n == 30, F.concat(line, more)).otherwise(line)
+
+
 def _filler(name: str) -> Column:
     # Fixed filler values for columns no operator reads.
     if name.endswith("_ATTRIBUTES"):
@@ -121,12 +119,17 @@ def gsod_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     r = readings(spark, sf_dir)
     st = stations(spark, sf_dir)
-    data = join_dimension(r, st.drop("STATION"), "suppkey", "left")
+    data = r.join(st.drop("STATION"), "suppkey", "left")
     padded = (F.col("suppkey") % 2) == 1
     fields = {c: (F.col(c) if c in data.columns else _filler(c)) for c in GSOD_COLUMNS}
     path = F.concat(F.lit("gsod/"), _station_id(F.col("suppkey")), F.lit(".csv"))
-    body = data.select(_render(fields, padded).alias("value"), path.alias("file_path"), "line_pos")
+    body = data.select(_with_odd_fields(_render(fields, padded), padded).alias("value"), path.alias("file_path"), "line_pos")
     header = st.select(
         _render({c: F.lit(c) for c in GSOD_COLUMNS}, padded).alias("value"),
         path.alias("file_path"), F.lit(-1).cast("bigint").alias("line_pos"))
-    return header.unionByName(body)
+    # A file with nothing but its header for every nation.
+    empty = table(spark, sf_dir, "nation").select(
+        _render({c: F.lit(c) for c in GSOD_COLUMNS}, F.lit(False)).alias("value"),
+        F.concat(F.lit("gsod/N"), F.col("n_nationkey").cast("string"), F.lit(".csv")).alias("file_path"),
+        F.lit(-1).cast("bigint").alias("line_pos"))
+    return header.unionByName(body).unionByName(empty)

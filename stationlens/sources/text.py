@@ -7,7 +7,8 @@ was read from).  Lines built from tables carry an explicit ``line_pos`` instead.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,16 +25,21 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     Splits are planned by Spark (``spark.sql.files.maxPartitionBytes``); small files
     are packed together, large ones split, so the scan scales with the cluster.
     """
-    reader = spark.read.format("text")
+    df = _load(spark, path, "text")
+    return df.select("value", F.col("_metadata.file_path").alias("file_path"),
+                     F.col("_metadata.file_block_start").alias("file_block_start"))
+
+
+def _load(spark: SparkSession, path: str | list[str], fmt: str) -> DataFrame:
+    """The files of ``path``; :class:`NoInputError` if they can't be reached for any reason."""
+    reader = spark.read.format(fmt)
     paths = [path] if isinstance(path, str) else list(path)
-    if len(paths) == 1 and _is_directory(spark, paths[0]):
-        reader = reader.option("pathGlobFilter", "*.csv")
     try:
-        df = reader.load(paths)
-    except AnalysisException as exc:  # missing path, unreadable glob
+        if len(paths) == 1 and _is_directory(spark, paths[0]):
+            reader = reader.option("pathGlobFilter", "*.csv")
+        return reader.load(paths)
+    except (PySparkException, Py4JJavaError) as exc:  # missing, unreadable, unknown scheme
         raise NoInputError(str(exc)) from exc
-    return df.select("value", F.col("_metadata.file_path").alias("file_path"),
-                     F.col("_metadata.file_block_start").alias("file_block_start"))
 
 
 def _is_directory(spark: SparkSession, path: str) -> bool:
@@ -43,7 +49,7 @@ def _is_directory(spark: SparkSession, path: str) -> bool:
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     try:
         return bool(fs.getFileStatus(hpath).isDirectory())
-    except Exception:  # glob or missing path: let the reader decide
+    except Py4JJavaError:  # glob or missing path: let the reader decide
         return False
 
 
@@ -82,13 +88,4 @@ def first_row_per_file(lines: DataFrame) -> DataFrame:
 
 def count_input_files(spark: SparkSession, path: str | list[str]) -> int:
     """Number of input files, zero-byte files included (listing only, no scan)."""
-    reader = spark.read.format("text")
-    paths = [path] if isinstance(path, str) else list(path)
-    if len(paths) == 1 and _is_directory(spark, paths[0]):
-        reader = reader.option("pathGlobFilter", "*.csv")
-    try:
-        # The JVM already holds the listing: py4j's len() of the returned Java
-        # array is one call, where DataFrame.inputFiles copies every path.
-        return len(reader.load(paths)._jdf.inputFiles())
-    except AnalysisException as exc:
-        raise NoInputError(str(exc)) from exc
+    return len(_load(spark, path, "text")._jdf.inputFiles())  # a Java array, which is not copied

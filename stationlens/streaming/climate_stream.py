@@ -16,7 +16,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import parse
 from ..operators.cube import station_month_cube
-from ..session import checkpoint_dir
 
 
 def stream_lines(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -27,16 +26,37 @@ def stream_lines(spark: SparkSession, input_dir: str, max_files_per_trigger: int
     return reader.load(input_dir)
 
 
+def _versions(spark: SparkSession, root: str) -> list:
+    """Paths of the complete versions, oldest first."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/version=*/_SUCCESS")
+    found = path.getFileSystem(conf).globStatus(path) or []
+    return sorted((f.getPath().getParent() for f in found), key=lambda p: p.getName())
+
+
+def read_cube(spark: SparkSession, cube_path: str) -> DataFrame:
+    """The cube as the stream has published it last."""
+    return spark.read.parquet(_versions(spark, cube_path.rstrip("/"))[-1].toString())
+
+
 def start_cube_stream(spark: SparkSession, input_dir: str, cube_path: str, *, checkpoint: str | None = None,
                       max_files_per_trigger: int | None = None, trigger_seconds: int | None = None,
                       available_now: bool = False) -> StreamingQuery:
-    """Start the incremental cube; ``cube_path`` always holds the latest full cube."""
+    """Start the incremental cube, published under ``cube_path`` (see :func:`read_cube`).
+
+    Each trigger writes a version folder of its own, so readers never find a half-written
+    cube; the one before stays for those who have begun to read it.  The state is
+    kept beside the cube unless ``checkpoint`` names a folder, so a restart finds it again.
+    """
     obs = parse.observations(stream_lines(spark, input_dir, max_files_per_trigger))
     cube = station_month_cube(obs)
-    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/climate-stream"
+    root = cube_path.rstrip("/")
+    ckpt = checkpoint or f"{root}-checkpoint"
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(cube_path)
+        batch.write.mode("overwrite").parquet(f"{root}/version={batch_id:012d}")
+        for old in _versions(spark, root)[:-2]:
+            old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
 
     writer = cube.writeStream.outputMode("complete").option("checkpointLocation", ckpt).foreachBatch(publish)
     if available_now:

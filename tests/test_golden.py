@@ -207,7 +207,23 @@ def test_landed_parquet_gives_the_same_results(spark, tmp_path):
     _close(_read(f"{out}/seasonal_prcp"), EXPECTED_SEASONAL)
     assert sorted(_read(f"{out}/extreme_events")) == sorted(EXPECTED_EVENTS.splitlines())
     assert _read(f"{out}/summary") == EXPECTED_SUMMARY.splitlines()
-    assert sorted(os.listdir(tmp_path / "landed"))[-1] == "year=2025"
+
+
+def test_landing_adds_days_and_replaces_only_files_landed_again(spark, tmp_path):
+    from gsod_fixture import gsod_line, write_files
+    from stationlens.plans.jobs import land_observations, read_observations
+
+    def day(d: int, temp: str = "1.125") -> str:
+        return gsod_line("01", f"2025-01-{d:02d}", temp, "20.0", "0.0", "0.10", "5.0", "9.0", "000000")
+
+    out = str(tmp_path / "landed")
+    land_observations(spark, write_files(str(tmp_path / "a"), {"a.csv": [day(d) for d in range(1, 11)]}), out)
+    land_observations(spark, write_files(str(tmp_path / "b"), {"b.csv": [day(11)]}), out)
+    assert read_observations(spark, out).count() == 11
+    land_observations(spark, write_files(str(tmp_path / "a"), {"a.csv": [day(d, "2.5") for d in range(1, 4)]}), out)
+    rows = read_observations(spark, out).collect()
+    assert sorted((r.date, r.temp) for r in rows) == [
+        ("2025-01-01", 2.5), ("2025-01-02", 2.5), ("2025-01-03", 2.5), ("2025-01-11", 1.125)]
 
 
 def test_parquet_sink_typed_results(spark, tmp_path):

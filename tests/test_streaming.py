@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from stationlens.operators import cube, parse
 from stationlens.sources.text import read_lines
-from stationlens.streaming.climate_stream import start_cube_stream
+from stationlens.streaming.climate_stream import read_cube, start_cube_stream
 
 from gsod_fixture import HEADER_PADDED, gsod_line, write_files
 
@@ -27,6 +27,6 @@ def test_stream_cube_equals_batch(spark, tmp_path):
     write_files(src, {"b.csv": b})
     q = start_cube_stream(spark, src, out, checkpoint=ckpt, available_now=True)
     q.awaitTermination(120)
-    got = spark.read.parquet(out)
+    got = read_cube(spark, out)
     want = cube.station_month_cube(parse.observations(read_lines(spark, src)))
     assert _rows(got.select(*want.columns)) == _rows(want)
