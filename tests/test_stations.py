@@ -1,4 +1,4 @@
-"""Station dimension from files: the reference's station cases, on real files."""
+"""Station dimension from files."""
 
 from __future__ import annotations
 
@@ -7,18 +7,18 @@ import os
 
 import pytest
 
-from stationlens.operators.stations import extraction_report, station_dimension
+from stationlens.operators.stations import report_from_rows, station_dimension, station_rows
 from stationlens.plans.jobs import run_station_job
 from stationlens.sources.text import NoInputError, count_input_files, first_row_per_file, read_lines
 
 from gsod_fixture import HEADER_PADDED, gsod_line, write_files
 
-ROW1 = gsod_line("01001099999", "2025-01-01", "17.4", "24.4", "9.7", "0.05", "20.9", "39.4", "001000",
-                 name="JAN MAYEN NOR NAVY, NO", lat="70.9333333", lon="-8.6666667", elev="9.0")
-ROW2 = gsod_line("01001499999", "2025-01-01", "42.8", "46.4", "39.2", "0.08", "15.0", "27.6", "010000",
-                 name="SORSTOKKEN, NO", lat="59.7888889", lon="5.3411111", elev="48.8")
-ROW3 = gsod_line("01002099999", "2025-01-01", "20.0", "25.0", "15.0", "0.00", "10.0", "20.0", "000000",
-                 name="TEST STATION, NO", lat="60.1234567", lon="10.2345678", elev="100.0")
+ROW1 = gsod_line("90010000001", "2024-07-09", "55.1", "61.2", "48.3", "0.11", "7.5", "18.4", "010000",
+                 name="LOW MEADOW, QA", lat="12.3456789", lon="-98.7654321", elev="431.5")
+ROW2 = gsod_line("90010000002", "2024-07-09", "58.4", "66.0", "51.9", "0.00", "6.1", "14.2", "000000",
+                 name="HARBOUR POINT, QA", lat="-7.0615243", lon="33.4455667", elev="2.0")
+ROW3 = gsod_line("90010000003", "2024-07-09", "49.9", "57.3", "41.6", "1.27", "11.8", "29.5", "110010",
+                 name="UPPER RIDGE, QB", lat="41.2718281", lon="77.1618033", elev="1820.0")
 
 
 def dim_of(spark, path):
@@ -26,26 +26,26 @@ def dim_of(spark, path):
 
 
 def test_first_row_only(spark, tmp_path):
-    d = write_files(str(tmp_path), {"test_station.csv": [HEADER_PADDED, ROW1, ROW2]})
+    d = write_files(str(tmp_path), {"only.csv": [HEADER_PADDED, ROW1, ROW2]})
     dim = dim_of(spark, d)
-    assert list(dim) == ["01001099999"]
-    s = dim["01001099999"]
-    assert s.name == "JAN MAYEN NOR NAVY, NO"
-    assert s.latitude == pytest.approx(70.9333333, abs=1e-6)
-    assert s.longitude == pytest.approx(-8.6666667, abs=1e-6)
-    assert s.elevation == pytest.approx(9.0)
+    assert list(dim) == ["90010000001"]
+    s = dim["90010000001"]
+    assert s.name == "LOW MEADOW, QA"
+    assert s.latitude == pytest.approx(12.3456789, abs=1e-6)
+    assert s.longitude == pytest.approx(-98.7654321, abs=1e-6)
+    assert s.elevation == pytest.approx(431.5)
 
 
 def test_compact_layout_name(spark, tmp_path):
-    row = ROW1.replace(", ", ",").replace('"JAN MAYEN NOR NAVY,NO"', '"JAN MAYEN NOR NAVY, NO"')
+    row = ROW1.replace(", ", ",").replace('"LOW MEADOW,QA"', '"LOW MEADOW, QA"')
     d = write_files(str(tmp_path), {"a.csv": [HEADER_PADDED.replace(", ", ","), row]})
-    assert dim_of(spark, d)["01001099999"].name == "JAN MAYEN NOR NAVY, NO"
+    assert dim_of(spark, d)["90010000001"].name == "LOW MEADOW, QA"
 
 
 def test_header_only_and_empty_files(spark, tmp_path):
     d = write_files(str(tmp_path), {"empty.csv": [HEADER_PADDED], "zero.csv": []})
     assert dim_of(spark, d) == {}
-    rep = extraction_report(read_lines(spark, d), count_input_files(spark, d)).first()
+    rep = report_from_rows(station_rows(read_lines(spark, d)), count_input_files(spark, d)).first()
     assert (rep.files, rep.stations, rep.failed_files) == (2, 0, 2)
 
 
@@ -55,13 +55,13 @@ def test_missing_file(spark, tmp_path):
 
 
 def test_two_files_and_first_file_wins(spark, tmp_path):
-    dup = ROW1.replace("JAN MAYEN NOR NAVY, NO", "OTHER NAME, XX")
+    dup = ROW1.replace("LOW MEADOW, QA", "ELSEWHERE, QC")
     d = write_files(str(tmp_path), {"a.csv": [HEADER_PADDED, ROW1], "b.csv": [HEADER_PADDED, ROW3],
                                     "c.csv": [HEADER_PADDED, dup], "d.csv": [HEADER_PADDED, '"x","y"']})
     dim = dim_of(spark, d)
-    assert sorted(dim) == ["01001099999", "01002099999"]
-    assert dim["01001099999"].name == "JAN MAYEN NOR NAVY, NO"
-    rep = extraction_report(read_lines(spark, d), count_input_files(spark, d)).first()
+    assert sorted(dim) == ["90010000001", "90010000003"]
+    assert dim["90010000001"].name == "LOW MEADOW, QA"
+    rep = report_from_rows(station_rows(read_lines(spark, d)), count_input_files(spark, d)).first()
     assert (rep.files, rep.stations, rep.failed_files) == (4, 2, 1)
 
 
@@ -84,13 +84,13 @@ def test_station_job_writes_markers(spark, tmp_path):
     d = write_files(str(tmp_path / "in"), {"a.csv": [HEADER_PADDED, ROW1], "b.csv": [HEADER_PADDED, ROW3]})
     rep = run_station_job(spark, d, str(tmp_path / "out"))
     assert rep["stations"] == 2 and rep["failed_files"] == 0
-    assert rep["centre_latitude"] == pytest.approx((70.9333333 + 60.1234567) / 2)
+    assert rep["centre_latitude"] == pytest.approx((12.3456789 + 41.2718281) / 2)
     files = [f for f in os.listdir(tmp_path / "out" / "markers") if f.startswith("part-")]
     markers = [json.loads(line) for f in files for line in open(tmp_path / "out" / "markers" / f)]
     by_id = {m["station"]: m for m in markers}
-    assert by_id["01001099999"]["tooltip"] == "JAN MAYEN NOR NAVY, NO (01001099999)"
-    assert by_id["01001099999"]["latitude_text"] == f"{70.9333333:.4f}°"
-    assert by_id["01002099999"]["elevation_text"] == "100.0 m"
+    assert by_id["90010000001"]["tooltip"] == "LOW MEADOW, QA (90010000001)"
+    assert by_id["90010000001"]["latitude_text"] == f"{12.3456789:.4f}°"
+    assert by_id["90010000003"]["elevation_text"] == "1820.0 m"
 
 
 def test_station_job_no_station(spark, tmp_path):
