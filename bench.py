@@ -28,7 +28,7 @@ from stationlens.operators import climate, parse, stations  # noqa: E402
 from stationlens.plans.jobs import run_climate_job, run_station_job  # noqa: E402
 from stationlens.session import local_session  # noqa: E402
 from stationlens.sources.tables import gsod_lines  # noqa: E402
-from stationlens.sources.text import read_lines  # noqa: E402
+from stationlens.sources.text import first_row_of_each_file, read_lines  # noqa: E402
 
 
 def materialise(spark, sf_dir: str, out: str) -> str:
@@ -82,7 +82,8 @@ def main() -> None:
     queries["extreme_events"] = timed(lambda: noop(climate.extreme_events(obs())))
     queries["highest_max_temp"] = timed(lambda: noop(climate.highest_max_temp(obs())))
     queries["climate_summary"] = timed(lambda: noop(climate.climate_summary(obs())))
-    queries["station_dimension"] = timed(lambda: noop(stations.station_dimension(read_lines(spark, src))))
+    queries["station_dimension"] = timed(lambda: noop(stations.dimension_from_rows(
+        stations.rows_from_first(first_row_of_each_file(spark, src)))))
 
     kept = report.get("kept_rows", 0)
     out = {

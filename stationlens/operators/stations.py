@@ -1,10 +1,9 @@
 """Station dimension from the first data row of each file.
 
 The reference reads files one by one on the driver; here the first row of every
-file is found by a windowed scan (at most two rows per file reach the shuffle),
-parsed with the same column expressions as the climate job, and deduplicated by
-an aggregation, so the work is spread over the cluster however many files there
-are.
+file comes from a distributed listing (or, for lines of a table, from a window), is
+parsed with the same column expressions as the climate job, and deduplicated by an
+aggregation, so the work is spread over the cluster however many files there are.
 """
 
 from __future__ import annotations
@@ -32,7 +31,11 @@ def station_rows(lines: DataFrame) -> DataFrame:
     whose coordinates/elevation are not numbers (the reference counts the file
     as failed).  Files without a data row do not appear.
     """
-    first = first_row_per_file(lines)
+    return rows_from_first(first_row_per_file(lines))
+
+
+def rows_from_first(first: DataFrame) -> DataFrame:
+    """:func:`station_rows` of given first data rows (``file_path, value``)."""
     t = first.select("file_path", once(tokenize(F.col("value"))).alias("_t"))
 
     def tok(i: int):

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..operators import climate, cube, parse, stations
 from ..session import checkpoint_dir
-from ..sources.text import NoInputError, count_input_files, preview, read_lines
+from ..sources.text import NoInputError, count_input_files, first_row_of_each_file, preview, read_lines
 from .report import summary_lines
 from .sinks import as_text, num_output_partitions, write_result
 
@@ -215,19 +215,19 @@ def read_observations(spark: SparkSession, path: str) -> DataFrame:
 def run_station_job(spark: SparkSession, input_path: str, output_path: str) -> dict:
     """Station dimension and map markers (JSON lines) from the first row of each file.
 
-    The raw lines are scanned once: the per-file first rows (one row per file)
+    Only the head of each file is read: the per-file first rows (one row per file)
     are written to the checkpoint folder, and the dimension, the report, the
     markers and the map centre all read that small table.
     """
     t0 = time.time()
     try:
-        lines = read_lines(spark, input_path)
+        first = first_row_of_each_file(spark, input_path)
         total_files = count_input_files(spark, input_path)
     except NoInputError as exc:
         return {"error": f"no CSV files found at {input_path}: {exc}"}
     rows_path = f"{checkpoint_dir(spark, output_path)}/station_rows-{uuid.uuid4().hex}"
     try:
-        stations.station_rows(lines).write.mode("overwrite").parquet(rows_path)
+        stations.rows_from_first(first).write.mode("overwrite").parquet(rows_path)
         rows = spark.read.parquet(rows_path)
         rep = stations.report_from_rows(rows, total_files).first().asDict()
         if rep["stations"] == 0:

@@ -18,7 +18,7 @@ from ..functions.text import ALL_RAW, VALUES, clean_field, csv_value, split_fiel
 from ..operators import climate, cube, parse, stations
 from ..session import checkpoint_dir
 from ..sources.tables import gsod_lines, table
-from ..sources.text import first_row_per_file, read_lines
+from ..sources.text import first_row_of_each_file, read_lines
 from .jobs import path_exists, run_climate_job, run_station_job
 from .report import summary_lines
 
@@ -81,7 +81,7 @@ def lines_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S7 on real files: the first data row of each, by its station, field count and date."""
-    first = first_row_per_file(read_lines(spark, _rendered(spark, sf_dir)))
+    first = first_row_of_each_file(spark, _rendered(spark, sf_dir))
     t = first.select(tokenize(F.col("value")).alias("t"))
     return t.select(clean_field(F.get("t", F.lit(0))).alias("station"), F.size("t").alias("n_fields"),
                     clean_field(F.get("t", F.lit(1))).alias("date"))

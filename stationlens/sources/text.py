@@ -7,6 +7,10 @@ was read from).  Lines built from tables carry an explicit ``line_pos`` instead.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -86,6 +90,68 @@ def first_row_per_file(lines: DataFrame) -> DataFrame:
     return ranked.filter(F.col("_rank") <= 2).filter(F.col("_rank") == 2).drop("_rank")
 
 
+# Bytes that are read of a file at first; more only while its second line has not ended.
+HEAD_BYTES = 16 * 1024
+
+# Schemes of Hadoop paths and the names Arrow has for them.
+ARROW_SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def _arrow_file(path: str):
+    """Arrow's file system and path for a Hadoop path; ValueError if there is none for it."""
+    from pyarrow import fs
+
+    scheme, rest = re.match(r"(?:([a-zA-Z][\w+.-]*):)?(.*)", path, re.DOTALL).groups()
+    if (scheme or "file") not in ARROW_SCHEMES:
+        raise ValueError(f"no Arrow file system for {path}")
+    if (scheme or "file") == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    try:
+        return fs.FileSystem.from_uri(f"{ARROW_SCHEMES[scheme]}:{rest}")
+    except (pa.ArrowException, OSError, ImportError) as exc:
+        raise ValueError(str(exc)) from exc
+
+
+def _second_line(path: str) -> str | None:
+    """The second line of a file, or None; reads no further than it ends."""
+    system, name = _arrow_file(path)
+    data = b""
+    with system.open_input_stream(name) as stream:
+        while True:
+            more = stream.read(max(HEAD_BYTES, len(data)))
+            data += more
+            # A carriage return at the very end may be half of a line break.
+            lines = re.split(rb"\r\n|\n|\r", data[:-1] if more and data.endswith(b"\r") else data)
+            if not more or len(lines) > 2:
+                break
+    if len(lines) < 2 or (len(lines) == 2 and not lines[1]):
+        return None
+    return lines[1].decode("utf-8", "replace")
+
+
+def first_row_of_each_file(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``file_path, value`` of the second line of every file of ``path`` that has one.
+
+    The files are listed as a table, without their contents, and dealt evenly; each task
+    then opens its files and reads their first bytes.  Where Arrow has no file system for
+    the path's scheme, the lines are scanned instead (:func:`first_row_per_file`).
+    """
+    files = _load(spark, path, "binaryFile").select(F.col("path").alias("file_path"))
+    try:
+        _arrow_file((path if isinstance(path, str) else path[0]))
+    except ValueError:
+        return first_row_per_file(read_lines(spark, path))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = batch.column(0).to_pylist()
+            rows = [(p, v) for p in paths if (v := _second_line(p)) is not None]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], pa.string()) for i in range(2)], names=["file_path", "value"])
+
+    return files.repartition(spark.sparkContext.defaultParallelism, "file_path").mapInArrow(read, "file_path string, value string")
+
+
 def count_input_files(spark: SparkSession, path: str | list[str]) -> int:
     """Number of input files, zero-byte files included (listing only, no scan)."""
     return len(_load(spark, path, "text")._jdf.inputFiles())  # a Java array, which is not copied

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from stationlens.sources.text import count_input_files, drop_header, preview, read_lines
+from stationlens.sources.text import (
+    count_input_files, drop_header, first_row_of_each_file, first_row_per_file, preview, read_lines,
+)
 
 from gsod_fixture import HEADER_COMPACT, HEADER_PADDED, gsod_line, write_files
 
@@ -28,3 +30,13 @@ def test_directory_reads_only_csv_files_glob_reads_matches(spark, tmp_path):
     assert count_input_files(spark, d) == 1
     assert read_lines(spark, f"{d}/*.txt").count() == 1
     assert read_lines(spark, f"{d}/a.csv").count() == 2
+
+
+def test_first_row_of_each_file_equals_the_scan(spark, tmp_path, monkeypatch):
+    d = write_files(str(tmp_path), {"a.csv": [HEADER_PADDED, ROW], "b.csv": [HEADER_PADDED], "c.csv": [],
+                                    "d e%20.csv": ["x" * 40_000, "y" * 50_000, ROW], "f.csv": ["é", "ü", ROW]})
+    (tmp_path / "g.csv").write_bytes(b"one\r\ntwo\r\nthree")
+    (tmp_path / "h.csv").write_bytes(b"one\rtwo")
+    got = sorted(r.value for r in first_row_of_each_file(spark, d).collect())
+    assert got == sorted([ROW, "y" * 50_000, "ü", "two", "two"])
+    assert got == sorted(r.value for r in first_row_per_file(read_lines(spark, d)).collect())
