@@ -196,6 +196,12 @@ ORACLE_SQL: dict[str, str] = {
         SELECT (SELECT count(*) FROM lineitem) + (SELECT count(*) FROM supplier) + (SELECT count(*) FROM nation) AS lines,
                (SELECT count(*) FROM valid) AS valid_rows, (SELECT count(*) FROM obs) AS kept_rows,
                (SELECT count(DISTINCT station) FROM obs) AS stations"""),
+    "climate_job_files": _q("""
+        SELECT result, CASE WHEN result IN ('highest_max_temp', 'summary') OR (SELECT count(*) FROM obs) < 100000
+                            THEN 1 ELSE 4 END AS files
+        FROM (VALUES ('monthly_avg_temp'), ('yearly_avg_temp'), ('seasonal_prcp'), ('highest_max_temp'),
+                     ('extreme_events'), ('summary')) t(result)"""),
+    "preview_lines": "SELECT substr(text, 1, 200) AS line FROM documents ORDER BY doc_id LIMIT 3",
     "station_job_markers": _q("""
         SELECT station, latitude, longitude, name || ' (' || station || ')' AS tooltip,
                printf('%.4f', latitude) || '°' AS latitude_text, printf('%.4f', longitude) || '°' AS longitude_text,

@@ -18,8 +18,8 @@ from ..functions.text import ALL_RAW, VALUES, clean_field, csv_value, split_fiel
 from ..operators import climate, cube, parse, stations
 from ..session import checkpoint_dir
 from ..sources.tables import gsod_lines, table
-from ..sources.text import first_row_of_each_file, read_lines
-from .jobs import path_exists, run_climate_job, run_station_job
+from ..sources.text import first_row_of_each_file, preview, read_lines
+from .jobs import OUTPUTS, path_exists, run_climate_job, run_station_job
 from .report import summary_lines
 
 
@@ -110,6 +110,19 @@ def climate_job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text_columns(spark, f"{out}/extreme_events", "station string, event_type string, event_count bigint")
 
 
+def climate_job_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: how many text files the job has written for each result."""
+    out, _ = _climate_output(spark, sf_dir)
+    files = spark.read.format("binaryFile").load([f"{out}/{name}/part-*" for name in OUTPUTS])
+    result = F.element_at(F.split("path", "/"), -2).alias("result")
+    return files.select(result).groupBy("result").agg(F.count(F.lit(1)).alias("files"))
+
+
+def preview_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 on texts in the order of their ids."""
+    return preview(table(spark, sf_dir, "documents").orderBy("doc_id").select(F.col("text").alias("value")))
+
+
 def climate_job_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5: the counts of the job's report (one row)."""
     _, report = _climate_output(spark, sf_dir)
@@ -232,6 +245,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "climate_job_monthly": climate_job_monthly,
     "climate_job_events": climate_job_events,
     "climate_job_report": climate_job_report,
+    "climate_job_files": climate_job_files,
+    "preview_lines": preview_lines,
     "station_job_markers": station_job_markers,
     "jobs_without_input": jobs_without_input,
 }

@@ -174,7 +174,7 @@ def test_split_fields_match_csv_reader_on_all_short_lines(spark):
 
 
 @pytest.mark.parametrize("x", [0.0, -0.0, 1.0, -12.5, 0.001, 0.00012, 1.5e-5, 9999999.0, 12345678.9, -3.25e9,
-                               1e15, 1e16, 1.25e22, float("inf"), float("-inf"), float("nan")])
+                               1e15, 1e16, 2e21, float("inf"), float("-inf"), float("nan")])
 def test_py_str_matches_python(spark, x):
     from stationlens.functions.format import py_str
     assert one(spark, py_str, x, "double") == str(x)
