@@ -17,10 +17,13 @@ entry = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(entry)
 
 
+from stationlens.plans.queries import QUERIES  # noqa: E402
+
+
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("supplier", "nation", "lineitem"):
+    for t in ("supplier", "nation", "lineitem", "customer", "documents"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 
@@ -33,7 +36,7 @@ def canon(cols, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries()) and set(QUERIES) <= set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -42,7 +45,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     res = con.execute(entry.oracle_sql()[name])
