@@ -143,13 +143,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def take(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            x = [inputs(t).tolist() for t in frame["text"]]
+            x = [inputs(t).tobytes() for t in frame["text"]]
             yield pd.DataFrame({"role": frame["role"], "x": x})
 
     # At most FIT_POSITIVE + FIT_UNLABELLED ids are broadcast and as many input rows collected.
     found = texts.join(F.broadcast(rows), "doc_id").select("doc_id", "role", "text").orderBy("doc_id", "role", "text")
-    kept = found.mapInPandas(take, "role int, x array<float>").collect()
-    x = np.array([r.x for r in kept], np.float64).reshape(-1, INPUTS)
+    kept = found.mapInPandas(take, "role int, x binary").collect()
+    x = np.frombuffer(b"".join(r.x for r in kept), np.float32).reshape(-1, INPUTS).astype(np.float64)
     role = np.array([r.role for r in kept])
     mean = x.mean(axis=0) if len(x) else np.zeros(INPUTS)
     model = Model(mean, np.maximum(x.std(axis=0), 1e-3) if len(x) else np.ones(INPUTS))
