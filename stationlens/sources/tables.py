@@ -37,8 +37,10 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings of three decimals, impossible dates, unreadable numbers and lines of 27 or 30
     fields are injected by fixed rules so the parsing and cleaning rules have work to do.
     """
-    # Line parsing is CPU work; a table of one row group would be one task.
-    li = table(spark, sf_dir, "lineitem").hint("rebalance")
+    # Line parsing is CPU work and a table of one row group would be one task: deal the rows evenly,
+    # by their own key (never by station, which may hold a third of them).
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    li = table(spark, sf_dir, "lineitem").repartition(parts, "l_orderkey", "l_linenumber")
     m = lambda e: F.expr(e).cast("decimal(18,3)").cast("string")
     frshtt = F.expr(
         "case when l_linenumber = 7 then '123' else concat("
