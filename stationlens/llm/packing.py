@@ -33,7 +33,8 @@ def tokenised(docs: DataFrame, vocabulary: str) -> DataFrame:
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, part, at = word_ids(vocabulary), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        # A few documents at a time: their ids are held as bytes and again as Arrow columns.
+        for batch in (b.slice(at_row, 256) for b in batches for at_row in range(0, b.num_rows, 256)):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = ids_of.of_text(text.as_py()) + END_ID
