@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .token_ids import END_ID, ID_BYTES, word_ids
+from .token_ids import END_ID, ID_BYTES, REMEMBERED, word_ids
 
 ROW_IDS = 32_768
 STORED = (
@@ -28,11 +28,11 @@ STORED = (
 )
 
 
-def tokenised(docs: DataFrame, vocabulary: str) -> DataFrame:
+def tokenised(docs: DataFrame, vocabulary: str, remembered: int = REMEMBERED) -> DataFrame:
     """Rows of at most ROW_IDS ids with their starts in the document and the partition."""
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, part, at = word_ids(vocabulary), TaskContext.get().partitionId(), 0
+        ids_of, part, at = word_ids(vocabulary, remembered), TaskContext.get().partitionId(), 0
         # A few documents at a time: their ids are held as bytes and again as Arrow columns.
         for batch in (b.slice(at_row, 256) for b in batches for at_row in range(0, b.num_rows, 256)):
             rows = []
@@ -74,11 +74,15 @@ def pack(
     length: int = 2048,
     id_col: str = "doc_id",
     text_col: str = "text",
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """One row a piece: doc_id, start, length, doc_tokens, sequence_id, offset, ids
-    (little-endian unsigned 32-bit) and whether it was cut at its start or end."""
+    (little-endian unsigned 32-bit) and whether it was cut at its start or end.
+
+    ``remembered`` bounds the words that a task keeps: fewer take less memory and more time.
+    """
     stored, _ = common.stored(
-        tokenised(common.id_and_text(docs, id_col, text_col), vocabulary), "packing-ids"
+        tokenised(common.id_and_text(docs, id_col, text_col), vocabulary, remembered), "packing-ids"
     )
     # The offsets are as many rows as the first pass had tasks, some bytes each.
     placed = stored.join(F.broadcast(part_offsets(stored, "length")), "part").withColumn(

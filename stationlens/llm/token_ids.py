@@ -63,11 +63,13 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, raw.split()))
 
 
-_known: dict[str, WordIds] = {}
+#: Words that a generation remembers, about 170 bytes each.
+REMEMBERED = 500_000
+_known: dict[tuple, WordIds] = {}
 
 
-def word_ids(vocabulary: str) -> WordIds:
+def word_ids(vocabulary: str, remembered: int = REMEMBERED) -> WordIds:
     """The words met so far by this Python worker."""
-    if vocabulary not in _known:
-        _known[vocabulary] = WordIds(vocabulary)
-    return _known[vocabulary]
+    if (vocabulary, remembered) not in _known:
+        _known[vocabulary, remembered] = WordIds(vocabulary, remembered)
+    return _known[vocabulary, remembered]
