@@ -32,8 +32,11 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut the documents' tokens into sequences of 2048."""
-    return packing.pack(docs, common.tokenizer_file(VOCABULARY), length=2048)
+    """Cut the documents' tokens into sequences of 2048.
+
+    Workers that have run the stages before hold more memory, so this remembers fewer words.
+    """
+    return packing.pack(docs, common.tokenizer_file(VOCABULARY), length=2048, remembered=120_000)
 
 
 STAGES = [
