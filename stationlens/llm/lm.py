@@ -8,8 +8,7 @@ class words have their smoothed share of the class's counts, so the model gives
 a probability, unseen ones included, as the unigram base does; before training it is that
 base up to smoothing.
 
-Training: of a corpus of up to ``WHOLE`` tokens all training documents are used, of a larger one those
-whose hash falls in 1 of n, n growing with the corpus up to ``SHARE``; from there on the
+Training: all training documents, at every size, each in every one of ``ROUNDS`` rounds, so the
 work grows with the input.  Up to ``TRAINERS`` tasks run truncated backpropagation from common
 weights, the state carried over windows and forgotten at document ends; their weights are
 averaged; ``ROUNDS`` times.
@@ -38,7 +37,7 @@ HEAD, HEAD_CLASS = 1_024, 32
 HEAD_CLASSES, TAIL_CLASSES = HEAD // HEAD_CLASS, 32
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
 HIDDEN, WINDOW, LANES = 16, 32, 32
-WHOLE, SHARE, TRAINERS, ROUNDS = 2_000_000, 24, 12, 3
+TRAINERS, ROUNDS = 12, 3
 #: Tokens for which a trainer is worth its while.
 TRAINER_TOKENS = 250_000
 SMOOTHING = 0.1
@@ -239,28 +238,35 @@ def train_window(w: dict, adam: gru.Adam, h: np.ndarray, inputs: np.ndarray, tar
 
 
 def train_stream(w: dict, streams: Iterator[np.ndarray], end: int, rate: float) -> int:
-    """Train on documents (ids that end with ``end``) as they come; returns the tokens used."""
+    """Train on documents (ids that end with ``end``) as they come, to the last token; returns
+    the tokens used."""
     adam, used = gru.Adam(w, rate), 0
     waiting, size = [], 0
     h = np.zeros((LANES, HIDDEN), np.float32)
 
-    def run(tokens: np.ndarray) -> None:
+    def run(tokens: np.ndarray, n: int) -> np.ndarray:
+        """Train in ``n`` lanes of equal length; returns the tokens left over."""
         nonlocal h
-        lanes = tokens[: len(tokens) // LANES * LANES].reshape(LANES, -1)
-        before = np.concatenate([np.full((LANES, 1), end), lanes[:, :-1]], axis=1)
+        cut = len(tokens) // n * n
+        lanes, h = tokens[:cut].reshape(n, -1), h[:n]
+        before = np.concatenate([np.full((n, 1), end), lanes[:, :-1]], axis=1)
         for a in range(0, lanes.shape[1], WINDOW):
             given = before[:, a : a + WINDOW].T
             h = train_window(w, adam, h, given, lanes[:, a : a + WINDOW].T, (given != end).astype(np.float32))
+        return tokens[cut:]
 
     for ids in streams:
         waiting.append(ids)
         size += len(ids)
         used += len(ids)
         if size >= LANES * WINDOW * 64:
-            run(np.concatenate(waiting))
-            waiting, size = [], 0
+            waiting = [run(np.concatenate(waiting), LANES)]
+            size = len(waiting[0])
     if size >= LANES:
-        run(np.concatenate(waiting))
+        waiting = [run(np.concatenate(waiting), LANES)]
+        size = len(waiting[0])
+    if size:
+        run(np.concatenate(waiting), 1)
     return used
 
 
@@ -279,7 +285,7 @@ def fit(sequences: DataFrame, counts: Counts) -> dict[str, np.ndarray]:
             w = {k: v.copy() for k, v in shared.value.items()}  # noqa: B023
             docs = (np.frombuffer(x.as_py(), np.uint16).astype(np.int64) for b in batches for x in b.column(0))
             used = train_stream(w, docs, end, rate)  # noqa: B023
-            if used >= LANES:
+            if used:
                 flat = np.concatenate([w[k].ravel() for k in shapes]).astype(np.float32)
                 yield wb.batch_of([(used, flat.tobytes())], pa.schema([("used", pa.int64()), ("weights", pa.binary())]))
 
@@ -370,19 +376,19 @@ def _blocks_of(batches: Iterator[pa.RecordBatch], counts: Counts) -> Iterator[tu
 
 
 def _training_sequences(met: DataFrame, counts_shared) -> DataFrame:
-    """(doc_id, ids) of the training documents in the share."""
+    """(doc_id, ids) of all training documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
         counts = counts_shared.value
-        end, share = counts.words[END], int(np.clip(counts.n // WHOLE, 1, SHARE))
+        end = counts.words[END]
         for block, rows in _blocks_of(batches, counts):
             for row in rows:
                 words = block.document_words(row)
                 ends = np.cumsum(np.array(row["sizes"], np.int64))
                 found = []
                 for doc_id, flag, size, stop in zip(row["doc_ids"], row["flags"], row["sizes"], ends.tolist(), strict=True):
-                    if not flag and zlib.crc32(b"train" + str(doc_id).encode()) % share == 0:
+                    if not flag:
                         ids = np.append(block.ready[2][words[stop - size : stop]], end).astype(np.uint16)
                         found.append((doc_id, ids.tobytes()))
                 if found:

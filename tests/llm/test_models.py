@@ -7,8 +7,10 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from stationlens.llm import gru, lm, quality, toxicity
+from stationlens.llm import common, gru, lm, quality, toxicity
+from stationlens.llm import word_blocks as wb
 
 from .conftest import WORDS, prose
 
@@ -163,6 +165,39 @@ def test_language_model(spark, documents):
     assert lm.score(documents(texts).limit(0)).count() == 0
 
 
+def test_language_model_learns_from_every_training_document(spark, documents):
+    """Also of a corpus that counts far more tokens than this one."""
+    texts = [*(prose(i, 20) for i in range(200)), "", None]
+    docs = common.id_and_text(documents(texts)).withColumn("flag", (common.fold(F.col("doc_id"), 10) == 0).cast("int"))
+    blocks = wb.cut_blocks(docs, lm.split, lambda held_out: not held_out)
+    totals, _ = common.stored(lm.total_counts(blocks), "test-counts")
+    want = {i for i in range(len(texts)) if fold(i, 10)}
+    for n in (1, 10**7, 10**9):
+        counts = lm.corpus_counts(totals, len(want))
+        counts.n = n
+        met = wb.to_blocks(blocks, totals.where("block >= 0"))
+        rows = lm._training_sequences(met, spark.sparkContext.broadcast(counts)).collect()
+        assert {r.doc_id for r in rows} == want and len(rows) == len(want)
+        assert all(len(r.ids) == 2 * (len((texts[r.doc_id] or "").split()) + 1) for r in rows)
+
+
+def test_training_takes_every_token(monkeypatch):
+    head = [(b"w%d" % i, 1000 - i) for i in range(lm.HEAD - 1)] + [(lm.END, 5)]
+    counts = lm.Counts(head, np.full(lm.TAIL_CLASSES, 50.0), np.full(lm.TAIL_CLASSES, 9.0))
+    end, seen = counts.words[lm.END], collections.Counter()
+
+    def note(w, adam, h, inputs, targets, keep):
+        seen.update(targets.ravel().tolist())
+        return h
+
+    monkeypatch.setattr(lm, "train_window", note)
+    for sizes in ([5], [40], [30_000, 40_001, 3, 1], [70_000, 70_000, 17]):
+        seen.clear()
+        docs = [np.append(np.arange(n - 1) % 900, end) for n in sizes]
+        assert lm.train_stream(lm.start_weights(counts), iter(docs), end, 0.02) == sum(sizes)
+        assert seen == collections.Counter(np.concatenate(docs).tolist())
+
+
 def test_language_model_is_a_distribution():
     """Class and head-word probabilities sum to one, wherever the state is."""
     rng = np.random.default_rng(0)
