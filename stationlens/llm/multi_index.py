@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common, links, vectors
@@ -200,9 +200,7 @@ def near_duplicates(
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row."""
     every = embeddings.select(F.col(id_col).cast("long").alias("vec_id"))
-    good = vectors.usable(embeddings, id_col, vector_col, label_col).where(
-        F.col("label").isNotNull() & (F.col("vector") != F.expr("cast(repeat(char(0), 8 * dims) as binary)"))
-    )
+    good = vectors.usable(embeddings.where(_not_zero(vector_col)), id_col, vector_col, label_col).where("label is not null")
     good, _ = common.stored(good.withColumn("cls", F.xxhash64("label", "vector")), "vectors")
     classes, _ = common.stored(
         good.groupBy("cls").agg(
@@ -240,10 +238,15 @@ def near_duplicates(
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
+def _not_zero(vector_col: str) -> Column:
+    """Some component differs from 0.0 and -0.0; null if that isn't known."""
+    return F.exists(F.col(vector_col).cast("array<double>"), lambda x: x != 0)
+
+
 def _without(embeddings: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
     """Ids of the rows that link with nothing."""
     v = F.col(vector_col).cast("array<double>")
     odd = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    zero = ~F.exists(v, lambda x: x != 0)
+    zero = ~_not_zero(vector_col)
     unusable = F.col(label_col).isNull() | v.isNull() | (F.size(v) == 0) | F.coalesce(odd, F.lit(True)) | F.coalesce(zero, F.lit(True))
     return embeddings.where(unusable).select(F.col(id_col).cast("long").alias("vec_id"))

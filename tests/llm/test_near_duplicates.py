@@ -148,6 +148,19 @@ def test_multi_index(spark, monkeypatch, block):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
 
 
+def test_multi_index_negative_zeros(spark):
+    """A zero vector with -0.0 components links with nothing, is returned once and spoils no other."""
+    rows = vector_rows()
+    want = {r.vec_id: r for r in multi_index.near_duplicates(vector_table(spark, rows)).collect()}
+    zeros = [(950, [-0.0] * 16, 0), (951, [0.0, -0.0] * 8, 0), (952, [-0.0] + [0.0] * 15, 0)]
+    got = multi_index.near_duplicates(vector_table(spark, rows + zeros)).collect()
+    assert len(got) == len(rows) + len(zeros)
+    by_id = {r.vec_id: r for r in got}
+    assert all((by_id[i].n_links, by_id[i].component_id, by_id[i].kept) == (0, i, True) for i, _, _ in zeros)
+    assert sum(r.n_links for r in want.values()) > len(want)
+    assert {i: r for i, r in by_id.items() if i < 950} == want
+
+
 def test_multi_index_odd_tables(spark):
     rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (None, [0.0, 1.0], 1)]
     table = vector_table(spark, rows)
