@@ -126,6 +126,7 @@ def _training_rows(texts: DataFrame, labels: DataFrame, seen: Column) -> DataFra
     positive = (
         labels.where((F.col("quality") == 1) & seen & F.col("doc_id").isNotNull())
         .select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+        .join(texts.select("doc_id"), "doc_id", "left_semi")  # places only for documents at hand
         .orderBy(by_hash, "doc_id").limit(FIT_POSITIVE).withColumn("role", F.lit(1))
     )
     unlabelled = (

@@ -237,7 +237,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Learn from labelled rows whose fold is not ``held_out``."""
     texts = common.id_and_text(docs, id_col, text_col)
     seen = (common.fold(F.col("doc_id").cast("long"), folds) != held_out) & F.col("doc_id").isNotNull()
-    known = labels.where(seen & F.col("toxic").isin(0, 1)).select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
+    known = (
+        labels.where(seen & F.col("toxic").isin(0, 1)).select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
+        .join(texts.select("doc_id"), "doc_id", "left_semi")  # places only for documents at hand
+    )
     by_hash = F.xxhash64("doc_id", F.lit(11))
     rows = known.where("toxic = 1").orderBy(by_hash, "doc_id").limit(FIT_TOXIC).unionByName(
         known.where("toxic = 0").orderBy(by_hash, "doc_id").limit(FIT_CLEAN)

@@ -134,6 +134,22 @@ def test_toxicity_without_labels(spark, documents):
     assert [r.predicted for r in toxicity.score(documents(["a", None]), labels.limit(0)).collect()] == [0, 0]
 
 
+def test_fits_sample_only_the_documents_at_hand(spark, documents, monkeypatch):
+    """Labels of far more documents than there are take no places in the bounded samples."""
+    texts, labels = labelled(spark, 300)
+    others = spark.range(10_000, 30_000).selectExpr("id as doc_id", "1 as quality", "cast(id % 2 as int) as toxic", "'x' as score")
+    docs, labels = documents(texts), labels.unionByName(others)
+    taken = []
+    for name, value in (("FIT_TOXIC", 20), ("FIT_CLEAN", 40), ("train", lambda *found: taken.append(found))):
+        monkeypatch.setattr(toxicity, name, value)
+    toxicity.fit(docs, labels)
+    ((found, toxic),) = taken
+    assert ((toxic == 1).sum(), (toxic == 0).sum()) == (20, 40) and set(found) <= set(texts)
+    monkeypatch.setattr(quality, "FIT_POSITIVE", 50)
+    rows = quality._training_rows(common.id_and_text(docs), labels, common.fold(F.col("doc_id"), 3) != 1).where("role = 1").collect()
+    assert len(rows) == 50 and all(r.doc_id < 300 for r in rows)
+
+
 def test_language_model(spark, documents):
     rng = random.Random(1)
     texts = []
