@@ -8,13 +8,16 @@ class words have their smoothed share of the class's counts, so the model gives
 a probability, unseen ones included, as the unigram base does; before training it is that
 base up to smoothing.
 
-Training: all training documents, at every size, each in every one of ``ROUNDS`` rounds, so the
-work grows with the input.  Up to ``TRAINERS`` tasks run truncated backpropagation from common
-weights, the state carried over windows and forgotten at document ends; their weights are
-averaged; ``ROUNDS`` times.
+Training: every training document once, in ``TURNS`` turns of a share each.  In a turn the
+share is dealt to trainers, one for ``TRAINER_TOKENS`` tokens of the corpus, so their number grows with it
+and none has more to do; each runs truncated backpropagation from common weights in ``LANES`` lanes,
+the state carried over windows and forgotten at document ends.  Their weights are averaged as a tree:
+groups of ``FAN`` are summed by tasks until one group is left.
 
-Scoring: all documents of a block advance together, the state carried from window to window
-until each document's end.
+Scoring: documents of like length advance together, the state carried from window to window until each
+document's end.
+
+Arrays have lanes last, so that every operation runs over contiguous numbers.
 
 Defined cases: null and empty texts are the end token alone; rows with null or repeated ids are
 scored one by one (a null id hashes as the text ''); texts of any length are scored whole; with no
@@ -36,10 +39,17 @@ from . import word_blocks as wb
 HEAD, HEAD_CLASS = 1_024, 32
 HEAD_CLASSES, TAIL_CLASSES = HEAD // HEAD_CLASS, 32
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
-HIDDEN, WINDOW, LANES = 16, 32, 32
-TRAINERS, ROUNDS = 12, 3
-#: Tokens for which a trainer is worth its while.
-TRAINER_TOKENS = 250_000
+HIDDEN, WINDOW, LANES = 16, 32, 128
+#: Windows that a lane has before it goes on with other documents, at least.
+LANE_WINDOWS = 32
+#: Learning rate of each turn.
+TURNS = (0.03, 0.03, 0.02, 0.01)
+#: Training tokens of the corpus for each trainer.
+TRAINER_TOKENS = 4_000_000
+#: Trainers' weights that one task sums; at most so many rows reach the driver.
+FAN = 32
+#: Documents scored together.
+SCORED = 1024
 SMOOTHING = 0.1
 END = b" end"  # no word has a space
 
@@ -65,39 +75,54 @@ def unpack_longs(data: bytes) -> np.ndarray:
 
 
 ANSWERS = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("n", pa.int32()), ("check", pa.int64()), ("body", pa.binary())])
+ANSWER_COLUMNS = "block long, part int, n int, check long, body binary"
 
 
-def total_counts(blocks: wb.Blocks) -> DataFrame:
-    """Per block and bucket the words and their counts in all training documents; and each
-    bucket's distinct words once, as block -1."""
+def bucket_totals(blocks: wb.Blocks) -> DataFrame:
+    """Each bucket's distinct words with their counts in all training documents, as block -1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
-
-        def finish() -> Iterator[pa.RecordBatch]:
-            total: dict[bytes, int] = {}
-            for row in held:
-                counts = wb.unpack_numbers(wb.split_parts(row["body"])[1]).tolist()
-                for word, n in zip(wb.unpack_words(wb.split_parts(row["body"])[0]), counts, strict=True):
-                    total[word] = total.get(word, 0) + n
-            for row in held:
-                packed = wb.split_parts(row["body"])[0]
-                words = wb.unpack_words(packed)
-                counts = np.fromiter(map(total.__getitem__, words), np.int64, len(words))
-                yield wb.batch_of([(row["block"], row["part"], row["n"], row["check"], wb.join_parts(packed, pack_longs(counts)))], ANSWERS)
+        part, total = None, {}
+
+        def finish() -> pa.RecordBatch:
             words = sorted(total)
             counts = np.fromiter(map(total.__getitem__, words), np.int64, len(words))
-            yield wb.batch_of([(-1, held[0]["part"], len(words), 0, wb.join_parts(wb.pack_words(words), pack_longs(counts)))], ANSWERS)
+            return wb.batch_of([(-1, part, len(words), 0, wb.join_parts(wb.pack_words(words), pack_longs(counts)))], ANSWERS)
+
+        for row in wb.rows_of(batches):
+            if row["part"] != part:
+                if part is not None:
+                    yield finish()
+                part, total = row["part"], {}
+            packed, counts = wb.split_parts(row["body"])
+            for word, n in zip(wb.unpack_words(packed), wb.unpack_numbers(counts).tolist(), strict=True):
+                total[word] = total.get(word, 0) + n
+        if part is not None:
+            yield finish()
+
+    return wb.by_bucket(blocks).mapInArrow(run, ANSWER_COLUMNS)
+
+
+def total_counts(blocks: wb.Blocks, totals: DataFrame) -> DataFrame:
+    """Per block and bucket the words and their counts in all training documents.
+
+    A bucket's totals come first, then its rows one by one, so a task holds one bucket's distinct
+    words, however many blocks there are.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[bytes, int] = {}
         for row in wb.rows_of(batches):
-            if held and held[0]["part"] != row["part"]:
-                yield from finish()
-                held.clear()
-            held.append(row)
-        if held:
-            yield from finish()
+            packed, counts = wb.split_parts(row["body"])
+            words = wb.unpack_words(packed)
+            if row["block"] == -1:
+                total = dict(zip(words, unpack_longs(counts).tolist(), strict=True))
+                continue
+            counts = np.fromiter(map(total.__getitem__, words), np.int64, len(words))
+            yield wb.batch_of([(row["block"], row["part"], row["n"], row["check"], wb.join_parts(packed, pack_longs(counts)))], ANSWERS)
 
-    return wb.by_bucket(blocks).mapInArrow(run, "block long, part int, n int, check long, body binary")
+    rows = blocks.words.select("block", "part", "n", "check", "body").unionByName(totals)
+    return rows.repartition(blocks.buckets, "part").sortWithinPartitions("part", "block").mapInArrow(run, ANSWER_COLUMNS)
 
 
 class Counts:
@@ -134,7 +159,7 @@ def corpus_counts(totals: DataFrame, training_documents: int) -> Counts:
             yield wb.batch_of(rows, schema)
 
     stats, path = common.stored(
-        totals.where("block = -1").select("body").mapInArrow(run, "word binary, cls int, n long, distinct long"), "lm-stats"
+        totals.select("body").mapInArrow(run, "word binary, cls int, n long, distinct long"), "lm-stats"
     )
     top = stats.where("word is not null").orderBy(F.desc("n"), "word").limit(HEAD - 1).collect()
     classes = stats.where("word is null").groupBy("cls").agg(F.sum("n").alias("n"), F.sum("distinct").alias("distinct")).collect()
@@ -172,69 +197,97 @@ def _class_of(ids: np.ndarray) -> np.ndarray:
     return np.where(ids < HEAD, ids // HEAD_CLASS, ids - HEAD + HEAD_CLASSES)
 
 
-def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities and log normalisers, in place."""
-    top = logits.max(axis=1, keepdims=True)
-    np.subtract(logits, top, out=logits)
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    """Probabilities down the columns, in place."""
+    logits -= logits.max(axis=0)
     np.exp(logits, out=logits)
-    norm = logits.sum(axis=1, keepdims=True)
-    logits /= norm
-    return logits, np.log(norm[:, 0]) + top[:, 0]
+    logits /= logits.sum(axis=0)
+    return logits
+
+
+def _log_sum(logits: np.ndarray) -> np.ndarray:
+    """Log normalisers of the columns; the logits are used up."""
+    top = logits.max(axis=0)
+    logits -= top
+    np.exp(logits, out=logits)
+    return np.log(logits.sum(axis=0)) + top
+
+
+def _by_class(cls: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """Tokens of head words by class, and where each class begins and ends among them."""
+    order = np.argsort(cls.astype(np.uint8), kind="stable")
+    edges = np.searchsorted(cls[order], np.arange(HEAD_CLASSES + 1)).tolist()
+    return order[: edges[-1]], edges
 
 
 def log_probs(w: dict, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Natural log P(class) + log P(head word | class) of tokens after states ``h``."""
+    """Natural log P(class) + log P(head word | class) of tokens after states ``h`` (hidden, tokens)."""
     cls = _class_of(ids)
-    logits = h @ w["cls"] + w["cls_bias"]
-    out = logits[np.arange(len(ids)), cls].astype(np.float64)
+    logits = w["cls"].T @ h
+    logits += w["cls_bias"][:, None]
+    out = logits[cls, np.arange(len(ids))].astype(np.float64)
     out -= _log_sum(logits)
-    order = np.argsort(cls, kind="stable")
-    edges = np.searchsorted(cls[order], np.arange(HEAD_CLASSES + 1))
+    order, edges = _by_class(cls)
+    states, words = h[:, order], ids[order] % HEAD_CLASS
+    inside = np.empty(len(order))
     for c in range(HEAD_CLASSES):
-        at = order[edges[c] : edges[c + 1]]
-        if len(at):
-            logits = h[at] @ w["word"][c] + w["word_bias"][c]
-            out[at] += logits[np.arange(len(at)), ids[at] - c * HEAD_CLASS] - _log_sum(logits)
+        a, b = edges[c], edges[c + 1]
+        if b > a:
+            logits = w["word"][c].T @ states[:, a:b]
+            logits += w["word_bias"][c][:, None]
+            found = logits[words[a:b], np.arange(b - a)]
+            inside[a:b] = found - _log_sum(logits)
+    out[order] += inside
     return out
 
 
-def _log_sum(logits: np.ndarray) -> np.ndarray:
-    top = logits.max(axis=1, keepdims=True)
-    logits = np.exp(logits - top)
-    return np.log(logits.sum(axis=1)) + top[:, 0]
-
-
-def train_window(w: dict, adam: gru.Adam, h: np.ndarray, inputs: np.ndarray, targets: np.ndarray, keep: np.ndarray) -> np.ndarray:
-    """One step of truncated backpropagation; returns the state to carry on with."""
-    x = w["in"][inputs] + w["in_bias"]
-    states, kept = gru.forward(x, w["u"], h, keep)
-    flat, ids = states.reshape(-1, HIDDEN), targets.ravel()
+def gradients(w: dict, h: np.ndarray, inputs: np.ndarray, targets: np.ndarray, keep: np.ndarray) -> tuple[dict, np.ndarray]:
+    """Gradients of the mean log loss over a window (time, lanes) from states ``h`` (hidden, lanes)
+    on, and the states after it."""
+    time, lanes = inputs.shape
+    given, ids = inputs.ravel(), targets.ravel()
     n = len(ids)
+    x = (w["in"] + w["in_bias"]).take(given, axis=0).reshape(time, lanes, 3 * HIDDEN)
+    states, kept = gru.forward_lanes(np.ascontiguousarray(x.transpose(0, 2, 1)), w["u"], h, keep)
+    flat = np.ascontiguousarray(states.transpose(1, 0, 2)).reshape(HIDDEN, n)
     cls = _class_of(ids)
-    p, _ = _softmax(flat @ w["cls"] + w["cls_bias"])
-    p[np.arange(n), cls] -= 1
-    p /= n
-    grads = {"cls": flat.T @ p, "cls_bias": p.sum(axis=0), "word": np.zeros_like(w["word"]), "word_bias": np.zeros_like(w["word_bias"])}
-    d = p @ w["cls"].T
-    order = np.argsort(cls, kind="stable")
-    edges = np.searchsorted(cls[order], np.arange(HEAD_CLASSES + 1))
+    p = w["cls"].T @ flat
+    p += w["cls_bias"][:, None]
+    _softmax(p)
+    p[cls, np.arange(n)] -= 1
+    p *= np.float32(1 / n)
+    grads = {"cls": flat @ p.T, "cls_bias": p.sum(axis=1), "word": np.zeros_like(w["word"]), "word_bias": np.zeros_like(w["word_bias"])}
+    d = w["cls"] @ p
+    order, edges = _by_class(cls)
+    own, words = flat[:, order], ids[order] % HEAD_CLASS
+    d_own = np.empty_like(own)
     for c in range(HEAD_CLASSES):
-        at = order[edges[c] : edges[c + 1]]
-        if len(at):
-            q, _ = _softmax(flat[at] @ w["word"][c] + w["word_bias"][c])
-            q[np.arange(len(at)), ids[at] - c * HEAD_CLASS] -= 1
-            q /= n
-            grads["word"][c], grads["word_bias"][c] = flat[at].T @ q, q.sum(axis=0)
-            d[at] += q @ w["word"][c].T
-    d_x, grads["u"] = gru.backward(d.reshape(states.shape), w["u"], kept)
-    d_x = d_x.reshape(-1, 3 * HIDDEN)
+        a, b = edges[c], edges[c + 1]
+        if b > a:
+            q = w["word"][c].T @ own[:, a:b]
+            q += w["word_bias"][c][:, None]
+            _softmax(q)
+            q[words[a:b], np.arange(b - a)] -= 1
+            q *= np.float32(1 / n)
+            grads["word"][c], grads["word_bias"][c] = own[:, a:b] @ q.T, q.sum(axis=1)
+            np.matmul(w["word"][c], q, out=d_own[:, a:b])
+    d[:, order] += d_own
+    d_states = np.ascontiguousarray(d.reshape(HIDDEN, time, lanes).transpose(1, 0, 2))
+    d_x, grads["u"] = gru.backward_lanes(d_states, w["u"], kept)
+    d_x = np.ascontiguousarray(d_x.transpose(0, 2, 1)).reshape(n, 3 * HIDDEN)
     grads["in_bias"] = d_x.sum(axis=0)
-    order = np.argsort(inputs.ravel(), kind="stable")
-    used, first = np.unique(inputs.ravel()[order], return_index=True)
+    order = np.argsort(given.astype(np.uint16), kind="stable")
+    used, first = np.unique(given[order], return_index=True)
     grads["in"] = np.zeros_like(w["in"])
     grads["in"][used] = np.add.reduceat(d_x[order], first, axis=0)
+    return grads, states[-1]
+
+
+def train_window(w: dict, adam: gru.Adam, h: np.ndarray, inputs: np.ndarray, targets: np.ndarray, keep: np.ndarray) -> np.ndarray:
+    """One step of truncated backpropagation; returns the states to carry on with."""
+    grads, h = gradients(w, h, inputs, targets, keep)
     adam.step(grads, clip=1.0)
-    return states[-1]
+    return h
 
 
 def train_stream(w: dict, streams: Iterator[np.ndarray], end: int, rate: float) -> int:
@@ -242,13 +295,13 @@ def train_stream(w: dict, streams: Iterator[np.ndarray], end: int, rate: float)
     the tokens used."""
     adam, used = gru.Adam(w, rate), 0
     waiting, size = [], 0
-    h = np.zeros((LANES, HIDDEN), np.float32)
+    h = np.zeros((HIDDEN, LANES), np.float32)
 
     def run(tokens: np.ndarray, n: int) -> np.ndarray:
         """Train in ``n`` lanes of equal length; returns the tokens left over."""
         nonlocal h
         cut = len(tokens) // n * n
-        lanes, h = tokens[:cut].reshape(n, -1), h[:n]
+        lanes, h = tokens[:cut].reshape(n, -1), h[:, :n]
         before = np.concatenate([np.full((n, 1), end), lanes[:, :-1]], axis=1)
         for a in range(0, lanes.shape[1], WINDOW):
             given = before[:, a : a + WINDOW].T
@@ -259,75 +312,111 @@ def train_stream(w: dict, streams: Iterator[np.ndarray], end: int, rate: float)
         waiting.append(ids)
         size += len(ids)
         used += len(ids)
-        if size >= LANES * WINDOW * 64:
+        if size >= LANES * WINDOW * LANE_WINDOWS:
             waiting = [run(np.concatenate(waiting), LANES)]
             size = len(waiting[0])
-    if size >= LANES:
-        waiting = [run(np.concatenate(waiting), LANES)]
-        size = len(waiting[0])
-    if size:
-        run(np.concatenate(waiting), 1)
+    # What is left goes in fewer lanes, then its last tokens in one.
+    for lanes in (max(1, size // (WINDOW * LANE_WINDOWS)), 1):
+        if size:
+            waiting = [run(np.concatenate(waiting), lanes)]
+            size = len(waiting[0])
     return used
 
 
-def fit(sequences: DataFrame, counts: Counts) -> dict[str, np.ndarray]:
-    """Average the weights of the trainers, round after round; ``sequences``: (doc_id, ids)."""
+TRAINED = pa.schema([("trainer", pa.int32()), ("used", pa.int64()), ("weights", pa.binary())])
+
+
+def averaged(trained: DataFrame, trainers: int) -> np.ndarray | None:
+    """Mean of weights (trainer, used, weights * used as doubles), weighted by tokens used."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trainer, used, total = None, 0, 0.0
+        for row in wb.rows_of(batches):
+            trainer = row["trainer"] if trainer is None else trainer
+            used, total = used + row["used"], total + np.frombuffer(row["weights"], np.float64)
+        if trainer is not None:
+            yield wb.batch_of([(trainer // FAN, used, total.tobytes())], TRAINED)
+
+    paths = []
+    while trainers > FAN:
+        groups = -(-trainers // FAN)
+        dealt = trained.repartitionById(groups, F.expr(f"trainer div {FAN}").cast("int")).sortWithinPartitions("trainer")
+        trained, path = common.stored(dealt.mapInArrow(add, "trainer int, used long, weights binary"), "lm-sums")
+        paths.append(path)
+        trainers = groups
+    rows = trained.orderBy("trainer").collect()  # at most FAN
+    common.remove(trained.sparkSession, *paths)
+    used = sum(r.used for r in rows)
+    return sum(np.frombuffer(r.weights, np.float64) for r in rows) / used if used else None
+
+
+def fit(sequences: DataFrame, counts: Counts, tokens: int) -> dict[str, np.ndarray]:
+    """Weights after all turns over ``sequences`` (doc_id, turn, deal, ids)."""
     spark = sequences.sparkSession
     weights, end = start_weights(counts), counts.words[END]
-    shapes = {k: v.shape for k, v in weights.items()}
-    tokens = sequences.agg(F.sum(F.length("ids") / 2)).first()[0] or 0
-    trainers = int(np.clip(tokens // TRAINER_TOKENS, 1, TRAINERS))
-    for turn in range(ROUNDS):
+    trainers = max(1, tokens // TRAINER_TOKENS)
+    for turn, rate in enumerate(TURNS):
         shared = spark.sparkContext.broadcast(weights)
-        rate = 0.02 / (1 + turn)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             w = {k: v.copy() for k, v in shared.value.items()}  # noqa: B023
-            docs = (np.frombuffer(x.as_py(), np.uint16).astype(np.int64) for b in batches for x in b.column(0))
-            used = train_stream(w, docs, end, rate)  # noqa: B023
+            trainer = None
+
+            def documents() -> Iterator[np.ndarray]:
+                nonlocal trainer
+                for batch in batches:
+                    trainer = batch.column(0)[0].as_py() if batch.num_rows and trainer is None else trainer
+                    for ids in batch.column(1):
+                        yield np.frombuffer(ids.as_py(), np.uint16).astype(np.int64)
+
+            used = train_stream(w, documents(), end, rate)  # noqa: B023
             if used:
-                flat = np.concatenate([w[k].ravel() for k in shapes]).astype(np.float32)
-                yield wb.batch_of([(used, flat.tobytes())], pa.schema([("used", pa.int64()), ("weights", pa.binary())]))
-
-        dealt = sequences.repartition(trainers, "doc_id").sortWithinPartitions(F.xxhash64("doc_id", F.lit(turn)), "ids")
-        # At most TRAINERS rows of a few hundred kilobytes.
-        done = dealt.select("ids").mapInArrow(run, "used long, weights binary").collect()
-        used = sum(r.used for r in done)
-        if used:
-            mean = sum(np.frombuffer(r.weights, np.float32).astype(np.float64) * r.used for r in sorted(done)) / used
+                flat = np.concatenate([w[k].ravel() for k in shared.value]).astype(np.float64) * used  # noqa: B023
+                yield wb.batch_of([(trainer, used, flat.tobytes())], TRAINED)
+
+        dealt = (
+            sequences.where(F.col("turn") == turn).withColumn("trainer", F.pmod("deal", F.lit(trainers)).cast("int"))
+            .repartitionById(trainers, "trainer").sortWithinPartitions("deal", "doc_id", "ids")
+        )
+        trained, path = common.stored(
+            dealt.select("trainer", "ids").mapInArrow(run, "trainer int, used long, weights binary"), "lm-trained"
+        )
+        mean = averaged(trained, trainers)
+        common.remove(spark, path)
+        if mean is not None:
             at = 0
-            for k, shape in shapes.items():
-                weights[k] = mean[at : at + int(np.prod(shape))].reshape(shape).astype(np.float32)
-                at += int(np.prod(shape))
+            for k, v in weights.items():
+                weights[k] = mean[at : at + v.size].reshape(v.shape).astype(np.float32)
+                at += v.size
         shared.unpersist()
     return weights
 
 
 def score_documents(w: dict, ids: np.ndarray, sizes: np.ndarray, end: int) -> np.ndarray:
     """Natural log probabilities (classes and head words) of documents laid one after the other;
-    each has its end token.  All advance together, longest first, window by window."""
+    each has its end token.  Documents of like length advance together, window by window."""
     order = np.argsort(-sizes, kind="stable")
-    starts = (np.cumsum(sizes) - sizes)[order]
-    sizes = sizes[order]
+    starts = np.cumsum(sizes) - sizes
     out = np.zeros(len(sizes))
-    table = w["in"] + w["in_bias"]
-    h = np.zeros((len(sizes), HIDDEN), np.float32)
-    last = np.full(len(sizes), end)
-    longest = int(sizes[0]) if len(sizes) else 0
-    for a in range(0, longest, WINDOW):
-        states, targets, lanes = [], [], []
-        for t in range(a, min(a + WINDOW, longest)):
-            live = int(np.searchsorted(-sizes, -t, side="left"))  # documents with more than t tokens
-            h = gru.step(table.take(last[:live], axis=0), h[:live], w["u"])
-            last = ids[starts[:live] + t]
-            states.append(h)
-            targets.append(last)
-            lanes.append(np.arange(live))
-        found = log_probs(w, np.concatenate(states), np.concatenate(targets))
-        out += np.bincount(np.concatenate(lanes), found, len(out))
-    back = np.empty(len(out))
-    back[order] = out
-    return back
+    table, u = w["in"] + w["in_bias"], np.ascontiguousarray(w["u"].T)
+    for g in range(0, len(sizes), SCORED):
+        group = order[g : g + SCORED]
+        start, size = starts[group], sizes[group]
+        # Documents with more than t tokens.
+        live = np.searchsorted(-size, -np.arange(size[0]), side="left").tolist()
+        h = np.zeros((HIDDEN, len(group)), np.float32)
+        last = np.full(len(group), end)
+        for a in range(0, int(size[0]), WINDOW):
+            states, targets, lanes = [], [], []
+            for t in range(a, min(a + WINDOW, int(size[0]))):
+                n = live[t]
+                h = gru.step_lanes(table.take(last[:n], axis=0).T, h[:, :n], u)
+                last = ids[start[:n] + t]
+                states.append(h)
+                targets.append(last)
+                lanes.append(group[:n])
+            found = log_probs(w, np.concatenate(states, axis=1), np.concatenate(targets))
+            np.add.at(out, np.concatenate(lanes), found)
+    return out
 
 
 class _Block:
@@ -376,13 +465,18 @@ def _blocks_of(batches: Iterator[pa.RecordBatch], counts: Counts) -> Iterator[tu
 
 
 def _training_sequences(met: DataFrame, counts_shared) -> DataFrame:
-    """(doc_id, ids) of all training documents."""
+    """(doc_id, turn, deal, ids) of all training documents.
+
+    ``deal`` is a hash of the id and of the number of the block's rows with that id before, so that
+    rows that share an id don't meet in one trainer.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+        schema = pa.schema([("doc_id", pa.int64()), ("turn", pa.int32()), ("deal", pa.int32()), ("ids", pa.binary())])
         counts = counts_shared.value
         end = counts.words[END]
         for block, rows in _blocks_of(batches, counts):
+            seen: dict[int | None, int] = {}
             for row in rows:
                 words = block.document_words(row)
                 ends = np.cumsum(np.array(row["sizes"], np.int64))
@@ -390,11 +484,13 @@ def _training_sequences(met: DataFrame, counts_shared) -> DataFrame:
                 for doc_id, flag, size, stop in zip(row["doc_ids"], row["flags"], row["sizes"], ends.tolist(), strict=True):
                     if not flag:
                         ids = np.append(block.ready[2][words[stop - size : stop]], end).astype(np.uint16)
-                        found.append((doc_id, ids.tobytes()))
+                        seen[doc_id] = again = seen.get(doc_id, -1) + 1
+                        deal = zlib.crc32(f"{doc_id} {again}".encode())
+                        found.append((doc_id, deal % len(TURNS), deal // len(TURNS), ids.tobytes()))
                 if found:
                     yield wb.batch_of(found, schema)
 
-    return met.mapInArrow(run, "doc_id long, ids binary")
+    return met.mapInArrow(run, "doc_id long, turn int, deal int, ids binary")
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10) -> DataFrame:
@@ -407,13 +503,16 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
         "flag", (common.fold(F.col("doc_id"), folds) == 0).cast("int")
     )
     blocks = wb.cut_blocks(texts, split, lambda held_out: not held_out)
-    totals, _ = common.stored(total_counts(blocks), "lm-counts")
+    totals, totals_path = common.stored(bucket_totals(blocks), "lm-totals")
     training = blocks.documents.select(F.explode("flags").alias("f")).where("f = 0").count()
     counts = corpus_counts(totals, training)
     shared = spark.sparkContext.broadcast(counts)
-    met = wb.to_blocks(blocks, totals.where("block >= 0"))
-    sequences, _ = common.stored(_training_sequences(met, shared), "lm-sequences")
-    weights = spark.sparkContext.broadcast(fit(sequences, counts))
+    answers, _ = common.stored(total_counts(blocks, totals), "lm-counts")
+    common.remove(spark, totals_path)
+    met = wb.to_blocks(blocks, answers)
+    sequences, path = common.stored(_training_sequences(met, shared), "lm-sequences", partition_by="turn")
+    weights = spark.sparkContext.broadcast(fit(sequences, counts, counts.n))
+    common.remove(spark, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([

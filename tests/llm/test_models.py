@@ -47,6 +47,19 @@ def test_gru_step_is_forward():
         assert np.allclose(h, states[t])
 
 
+def test_lanes_last_is_the_same_layer():
+    rng = np.random.default_rng(0)
+    x, u, h = rng.standard_normal((4, 3, 6)), rng.standard_normal((2, 6)), rng.standard_normal((3, 2))
+    keep = (rng.random((4, 3)) < 0.7).astype(float)
+    target = rng.standard_normal((4, 3, 2))
+    states, kept = gru.forward(x, u, h, keep)
+    lanes, lanes_kept = gru.forward_lanes(x.transpose(0, 2, 1), u, h.T, keep)
+    assert np.allclose(states, lanes.transpose(0, 2, 1))
+    for one, other in zip(gru.backward(target, u, kept), gru.backward_lanes(target.transpose(0, 2, 1), u, lanes_kept), strict=True):
+        assert np.allclose(one, other.transpose(0, 2, 1) if other.ndim == 3 else other)
+    assert np.allclose(gru.step(x[0], h, u), gru.step_lanes(x[0].T, h.T, u.T).T)
+
+
 def junk(seed):
     words = prose(seed, 60).split()
     kind = seed % 3
@@ -186,17 +199,94 @@ def test_language_model_learns_from_every_training_document(spark, documents):
     texts = [*(prose(i, 20) for i in range(200)), "", None]
     docs = common.id_and_text(documents(texts)).withColumn("flag", (common.fold(F.col("doc_id"), 10) == 0).cast("int"))
     blocks = wb.cut_blocks(docs, lm.split, lambda held_out: not held_out)
-    totals, _ = common.stored(lm.total_counts(blocks), "test-counts")
+    totals, _ = common.stored(lm.bucket_totals(blocks), "test-totals")
+    answers, _ = common.stored(lm.total_counts(blocks, totals), "test-counts")
     want = {i for i in range(len(texts)) if fold(i, 10)}
     for n in (1, 10**7, 10**9):
         counts = lm.corpus_counts(totals, len(want))
         counts.n = n
-        met = wb.to_blocks(blocks, totals.where("block >= 0"))
+        met = wb.to_blocks(blocks, answers)
         rows = lm._training_sequences(met, spark.sparkContext.broadcast(counts)).collect()
         assert {r.doc_id for r in rows} == want and len(rows) == len(want)
+        assert {r.turn for r in rows} == set(range(len(lm.TURNS)))
         assert all(len(r.ids) == 2 * (len((texts[r.doc_id] or "").split()) + 1) for r in rows)
 
 
+def some_counts():
+    head = [(b"w%d" % i, 1000 - i) for i in range(lm.HEAD - 1)] + [(lm.END, 5)]
+    return lm.Counts(head, np.full(lm.TAIL_CLASSES, 50.0), np.full(lm.TAIL_CLASSES, 9.0))
+
+
+def test_many_trainers_see_every_document_once(spark, documents, monkeypatch):
+    """Also rows that share an id: they are dealt out, and the weights averaged as a tree."""
+    seen = spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(lm, "TRAINER_TOKENS", 100)
+    monkeypatch.setattr(lm, "FAN", 3)
+    monkeypatch.setattr(lm, "TURNS", (0.01, 0.01))
+
+    def train(w, streams, end, rate):
+        used = 0
+        for ids in streams:
+            seen.add(1)
+            used += len(ids)
+            w["cls_bias"] += len(ids)
+        return used
+
+    monkeypatch.setattr(lm, "train_stream", train)
+    rows = [(i, i % 2, i * 7, np.full(5, 3, np.uint16).tobytes()) for i in range(300)]
+    rows += [(None, i % 2, i * 11 + 1, np.full(5, 3, np.uint16).tobytes()) for i in range(200)]
+    sequences = spark.createDataFrame(rows, "doc_id long, turn int, deal int, ids binary")
+    counts, trainers = some_counts(), 25
+    weights = lm.fit(sequences, counts, 100 * trainers)
+    assert seen.value == 500
+    # Each turn adds the mean of the trainers' tokens, weighted by them.
+    want = lm.start_weights(counts)["cls_bias"].astype(float)
+    for turn in (0, 1):
+        tokens = collections.Counter()
+        for _, t, deal, _ in rows:
+            tokens[deal % trainers] += 5 * (t == turn)
+        want += sum(n * n for n in tokens.values()) / sum(tokens.values())
+    assert np.allclose(weights["cls_bias"], want, rtol=1e-5)
+
+
+def test_repeated_ids_are_dealt_out(spark, documents):
+    docs = common.id_and_text(documents(["a b c d"] * 400, [None] * 200 + [1] * 200)).withColumn("flag", F.lit(0))
+    blocks = wb.cut_blocks(docs, lm.split, lambda held_out: not held_out)
+    totals, _ = common.stored(lm.bucket_totals(blocks), "test-totals")
+    met = wb.to_blocks(blocks, lm.total_counts(blocks, totals))
+    counts = lm.corpus_counts(totals, 400)
+    rows = lm._training_sequences(met, spark.sparkContext.broadcast(counts)).collect()
+    places = collections.Counter((r.turn, r.deal % 5) for r in rows)
+    assert len(rows) == 400 and len(places) == 20 and max(places.values()) < 60
+
+
+def test_factored_softmax_gradients():
+    rng = np.random.default_rng(1)
+    w = {k: v.astype(np.float64) for k, v in lm.start_weights(some_counts()).items()}
+    for k in w:
+        w[k] = w[k] + 0.1 * rng.standard_normal(w[k].shape)
+    h = 0.3 * rng.standard_normal((lm.HIDDEN, 3))
+    targets = rng.integers(0, lm.HEAD + lm.TAIL_CLASSES, (5, 3))
+    targets[0], inputs = (1, 2, lm.HEAD + 3), rng.integers(0, 40, (5, 3))
+    keep = (rng.random((5, 3)) < 0.7).astype(float)
+
+    def loss():
+        x = (w["in"] + w["in_bias"])[inputs].transpose(0, 2, 1)
+        states, _ = gru.forward_lanes(np.ascontiguousarray(x), w["u"], h, keep)
+        return -lm.log_probs(w, states.transpose(1, 0, 2).reshape(lm.HIDDEN, -1), targets.ravel()).mean()
+
+    grads, _ = lm.gradients(w, h, inputs, targets, keep)
+    for k, grad in grads.items():
+        flat = np.abs(grad).ravel()
+        for at in np.argsort(-flat)[:6].tolist() + [int(np.flatnonzero(flat)[0])]:
+            at = np.unravel_index(at, grad.shape)
+            w[k][at] += 1e-5
+            up = loss()
+            w[k][at] -= 2e-5
+            assert grad[at] == pytest.approx((up - loss()) / 2e-5, rel=1e-3, abs=1e-8), k
+            w[k][at] += 1e-5
+
+
 def test_training_takes_every_token(monkeypatch):
     head = [(b"w%d" % i, 1000 - i) for i in range(lm.HEAD - 1)] + [(lm.END, 5)]
     counts = lm.Counts(head, np.full(lm.TAIL_CLASSES, 50.0), np.full(lm.TAIL_CLASSES, 9.0))
@@ -223,7 +313,7 @@ def test_language_model_is_a_distribution():
     for k in ("cls", "word"):
         w[k] = rng.standard_normal(w[k].shape).astype(np.float32)
     ids = np.arange(lm.HEAD + lm.TAIL_CLASSES)
-    h = np.repeat(rng.standard_normal((1, lm.HIDDEN)).astype(np.float32), len(ids), axis=0)
+    h = np.repeat(rng.standard_normal((lm.HIDDEN, 1)).astype(np.float32), len(ids), axis=1)
     assert np.exp(lm.log_probs(w, h, ids)).sum() == pytest.approx(1, abs=1e-4)
 
 
@@ -242,7 +332,7 @@ def test_state_is_carried_over_windows():
         h, last, total = np.zeros((1, lm.HIDDEN), np.float32), end, 0.0
         for token in ids[at : at + size]:
             h = gru.step((w["in"] + w["in_bias"])[[last]], h, w["u"])
-            total += float(lm.log_probs(w, h, np.array([token]))[0])
+            total += float(lm.log_probs(w, h.T, np.array([token]))[0])
             last = token
         assert value == pytest.approx(total, rel=1e-4)
         at += size
