@@ -22,21 +22,11 @@ import time
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from stationlens.operators import climate, parse, stations  # noqa: E402
 from stationlens.plans.jobs import run_climate_job, run_station_job  # noqa: E402
 from stationlens.session import local_session  # noqa: E402
-from stationlens.sources.tables import gsod_lines  # noqa: E402
-from stationlens.sources.text import first_row_of_each_file, read_lines  # noqa: E402
-
-
-def materialise(spark, sf_dir: str, out: str) -> str:
-    """Write one CSV file per station (header first); returns the input glob."""
-    lines = gsod_lines(spark, sf_dir).withColumn("station_file", F.regexp_extract("file_path", r"([0-9]+)\.csv$", 1))
-    (lines.repartition("station_file").sortWithinPartitions("station_file", "line_pos")
-     .select("station_file", "value").write.mode("overwrite").partitionBy("station_file").text(out))
-    return f"{out}/station_file=*/part-*"
+from stationlens.sources.tables import render_files  # noqa: E402
+from stationlens.sources.text import InputFiles, first_row_of_each_file, read_lines  # noqa: E402
 
 
 def timed(fn, runs: int = 1) -> float:
@@ -57,7 +47,7 @@ def main() -> None:
     scratch = tempfile.mkdtemp(prefix="stationlens-bench-")
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
                           extra={"spark.checkpoint.dir": f"{scratch}/checkpoints"})
-    src = materialise(spark, sf_dir, f"{scratch}/gsod")
+    src = render_files(spark, sf_dir, f"{scratch}/gsod")
 
     def noop(df):
         df.write.format("noop").mode("overwrite").save()
@@ -83,7 +73,7 @@ def main() -> None:
     queries["highest_max_temp"] = timed(lambda: noop(climate.highest_max_temp(obs())))
     queries["climate_summary"] = timed(lambda: noop(climate.climate_summary(obs())))
     queries["station_dimension"] = timed(lambda: noop(stations.dimension_from_rows(
-        stations.rows_from_first(first_row_of_each_file(spark, src)))))
+        stations.rows_from_first(first_row_of_each_file(InputFiles(spark, src))))))
 
     kept = report.get("kept_rows", 0)
     out = {

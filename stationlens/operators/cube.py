@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.events import EVENT_NAMES, event_flag
 from ..functions.values import exact_part, joined_parts, other_part
 from .climate import _event_counts_from, top_k, year_mean_of_stations
+from .parse import KEPT, REJECTED, UNDATED, lines_with_outcome
 
 KEY = ("station", "year", "month", "season")
 
@@ -27,7 +28,36 @@ def station_month_cube(obs: DataFrame) -> DataFrame:
     (DECIMAL), other_temp, other_prcp (DOUBLE), max_max_temp, max_gust, fog ..
     tornado`` (event counts).
     """
-    return obs.groupBy(*KEY).agg(
+    return obs.groupBy(*KEY).agg(*_measures())
+
+
+def line_cube(lines: DataFrame) -> DataFrame:
+    """The cube of raw lines with an ``outcome`` beside its key: of kept lines the station-month
+    cube, of all others one row for each outcome.
+
+    The counts of lines therefore stand in the same table as the results; they are exact
+    however often a task was run.
+    """
+    return lines_with_outcome(lines).groupBy("outcome", *KEY).agg(*_measures())
+
+
+def of_kept(line_cube: DataFrame) -> DataFrame:
+    """The station-month cube in a :func:`line_cube`."""
+    return line_cube.where(F.col("outcome") == KEPT).drop("outcome")
+
+
+def job_counts(line_cube: DataFrame) -> DataFrame:
+    """K5: ``lines, valid_rows, kept_rows, stations`` of a :func:`line_cube` (one row)."""
+    def total(*outcomes: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("outcome").isin(*outcomes), F.col("n_obs"))), F.lit(0))
+
+    return line_cube.agg(
+        total(KEPT, UNDATED, REJECTED).alias("lines"), total(KEPT, UNDATED).alias("valid_rows"),
+        total(KEPT).alias("kept_rows"), F.count_distinct("station").alias("stations"))
+
+
+def _measures() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("n_obs"),
         F.count("prcp").alias("n_prcp"),
         *[part(F.col(x)).alias(f"{name}_{x}") for name, part in (("sum", exact_part), ("other", other_part))
@@ -35,7 +65,7 @@ def station_month_cube(obs: DataFrame) -> DataFrame:
         F.max("max_temp").alias("max_max_temp"),
         F.max("gust").alias("max_gust"),
         *[F.count_if(F.coalesce(event_flag(F.col("frshtt"), i), F.lit(False))).alias(n.lower())
-          for i, n in enumerate(EVENT_NAMES)])
+          for i, n in enumerate(EVENT_NAMES)]]
 
 
 def _total(reading: str) -> Column:

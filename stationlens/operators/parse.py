@@ -156,6 +156,26 @@ def observations_from_records(records: DataFrame, keep: tuple[str, ...] = ()) ->
                       *MEASURE_COLUMNS, "frshtt", decode_events(F.col("frshtt")).alias("events"))
 
 
+# What becomes of a line.
+KEPT, UNDATED, REJECTED = "kept", "undated", "rejected"
+
+
+def lines_with_outcome(lines: DataFrame) -> DataFrame:
+    """Every line with its ``outcome``; kept ones also with their observation.
+
+    ``rejected`` lines (headers among them) are no valid record (P2, P3), ``undated`` ones are, but
+    have no valid date (P4).  Station and date parts are NULL in both.
+    """
+    p = parsed_lines(lines)
+    ok = F.coalesce(F.col("layout_ok") & validity(), F.lit(False))
+    d = p.select("*", once(F.struct(ok.alias("ok"), F.when(ok, parse_date(F.col("date"))).alias("day"))).alias("_d"))
+    day = F.col("_d.day")
+    outcome = F.when(day.isNotNull(), F.lit(KEPT)).when(F.col("_d.ok"), F.lit(UNDATED)).otherwise(F.lit(REJECTED))
+    return d.select(
+        outcome.alias("outcome"), F.when(day.isNotNull(), F.col("station")).alias("station"), F.year(day).alias("year"),
+        F.month(day).alias("month"), season(F.month(day)).alias("season"), *MEASURE_COLUMNS, "frshtt")
+
+
 def event_columns(obs: DataFrame) -> DataFrame:
     """Observation rows with the six flags as BOOLEAN columns (NULL: no 6-char code)."""
     return obs.select("*", *[event_flag(F.col("frshtt"), i).alias(n.lower()) for i, n in enumerate(EVENT_NAMES)])

@@ -8,13 +8,13 @@ aggregation, so the work is spread over the cluster however many files there are
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.format import py_fixed
 from ..functions.text import clean_field, number_text, tokenize
 from ..functions.values import parse_float
-from ..sources.text import first_row_per_file
+from ..sources.text import files_with_first_row, first_row_per_file
 from .parse import once
 
 # Positions of the station attributes (the same in both layouts;
@@ -58,7 +58,7 @@ def rows_from_first(first: DataFrame) -> DataFrame:
                       lat.alias("latitude"), lon.alias("longitude"), elev.alias("elevation"))
     ok = (F.col("n").isin(28, 29) & F.col("latitude").isNotNull()
           & F.col("longitude").isNotNull() & F.col("elevation").isNotNull())
-    return parsed.select("file_path", ok.alias("ok"), *DIM_COLUMNS)
+    return parsed.select("file_path", F.coalesce(ok, F.lit(False)).alias("ok"), *DIM_COLUMNS)
 
 
 def station_dimension(lines: DataFrame) -> DataFrame:
@@ -78,29 +78,24 @@ def dimension_from_rows(rows: DataFrame) -> DataFrame:
 
 
 def extraction_report(lines: DataFrame) -> DataFrame:
-    """One row ``files, stations, failed_files`` of the files seen in ``lines``.
+    """One row ``files, stations, failed_files`` of the files seen in ``lines``, in one scan.
 
     Jobs on real files count the listing instead (:func:`report_from_rows`): it has
     zero-byte files, which no scan returns.
     """
-    rows = station_rows(lines)
-    seen = lines.agg(F.count_distinct("file_path").alias("files_seen"))
-    ok = _ok_counts(rows)
-    # Two one-row aggregates merged by a union and a max: no join needed.
-    r = seen.unionByName(ok, allowMissingColumns=True).agg(
-        F.max("files_seen").alias("files"), F.max("ok_files").alias("ok_files"), F.max("stations").alias("stations"))
-    return r.select("files", "stations", (F.col("files") - F.col("ok_files")).alias("failed_files"))
+    rows = rows_from_first(files_with_first_row(lines))
+    return rows.agg(F.count(F.lit(1)).alias("files"), *_ok_columns()).select(
+        "files", "stations", (F.col("files") - F.col("ok_files")).alias("failed_files"))
 
 
-def _ok_counts(rows: DataFrame) -> DataFrame:
-    return rows.agg(F.count_if("ok").alias("ok_files"),
-                    F.count_distinct(F.when(F.col("ok"), F.col("station"))).alias("stations"))
+def _ok_columns() -> list[Column]:
+    return [F.count_if("ok").alias("ok_files"), F.count_distinct(F.when(F.col("ok"), F.col("station"))).alias("stations")]
 
 
 def report_from_rows(rows: DataFrame, total_files: int) -> DataFrame:
     """G3 on :func:`station_rows` output and the listed file count."""
     files = F.lit(total_files).cast("bigint")
-    return _ok_counts(rows).select(files.alias("files"), "stations", (files - F.col("ok_files")).alias("failed_files"))
+    return rows.agg(*_ok_columns()).select(files.alias("files"), "stations", (files - F.col("ok_files")).alias("failed_files"))
 
 
 def station_centre(dim: DataFrame) -> DataFrame:

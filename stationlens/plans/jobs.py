@@ -14,14 +14,12 @@ import logging
 import time
 import uuid
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import climate, cube, parse, stations
 from ..session import checkpoint_dir
-from ..sources.text import NoInputError, count_input_files, first_row_of_each_file, preview, read_lines
+from ..sources.text import InputFiles, NoInputError, first_row_of_each_file, preview, read_lines
 from .report import summary_lines
 from .sinks import as_text, num_output_partitions, write_result
 
@@ -30,6 +28,8 @@ log = logging.getLogger("stationlens")
 # The six result directories of the climate job.
 OUTPUTS = ("monthly_avg_temp", "yearly_avg_temp", "seasonal_prcp", "highest_max_temp",
            "extreme_events", "summary")
+# The counts of the job's report, beside them (Parquet).
+JOB_REPORT = "job_report"
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -44,18 +44,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
 
 
-def _metric(observation: Observation, name: str) -> int | None:
-    """An observed count, or None when the metrics were not reported.
-
-    When no row survives cleaning, AQE replaces the plan by an empty relation
-    and the observation points go with it.
-    """
-    try:
-        return int(observation.get[name])
-    except (KeyError, PySparkException, Py4JJavaError):
-        return None
-
-
 def climate_results(c: DataFrame) -> dict[str, DataFrame]:
     """The six results, all rolled up from the station-month cube."""
     return {
@@ -118,51 +106,39 @@ def run_climate_job(spark: SparkSession, input_path: str, output_path: str, fmt:
     # The first three lines, cut to 200 characters (reads one split only).
     report["preview"] = [r.line for r in preview(lines).collect()]
 
-    # One pass: count lines, valid and dated records on the way into the cube.
-    seen, ok, dated = Observation("lines"), Observation("valid"), Observation("dated")
-    lines = lines.observe(seen, F.count(F.lit(1)).alias("lines"))
-    records = parse.valid_records(lines).observe(ok, F.count(F.lit(1)).alias("valid_rows"))
-    obs = parse.observations_from_records(records).observe(dated, F.count(F.lit(1)).alias("kept_rows"))
-
     cube_path = f"{checkpoint_dir(spark, output_path)}/station_month_cube-{uuid.uuid4().hex}"
     try:
-        return _climate_by_cube(spark, report, lines, obs, (seen, ok, dated), cube_path, fmt, t_start)
+        return _climate_by_cube(spark, report, lines, cube_path, fmt, t_start)
     finally:
         _delete(spark, cube_path)
 
 
-def _climate_by_cube(spark: SparkSession, report: dict, lines: DataFrame, obs: DataFrame,
-                     observed: tuple, cube_path: str, fmt: str, t_start: float) -> dict:
-    """The part of J1 that needs its intermediate table."""
+def _climate_by_cube(spark: SparkSession, report: dict, lines: DataFrame, cube_path: str, fmt: str,
+                     t_start: float) -> dict:
+    """The part of J1 that needs its intermediate table.
+
+    One pass over the lines: the table holds the cube and the counts of lines by outcome, so
+    the report's figures are read from it and are exact also where tasks were run again.
+    """
     input_path, output_path = report["input"], report["output"]
-    seen, ok, dated = observed
     t0 = time.time()
-    cube.station_month_cube(obs).write.mode("overwrite").parquet(cube_path)
+    cube.line_cube(lines).write.mode("overwrite").parquet(cube_path)
     report["steps"]["scan_and_cube"] = time.time() - t0
-    n_lines, n_valid, n_kept = _metric(seen, "lines"), _metric(ok, "valid_rows"), _metric(dated, "kept_rows")
-    if None in (n_lines, n_valid, n_kept):
-        # Only for an empty cube: one more pass to tell "no lines" from "no valid record".
-        p = parse.ingest_profile(lines).first()
-        n_lines, n_valid, n_kept = p["lines"], p["valid_rows"], p["kept_rows"]
-    report.update(lines=n_lines, valid_rows=n_valid, kept_rows=n_kept)
-    if n_lines == 0:
+    table = spark.read.parquet(cube_path)
+    counts = cube.job_counts(table)
+    report.update(counts.first().asDict())
+    if report["lines"] == 0:
         report["error"] = f"no data loaded from {input_path}"
-    elif n_valid == 0:
+    elif report["valid_rows"] == 0:
         report["error"] = "no valid records after cleaning"
     if "error" in report:
         log.error(report["error"])
         return report
 
-    c = spark.read.parquet(cube_path)
-    # Observed metrics are accumulators: a stage re-run after a lost executor can
-    # add a task's counts twice.  The kept-record count drives the output layout,
-    # so it is taken exactly from the durable cube; lines / valid_rows stay
-    # best-effort report figures (their zero tests above are unaffected).
-    totals = c.agg(F.sum("n_obs").alias("kept"), F.count_distinct("station").alias("stations")).first()
-    n_kept = int(totals["kept"] or 0)
-    report.update(kept_rows=n_kept, stations=totals["stations"])
     t0 = time.time()
-    _write_climate(spark, c, output_path, fmt, n_kept)
+    n_kept = report["kept_rows"]
+    _write_climate(spark, cube.of_kept(table), output_path, fmt, n_kept)
+    write_result(counts, f"{output_path.rstrip('/')}/{JOB_REPORT}", 1, "parquet")
     report["steps"]["write_results"] = time.time() - t0
     total = time.time() - t_start
     report["total_seconds"] = total
@@ -170,10 +146,6 @@ def _climate_by_cube(spark: SparkSession, report: dict, lines: DataFrame, obs: D
     return report
 
 
-# Tasks that write one year of a landing at most.
-LAND_SPREAD = 8
-
-
 def land_observations(spark: SparkSession, input_path: str, output_path: str) -> dict:
     """Parse raw lines once and store the observations as Parquet partitioned by year.
 
@@ -193,8 +165,9 @@ def land_observations(spark: SparkSession, input_path: str, output_path: str) ->
         return {"error": f"could not load data from {input_path}: {exc}"}
     out, landing = output_path.rstrip("/"), f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     obs = parse.observations(lines, keep=("file_path",)).drop("events").withColumn("landing", F.lit(landing))
-    spread = F.pmod(F.xxhash64("station", "date"), F.lit(LAND_SPREAD))
-    (obs.repartition(F.col("year"), spread).write.mode("append").partitionBy("landing", "year")
+    # Rows of a year together, small years joined and large ones split by AQE
+    # (spark.sql.adaptive.advisoryPartitionSizeInBytes), however many rows a year has.
+    (obs.hint("rebalance", "year").write.mode("append").partitionBy("landing", "year")
      .parquet(f"{out}/data"))
     lines.select("file_path").distinct().withColumn("landing", F.lit(landing)).write.mode("append").parquet(f"{out}/files")
     return {"output": output_path, "landing": landing, "total_seconds": time.time() - t0}
@@ -215,14 +188,14 @@ def read_observations(spark: SparkSession, path: str) -> DataFrame:
 def run_station_job(spark: SparkSession, input_path: str, output_path: str) -> dict:
     """Station dimension and map markers (JSON lines) from the first row of each file.
 
-    Only the head of each file is read: the per-file first rows (one row per file)
-    are written to the checkpoint folder, and the dimension, the report, the
+    Small files are scanned, of large ones only the heads are read: the per-file first rows
+    (one row per file) are written to the checkpoint folder, and the dimension, the report, the
     markers and the map centre all read that small table.
     """
     t0 = time.time()
     try:
-        first = first_row_of_each_file(spark, input_path)
-        total_files = count_input_files(spark, input_path)
+        files = InputFiles(spark, input_path)
+        first, total_files = first_row_of_each_file(files), files.count
     except NoInputError as exc:
         return {"error": f"no CSV files found at {input_path}: {exc}"}
     rows_path = f"{checkpoint_dir(spark, output_path)}/station_rows-{uuid.uuid4().hex}"

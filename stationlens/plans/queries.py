@@ -17,9 +17,9 @@ from ..functions.events import EVENT_NAMES
 from ..functions.text import ALL_RAW, VALUES, clean_field, csv_value, split_fields, tokenize
 from ..operators import climate, cube, parse, stations
 from ..session import checkpoint_dir
-from ..sources.tables import gsod_lines, table
-from ..sources.text import first_row_of_each_file, preview, read_lines
-from .jobs import OUTPUTS, path_exists, run_climate_job, run_station_job
+from ..sources.tables import gsod_lines, render_files, table
+from ..sources.text import InputFiles, first_row_of_each_file, preview, read_lines
+from .jobs import JOB_REPORT, OUTPUTS, path_exists, run_climate_job, run_station_job
 from .report import summary_lines
 
 
@@ -64,24 +64,26 @@ def station_month_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "max_max_temp", "max_gust", *[n.lower() for n in EVENT_NAMES])
 
 
-def _rendered(spark: SparkSession, sf_dir: str) -> str:
-    """The lines as files, one a station with its header first, in the shared folder; their glob."""
-    out = f"{checkpoint_dir(spark)}/gsod-{uuid.uuid4().hex}"
-    lines = gsod_lines(spark, sf_dir).withColumn("name", F.regexp_extract("file_path", r"([0-9N]+)\.csv$", 1))
-    (lines.repartition("name").sortWithinPartitions("name", "line_pos")
-     .select("name", "value").write.partitionBy("name").text(out))
-    return f"{out}/name=*/part-*"
+def _rendered(spark: SparkSession, sf_dir: str, fixed: dict[str, str] | None = None) -> str:
+    """The lines as files in the shared folder; their glob."""
+    return render_files(spark, sf_dir, f"{checkpoint_dir(spark)}/gsod-{uuid.uuid4().hex}", fixed)
+
+
+def _part(c: str, key: str):
+    """A partition value in a path."""
+    return F.regexp_extract(c, f"/{key}=([^/]*)/", 1)
 
 
 def lines_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many files have how many lines."""
-    counts = read_lines(spark, _rendered(spark, sf_dir)).groupBy("file_path").agg(F.count(F.lit(1)).alias("lines"))
+    """How many stations have how many lines, whatever files hold them."""
+    lines = read_lines(spark, _rendered(spark, sf_dir))
+    counts = lines.groupBy(_part("file_path", "name").alias("name")).agg(F.count(F.lit(1)).alias("lines"))
     return counts.groupBy("lines").agg(F.count(F.lit(1)).alias("files"))
 
 
 def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S7 on real files: the first data row of each, by its station, field count and date."""
-    first = first_row_of_each_file(spark, _rendered(spark, sf_dir))
+    """S7 on real files: the first data row of each station's first file, by its station, field count and date."""
+    first = first_row_of_each_file(InputFiles(spark, _rendered(spark, sf_dir).replace("/part=*/", "/part=0/")))
     t = first.select(tokenize(F.col("value")).alias("t"))
     return t.select(clean_field(F.get("t", F.lit(0))).alias("station"), F.size("t").alias("n_fields"),
                     clean_field(F.get("t", F.lit(1))).alias("date"))
@@ -124,10 +126,9 @@ def preview_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def climate_job_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K5: the counts of the job's report (one row)."""
-    _, report = _climate_output(spark, sf_dir)
-    names = ("lines", "valid_rows", "kept_rows", "stations")
-    return spark.range(1).select(*[F.lit(report[n]).cast("bigint").alias(n) for n in names])
+    """K5: the counts of the job's report, as it has written them (one row)."""
+    out, _ = _climate_output(spark, sf_dir)
+    return spark.read.parquet(f"{out}/{JOB_REPORT}")
 
 
 def station_job_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,15 +141,18 @@ def station_job_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def jobs_without_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both jobs on a missing path and on files that only have a header."""
-    files = _rendered(spark, sf_dir).replace("/name=*/", "/name=N*/")
+    """Both jobs on a missing path, on files that only have a header, and on all lines
+    with their readings missing and their coordinates unreadable; with the lines or files they saw."""
+    unusable = _rendered(spark, sf_dir, {"TEMP": "9999.9", "LATITUDE": "unknown"})
+    inputs = {"missing": "no-such-scheme://none/here", "header only": unusable.replace("/name=*/", "/name=N*/"),
+              "none valid": unusable}
     rows = []
-    for kind, path in (("missing", "no-such-scheme://none/here"), ("header only", files)):
-        for job, run in (("climate", run_climate_job), ("stations", run_station_job)):
+    for kind, path in inputs.items():
+        for job, run, seen in (("climate", run_climate_job, "lines"), ("stations", run_station_job, "files")):
             out = f"{checkpoint_dir(spark)}/none-{uuid.uuid4().hex}"
             report = run(spark, path, out)
-            rows.append((kind, job, "error" in report, path_exists(spark, out)))
-    return spark.createDataFrame(rows, "input string, job string, error boolean, written boolean")
+            rows.append((kind, job, "error" in report, path_exists(spark, out), report.get(seen)))
+    return spark.createDataFrame(rows, "input string, job string, error boolean, written boolean, seen long")
 
 
 def tokenise_odd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

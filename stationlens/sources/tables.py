@@ -111,9 +111,10 @@ def _filler(name: str) -> Column:
     return F.lit("9999.9" if name == "SLP" else "999.9")
 
 
-def gsod_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gsod_lines(spark: SparkSession, sf_dir: str, fixed: dict[str, str] | None = None) -> DataFrame:
     """Raw GSOD lines: one "file" per station (odd station keys padded, even
-    compact), a header line first, then one line per reading.
+    compact), a header line first, then one line per reading.  ``fixed`` gives columns one
+    value in all readings.
 
     Columns: ``value, file_path, line_pos``.  The join with the station table is
     an equi-join on the supplier key; Catalyst broadcasts the station side only
@@ -124,6 +125,7 @@ def gsod_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = r.join(st.drop("STATION"), "suppkey", "left")
     padded = (F.col("suppkey") % 2) == 1
     fields = {c: (F.col(c) if c in data.columns else _filler(c)) for c in GSOD_COLUMNS}
+    fields |= {c: F.lit(v) for c, v in (fixed or {}).items()}
     path = F.concat(F.lit("gsod/"), _station_id(F.col("suppkey")), F.lit(".csv"))
     body = data.select(_with_odd_fields(_render(fields, padded), padded).alias("value"), path.alias("file_path"), "line_pos")
     header = st.select(
@@ -135,3 +137,27 @@ def gsod_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("gsod/N"), F.col("n_nationkey").cast("string"), F.lit(".csv")).alias("file_path"),
         F.lit(-1).cast("bigint").alias("line_pos"))
     return header.unionByName(body).unionByName(empty)
+
+
+# Lines in one rendered file, about.
+FILE_LINES = 1_000_000
+
+
+def render_files(spark: SparkSession, sf_dir: str, out: str, fixed: dict[str, str] | None = None) -> str:
+    """Write :func:`gsod_lines` as files ``name=<station>/part=<number>/part-*``; their glob.
+
+    A station with more than ``FILE_LINES`` lines is dealt to several files by the hash of the line's
+    position, so none of its tasks has more; the first has the header and the first
+    reading, as the only file of a smaller station has.
+    """
+    name = F.regexp_extract("file_path", r"([0-9N]+)\.csv$", 1).alias("name")
+    sizes = gsod_lines(spark, sf_dir).groupBy(name).agg(
+        F.min(F.when(F.col("line_pos") >= 0, F.col("line_pos"))).alias("first"),
+        F.ceil(F.count(F.lit(1)) / FILE_LINES).cast("int").alias("parts"))
+    lines = gsod_lines(spark, sf_dir, fixed).select("value", "line_pos", name)
+    part = F.when((F.col("line_pos") < 0) | (F.col("line_pos") == F.col("first")), 0).otherwise(
+        F.pmod(F.xxhash64("line_pos"), F.col("parts")).cast("int"))
+    placed = lines.join(sizes, "name").select("value", "line_pos", "name", part.alias("part"))
+    (placed.repartition("name", "part").sortWithinPartitions("name", "part", "line_pos")
+     .select("name", "part", "value").write.partitionBy("name", "part").text(out))
+    return f"{out}/name=*/part=*/part-*"

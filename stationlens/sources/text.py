@@ -29,9 +29,12 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     Splits are planned by Spark (``spark.sql.files.maxPartitionBytes``); small files
     are packed together, large ones split, so the scan scales with the cluster.
     """
-    df = _load(spark, path, "text")
-    return df.select("value", F.col("_metadata.file_path").alias("file_path"),
-                     F.col("_metadata.file_block_start").alias("file_block_start"))
+    return _with_places(_load(spark, path, "text"))
+
+
+def _with_places(text: DataFrame) -> DataFrame:
+    return text.select("value", F.col("_metadata.file_path").alias("file_path"),
+                       F.col("_metadata.file_block_start").alias("file_block_start"))
 
 
 def _load(spark: SparkSession, path: str | list[str], fmt: str) -> DataFrame:
@@ -72,8 +75,8 @@ def drop_header(lines: DataFrame) -> DataFrame:
     return lines.filter(~F.coalesce(is_header(F.col("value")), F.lit(False)))
 
 
-def first_row_per_file(lines: DataFrame) -> DataFrame:
-    """The first data row of each file: skip row 1 by position, keep row 2.
+def _first_two(lines: DataFrame) -> DataFrame:
+    """``file_path, value, _rank`` of lines 1 and 2 of each file, by position.
 
     With file input only the first split of a file can hold rows 1 and 2, and
     ``monotonically_increasing_id`` follows the read order inside a split.  The
@@ -87,7 +90,20 @@ def first_row_per_file(lines: DataFrame) -> DataFrame:
                    .withColumn("line_pos", F.monotonically_increasing_id()))
     w = Window.partitionBy("file_path").orderBy("line_pos")
     ranked = ordered.select("file_path", "value", F.row_number().over(w).alias("_rank"))
-    return ranked.filter(F.col("_rank") <= 2).filter(F.col("_rank") == 2).drop("_rank")
+    return ranked.filter(F.col("_rank") <= 2)
+
+
+def first_row_per_file(lines: DataFrame) -> DataFrame:
+    """The first data row of each file: skip row 1 by position, keep row 2."""
+    return _first_two(lines).filter(F.col("_rank") == 2).drop("_rank")
+
+
+def files_with_first_row(lines: DataFrame) -> DataFrame:
+    """``file_path, value`` of every file that has a line; ``value`` is NULL without a second one.
+
+    Files are already together after the window, so this groups them without a further shuffle.
+    """
+    return _first_two(lines).groupBy("file_path").agg(F.max(F.when(F.col("_rank") == 2, F.col("value"))).alias("value"))
 
 
 # Bytes that are read of a file at first; more only while its second line has not ended.
@@ -129,29 +145,70 @@ def _second_line(path: str) -> str | None:
     return lines[1].decode("utf-8", "replace")
 
 
-def first_row_of_each_file(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``file_path, value`` of the second line of every file of ``path`` that has one.
+class InputFiles:
+    """The files of a path, listed once; zero-byte files included."""
+
+    def __init__(self, spark: SparkSession, path: str | list[str]):
+        self.spark, self.path = spark, path
+        self.text = _load(spark, path, "text")
+        self.names = self.text._jdf.inputFiles()  # a Java array, which is not copied
+        self.count = len(self.names)
 
-    The files are listed as a table, without their contents, and dealt evenly; each task
-    then opens its files and reads their first bytes.  Where Arrow has no file system for
-    the path's scheme, the lines are scanned instead (:func:`first_row_per_file`).
+    def bytes_each(self) -> float:
+        """Mean size, from the statistics of the listing."""
+        size = self.text._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return float(str(size)) / max(self.count, 1)
+
+    def lines(self) -> DataFrame:
+        return _with_places(self.text)
+
+
+# Files of up to this mean size are scanned whole: a task reads many of them in one go.
+SCANNED_BYTES = 1 << 20
+
+
+def first_row_of_each_file(files: InputFiles) -> DataFrame:
+    """``file_path, value`` of the second line of every file that has one.
+
+    Small files are scanned by Spark (:func:`first_row_per_file`).  Of larger ones, dealt evenly
+    from the listing, tasks read the first bytes through Arrow.  Where Arrow can't open the first
+    of them in a task (no file system for the scheme, credentials that only Hadoop has),
+    they are scanned too.
     """
-    files = _load(spark, path, "binaryFile").select(F.col("path").alias("file_path"))
-    try:
-        _arrow_file((path if isinstance(path, str) else path[0]))
-    except ValueError:
-        return first_row_per_file(read_lines(spark, path))
+    if files.bytes_each() <= SCANNED_BYTES or not _heads_readable(files):
+        return first_row_per_file(files.lines())
+    listed = _load(files.spark, files.path, "binaryFile").select(F.col("path").alias("file_path"))
+    dealt = listed.repartition(files.spark.sparkContext.defaultParallelism, "file_path")
+    return dealt.mapInArrow(_heads, "file_path string, value string")
+
+
+def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        paths = batch.column(0).to_pylist()
+        rows = [(p, v) for p in paths if (v := _second_line(p)) is not None]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in rows], pa.string()) for i in range(2)], names=["file_path", "value"])
+
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _heads_readable(files: InputFiles) -> bool:
+    """Whether a task can open one of the files through Arrow."""
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            paths = batch.column(0).to_pylist()
-            rows = [(p, v) for p in paths if (v := _second_line(p)) is not None]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], pa.string()) for i in range(2)], names=["file_path", "value"])
+            opened = []
+            for path in batch.column(0).to_pylist():
+                try:
+                    _second_line(path)
+                    opened.append(True)
+                except (ValueError, OSError, pa.ArrowException):
+                    opened.append(False)
+            yield pa.RecordBatch.from_arrays([pa.array(opened, pa.bool_())], names=["opened"])
 
-    return files.repartition(spark.sparkContext.defaultParallelism, "file_path").mapInArrow(read, "file_path string, value string")
+    if not files.count:
+        return True
+    one = files.spark.createDataFrame([(files.names[0],)], "file_path string")
+    return one.mapInArrow(probe, "opened boolean").first().opened
 
 
 def count_input_files(spark: SparkSession, path: str | list[str]) -> int:
     """Number of input files, zero-byte files included (listing only, no scan)."""
-    return len(_load(spark, path, "text")._jdf.inputFiles())  # a Java array, which is not copied
+    return InputFiles(spark, path).count

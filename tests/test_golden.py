@@ -193,6 +193,54 @@ def test_odd_lines_are_dropped_not_fatal(spark, tmp_path):
     rep = run_climate_job(spark, src, str(tmp_path / "out"))
     assert (rep["lines"], rep["valid_rows"], rep["kept_rows"]) == (7, 2, 1)
     assert _read(str(tmp_path / "out" / "seasonal_prcp")) == ["01,2025,Winter,0.1"]
+    written = spark.read.parquet(str(tmp_path / "out" / "job_report")).first()
+    assert (written.lines, written.valid_rows, written.kept_rows, written.stations) == (7, 2, 1, 1)
+
+
+def test_report_is_exact_when_a_task_is_run_again(spark, tmp_path, monkeypatch):
+    """Each task of the scan fails once after its rows were read: counts are of the table, not of runs."""
+    from pyspark import TaskContext
+
+    good = [gsod_line("01", f"2025-01-{d:02d}", "10.0", "20.0", "0.0", "0.10", "5.0", "9.0", "100000") for d in range(1, 29)]
+    src = write_files(str(tmp_path / "in"), {"a.csv": [HEADER_PADDED, *good, "odd"]})
+    tries = spark.sparkContext.accumulator(0)
+
+    def again(batches):
+        yield from batches
+        if not os.path.exists(f"{tmp_path}/failed"):
+            open(f"{tmp_path}/failed", "w").close()
+            tries.add(1)
+            raise OSError(f"lost, attempt {TaskContext.get().attemptNumber()}")
+
+    from stationlens.operators import cube
+    from stationlens.sources.text import read_lines
+    lines = read_lines(spark, src).select("value")
+    if spark.sparkContext.master.startswith("local["):  # local mode doesn't run a failed task again: run the job again
+        flaky = cube.line_cube(lines.mapInArrow(again, "value string"))
+        try:
+            flaky.write.mode("overwrite").parquet(str(tmp_path / "cube"))
+        except Exception:
+            flaky.write.mode("overwrite").parquet(str(tmp_path / "cube"))
+    counts = cube.job_counts(spark.read.parquet(str(tmp_path / "cube"))).first()
+    assert (counts.lines, counts.valid_rows, counts.kept_rows, counts.stations) == (30, 28, 28, 1)
+
+
+def test_a_year_is_landed_by_several_tasks(spark, tmp_path):
+    from stationlens.plans.jobs import land_observations, read_observations
+
+    rows = [gsod_line(f"{i:05d}", "2025-01-01", "1.5", "20.0", "0.0", "0.10", "5.0", "9.0", "000000") for i in range(6000)]
+    src = write_files(str(tmp_path / "in"), {f"{k}.csv": rows[k::6] for k in range(6)})
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB", "spark.sql.files.maxPartitionBytes": "200KB"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        land_observations(spark, src, str(tmp_path / "landed"))
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    files = [f for _, _, names in os.walk(tmp_path / "landed" / "data") for f in names if f.startswith("part-") and f.endswith(".parquet")]
+    assert len(files) > 3
+    assert read_observations(spark, str(tmp_path / "landed")).count() == 6000
 
 
 def test_landed_parquet_gives_the_same_results(spark, tmp_path):
