@@ -258,7 +258,7 @@ def _scan(blocks: DataFrame, anchors: dict[int, Anchors], k: int, search) -> Dat
 def _chunk(anchors: DataFrame) -> dict[int, Anchors]:
     """A chunk's anchors by length; the chunk's size is bounded by ``hard_negatives``."""
     by_dims: dict[int, list] = {}
-    for r in anchors.orderBy("vec_id").toLocalIterator():
+    for r in anchors.orderBy("vec_id").collect():
         by_dims.setdefault(r.dims, []).append((r.vec_id, r.label, r.v))
     return {
         dims: Anchors(np.array([x[0] for x in rows], np.int64), [x[1] for x in rows], _whole(np.array([x[2] for x in rows])).reshape(-1, dims))
@@ -300,7 +300,7 @@ def hard_negatives(
             own.low = np.full((len(own.ids), n_positives), HIGHEST)
             own.high = np.full((len(own.ids), n_positives), LOWEST)
         # At most n_positives rows for each anchor of the chunk.
-        for r in positives.toLocalIterator():
+        for r in positives.collect():
             dims, i = places[r.anchor_id]
             anchors[dims].low[i, r["rank"] - 1] = -(-least_share * r.score // 100)
             anchors[dims].high[i, r["rank"] - 1] = r.score
