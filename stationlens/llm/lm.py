@@ -39,17 +39,17 @@ from . import word_blocks as wb
 HEAD, HEAD_CLASS = 1_024, 32
 HEAD_CLASSES, TAIL_CLASSES = HEAD // HEAD_CLASS, 32
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
-HIDDEN, WINDOW, LANES = 16, 32, 128
+HIDDEN, WINDOW, LANES = 16, 32, 256
 #: Windows that a lane has before it goes on with other documents, at least.
 LANE_WINDOWS = 32
 #: Learning rate of each turn.
-TURNS = (0.03, 0.03, 0.02, 0.01)
+TURNS = (0.05, 0.04, 0.03, 0.01)
 #: Training tokens of the corpus for each trainer.
 TRAINER_TOKENS = 4_000_000
 #: Trainers' weights that one task sums; at most so many rows reach the driver.
-FAN = 32
+FAN = 16
 #: Documents scored together.
-SCORED = 1024
+SCORED = 2048
 SMOOTHING = 0.1
 END = b" end"  # no word has a space
 
