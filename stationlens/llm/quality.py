@@ -6,9 +6,12 @@ folds: where a first classifier (positive against unlabelled) finds mostly posit
 ratio of the unlabelled share to the positive share is the prior.  Then a logistic model
 minimises the non-negative unbiased risk with that prior.
 
+The fit starts from ``n_positive`` positives and ``n_start`` unlabelled texts, the first by a hash of
+their id; then every text of the training folds is an unlabelled one once (``_taught_by_all``).  Labelled
+rows are the only ones of which a bounded sample stands for all.
+
 A text's inputs are shares of its bytes, of neighbouring byte kinds and of repeated words, over
-the whole text.  Only the fit sees a bounded number of rows: ``FIT_POSITIVE`` positives and
-``FIT_UNLABELLED`` unlabelled, the first by a hash of their id.
+the whole text.
 
 Defined cases: null and empty texts have all-zero inputs and a score; rows with null or repeated
 ids are scored one by one; labels that are null or of unknown ids are not used; with
@@ -20,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +31,10 @@ from . import common
 from .gru import Adam, sigmoid
 
 FIT_POSITIVE = 3_000
-FIT_UNLABELLED = 5_000
+FIT_START = 5_000
+#: Texts in a step of the pass over all texts, and its learning rate.
+STEP_TEXTS, STEP_RATE = 256, 0.002
+RIDGE = 2e-3
 BINS = 512
 
 #: Kinds of bytes: lower, upper, digit, white space, sentence sign, other sign, non-ASCII lead, other.
@@ -94,20 +101,26 @@ def _fit_nnpu(model: Model, positive: np.ndarray, unlabelled: np.ndarray, prior:
     """Minimise prior * R_p(+) + max(floor, R_u(-) - prior * R_p(-)) with the logistic loss."""
     adam = Adam(model.weights, 0.02)
     for _ in range(steps):
-        w, b = model.weights["w"], model.weights["b"][0]
-        zp, zu = positive @ w + b, unlabelled @ w + b
-        # loss(z, +) = log(1 + exp(-z)), slope -sigmoid(-z); loss(z, -) = log(1 + exp(z)).
-        negative_risk = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        slope_p = -prior * sigmoid(-zp) / len(zp)
-        to_p, to_u = -prior * sigmoid(zp) / len(zp), sigmoid(zu) / len(zu)
-        if negative_risk >= floor:
-            gp, gu = slope_p + to_p, to_u
-        else:  # go back up the part that has gone below its bound
-            gp, gu = -to_p, -to_u
-        adam.step({
-            "w": positive.T @ gp + unlabelled.T @ gu + 2e-3 * w,
-            "b": np.array([gp.sum() + gu.sum()]),
-        })
+        adam.step(_nnpu_gradient(model.weights, positive, unlabelled, prior, floor))
+
+
+def negative_risk(weights: dict, positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> float:
+    """R_u(-) - prior * R_p(-): what the risk of negatives is estimated by, and may not go below 0."""
+    zp, zu = (x @ weights["w"] + weights["b"][0] for x in (positive, unlabelled))
+    return float(np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean())
+
+
+def _nnpu_gradient(weights: dict, positive: np.ndarray, unlabelled: np.ndarray, prior: float, floor: float = 0.0) -> dict:
+    w, b = weights["w"], weights["b"][0]
+    zp, zu = positive @ w + b, unlabelled @ w + b
+    # loss(z, +) = log(1 + exp(-z)), slope -sigmoid(-z); loss(z, -) = log(1 + exp(z)).
+    slope_p = -prior * sigmoid(-zp) / len(zp)
+    to_p, to_u = -prior * sigmoid(zp) / len(zp), sigmoid(zu) / len(zu)
+    if negative_risk(weights, positive, unlabelled, prior) >= floor:
+        gp, gu = slope_p + to_p, to_u
+    else:  # go back up the part that has gone below its bound
+        gp, gu = -to_p, -to_u
+    return {"w": positive.T @ gp + unlabelled.T @ gu + RIDGE * w, "b": np.array([gp.sum() + gu.sum()])}
 
 
 def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
@@ -120,35 +133,81 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     return float(np.clip((share_u[enough] / share_p[enough]).min(), 0.05, 0.95))
 
 
-def _training_rows(texts: DataFrame, labels: DataFrame, seen: Column) -> DataFrame:
+def _training_rows(texts: DataFrame, labels: DataFrame, seen: Column, n_positive: int, n_start: int) -> DataFrame:
     """Bounded (doc_id, role): role 1 for trusted positives, 0 for unlabelled."""
     by_hash = F.xxhash64("doc_id", F.lit(7))
+    ids = texts.where(seen & F.col("doc_id").isNotNull()).select("doc_id")
     positive = (
         labels.where((F.col("quality") == 1) & seen & F.col("doc_id").isNotNull())
-        .select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+        .select(F.col("doc_id").cast("long").alias("doc_id"))
         .join(texts.select("doc_id"), "doc_id", "left_semi")  # places only for documents at hand
-        .orderBy(by_hash, "doc_id").limit(FIT_POSITIVE).withColumn("role", F.lit(1))
     )
-    unlabelled = (
-        texts.where(seen & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-        .orderBy(by_hash, "doc_id").limit(FIT_UNLABELLED).withColumn("role", F.lit(0))
+    return common.sampled(positive, by_hash, n_positive).withColumn("role", F.lit(1)).unionByName(
+        common.sampled(ids, by_hash, n_start).withColumn("role", F.lit(0))
     )
-    return positive.unionByName(unlabelled)
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 3, held_out: int = 1) -> Model:
-    """Learn from the rows whose fold is not ``held_out``."""
+def _taught_by_all(texts: DataFrame, model: Model, positive: np.ndarray, prior: float) -> dict[str, np.ndarray]:
+    """The weights after every text has been an unlabelled one of the risk once.
+
+    Every task starts from the model's weights and takes a step for each batch of its texts; the
+    mean over tasks, by their texts, is what all have learned.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast((model, positive))
+    schema = pa.schema([("texts", pa.int64()), ("weights", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, positive = shared.value
+        own = Model(model.mean, model.scale)
+        own.weights = {k: v.copy() for k, v in model.weights.items()}
+        adam, used = Adam(own.weights, STEP_RATE), 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, STEP_TEXTS):
+                x = np.stack([inputs(t.as_py()) for t in batch.column(0).slice(at, STEP_TEXTS)]).astype(np.float64)
+                some = positive[(used // STEP_TEXTS) % 8 :: 8] if len(positive) >= 80 else positive
+                adam.step(_nnpu_gradient(own.weights, some, model.standard(x), prior))
+                used += len(x)
+        if used:
+            total = np.append(own.weights["w"], own.weights["b"]) * used
+            yield pa.RecordBatch.from_arrays([pa.array([used]), pa.array([total.tobytes()], pa.binary())], schema=schema)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        used, total = 0, np.zeros(INPUTS + 1)
+        for batch in batches:
+            for n, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                used, total = used + n, total + np.frombuffer(x.as_py(), np.float64)
+        if used:
+            yield pa.RecordBatch.from_arrays([pa.array([used]), pa.array([total.tobytes()], pa.binary())], schema=schema)
+
+    # A row of 2 kB for each task, added up by at most 16 tasks.
+    kind = "texts long, weights binary"
+    sums = texts.select("text").mapInArrow(run, kind).repartitionById(16, F.pmod(F.xxhash64("weights"), F.lit(16)).cast("int"))
+    rows = sums.sortWithinPartitions("texts", "weights").mapInArrow(add, kind).collect()
+    used = sum(r.texts for r in rows)
+    if not used:
+        return model.weights
+    mean = sum(np.frombuffer(r.weights, np.float64) for r in sorted(rows)) / used
+    return {"w": mean[:-1], "b": mean[-1:]}
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 3, held_out: int = 1,
+    n_positive: int = FIT_POSITIVE, n_start: int = FIT_START,
+) -> Model:
+    """Learn from the rows whose fold is not ``held_out``: from ``n_positive`` trusted positives and,
+    after a start from ``n_start`` unlabelled texts, from all texts."""
     texts = common.id_and_text(docs, id_col, text_col)
     seen = common.fold(F.col("doc_id").cast("long"), folds) != held_out
-    rows = _training_rows(texts, labels, seen)
+    rows = _training_rows(texts, labels, seen, n_positive, n_start)
 
     def take(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             x = [inputs(t).tobytes() for t in frame["text"]]
             yield pd.DataFrame({"role": frame["role"], "x": x})
 
-    # At most FIT_POSITIVE + FIT_UNLABELLED ids are broadcast and as many input rows collected.
-    found = texts.join(F.broadcast(rows), "doc_id").select("doc_id", "role", "text").orderBy("doc_id", "role", "text")
+    # At most n_positive + n_start ids are broadcast and as many input rows collected: of rows that
+    # share an id one text, the least.
+    found = texts.join(F.broadcast(rows), "doc_id").groupBy("doc_id", "role").agg(F.min("text").alias("text")).orderBy("doc_id", "role")
     kept = found.mapInPandas(take, "role int, x binary").collect()
     x = np.frombuffer(b"".join(r.x for r in kept), np.float32).reshape(-1, INPUTS).astype(np.float64)
     role = np.array([r.role for r in kept])
@@ -174,6 +233,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     prior = estimate_prior(positive_bins, unlabelled_bins)
     model.weights = {"w": np.zeros(INPUTS), "b": np.array([np.log(prior / (1 - prior))])}
     _fit_nnpu(model, positive, unlabelled, prior)
+    model.weights = _taught_by_all(texts.where(seen), model, positive, prior)
     model.prior = prior
     return model
 
@@ -190,9 +250,12 @@ def scorer(model: Model):
     return score
 
 
-def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+def score(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5,
+    n_positive: int = FIT_POSITIVE, n_start: int = FIT_START,
+) -> DataFrame:
     """doc_id, held_out, score, predicted of every row."""
-    model = fit(docs, labels, id_col, text_col)
+    model = fit(docs, labels, id_col, text_col, n_positive=n_positive, n_start=n_start)
     return (
         common.id_and_text(docs, id_col, text_col)
         .select("doc_id", (common.fold(F.col("doc_id"), 3) == 1).alias("held_out"), scorer(model)("text").alias("score"))

@@ -233,8 +233,11 @@ def _calibrate(net: Net, worst: np.ndarray, toxic: np.ndarray) -> None:
     net.shift = float(weights["b"][0] - net.slope * worst.mean())
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 3, held_out: int = 1) -> Net:
-    """Learn from labelled rows whose fold is not ``held_out``."""
+def fit(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 3, held_out: int = 1,
+    n_toxic: int = FIT_TOXIC, n_clean: int = FIT_CLEAN,
+) -> Net:
+    """Learn from labelled rows whose fold is not ``held_out``: at most ``n_toxic`` and ``n_clean``."""
     texts = common.id_and_text(docs, id_col, text_col)
     seen = (common.fold(F.col("doc_id").cast("long"), folds) != held_out) & F.col("doc_id").isNotNull()
     known = (
@@ -242,13 +245,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         .join(texts.select("doc_id"), "doc_id", "left_semi")  # places only for documents at hand
     )
     by_hash = F.xxhash64("doc_id", F.lit(11))
-    rows = known.where("toxic = 1").orderBy(by_hash, "doc_id").limit(FIT_TOXIC).unionByName(
-        known.where("toxic = 0").orderBy(by_hash, "doc_id").limit(FIT_CLEAN)
-    )
-    # At most FIT_TOXIC + FIT_CLEAN ids are broadcast and as many texts collected.
-    found = sorted(
-        (r.doc_id, r.toxic, r.text) for r in texts.join(F.broadcast(rows), "doc_id").select("doc_id", "toxic", "text").collect()
+    rows = common.sampled(known.where("toxic = 1"), by_hash, n_toxic).unionByName(
+        common.sampled(known.where("toxic = 0"), by_hash, n_clean)
     )
+    # At most n_toxic + n_clean ids are broadcast and as many texts collected: of rows that share an
+    # id the least.
+    found = texts.join(F.broadcast(rows), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect()
+    found = sorted((r.doc_id, r.toxic, r.text) for r in found)
     return train([t for _, _, t in found], np.array([y for _, y, _ in found], int))
 
 
@@ -283,9 +286,12 @@ def scorer(spark, net: Net):
     return score
 
 
-def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
+def score(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7,
+    n_toxic: int = FIT_TOXIC, n_clean: int = FIT_CLEAN,
+) -> DataFrame:
     """doc_id, held_out, score, predicted of every row."""
-    net = fit(docs, labels, id_col, text_col)
+    net = fit(docs, labels, id_col, text_col, n_toxic=n_toxic, n_clean=n_clean)
     return (
         common.id_and_text(docs, id_col, text_col)
         .select("doc_id", (common.fold(F.col("doc_id"), 3) == 1).alias("held_out"), scorer(docs.sparkSession, net)("text").alias("score"))
