@@ -1,8 +1,8 @@
 """MinHash near-duplicates by bottom-k sketches of one hash function.
 
 A document's set is its distinct five-word shingles, as 63-bit hashes; its sketch is the K
-least of them.  Documents with one set (a 128-bit digest of all its hashes) are a *class* with
-one representative, so copies are never compared.  Classes are then linked in two rounds:
+least of them.  Documents with one set (a 128-bit digest of all its hashes, and their number) are a
+*class* with one representative, so copies are never compared.  Classes are then linked in two rounds:
 
 1. Inverted lists of retained values give overlaps.  If two sets are similar enough to be linked,
    their sketches share at least T values (see ``least_shared``), so it is enough to list each class
@@ -10,24 +10,25 @@ one representative, so copies are never compared.  Classes are then linked in tw
    common values; every class of the list is compared with that leader alone.
 2. Classes that share a value share the leader of its list, so lists with one leader are joined
    to one, which a class is in once.  Where all its classes are in one component by now, nothing is left
-   to do; in the others pairs of different components are compared, block by block.
+   to do; in the others pairs of different components are compared, block by block, by their sketches.
 
 In both rounds the union sketch (the K least values of two sketches) estimates the Jaccard
-index; pairs whose estimate is near or over the threshold are confirmed on the full sets (in
-round 2 first on their hashes' low halves, which can only overstate what is shared).
+index; pairs whose estimate is near or over the threshold, and only those, are confirmed on the
+full sets.  What sketches must share and how near an estimate must be follow from the threshold.
 
 Defined cases: null and empty texts have an empty set and are linked with nothing; texts of
 fewer than five words are one shingle; rows with a null id take part by their text (a component
-of only null ids has the null id); repeated ids are compared row by row; an empty table gives
-an empty table; other columns are ignored.
+of only null ids has the null id); repeated ids are compared row by row, a row being told by its id
+and its text; an empty table gives an empty table; other columns are ignored, whatever their names.
 """
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -38,13 +39,16 @@ K = 64
 WORDS = 5
 #: Fills up sketches of fewer than K values; no value of a sketch, as those are the least ones.
 NONE = np.iinfo(np.int64).max
+#: Standard deviations by which a sketch may understate a pair before it is passed over: in what it
+#: shares, and in its estimate.
+SHARED_DEVIATIONS, ESTIMATE_DEVIATIONS = 5.75, 4.6
 #: Classes in a block of a joined list, about; and columns into which a block's values are hashed.
 BLOCK, COLUMNS = 1_024, 1_024
-#: Ids of candidates are broadcast up to this number (16 bytes each), else joined by shuffle.
-MAX_BROADCAST_IDS = 1_000_000
+#: Ids and digests of rows are broadcast up to this number (50 bytes each), else joined by shuffle.
+MAX_BROADCAST_IDS = 500_000
 
 SKETCHES = pa.schema([
-    ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("cls", pa.int64()), ("sketch", pa.list_(pa.int64())),
+    ("doc_id", pa.int64()), ("text_key", pa.binary()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("sketch", pa.list_(pa.int64())),
 ])
 
 
@@ -77,47 +81,62 @@ def shingle_sets(texts: list[str]) -> Iterator[np.ndarray]:
             yield np.unique(out >> np.uint64(1))  # signed and unsigned order alike
 
 
-def class_of(shingles: np.ndarray) -> int:
-    digest = hashlib.blake2b(shingles.tobytes(), digest_size=8).digest()
-    return int.from_bytes(digest, "little", signed=True)
+def class_key(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
 def sketches(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, 1024) for b in batches for at in range(0, b.num_rows, 1024)):
             rows = []
-            for doc_id, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist()), strict=True):
-                rows.append((doc_id, len(s), class_of(s) if len(s) else None, s[:K].view(np.int64)))
+            ids, keys = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            for doc_id, key, s in zip(ids, keys, shingle_sets(batch.column(1).to_pylist()), strict=True):
+                rows.append((doc_id, key, len(s), class_key(s) if len(s) else None, s[:K].view(np.int64)))
             if rows:
                 yield batch_of(rows, SKETCHES)
 
-    return texts.mapInArrow(run, "doc_id long, n_shingles long, cls long, sketch array<long>")
+    return texts.select("doc_id", "text", "text_key").mapInArrow(
+        run, "doc_id long, text_key binary, n_shingles long, key binary, sketch array<long>"
+    )
 
 
 def full_sets(rows: DataFrame) -> DataFrame:
-    """(cls, shingles as bytes) of rows (cls, text) whose text is of the class."""
+    """(cls, shingles as bytes) of rows (cls, key, text) whose text is of the class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("cls", pa.int64()), ("shingles", pa.binary())])
         for batch in (b.slice(at, 512) for b in batches for at in range(0, b.num_rows, 512)):
-            wanted, made = batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist())
-            found = {c: s.tobytes() for c, s in zip(wanted, made, strict=True) if len(s) and class_of(s) == c}
+            wanted = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            made = shingle_sets(batch.column(2).to_pylist())
+            found = {c: s.tobytes() for (c, key), s in zip(wanted, made, strict=True) if len(s) and class_key(s) == key}
             if found:
                 yield batch_of(found.items(), schema)
 
     # Rows that repeat an id and its text are several rows of one class.
-    made = rows.mapInArrow(run, "cls long, shingles binary")
+    made = rows.select("cls", "key", "text").mapInArrow(run, "cls long, shingles binary")
     return made.groupBy("cls").agg(F.first("shingles").alias("shingles"))
 
 
-def least_shared(n):
-    """Values that the sketches of two linked sets share at least.
+def bounds(threshold: int) -> tuple[int, int, float]:
+    """(whole, shared, margin) for a threshold in percent.
 
-    Sets of up to 48 shingles are whole in their sketch, and so are sets linked with them: three
-    quarters are shared.  Of larger ones 48 of 64 are expected; 28 is nearly six standard
-    deviations below.
+    Sets of up to ``whole`` shingles, and all sets linked with them, are whole in their sketches, which so
+    share at least ``threshold`` percent of the larger.  Sketches of larger sets that are linked share K times the
+    threshold on average and, but for ``SHARED_DEVIATIONS``, at least ``shared``.  An estimate is
+    less than ``margin`` too low, but for ``ESTIMATE_DEVIATIONS``.
     """
-    return F.when(n <= 48, F.ceil(n * 3 / 4)).otherwise(F.lit(28)).cast("int")
+    t = threshold / 100
+    spread = math.sqrt(t * (1 - t))
+    shared = max(1, math.floor(K * t - SHARED_DEVIATIONS * math.sqrt(K) * spread))
+    return K * threshold // 100, shared, ESTIMATE_DEVIATIONS * spread / math.sqrt(K)
+
+
+def least_shared(n, threshold: int):
+    """Values that the sketches of two linked sets, one of ``n`` shingles, share at least."""
+    whole, shared, _ = bounds(threshold)
+    if isinstance(n, np.ndarray):
+        return np.where(n <= whole, -(-n * threshold // 100), shared)
+    return F.when(n <= whole, F.ceil(n * threshold / 100)).otherwise(F.lit(shared)).cast("int")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -157,8 +176,9 @@ def estimates(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (inside & ~first).sum(axis=1) / np.maximum((inside & first).sum(axis=1), 1)
 
 
-def _across(rows: DataFrame, threshold: int, margin: float) -> DataFrame:
+def _across(rows: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a, b) of different components in each pair of blocks that may be similar enough."""
+    margin = bounds(threshold)[2]
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartition(parts, "lead", "i", "j").sortWithinPartitions("lead", "i", "j", "block")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -168,7 +188,7 @@ def _across(rows: DataFrame, threshold: int, margin: float) -> DataFrame:
         sketch = np.full((len(group), K), NONE)
         for row, g in zip(sketch, group, strict=True):
             row[: len(g[4])] = g[4]
-        least = np.where(n <= 48, np.ceil(n * 3 / 4), 28)
+        least = least_shared(n, threshold)
         at = np.nonzero(sketch != NONE)
         hashed = np.zeros((len(group), COLUMNS), np.float32)
         np.add.at(hashed, (at[0], sketch[at] % COLUMNS), 1)
@@ -182,18 +202,10 @@ def _across(rows: DataFrame, threshold: int, margin: float) -> DataFrame:
         if one:
             near &= left[:, None] < right
         x, y = (side[z] for side, z in zip((left, right), np.nonzero(near), strict=True))
-        halves: dict[int, np.ndarray] = {}
         for start in range(0, len(x), 8192):
             u, v = x[start : start + 8192], y[start : start + 8192]
             likely = estimates(sketch[u], sketch[v]) >= threshold / 100 - margin
-            for p, q in zip(u[likely].tolist(), v[likely].tolist(), strict=True):
-                for z in (p, q):
-                    if z not in halves:
-                        halves[z] = np.sort(np.frombuffer(group[z][5], "<u4")[::2])
-                places = np.searchsorted(halves[p], halves[q])
-                shared = int((halves[p][np.minimum(places, len(halves[p]) - 1)] == halves[q]).sum())
-                if 100 * shared >= threshold * (len(halves[p]) + len(halves[q]) - shared):
-                    yield min(cls[p], cls[q]), max(cls[p], cls[q])
+            yield from zip(np.minimum(cls[u], cls[v])[likely].tolist(), np.maximum(cls[u], cls[v])[likely].tolist(), strict=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, []
@@ -212,27 +224,44 @@ def _across(rows: DataFrame, threshold: int, margin: float) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(
-    docs: DataFrame, threshold: int = 75, margin: float = 0.25, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row.
+def _joined(rows: DataFrame, few: DataFrame, key: str, size: str) -> DataFrame:
+    """``rows`` with the columns of ``few``, which has one row a key, and in ``size`` the key's number of rows.
 
-    ``threshold`` is in percent; pairs whose estimated index is more than ``margin`` (over
-    four standard deviations) below it are not confirmed on full sets.
+    Keys with more than a thousandth of all rows (so there are fewer than a thousand) are joined
+    where their rows are; only the others' rows are shuffled.  Both are stored tables.
     """
-    spark, used = docs.sparkSession, []
+    total = few.agg(F.sum(size)).first()[0] or 0
+    hot = few.where(F.col(size) * 1000 > total)
+    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(few, key)
+    return rows.join(F.broadcast(hot), key).unionByName(cold)
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return common.id_and_text(docs, id_col, text_col).withColumn("text_key", _text_key(F.col("text")))
+
+
+def _text_key(text: Column) -> Column:
+    return F.unhex(F.md5(text.cast("binary")))
+
+
+def _grouped(texts: DataFrame, threshold: int) -> DataFrame:
+    """(doc_id, text_key, n_shingles, node, component_id) of every row of ``texts``: ``node`` tells the
+    component and is null for empty sets, ``component_id`` is its least doc_id."""
+    spark, used = texts.sparkSession, []
 
     def stored(df: DataFrame, name: str) -> DataFrame:
         made, path = common.stored(df, name)
         used.append(path)
         return made
 
-    texts = common.id_and_text(docs, id_col, text_col)
     rows = stored(sketches(texts), "sketches")
+    n = F.col("n_shingles")
+    one_size = F.when(F.min(n) == F.max(n), F.min(n)).otherwise(F.raise_error(F.lit("sets of two sizes have one digest")).cast("long"))
+    # The number given to a class holds from here on, as the table is written.
     classes = stored(
-        rows.where("n_shingles > 0").groupBy("cls").agg(
-            F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")
-        ),
+        rows.where("n_shingles > 0").groupBy("key")
+        .agg(one_size.alias("n"), F.min(F.struct("doc_id", "text_key")).alias("of"), F.min("doc_id").alias("least_id"), F.first("sketch").alias("sketch"), F.count("*").alias("m"))
+        .withColumn("cls", F.monotonically_increasing_id()),
         "classes",
     )
 
@@ -248,7 +277,7 @@ def near_duplicates(
     sizes = classes.select("cls", "n", F.size("sketch").alias("k"))
     lists = stored(
         ranked.join(sizes, "cls")
-        .where(F.col("rank") + F.col("k") - F.col("listed") <= F.col("k") - least_shared(F.col("n")) + 1)
+        .where(F.col("rank") + F.col("k") - F.col("listed") <= F.col("k") - least_shared(F.col("n"), threshold) + 1)
         .select("value", "cls", "n", "weight"),
         "lists",
     )
@@ -256,7 +285,7 @@ def near_duplicates(
     def similar_size(n, m):
         return 100 * F.least(n, m) >= threshold * F.greatest(n, m)
 
-    least = threshold / 100 - margin
+    least = threshold / 100 - bounds(threshold)[2]
     side = classes.select("cls", "sketch")
     a, b = side.toDF("a", "x"), side.toDF("b", "y")
 
@@ -277,81 +306,112 @@ def near_duplicates(
 
     # Round 2: pairs of different components in joined lists that still have several.
     joined = lists.join(leaders.select("value", F.col("lead.cls").alias("lead")), "value").select("lead", "cls", "n").distinct()
-    placed = joined.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
-        "component", F.coalesce("component", "cls")
+    placed = stored(
+        joined.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls")),
+        "placed",
     )
-    several = (
+    several = stored(
         placed.groupBy("lead")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("classes"))
-        .where("low < high").select("lead", F.ceil(F.col("classes") / BLOCK).cast("int").alias("blocks"))
+        .where("low < high").select("lead", "classes", F.ceil(F.col("classes") / BLOCK).cast("int").alias("blocks")),
+        "several",
     )
     open_lists = (
-        placed.join(several, "lead").join(side, "cls").join(sets, "cls")
+        _joined(placed, several, "lead", "classes").join(side, "cls")
         .withColumn("block", F.expr("cast(pmod(xxhash64(cls), blocks) as int)"))
         .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
         .select("lead", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
-                "cls", "n", "component", "sketch", "shingles")
+                "cls", "n", "component", "sketch")
     )
-    second = stored(_across(open_lists, threshold, margin).distinct(), "pairs")
+    second = stored(_across(open_lists, threshold).distinct(), "pairs")
     more = stored(_confirmed(second, sets, threshold), "linked")
     final = links.components(linked.union(more))
 
-    # A component's id is the least document id of its classes' rows.
-    labelled = rows.select("doc_id", "n_shingles", "cls").join(
-        _component_ids(classes, final), "cls", "left"
+    # A component's id is the least document id of its classes' rows; a class alone is its own.
+    members = stored(
+        classes.select("cls", "key", "least_id", "m").join(final.withColumnRenamed("node", "cls"), "cls", "left"), "members"
+    )
+    together = members.where("component is not null")
+    lowest = stored(
+        together.groupBy("component").agg(F.min("least_id").alias("component_id"), F.count("*").alias("classes")), "lowest"
     )
-    component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    answer, _ = common.stored(
-        labelled.select(
-            "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+    named = stored(
+        _joined(together, lowest, "component", "classes").select("key", "m", F.col("component").alias("node"), "component_id")
+        .unionByName(
+            members.where("component is null").select("key", "m", F.col("cls").alias("node"), F.col("least_id").alias("component_id"))
         ),
-        "near-duplicates",
+        "named",
+    )
+    columns = ["doc_id", "text_key", "n_shingles", "node", "component_id"]
+    whole = _joined(rows.where("key is not null").drop("sketch"), named, "key", "m").select(*columns)
+    none = rows.where("key is null").select(
+        "doc_id", "text_key", "n_shingles", F.lit(None).cast("long").alias("node"), F.col("doc_id").alias("component_id")
     )
+    answer, _ = common.stored(whole.unionByName(none), "near-duplicates")
     common.remove(spark, *used)
     return answer
 
 
-def one_of_each(docs: DataFrame, threshold: int = 75) -> DataFrame:
-    """The rows of ``docs``, all columns, without the documents that are not kept.
+def near_duplicates(docs: DataFrame, threshold: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row; ``threshold`` is in percent."""
+    found = _grouped(_keyed(docs, id_col, text_col), threshold)
+    return found.select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
+
+
+def one_of_each(docs: DataFrame, threshold: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, with one row of each component, and all without shingles.
 
-    Of rows that repeat a kept id one stays.  Rows with a null id stay, as nothing tells them apart.
+    The row with the least id stays (null ids last), of several the one with the least digest of its
+    text; of rows alike in id and text any one.  Rows are told by both, so unlike texts under one id,
+    or without an id, go their own ways.
     """
-    found = near_duplicates(docs, threshold).where("doc_id is not null")
-    dropped = found.where("not kept").select("doc_id").distinct()
-    again = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    id_ = docs["doc_id"].cast("long")
-    rest = docs.join(_small(dropped.union(again)), id_ == F.col("dropped_id"), "left_anti")
-    if not again.limit(1).count():
-        return rest
-    repeated = docs.join(again.select(F.col("doc_id").alias("again_id")), id_ == F.col("again_id"), "left_semi")
-    kept = found.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return rest.unionByName(
-        repeated.join(kept, id_ == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    )
+    found = _grouped(_keyed(docs, id_col, text_col), threshold).where("node is not null")
+    row = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_key")
+    groups = found.groupBy("node").agg(F.count("*").alias("rows"), F.min(row).alias("first")).where("rows > 1")
+    groups, _ = common.stored(groups, "groups")
+    members = _joined(found, groups, "node", "rows")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+    # Of rows alike in id and text, those that stay are taken out as well, and one is put back.
+    alike = members.groupBy("doc_id", "text_key").agg(F.count("*").alias("times"), F.max(stays).alias("stays"))
+    out, _ = common.stored(alike.where("not stays or times > 1"), "dropped")
+    again = out.where("stays")
+    key = {name: _unused(docs, name) for name in ("row_id", "row_text")}
+    keyed = docs.withColumns({
+        key["row_id"]: docs[id_col].cast("long"), key["row_text"]: _text_key(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+    })
+
+    def those(rows: DataFrame, few: DataFrame, how: str) -> DataFrame:
+        few = few.select(F.col("doc_id").alias(_unused(rows, "out_id")), F.col("text_key").alias(_unused(rows, "out_text")))
+        id_, text = few.columns
+        same = F.col(key["row_id"]).eqNullSafe(F.col(id_)) & (F.col(key["row_text"]) == F.col(text))
+        return rows.join(F.broadcast(few) if few.count() <= MAX_BROADCAST_IDS else few, same, how)
 
+    rest = those(keyed, out, "left_anti")
+    if again.limit(1).count():
+        rest = rest.unionByName(those(keyed, again, "left_semi").dropDuplicates(list(key.values())))
+    return rest.select(*(rest[f"`{c}`"] for c in docs.columns))
 
-def _small(ids: DataFrame) -> DataFrame:
-    """Ids under the name dropped_id, to be broadcast if there are few."""
-    ids, _ = common.stored(ids.toDF("dropped_id"), "dropped")
-    return F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
+
+def _unused(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it a name that no column has."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
 
 
 def _representatives(lists: DataFrame, classes: DataFrame) -> DataFrame:
-    """(cls, doc_id) of all classes in any list."""
-    return classes.select("cls", "doc_id").join(lists.select("cls").distinct(), "cls", "left_semi")
+    """(cls, key, of_id, of_text) of all classes in any list."""
+    return classes.join(lists.select("cls").distinct(), "cls", "left_semi").select(
+        "cls", "key", F.col("of.doc_id").alias("of_id"), F.col("of.text_key").alias("of_text")
+    )
 
 
 def _texts_of(wanted: DataFrame, texts: DataFrame) -> DataFrame:
-    """(cls, text) of the rows with a representative's id."""
+    """(cls, key, text) of the rows with a representative's id and text."""
     if wanted.count() <= MAX_BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    return texts.join(wanted, texts.doc_id.eqNullSafe(wanted.doc_id)).select("cls", "text")
-
-
-def _component_ids(classes: DataFrame, final: DataFrame) -> DataFrame:
-    """(cls, component_id)."""
-    placed = classes.select("cls", "doc_id").join(final.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
-        "component", F.coalesce("component", "cls")
-    )
-    lowest = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return placed.join(lowest, "component").select("cls", "component_id")
+    same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_key") == F.col("of_text"))
+    return texts.join(wanted, same).select("cls", "key", "text")
