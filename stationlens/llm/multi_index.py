@@ -8,10 +8,14 @@ verified by the exact cosine in double precision.
 
 How far is far enough is measured on the vectors that the codebooks are fitted on: they are turned
 by exactly the least cosine in random directions, and the excess distance within which
-``target_recall`` of them are found ends the traversal.  Fitting takes the first ``FIT`` vectors by
-a hash; the index lists all.
-
-Equal vectors of a label are one class.  Cells are cut into blocks of some ``BLOCK`` members, so
+``target_recall`` of them are found ends the traversal.  With a target of 1 the limit is exact: every
+code has the radius that covers all vectors nearest to it, and the cell (i, j) is visited if
+max(0, d_i - r_i)^2 + max(0, d_j - r_j)^2 <= 2 (1 - least cosine), beyond which none of its vectors
+can be linked.  Fitting takes ``FIT`` different vectors by a hash; the index lists all.
+
+Equal vectors of a label are one class, by a 128-bit digest that a second hash checks.  A cell lists
+some ``CELL`` vectors of a label, so that a vector visits a few cells only and is copied as often;
+copies are of single floats where the input is.  Cells are cut into blocks of some ``BLOCK`` members, so
 that a crowded cell is many tasks; a task returns counts of links and, for the components, one
 row a vector, never all pairs.
 
@@ -32,11 +36,12 @@ from pyspark.sql import functions as F
 from . import common, links, vectors
 from .word_blocks import batch_of
 
-FIT = 4_096
+FIT = 16_384
 BLOCK = 2_048
 #: Vectors of a label that a cell should list, about.
-CELL = 16
-MOST_CODES = 256
+CELL = 512
+#: Vectors of the sample for each code, at least.
+FOR_CODE = 8
 
 
 class MultiIndex:
@@ -56,7 +61,10 @@ class MultiIndex:
             for d, t in zip(self.distances(sample), self.distances(turned), strict=True):
                 excess += d[np.arange(len(d)), t.argmin(axis=1)] - d.min(axis=1)
             found.append(excess)
-        self.excess = float(np.quantile(np.concatenate(found), target_recall)) + 1e-9
+        self.excess = float(np.quantile(np.concatenate(found), min(target_recall, 1.0))) + 1e-9
+        #: For an exact limit: the codes' covering radii, and the greatest distance of linked vectors, squared.
+        self.radii: list[np.ndarray] | None = None
+        self.linked = 2 * (1 - least_cosine) + 1e-9
 
     def _halves(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return x[:, : self.half], x[:, self.half :]
@@ -84,6 +92,11 @@ class MultiIndex:
 
     def visits(self, first: np.ndarray, second: np.ndarray) -> list[int]:
         """The cells nearest to one vector, nearest first."""
+        if self.radii is not None:
+            near = [np.maximum(np.sqrt(d) - r - 1e-7, 0) ** 2 for d, r in zip((first, second), self.radii, strict=True)]
+            i, j = np.nonzero(near[0][:, None] + near[1] <= self.linked)
+            nearest = np.argsort(first[i] + second[j], kind="stable")
+            return (i * len(second) + j)[nearest].tolist()
         order = first.argsort(), second.argsort()
         d = first[order[0]].tolist(), second[order[1]].tolist()
         limit = d[0][0] + d[1][0] + self.excess
@@ -103,41 +116,62 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def fit(classes: DataFrame, dims: int, least_cosine: float, target_recall: float) -> MultiIndex | None:
+def fit(classes: DataFrame, dims: int, least_cosine: float, target_recall: float) -> MultiIndex:
     """Codebooks from a bounded sample; their size follows the number of vectors a label."""
     rows = classes.where(F.col("dims") == dims)
     n, labels = rows.agg(F.count("*"), F.count_distinct("label")).first()
-    if not n:
-        return None
-    taken = rows.orderBy(F.xxhash64("vec_id", "cls"), "cls").limit(FIT).select("vector").collect()
+    taken = common.sampled(rows.select("vector"), F.xxhash64("vector"), FIT).collect()
     sample = _unit(np.stack([np.frombuffer(r.vector, np.float64) for r in taken]))
-    codes = int(np.clip(round((n / (CELL * labels)) ** 0.5), 1, MOST_CODES))
-    return MultiIndex(sample, codes, least_cosine, target_recall)
+    codes = int(np.clip(round((n / (CELL * labels)) ** 0.5), 1, max(1, FIT // FOR_CODE)))
+    index = MultiIndex(sample, codes, least_cosine, target_recall)
+    if target_recall >= 1:
+        index.radii = _radii(rows, index)
+    return index
+
+
+def _radii(rows: DataFrame, index: MultiIndex) -> list[np.ndarray]:
+    """Of each code of both halves the distance that covers all vectors nearest to it."""
+    shared = rows.sparkSession.sparkContext.broadcast(index)
+    schema = pa.schema([("half", pa.int32()), ("code", pa.int32()), ("far", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        far = [np.zeros(len(b)) for b in shared.value.books]
+        for batch in (b.slice(at, 1024) for b in batches for at in range(0, b.num_rows, 1024)):
+            for into, d in zip(far, shared.value.distances(_unit(vectors.matrix(batch.column(0)))), strict=True):
+                near = d.argmin(axis=1)
+                np.maximum.at(into, near, np.sqrt(d[np.arange(len(d)), near]))
+        yield batch_of([(h, c, float(x)) for h, own in enumerate(far) for c, x in enumerate(own)], schema)
+
+    found = rows.select("vector").mapInArrow(run, "half int, code int, far double").groupBy("half", "code").agg(F.max("far").alias("far"))
+    radii = [np.zeros(len(b)) for b in index.books]
+    for r in found.collect():  # one row a code
+        radii[r.half][r.code] = r.far + 1e-7
+    return radii
 
 
 def _indexed(classes: DataFrame, index: MultiIndex, dims: int) -> DataFrame:
-    """(cls, label, members, vector, home, visits) with unit vectors."""
+    """(cls, label, members, vector, home, visits)."""
     shared = classes.sparkSession.sparkContext.broadcast(index)
     schema = pa.schema([
-        ("cls", pa.int64()), ("label", pa.int32()), ("members", pa.int64()), ("vector", pa.binary()),
+        ("cls", pa.int64()), ("label", pa.string()), ("members", pa.int64()), ("vector", pa.binary()),
         ("home", pa.int64()), ("visits", pa.list_(pa.int64())),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, 1024) for b in batches for at in range(0, b.num_rows, 1024)):
-            unit = _unit(vectors.matrix(batch.column(3)))
-            first, second = shared.value.distances(unit)
+            whole = vectors.matrix(batch.column(3))
+            first, second = shared.value.distances(_unit(whole))
             home = shared.value.home(first, second).tolist()
             visits = [shared.value.visits(a, b) for a, b in zip(first, second, strict=True)]
             cols = [batch.column(i).to_pylist() for i in range(3)]
-            yield batch_of(zip(*cols, [u.tobytes() for u in unit], home, visits, strict=True), schema)
+            yield batch_of(zip(*cols, vectors.compact(whole), home, visits, strict=True), schema)
 
     return classes.where(F.col("dims") == dims).select("cls", "label", "members", "vector").mapInArrow(
-        run, "cls long, label int, members long, vector binary, home long, visits array<long>"
+        run, "cls long, label string, members long, vector binary, home long, visits array<long>"
     )
 
 
-def _verified(indexed: DataFrame, least_cosine: float) -> DataFrame:
+def _verified(indexed: DataFrame, dims: int, least_cosine: float) -> DataFrame:
     """Rows (cls, n, root): links of a class found in a block (weighted by members), or its root there."""
     cells = indexed.groupBy("label", F.col("home").alias("cell")).agg(
         F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")
@@ -165,7 +199,7 @@ def _verified(indexed: DataFrame, least_cosine: float) -> DataFrame:
                 part = batch.slice(a, b - a)
                 if keys[a] != key:
                     key, ids, sizes, table = keys[a], [], [], []
-                cls, unit = part.column(4).to_numpy(), vectors.matrix(part.column(6))
+                cls, unit = part.column(4).to_numpy(), _unit(vectors.expanded(part.column(6), dims))
                 if kinds[a] == 0:
                     ids.append(cls)
                     sizes.append(part.column(5).to_numpy())
@@ -200,42 +234,56 @@ def near_duplicates(
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row."""
     every = embeddings.select(F.col(id_col).cast("long").alias("vec_id"))
+    spark, used = embeddings.sparkSession, []
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        made, path = common.stored(df, name)
+        used.append(path)
+        return made
+
     good = vectors.usable(embeddings.where(_not_zero(vector_col)), id_col, vector_col, label_col).where("label is not null")
-    good, _ = common.stored(good.withColumn("cls", F.xxhash64("label", "vector")), "vectors")
-    classes, _ = common.stored(
-        good.groupBy("cls").agg(
-            F.min("vec_id").alias("vec_id"), F.first("label").alias("label"), F.first("dims").alias("dims"),
+    key = F.unhex(F.md5(F.concat(F.col("label").cast("binary"), F.lit(b"\0"), F.col("vector"))))
+    good = stored(good.withColumns({"key": key, "check": F.xxhash64("label", "vector")}), "vectors")
+    one = F.when(F.min("check") == F.max("check"), F.min("vec_id")).otherwise(
+        F.raise_error(F.lit("two vectors have one digest")).cast("long"))
+    # The number given to a class holds from here on, as the table is written.
+    classes = stored(
+        good.groupBy("key").agg(
+            one.alias("vec_id"), F.first("label").alias("label"), F.first("dims").alias("dims"),
             F.first("vector").alias("vector"), F.count("*").alias("members"),
-        ),
+        ).withColumn("cls", F.monotonically_increasing_id()),
         "vector-classes",
     )
     found = None
     for (dims,) in sorted(classes.select("dims").distinct().collect()):  # one or a few lengths
         index = fit(classes, dims, least_cosine, target_recall)
-        indexed, _ = common.stored(_indexed(classes, index, dims), "indexed")
-        some = _verified(indexed, least_cosine)
+        some = _verified(stored(_indexed(classes, index, dims), "indexed"), dims, least_cosine)
         found = some if found is None else found.unionByName(some)
     if found is None:
+        common.remove(spark, *used)
         return every.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    found, _ = common.stored(found, "vector-links")
+    found = stored(found, "vector-links")
     counts = found.groupBy("cls").agg(F.sum("n").alias("n"))
     roots = links.components(found.where("cls <> root").select(F.col("cls").alias("a"), F.col("root").alias("b")).distinct())
     placed = (
-        classes.select("cls", "vec_id", "members")
+        classes.select("cls", "key", "vec_id", "members")
         .join(roots.withColumnRenamed("node", "cls"), "cls", "left")
         .join(counts, "cls", "left")
         .withColumn("component", F.coalesce("component", "cls"))
     )
     lowest = placed.groupBy("component").agg(F.min("vec_id").alias("component_id"))
     answer = placed.join(lowest, "component").select(
-        "cls", (F.col("members") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), "component_id"
+        "key", (F.col("members") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), "component_id"
     )
-    linked = good.select("vec_id", "cls").join(answer, "cls").select("vec_id", "n_links", "component_id")
+    linked = good.select("vec_id", "key").join(answer, "key").select("vec_id", "n_links", "component_id")
     # Rows without a usable vector are the rest.
     alone = _without(embeddings, id_col, vector_col, label_col).select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
     )
-    return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    every = linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    answer, _ = common.stored(every, "near-vectors")
+    common.remove(spark, *used)
+    return answer
 
 
 def _not_zero(vector_col: str) -> Column:
