@@ -2,8 +2,8 @@
 
 Words are cut at spaces such that none of the pattern's matches is cut; a word is then one or
 more matches.  Distinct words are dealt by hash (``word_blocks``), each is encoded once, and its ids
-return to the blocks that have it, where documents are put together by position.  Decoding looks
-ids up in the table of token bytes, which has one row for each rank of the vocabulary.
+return to the blocks that have it, where documents are put together by position.  Decoding joins the
+table of token bytes, which has one row for each rank of the vocabulary.
 
 Defined cases: null and empty texts have no ids and decode to nothing; repeated rows and
 repeated or null ids are each encoded; a text of any length is encoded whole; an empty
@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common, word_blocks as wb
@@ -123,26 +123,69 @@ def encode(
     return wb.to_blocks(blocks, encoded).mapInArrow(assemble, "doc_id long, n_tokens long, ids binary")
 
 
+def token_table(spark: SparkSession, rank_file: str) -> DataFrame:
+    """(rank, token): the bytes of every token, one row for each rank of the vocabulary."""
+    rows = [(rank, bytearray(token)) for token, rank in sorted(ranks(rank_file).items(), key=lambda x: x[1])]
+    return spark.createDataFrame(rows, "rank long, token binary")
+
+
+#: Documents whose different ids are looked up together.
+LOOKED_UP = 256
+_ASKED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("rank", pa.int64())])
+
+
+def _with_ranks(encoded: DataFrame) -> DataFrame:
+    """The documents, before each ``LOOKED_UP`` of them a row for every rank they have."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(at, LOOKED_UP) for b in batches for at in range(0, b.num_rows, LOOKED_UP)):
+            used = np.unique(np.concatenate([np.frombuffer(ids.as_py(), "<u4") for ids in batch.column(2)])).astype(np.int64)
+            none = pa.nulls(len(used), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, pa.nulls(len(used), pa.binary()), pa.array(used)], schema=_ASKED)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.nulls(batch.num_rows, pa.int64())], schema=_ASKED)
+
+    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids binary, rank long")
+
+
 def decode(encoded: DataFrame, rank_file: str, keep_ids: bool = False) -> DataFrame:
     """Per row of ``encode``: doc_id, n_tokens, decoded (bytes) and, if asked for, ids_decimal,
-    the ids in decimal joined by one space."""
-    kinds = "doc_id long, n_tokens long, decoded binary" + ", ids_decimal binary" * keep_ids
+    the ids in decimal joined by one space.
 
-    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token_bytes = {rank: token for token, rank in ranks(rank_file).items()}
-        decimal = {rank: str(rank).encode() for rank in token_bytes}
-        for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
-            decoded, written = [], []
-            for ids in batch.column(2):
-                listed = np.frombuffer(ids.as_py(), "<u4").tolist()
-                decoded.append(b"".join(map(token_bytes.__getitem__, listed)))
-                if keep_ids:
-                    written.append(b" ".join(map(decimal.__getitem__, listed)))
-            columns = [batch.column(0), batch.column(1), pa.array(decoded, pa.binary())]
-            names = ["doc_id", "n_tokens", "decoded"]
-            if keep_ids:
-                columns.append(pa.array(written, pa.binary()))
-                names.append("ids_decimal")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(look_up, kinds)
+    The ids that some documents have are exploded, each once, and joined with the token table, which is
+    broadcast: it is as large as the vocabulary.  Such a join keeps the order of its other side's
+    rows, so the tokens come just before the documents that they are put together to.
+    """
+    kinds = "doc_id long, n_tokens long, decoded binary" + ", ids_decimal binary" * keep_ids
+    names = ["doc_id", "n_tokens", "decoded"] + ["ids_decimal"] * keep_ids
+
+    def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, tokens, decimal, open_ = np.empty(0, np.int64), [], [], False
+        for batch in batches:
+            is_rank = batch.column(2).is_null().to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero(is_rank[1:] != is_rank[:-1]) + 1).tolist(), batch.num_rows]
+            for a, b in zip(edges, edges[1:], strict=False):
+                if a == b:
+                    continue
+                part = batch.slice(a, b - a)
+                if is_rank[a]:
+                    if not open_:
+                        known, tokens, decimal, open_ = np.empty(0, np.int64), [], [], True
+                    if part.column(4).null_count:
+                        raise ValueError("an id that the vocabulary doesn't have")
+                    known = np.concatenate([known, part.column(3).to_numpy()])
+                    tokens += part.column(4).to_pylist()
+                    decimal = [str(x).encode() for x in known.tolist()] if keep_ids else []
+                    continue
+                open_ = False
+                decoded, written = [], []
+                for ids in part.column(2):
+                    at = np.searchsorted(known, np.frombuffer(ids.as_py(), "<u4")).tolist()
+                    decoded.append(b"".join([tokens[i] for i in at]))
+                    if keep_ids:
+                        written.append(b" ".join([decimal[i] for i in at]))
+                columns = [part.column(0), part.column(1), pa.array(decoded, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns + [pa.array(written, pa.binary())] * keep_ids, names=names)
+
+    tokens = token_table(encoded.sparkSession, rank_file)
+    met = _with_ranks(encoded).join(F.broadcast(tokens), "rank", "left")
+    return met.select("doc_id", "n_tokens", "ids", "rank", "token").mapInArrow(put_together, kinds)
