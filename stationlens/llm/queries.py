@@ -68,7 +68,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_warc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc_store.write_archive(table(spark, sf_dir, "pages"), min_revisit_bytes=0)
     return warc_store.read_archive(spark, archive).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_bytes"
     )
 
 

@@ -153,14 +153,73 @@ def test_fits_sample_only_the_documents_at_hand(spark, documents, monkeypatch):
     others = spark.range(10_000, 30_000).selectExpr("id as doc_id", "1 as quality", "cast(id % 2 as int) as toxic", "'x' as score")
     docs, labels = documents(texts), labels.unionByName(others)
     taken = []
-    for name, value in (("FIT_TOXIC", 20), ("FIT_CLEAN", 40), ("train", lambda *found: taken.append(found))):
-        monkeypatch.setattr(toxicity, name, value)
-    toxicity.fit(docs, labels)
+    monkeypatch.setattr(toxicity, "train", lambda *found: taken.append(found))
+    toxicity.fit(docs, labels, n_toxic=20, n_clean=40)
     ((found, toxic),) = taken
     assert ((toxic == 1).sum(), (toxic == 0).sum()) == (20, 40) and set(found) <= set(texts)
-    monkeypatch.setattr(quality, "FIT_POSITIVE", 50)
-    rows = quality._training_rows(common.id_and_text(docs), labels, common.fold(F.col("doc_id"), 3) != 1).where("role = 1").collect()
-    assert len(rows) == 50 and all(r.doc_id < 300 for r in rows)
+    seen = common.fold(F.col("doc_id"), 3) != 1
+    rows = quality._training_rows(common.id_and_text(docs), labels, seen, 50, 60).collect()
+    assert [sum(r.role == y for r in rows) for y in (1, 0)] == [50, 60] and all(r.doc_id < 300 for r in rows)
+
+
+def test_a_hot_id_takes_one_place(spark, documents, monkeypatch):
+    """Rows that repeat an id, and repeated labels, bring one text to the driver."""
+    texts, labels = labelled(spark, 90)
+    docs = documents(texts + [f"again {i}" for i in range(2000)], [*range(90), *[4] * 2000])
+    labels = labels.unionByName(spark.range(500).selectExpr("4L as doc_id", "1 as quality", "0 as toxic", "'x' as score"))
+    taken = []
+    monkeypatch.setattr(toxicity, "train", lambda *found: taken.append(found))
+    toxicity.fit(docs, labels)
+    ((found, toxic),) = taken
+    assert len(found) == len(set(found)) <= 90 and min([texts[4], "again 0"]) in found
+    model = quality.fit(docs, labels)
+    assert np.isfinite(model.weights["w"]).all()
+
+
+def test_sampled_rows(spark):
+    rows = spark.range(20_000).selectExpr("id % 5000 as x").repartition(7)
+    found = common.sampled(rows, F.xxhash64("x"), 300)
+    got = [r.x for r in found.collect()]
+    assert len(got) == len(set(got)) == 300
+    assert got == [r.x for r in common.sampled(rows.repartition(3).distinct(), F.xxhash64("x"), 300).collect()]
+    assert common.sampled(rows, F.xxhash64("x"), 10_000).count() == 5000
+
+
+def test_nnpu_gradient_and_bound():
+    rng = np.random.default_rng(2)
+    positive, unlabelled = rng.standard_normal((30, 5)) + 1, rng.standard_normal((50, 5))
+    for prior, scale in ((0.4, 0.3), (0.9, 3.0)):
+        weights = {"w": scale * rng.standard_normal(5) + scale, "b": np.array([0.2])}
+        if prior > 0.5:  # positives are told so well that the estimate goes below its bound
+            weights = {"w": np.full(5, 4.0), "b": np.array([6.0])}
+        below = quality.negative_risk(weights, positive, unlabelled, prior) < 0
+        assert below == (prior > 0.5)
+
+        def risk():
+            zp = positive @ weights["w"] + weights["b"][0]
+            estimate = quality.negative_risk(weights, positive, unlabelled, prior)
+            ridge = quality.RIDGE / 2 * (weights["w"] ** 2).sum()
+            return (-estimate if below else prior * np.logaddexp(0, -zp).mean() + estimate) + ridge
+
+        grads = quality._nnpu_gradient(weights, positive, unlabelled, prior)
+        for k in weights:
+            for i in range(len(weights[k])):
+                weights[k][i] += 1e-6
+                up = risk()
+                weights[k][i] -= 2e-6
+                assert grads[k][i] == pytest.approx((up - risk()) / 2e-6, rel=1e-4, abs=1e-7)
+                weights[k][i] += 1e-6
+
+
+def test_every_unlabelled_text_teaches(spark, documents):
+    """One text more, among many, moves the weights: no sample stands for the texts."""
+    texts, labels = labelled(spark, 120)
+    more = [prose(10_000 + i, 40) for i in range(300)]
+    changed = next(i for i in range(250, 300) if fold(len(texts) + i, 3) != 1)
+    one = quality.fit(documents(texts + more).repartition(2, "doc_id"), labels, n_start=50)
+    more[changed] = "### !!! ***"
+    other = quality.fit(documents(texts + more).repartition(2, "doc_id"), labels, n_start=50)
+    assert not np.array_equal(one.weights["w"], other.weights["w"])
 
 
 def test_language_model(spark, documents):

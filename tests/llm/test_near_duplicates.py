@@ -35,8 +35,8 @@ def shingles(text):
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
 
 
-def linked(a, b):
-    return bool(a and b) and 100 * len(a & b) >= 75 * len(a | b)
+def linked(a, b, threshold=75):
+    return bool(a and b) and 100 * len(a & b) >= threshold * len(a | b)
 
 
 def edited(text, share, seed):
@@ -57,21 +57,22 @@ def corpus():
     return texts
 
 
-def brute(texts):
+def brute(texts, threshold=75):
     sets = [shingles(t) for t in texts]
     groups = Groups(range(len(texts)))
     for a, b in combinations(range(len(texts)), 2):
-        if linked(sets[a], sets[b]):
+        if linked(sets[a], sets[b], threshold):
             groups.join(a, b)
     return sets, groups
 
 
-@pytest.mark.parametrize("block", [minhash.BLOCK, 8])
-def test_minhash(spark, documents, monkeypatch, block):
+@pytest.mark.parametrize("block, threshold", [(minhash.BLOCK, 75), (8, 75), (8, 50), (minhash.BLOCK, 90)])
+def test_minhash(spark, documents, monkeypatch, block, threshold):
     monkeypatch.setattr(minhash, "BLOCK", block)
-    texts = corpus()
-    sets, groups = brute(texts)
-    rows = minhash.near_duplicates(documents(texts)).collect()
+    base = prose(77, 90)
+    texts = corpus() + [edited(base, s, 900 + i) for i, s in enumerate([0.0, 0.005, 0.02, 0.05, 0.08] * 4)]
+    sets, groups = brute(texts, threshold)
+    rows = minhash.near_duplicates(documents(texts), threshold).collect()
     assert len(rows) == len(texts)
     for r in rows:
         assert r.n_shingles == len(sets[r.doc_id])
@@ -86,10 +87,35 @@ def test_minhash_null_and_repeated_ids_and_empty(spark, documents):
         (-1, True, -1, True), (-1, True, 4, False), (4, False, 4, True), (4, True, 4, True), (4, True, 4, True), (6, True, 4, False)]
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
     kept = minhash.one_of_each(docs).collect()
-    assert sorted(r.doc_id or -1 for r in kept) == [-1, -1, 4]
+    assert sorted((r.doc_id or -1, r.text or "") for r in kept) == sorted([(-1, prose(8, 80)), (4, ""), (4, prose(9, 80)), (4, text)])
     assert minhash.one_of_each(docs).columns == docs.columns
 
 
+def test_bounds_follow_from_the_threshold():
+    assert minhash.bounds(75)[:2] == (48, 28)
+    for threshold in (30, 50, 75, 90, 100):
+        whole, shared, margin = minhash.bounds(threshold)
+        assert whole == 64 * threshold // 100 and 1 <= shared <= 64 * threshold / 100 and 0 <= margin < 0.3
+        n = np.arange(1, 200)
+        least = minhash.least_shared(n, threshold)
+        assert (least[n <= whole] >= n[n <= whole] * threshold / 100).all() and (least[n > whole] == shared).all()
+
+
+@pytest.mark.parametrize("broadcast", [minhash.MAX_BROADCAST_IDS, 0])
+def test_one_of_each_tells_rows_by_id_and_text(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(minhash, "MAX_BROADCAST_IDS", broadcast)
+    a, b, c, d = (prose(i, 80) for i in range(4))
+    near_b = edited(b, 0.01, 1)
+    rows = [(1, a), (1, b), (None, c), (None, c), (None, d), (2, b), (0, near_b), (3, a), (3, a), (5, d), (5, d), (5, ""), (6, None), (None, "")]
+    names = ["dropped_id", "again_id", "kept_id", "row_id", "row_text", "out_id", "out_text", "_out_id", "node", "rows", "first", "salt"]
+    docs = spark.createDataFrame([(i, t, *names) for i, t in rows], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    kept = minhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    found = [(r.doc_id, r.text) for r in kept.collect()]
+    # a: 1 before 3; b and near_b: 0; c: one of the null ids; d: 5 (once) before null; no shingles: all.
+    assert sorted(found, key=repr) == sorted([(1, a), (0, near_b), (None, c), (5, d), (5, ""), (6, None), (None, "")], key=repr)
+
+
 def test_minhash_shuffle_join_when_ids_are_many(spark, documents, monkeypatch):
     monkeypatch.setattr(minhash, "MAX_BROADCAST_IDS", 0)
     texts = [prose(1, 60)] * 2 + [edited(prose(1, 60), 0.01, 1), prose(2, 60)]
@@ -129,9 +155,10 @@ def good(v):
     return v is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v)
 
 
-@pytest.mark.parametrize("block", [multi_index.BLOCK, 16])
-def test_multi_index(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, cell, recall", [(multi_index.BLOCK, 512, 0.9995), (32, 4, 0.9995), (32, 4, 1.0), (64, 16, 1.0)])
+def test_multi_index(spark, monkeypatch, block, cell, recall):
     monkeypatch.setattr(multi_index, "BLOCK", block)
+    monkeypatch.setattr(multi_index, "CELL", cell)
     rows = vector_rows()
     n, groups = dict.fromkeys([r[0] for r in rows], 0), Groups([r[0] for r in rows])
     for (i, u, a), (j, v, b) in combinations(rows, 2):
@@ -140,12 +167,35 @@ def test_multi_index(spark, monkeypatch, block):
                 n[i] += 1
                 n[j] += 1
                 groups.join(i, j)
-    got = {r.vec_id: r for r in multi_index.near_duplicates(vector_table(spark, rows)).collect()}
-    assert set(got) == set(n)
+    got = {r.vec_id: r for r in multi_index.near_duplicates(vector_table(spark, rows), target_recall=recall).collect()}
+    assert set(got) == set(n) and all(r.kept == (r.vec_id == r.component_id) for r in got.values())
+    if recall == 1.0:  # by construction
+        assert {i: (r.n_links, r.component_id) for i, r in got.items()} == {i: (n[i], groups.root(i)) for i in n}
     assert sum(r.n_links for r in got.values()) >= 0.99 * sum(n.values())
     assert all(got[i].n_links <= n[i] for i in n)
     assert sum(got[i].component_id != groups.root(i) for i in n) <= 0.01 * len(n)
-    assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
+
+
+def test_exact_limit_passes_over_cells_that_cannot_hold_a_link():
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((6, 16))
+    sample = multi_index._unit(centres[rng.integers(6, size=600)] + 0.02 * rng.standard_normal((600, 16)))
+    index = multi_index.MultiIndex(sample, 6, 0.98, 1.0)
+    d = index.distances(sample)
+    index.radii = [np.array([np.sqrt(x[x.argmin(axis=1) == c, c].max(initial=0)) for c in range(x.shape[1])]) for x in d]
+    home = index.home(*d)
+    linked = sample @ sample.T >= 0.98
+    visited = [index.visits(a, b) for a, b in zip(*d, strict=True)]
+    for i, cells in enumerate(visited):
+        assert set(home[linked[i]].tolist()) <= set(cells) and len(set(cells)) == len(cells)
+    assert np.mean([len(v) for v in visited]) < 0.2 * len(index.books[0]) * len(index.books[1])
+
+
+def test_labels_are_compared_as_they_are(spark):
+    rows = [(1, [1.0, 0.0], 1.2), (2, [1.0, 0.0], 1.7), (3, [1.0, 0.001], 1.2), (4, [1.0, 0.0], None)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label double")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in multi_index.near_duplicates(table).collect()}
+    assert got == {1: (1, 1), 2: (0, 2), 3: (1, 1), 4: (0, 4)}
 
 
 def test_multi_index_negative_zeros(spark):
@@ -174,6 +224,7 @@ def test_multi_sequence_visits_nearest_cells_first():
     rng = np.random.default_rng(1)
     sample = multi_index._unit(rng.standard_normal((300, 8)))
     index = multi_index.MultiIndex(sample, 6, 0.9, 0.99)
+    assert index.radii is None
     first, second = index.distances(sample)
     for a, b in zip(first[:40], second[:40], strict=True):
         cells = index.visits(a, b)
@@ -182,40 +233,112 @@ def test_multi_sequence_visits_nearest_cells_first():
         assert np.all(np.diff(d[cells]) >= -1e-12)
 
 
-@pytest.mark.parametrize(("rows_in_block", "queries_in_block", "leaf"), [(4096, 512, 64), (60, 7, 4)])
-def test_cover_tree(spark, monkeypatch, rows_in_block, queries_in_block, leaf):
-    for name, value in (("ROWS", rows_in_block), ("QUERIES", queries_in_block), ("LEAF", leaf)):
-        monkeypatch.setattr(cover_tree, name, value)
-    rows = vector_rows()
-    got = {}
-    for r in cover_tree.top_k(vector_table(spark, rows), "vec_id % 20 = 0 or vec_id = 909", k=20, scale=64.0).collect():
-        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
-    usable = [(i, np.floor(64 * np.array(v))) for i, v, _ in rows if good(v)]
-    want = {}
+def plain_top_k(rows, is_query, k=20, scale=64.0):
+    usable = [(i, [int(np.floor(scale * x)) for x in v]) for i, v, _ in rows if i is not None and good(v)]
+    asked = {}
     for i, q in usable:
-        if i % 20 == 0 or i == 909:
-            scored = sorted((-int(q @ x), j) for j, x in usable if j != i and len(x) == len(q))[:20]
-            if scored:
-                want[i] = [(k, j, -s) for k, (s, j) in enumerate(scored, 1)]
-    assert {k: sorted(v) for k, v in got.items()} == want
+        if is_query(i) and (i not in asked or np.array(q).tobytes() < np.array(asked[i]).tobytes()):
+            asked[i] = q
+    out = []
+    for i, q in asked.items():
+        scored = sorted((-sum(a * b for a, b in zip(q, x, strict=True)), j) for j, x in usable if j != i and len(x) == len(q))[:k]
+        out += [(i, r, j, -s) for r, (s, j) in enumerate(scored, 1)]
+    return sorted(out)
+
+
+def found_top_k(spark, rows, condition, **options):
+    found = cover_tree.top_k(vector_table(spark, rows).repartition(3), condition, **options).collect()
+    return sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found)
+
+
+def clustered(n, dims, centres, seed=0, spread=0.05):
+    rng = np.random.default_rng(seed)
+    middle = rng.standard_normal((centres, dims))
+    return [(i, (middle[i % centres] + spread * rng.standard_normal(dims)).tolist(), 0) for i in range(n)]
+
+
+@pytest.mark.parametrize(("rows_in_block", "queries_in_block", "chunk"), [(4096, 512, 1 << 24), (60, 7, 3000)])
+def test_cover_tree(spark, monkeypatch, rows_in_block, queries_in_block, chunk):
+    for name, value in (("ROWS", rows_in_block), ("QUERIES", queries_in_block), ("CHUNK_BYTES", chunk)):
+        monkeypatch.setattr(cover_tree, name, value)
+    rows = vector_rows() + [(2000 + i, v, x) for i, v, x in clustered(300, 16, 4)]
+    is_query = lambda i: i % 20 == 0 or i == 909
+    assert found_top_k(spark, rows, "vec_id % 20 = 0 or vec_id = 909") == plain_top_k(rows, is_query)
+
+
+def test_cover_tree_few_rows_ties_and_repeated_queries(spark):
+    rows = [(0, [1.0], 1), (1, [2.0], 1), (2, [2.0], 1), (0, [5.0], 1), (None, [9.0], 1), (3, [-4.0], 1), (3, [-4.0], 1)]
+    got = found_top_k(spark, rows, "vec_id in (0, 3)", k=3)
+    assert got == plain_top_k(rows, lambda i: i in (0, 3), k=3)
+    assert [g[2] for g in got if g[0] == 0] == [1, 2, 3]  # one list for the repeated id
+    assert cover_tree.top_k(vector_table(spark, rows).limit(0), "vec_id = 0").count() == 0
+    assert found_top_k(spark, rows, "vec_id = 77") == []
+
+
+def test_cover_tree_large_scores_are_exact_or_refused(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, [float(x) for x in rng.integers(-(2**28), 2**28, 6)], 0) for i in range(300)]
+    want = plain_top_k(rows, lambda i: i % 20 == 0, scale=1.0)
+    assert max(abs(w[3]) for w in want) > 2**53
+    assert found_top_k(spark, rows, "vec_id % 20 = 0", scale=1.0) == want
+    for large in (1e300, 1e10):
+        with pytest.raises(Exception, match="OverflowError"):
+            found_top_k(spark, [(0, [large, 1.0], 0), (1, [large, 2.0], 0)], "vec_id = 0", scale=1.0)
 
 
-def test_cover_tree_few_rows_and_ties(spark):
-    table = vector_table(spark, [(0, [1.0], 1), (1, [2.0], 1), (2, [2.0], 1), (0, [5.0], 1), (None, [9.0], 1)])
-    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in cover_tree.top_k(table, "vec_id = 0", k=1).collect())
-    assert [g[2] for g in got][:1] == [1]
-    assert cover_tree.top_k(table.limit(0), "vec_id = 0").count() == 0
+def block_of(points, ids=None):
+    whole = np.asarray(points).astype(np.int64)
+    tree = cover_tree.CoverTree(whole.astype(float))
+    ids = np.arange(len(whole)) if ids is None else ids
+    return tree, cover_tree.Block({"dims": whole.shape[1], "ids": ids[tree.order].tobytes(), "matrix": whole[tree.order].tobytes(), "nodes": tree.packed()})
 
 
-def test_cover_tree_covers_and_prunes():
+def test_cover_tree_covers():
     rng = np.random.default_rng(2)
-    points = np.concatenate([c * 50 + rng.integers(-3, 4, (200, 6)) for c in rng.integers(-9, 10, (5, 6))]).astype(float)
-    tree = cover_tree.CoverTree(points)
-    assert sorted(tree.order.tolist()) == list(range(len(points)))
-    for centre, radius, a, b, children in tree.nodes:
-        assert np.linalg.norm(tree.points[a:b] - points[centre], axis=1).max() <= radius + 1e-9
-        if children:
-            spans = sorted(tree.nodes[c][2:4] for c in children)
-            assert spans[0][0] == a and spans[-1][1] == b
-            assert all(x[1] == y[0] for x, y in zip(spans[:-1], spans[1:], strict=True))
-            assert all(tree.nodes[c][1] <= radius / 2 + 1e-9 for c in children)
+    clusters = np.concatenate([c * 50 + rng.integers(-3, 4, (200, 6)) for c in rng.integers(-9, 10, (5, 6))]).astype(float)
+    for points in (clusters, rng.standard_normal((500, 32)), np.zeros((100, 3)), np.ones((1, 2)), np.repeat(clusters[:40], 5, axis=0)):
+        tree = cover_tree.CoverTree(points)
+        assert sorted(tree.order.tolist()) == list(range(len(points)))
+        placed = points[tree.order]
+        for centre, radius, a, b, first, last in tree.nodes:
+            assert a <= centre < b
+            assert np.linalg.norm(placed[a:b] - placed[centre], axis=1).max() <= radius + 1e-9
+            if first < last:
+                spans = [n[2:4] for n in tree.nodes[first:last]]
+                assert spans[0][0] == a and spans[-1][1] == b
+                assert all(x[1] == y[0] for x, y in zip(spans[:-1], spans[1:], strict=True))
+                assert all(n[1] <= radius / 2 + 2 * tree.slack for n in tree.nodes[first:last])
+
+
+def test_clustered_data_has_a_tree_and_is_pruned():
+    rows = np.floor(64 * np.array([v for _, v, _ in clustered(4096, 64, 16)]))
+    tree, block = block_of(rows)
+    assert len(tree.nodes) > 16
+    asked = np.floor(64 * np.array([v for _, v, _ in clustered(256, 64, 16, spread=0.06)]))
+    _, queries = block_of(asked, np.arange(10_000, 10_256))
+    best = cover_tree.Best(256, 20, np.full(256, cover_tree.LOWEST))
+    taken = cover_tree.search(queries, block, best)
+    assert taken < 0.15 * 256 * 4096
+    scores = queries.points @ block.points.T
+    for i in range(256):
+        want = np.lexsort((block.ids, -scores[i]))[:20]
+        at = best.query == i
+        assert best.ids[at].tolist() == block.ids[want].tolist() and best.scores[at].tolist() == scores[i][want].tolist()
+
+
+def test_cells_without_a_best_row_are_not_read():
+    """Whole cells are pruned by centre and radius, and those that stay hold all of the best rows."""
+    rows = np.floor(64 * np.array([v for _, v, _ in clustered(2000, 32, 20, seed=3)]))
+    centres = cover_tree._net(rows[:500], 20)
+    cell = ((rows[:, None] - centres) ** 2).sum(axis=2).argmin(axis=1)
+    radii = np.array([np.linalg.norm(rows[cell == c] - centres[c], axis=1).max() for c in range(20)])
+    cells = cover_tree.Cells(np.arange(20), centres, radii)
+    open_share = []
+    for c in range(20):
+        _, queries = block_of(rows[cell == c][:10])
+        scores = queries.points @ rows.T
+        floor = np.sort(scores, axis=1)[:, -20]
+        open_ = cells.open(queries, floor)
+        assert set(np.unique(cell[(scores >= floor[:, None]).any(axis=0)])) <= set(open_.tolist())
+        open_share.append(len(open_) / 20)
+    assert np.mean(open_share) < 0.4

@@ -111,6 +111,31 @@ def test_byte_bpe(spark, documents, path_of):
     decoded = {r.doc_id: bytes(r.decoded) for r in byte_bpe.decode(encoded, ranks).collect()}
     assert decoded == {i: (t or "").encode() for i, t in enumerate(texts)}
     assert byte_bpe.encode(docs.limit(0), ranks, PATTERN).count() == 0
+    assert byte_bpe.decode(encoded.limit(0), ranks).count() == 0
+
+
+@pytest.mark.parametrize("looked_up", [1, 3, 256])
+def test_byte_bpe_null_and_repeated_ids(spark, documents, path_of, monkeypatch, looked_up):
+    """Decoding joins the token table, some documents at a time; ids tell nothing."""
+    import tiktoken
+    from public_tokenizers import PATTERN
+    monkeypatch.setattr(byte_bpe, "LOOKED_UP", looked_up)
+    ranks = path_of("byte_bpe_50k.tiktoken")
+    plain = tiktoken.Encoding("t", pat_str=PATTERN, mergeable_ranks=byte_bpe.ranks(ranks), special_tokens={})
+    texts = [t or "" for t in ODD] * 3
+    docs = documents(texts, [None if i % 3 else 7 for i in range(len(texts))])
+    decoded = byte_bpe.decode(byte_bpe.encode(docs, ranks, PATTERN, store=True), ranks, keep_ids=True)
+    plan = decoded._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    got = sorted((bytes(r.decoded).decode(), bytes(r.ids_decimal).decode(), r.n_tokens) for r in decoded.collect())
+    want = [(t, plain.encode_ordinary(t)) for t in texts]
+    assert got == sorted((t, " ".join(map(str, ids)), len(ids)) for t, ids in want)
+
+
+def test_byte_bpe_refuses_unknown_ids(spark, path_of):
+    rows = spark.createDataFrame([(1, 1, bytearray((60_000_000).to_bytes(4, "little")))], "doc_id long, n_tokens long, ids binary")
+    with pytest.raises(Exception, match="doesn't have"):
+        byte_bpe.decode(rows, path_of("byte_bpe_50k.tiktoken")).collect()
 
 
 def test_byte_bpe_stops_if_the_input_changes(spark, path_of):
@@ -130,7 +155,7 @@ def _pages(spark, rows):
 
 
 def test_warc(spark):
-    rows = [(3, "u3", "<p>é</p>"), (1, "u1", "<p>é</p>"), (2, None, None), (4, "u4", ""), (5, "u5", "x" * 100_000),
+    rows = [(3, "u3\r\nWARC-Type: warcinfo", "<p>é</p>"), (1, "u1", "<p>é</p>"), (2, None, None), (4, "u4", ""), (5, "u5", "x" * 100_000),
             (None, "n", "<p>é</p>"), (None, "m", "alone"), (7, "u7", "same"), (7, "u7", "same"), (8, "u8", "same")]
     paths = warc_store.write_archive(_pages(spark, rows))
     got = warc_store.read_archive(spark, paths).collect()
@@ -142,7 +167,14 @@ def test_warc(spark):
         assert r.payload_digest == base64.b32encode(hashlib.sha1(data).digest()).decode()
         head, _, body = bytes(r.record).partition(b"\r\n\r\n")
         assert body == (data if r.record_type == "response" else b"") + b"\r\n\r\n"
-        assert f"WARC-Type: {r.record_type}".encode() in head
+        lines = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
+        assert (lines["WARC-Type"], lines["X-Page-ID"]) == (r.record_type, "" if r.page_id is None else str(r.page_id))
+        assert lines["WARC-Payload-Digest"] == f"sha1:{r.payload_digest}" and lines["WARC-Record-ID"] == r.record_id
+        assert int(lines["Content-Length"]) == len(body) - 4 and r.record_bytes == len(r.record)
+        if r.record_type == "revisit":
+            assert lines["WARC-Refers-To"] in {x.record_id for x in got if x.page_id == r.refers_to and x.record_type == "response"}
+    assert len({r.record_id for r in got}) == len(got)
+    assert set(spark.read.parquet(paths["headers"]).columns) == {"content_key", "header"}  # nothing beside the bytes
     kinds = sorted((r.page_id or -1, r.record_type, r.refers_to) for r in got)
     assert kinds == [(-1, "response", None), (-1, "revisit", 1), (1, "response", None), (2, "response", None),
                      (3, "revisit", 1), (4, "revisit", 2), (5, "response", None), (7, "response", None),
