@@ -74,7 +74,7 @@ QUALIFY rank <= 5
 """
 
 #: Base32 of SHA-1: every five bits of the forty hexadecimal digits.  The two record ids of a
-#: header have 45 signs each.
+#: header have 47 signs each.
 OP10_WARC_STORE = r"""
 WITH p AS (
     SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
@@ -89,10 +89,10 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first THEN first END AS refers_to,
        strlen('WARC/1.1') + 2 + strlen('WARC-Type: ') + CASE WHEN page_id = first THEN 8 ELSE 7 END + 2
-         + strlen('WARC-Record-ID: ') + 45 + 2 + strlen('WARC-Date: 1970-01-01T00:00:00Z') + 2
+         + strlen('WARC-Record-ID: ') + 47 + 2 + strlen('WARC-Date: 1970-01-01T00:00:00Z') + 2
          + strlen('WARC-Target-URI: ') + strlen(replace(replace(url, chr(13), '%0D'), chr(10), '%0A')) + 2
          + strlen('X-Page-ID: ') + strlen(page_id::VARCHAR) + 2 + strlen('WARC-Payload-Digest: sha1:') + 32 + 2
-         + CASE WHEN page_id = first THEN 0 ELSE strlen('WARC-Refers-To: ') + 45 + 2
+         + CASE WHEN page_id = first THEN 0 ELSE strlen('WARC-Refers-To: ') + 47 + 2
              + strlen('X-Refers-To-Page-ID: ') + strlen(first::VARCHAR) + 2
              + strlen('WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest') + 2 END
          + strlen('Content-Type: text/html; charset=utf-8') + 2 + strlen('Content-Length: ')
