@@ -73,6 +73,117 @@ FROM positives AS p JOIN scores AS n ON n.anchor_id = p.anchor_id AND NOT n.same
 QUALIFY rank <= 5
 """
 
+#: Who is reached over links (a, b), which go both ways.
+_REACHED = """
+reach(a, b) AS (
+    SELECT a, b FROM links
+    UNION SELECT r.a, l.b FROM reach AS r JOIN links AS l ON r.b = l.a
+),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+"""
+
+OP1_MULTI_INDEX = f"""
+WITH RECURSIVE {_VECTORS.format(scale=1)},
+unit AS (
+    SELECT vec_id, label, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS u FROM usable
+    WHERE label IS NOT NULL AND list_dot_product(v, v) > 0
+),
+links AS (
+    SELECT x.vec_id AS a, y.vec_id AS b FROM unit AS x JOIN unit AS y
+      ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.u) = len(y.u) AND list_dot_product(x.u, y.u) >= 0.98
+),
+{_REACHED}
+SELECT e.vec_id, count(l.b) AS n_links, least(e.vec_id, coalesce(any_value(m.b), e.vec_id)) AS component_id,
+       e.vec_id = least(e.vec_id, coalesce(any_value(m.b), e.vec_id)) AS kept
+FROM embeddings AS e LEFT JOIN links AS l ON l.a = e.vec_id LEFT JOIN least AS m ON m.a = e.vec_id
+GROUP BY e.vec_id
+"""
+
+#: Pairs come from shared shingles; lower case of A-Z only.
+OP2_MINHASH = rf"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS words
+    FROM documents
+),
+s AS MATERIALIZED (
+    SELECT DISTINCT doc_id, md5_number(array_to_string(words[i:i + 4], ' ')) AS shingle
+    FROM w, unnest(range(1, greatest(len(words) - 4, least(len(words), 1)) + 1)) AS t(i)
+),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+    FROM s AS x JOIN s AS y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2
+),
+links AS MATERIALIZED (
+    SELECT a, b FROM shared JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b
+    WHERE 100 * common >= 75 * (x.n + y.n - common)
+),
+{_REACHED}
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.b, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(m.b, d.doc_id)) AS kept
+FROM documents AS d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least AS m ON m.a = d.doc_id
+"""
+
+#: crc32 of the decimal id, bit by bit.  A run of at least 12 words and two periods has six equal
+#: words in a row a period apart, so runs are islands of positions with equal stretches of six.
+OP13_PERIODIC_RUNS = r"""
+WITH c AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS words,
+           xor(4294967295, list_reduce(
+             list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i::INTEGER, 1))::BIGINT),
+             lambda c, b: list_reduce(range(8)::BIGINT[],
+               lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, b)),
+             4294967295::BIGINT)) AS h
+    FROM documents
+),
+p AS (
+    SELECT doc_id, words, len(words) AS n, h, (h // 10) % greatest(len(words), 1) AS a, h // 10 AS g FROM c
+),
+q AS (
+    SELECT *, 1 + (n - a) // (3 + g % 8) AS period FROM p
+),
+w AS MATERIALIZED (
+    SELECT doc_id, i, words[1 + CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % period ELSE i END] AS word
+    FROM q, unnest(range(n)) AS t(i)
+),
+six AS MATERIALIZED (
+    SELECT doc_id, i, md5_number(concat_ws(' ', word, w1, w2, w3, w4, w5)) AS stretch FROM (
+        SELECT doc_id, i, word, lead(word, 1) OVER o AS w1, lead(word, 2) OVER o AS w2, lead(word, 3) OVER o AS w3,
+               lead(word, 4) OVER o AS w4, lead(word, 5) OVER o AS w5
+        FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+    ) WHERE w5 IS NOT NULL
+),
+pairs AS (
+    SELECT x.doc_id, x.i, y.i - x.i AS period FROM six AS x JOIN six AS y ON x.doc_id = y.doc_id AND x.stretch = y.stretch AND y.i > x.i
+),
+islands AS (
+    SELECT doc_id, period, i, i - row_number() OVER (PARTITION BY doc_id, period ORDER BY i) AS island FROM pairs
+),
+stretches AS (
+    SELECT doc_id, period, min(i) AS start, max(i) - min(i) + 6 + period AS length FROM islands GROUP BY doc_id, period, island
+),
+runs AS MATERIALIZED (
+    SELECT doc_id, start, length, min(period) AS period FROM stretches
+    WHERE length >= greatest(12, 2 * period) GROUP BY doc_id, start, length
+),
+best AS (
+    SELECT doc_id, count(*) AS n_runs, arg_min(struct_pack(start, length, period), (-length, start, period)) AS longest,
+           string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+    FROM runs GROUP BY doc_id
+),
+kept AS (
+    SELECT w.doc_id, string_agg(word, ' ' ORDER BY w.i) AS words FROM w
+    WHERE NOT EXISTS (SELECT 1 FROM runs AS r WHERE r.doc_id = w.doc_id AND w.i >= r.start + r.period AND w.i < r.start + r.length)
+    GROUP BY w.doc_id
+)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, longest.start AS start, longest.length AS length, longest.period AS period,
+       1000 * longest.length // longest.period AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.words, '')) AS collapsed_sha256
+FROM documents AS d LEFT JOIN best ON best.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""
+
 #: Base32 of SHA-1: every five bits of the forty hexadecimal digits.  The two record ids of a
 #: header have 47 signs each.
 OP10_WARC_STORE = r"""
@@ -110,8 +221,11 @@ QUALIFY rank <= 20
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_multi_index": OP1_MULTI_INDEX,
+    "op2_minhash": OP2_MINHASH,
     "op4_cover_tree": OP4_COVER_TREE,
     "op10_warc_store": OP10_WARC_STORE,
     "op11_bond": OP11_BOND,
     "op12_mixing": OP12_MIXING,
+    "op13_periodic_runs": OP13_PERIODIC_RUNS,
 }
