@@ -7,8 +7,8 @@ whole texts of labelled rows: first every window of a toxic text counts as toxic
 those that the network itself scores highest.  A last logistic step maps the worst
 window's score to a probability.
 
-Only the fit sees a bounded number of rows (``FIT_TOXIC`` and ``FIT_CLEAN`` documents, the
-first by a hash of their id).
+Only the fit sees a bounded number of labelled rows (``n_toxic`` and ``n_clean`` documents, the first by
+a hash of their id).  A text of more than ``LONG`` characters is read piece by piece.
 
 Defined cases: null and empty texts have one empty window; windows of texts shorter than a window are
 filled up and the filling gets no attention; rows with null or repeated ids are scored one by one;
@@ -16,6 +16,7 @@ labels that are null or of unknown ids are not used; without labels of both clas
 is 0; an empty table gives an empty table.
 """
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -30,11 +31,14 @@ from .word_blocks import Numbered
 FIT_TOXIC = 800
 FIT_CLEAN = 3_000
 WINDOW, STRIDE = 48, 36
+#: Characters of texts that are scored together, and of a piece of a longer text.
+LONG = 4 << 20
 WORD_SLOTS, TRIGRAM_SLOTS, PREFIX_SLOTS, WIDTH, HIDDEN = 1 << 15, 1 << 13, 1 << 14, 12, 8
 #: Lengths of the beginnings of words, in bytes, that are inputs besides trigrams.
 PREFIXES = (4, 6)
 #: Texts of a class that are left out of the steps at least, if any are.
 LEFT_OUT = 30
+SPACE = re.compile(r"[\x20\x09-\x0D]")
 SIGNS = b".,;:!?\"'()[]{}<>|*#%&$_-+=/~`"
 
 
@@ -134,12 +138,12 @@ def score_windows(net: Net, vectors: np.ndarray, windows: np.ndarray) -> np.ndar
     return out
 
 
-def _train_step(net: Net, adam: gru.Adam, cut: tuple, windows: np.ndarray, labels: np.ndarray, seen: np.ndarray) -> None:
-    w = net.w
-    vectors = np.concatenate([embed(w, cut, seen), np.zeros((1, WIDTH), np.float32)])
+def gradients(w: dict, cut: tuple, windows: np.ndarray, labels: np.ndarray, seen: np.ndarray) -> tuple[dict, np.ndarray]:
+    """Gradients of the mean logistic loss of windows, and their logits."""
+    vectors = np.concatenate([embed(w, cut, seen), np.zeros((1, WIDTH), w["word"].dtype)])
     index = windows.T
     x = vectors[index]
-    h0 = np.zeros((len(windows), HIDDEN), np.float32)
+    h0 = np.zeros((len(windows), HIDDEN), x.dtype)
     states, kept = {}, {}
     for d, flip in (("f", 1), ("b", -1)):
         s, kept[d] = gru.forward((x @ w[f"in_{d}"] + w[f"bias_{d}"])[::flip], w[f"u_{d}"], h0)
@@ -150,7 +154,7 @@ def _train_step(net: Net, adam: gru.Adam, cut: tuple, windows: np.ndarray, label
     weight /= weight.sum(axis=0)
     value = both @ w["out"]
     z = (weight * value).sum(axis=0) + w["out_bias"]
-    dz = ((gru.sigmoid(z) - labels) / len(labels)).astype(np.float32)
+    dz = ((gru.sigmoid(z) - labels) / len(labels)).astype(x.dtype)
     d_value = weight * dz
     d_attend = weight * (value - (weight * value).sum(axis=0)) * dz * (index >= 0)
     grads = {
@@ -172,8 +176,12 @@ def _train_step(net: Net, adam: gru.Adam, cut: tuple, windows: np.ndarray, label
     counts = np.diff(np.append(starts, len(trigrams)))
     d_tri = np.repeat(d_words / counts[:, None], counts, axis=0)
     for name, at, g, n in (("word", word_slot, d_words * seen[:, None], WORD_SLOTS), ("char", trigrams, d_tri, TRIGRAM_SLOTS), ("prefix", prefix.ravel(), np.repeat(d_words, len(PREFIXES), axis=0), PREFIX_SLOTS)):
-        grads[name] = np.stack([np.bincount(at, g[:, j], n) for j in range(WIDTH)], axis=1).astype(np.float32)
-    adam.step(grads, clip=1e9)
+        grads[name] = np.stack([np.bincount(at, g[:, j], n) for j in range(WIDTH)], axis=1).astype(x.dtype)
+    return grads, z
+
+
+def _train_step(net: Net, adam: gru.Adam, cut: tuple, windows: np.ndarray, labels: np.ndarray, seen: np.ndarray) -> None:
+    adam.step(gradients(net.w, cut, windows, labels, seen)[0], clip=1e9)
 
 
 def train(texts: list, toxic: np.ndarray, seed: int = 7, batch: int = 384, rounds: tuple = (100, 80, 100, 100)) -> Net:
@@ -255,21 +263,64 @@ def fit(
     return train([t for _, _, t in found], np.array([y for _, y, _ in found], int))
 
 
+def pieces_of(text: str) -> Iterator[str]:
+    """``text`` in pieces of some ``LONG`` characters that end before white space."""
+    at = 0
+    while at < len(text):
+        found = SPACE.search(text, at + LONG)
+        end = found.start() if found else len(text)
+        yield text[at:end]
+        at = end
+
+
+def worst_of_long(net: Net, text: str) -> float:
+    """The logit of a long text's worst window, with some pieces of it in memory."""
+    worst, words, start, count = -np.inf, [], 0, 0  # words[0] is the text's word number ``count``
+    for piece in pieces_of(text):
+        words += words_of(piece)
+        n = count + len(words)
+        starts = list(range(start, n - WINDOW + 1, STRIDE))
+        if starts:
+            worst = max(worst, _worst_window(net, words, [s - count for s in starts]))
+            start = starts[-1] + STRIDE
+            drop = max(0, min(start, n - WINDOW) - count)
+            words, count = words[drop:], count + drop
+    n = count + len(words)
+    if n < WINDOW:  # a long text of few words
+        return float(_worst_of([text], net)[0])
+    return max(worst, _worst_window(net, words, [n - WINDOW - count]))
+
+
+def _worst_window(net: Net, words: list[bytes], starts: list[int]) -> float:
+    numbered = Numbered()
+    numbers = np.fromiter(map(numbered.__getitem__, words), np.int64, len(words))
+    vectors = embed(net.w, slots(list(numbered)))
+    return float(score_windows(net, vectors, numbers[np.array(starts)[:, None] + np.arange(WINDOW)]).max())
+
+
+def _worst_of(texts: list, net: Net) -> np.ndarray:
+    numbered = Numbered()
+    windows, owner = windows_of(texts, numbered)
+    z = score_windows(net, embed(net.w, slots(list(numbered))), windows)
+    worst = np.full(len(texts), -np.inf)
+    np.maximum.at(worst, owner, z)
+    return worst
+
+
 def score_texts(net: Net, texts: list) -> np.ndarray:
     """Scores of whole texts, a bounded number of characters at a time."""
     out = []
     start = 0
     while start < len(texts):
+        if len(texts[start] or "") > LONG:
+            out.append(net.doc_score(np.array([worst_of_long(net, texts[start])])))
+            start += 1
+            continue
         end, size = start, 0
-        while end < len(texts) and (end == start or size < 4 << 20):
+        while end < len(texts) and len(texts[end] or "") <= LONG and (end == start or size < LONG):
             size += len(texts[end] or "")
             end += 1
-        numbered = Numbered()
-        windows, owner = windows_of(texts[start:end], numbered)
-        z = score_windows(net, embed(net.w, slots(list(numbered))), windows)
-        worst = np.full(end - start, -np.inf)
-        np.maximum.at(worst, owner, z)
-        out.append(net.doc_score(worst))
+        out.append(net.doc_score(_worst_of(texts[start:end], net)))
         start = end
     return np.concatenate(out) if out else np.empty(0)
 

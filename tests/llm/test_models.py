@@ -142,6 +142,52 @@ def test_toxicity(spark, documents):
     assert toxicity.score(docs.limit(0), labels).count() == 0
 
 
+def test_attention_and_recurrence_gradients():
+    rng = np.random.default_rng(5)
+    net = toxicity.Net()
+    w = {k: v.astype(np.float64) for k, v in net.w.items()}
+    for k in ("word", "prefix"):
+        w[k] += 0.1 * rng.standard_normal(w[k].shape)
+    words = [b"some", b"words", b"of", b"a", b"longer", b"text"]
+    cut = toxicity.slots(words)
+    windows = rng.integers(0, len(words), (3, toxicity.WINDOW))
+    windows[1, 5:] = -1  # filling gets no attention
+    labels, seen = np.array([1.0, 0.0, 1.0]), np.array([1, 0, 1, 1, 1, 1.0])
+
+    def loss():
+        _, z = toxicity.gradients(w, cut, windows, labels, seen)
+        return float((np.logaddexp(0, z) - labels * z).mean())
+
+    grads, z = toxicity.gradients(w, cut, windows, labels, seen)
+    for k, grad in grads.items():
+        for at in np.argsort(-np.abs(grad).ravel())[:5].tolist():
+            at = np.unravel_index(at, grad.shape)
+            w[k][at] += 1e-5
+            up = loss()
+            w[k][at] -= 2e-5
+            assert grad[at] == pytest.approx((up - loss()) / 2e-5, rel=1e-3, abs=1e-8), k
+            w[k][at] += 1e-5
+    net.w = {k: v.astype(np.float32) for k, v in w.items()}
+    scored = toxicity.score_windows(net, toxicity.embed(net.w, cut), windows)
+    plain = toxicity.gradients(w, cut, windows, labels, np.ones(len(words)))[1]
+    assert np.allclose(scored, plain, atol=1e-4)
+
+
+@pytest.mark.parametrize("long", [50, 300, 2000])
+def test_long_texts_are_scored_in_pieces(monkeypatch, long):
+    """With the windows that the whole text has."""
+    net = toxicity.Net()
+    rng = np.random.default_rng(6)
+    net.w["word"] += rng.standard_normal(net.w["word"].shape).astype(np.float32)
+    net.slope, net.shift = 1.0, 0.0
+    texts = [prose(i, n) for i, n in enumerate((1, 20, 47, 48, 49, 84, 85, 400, 1000))]
+    texts += ["x" * 3000, " " * 3000, "a b " + "y" * 2500 + " c", "ΑΣ " * 300, ""]
+    whole = toxicity.score_texts(net, texts)
+    monkeypatch.setattr(toxicity, "LONG", long)
+    assert np.allclose(toxicity.score_texts(net, texts), whole, atol=1e-6)
+    assert all("".join(toxicity.pieces_of(t)) == t for t in texts)
+
+
 def test_toxicity_without_labels(spark, documents):
     _, labels = labelled(spark, 30)
     assert [r.predicted for r in toxicity.score(documents(["a", None]), labels.limit(0)).collect()] == [0, 0]
