@@ -13,6 +13,7 @@ from stationlens.llm import common, gru, lm, quality, toxicity
 from stationlens.llm import word_blocks as wb
 
 from .conftest import WORDS, prose
+from .test_near_duplicates import brute
 
 
 def fold(doc_id, n):
@@ -459,6 +460,10 @@ def test_pipeline(spark, documents, tmp_path, path_of):
         assert after.columns == docs.columns, name
         found = {r.doc_id for r in after.collect()}
         assert found < kept or name.startswith("minhash"), name
+        if name.startswith("minhash"):
+            own = sorted(kept)
+            sets, groups = brute([texts[i] for i in own])
+            assert found == {own[k] for k in range(len(own)) if not sets[k] or groups.root(k) == k}
         docs, _ = common.stored(after, "stage")
         kept = found
     assert sum(i < 360 and i % 10 == 0 for i in kept) <= 4  # of 36
