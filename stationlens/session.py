@@ -9,6 +9,9 @@ tables beside its output.
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -41,6 +44,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+@functools.cache
+def _own_folder() -> str:
+    """A temporary folder of this process, for local sessions."""
+    folder = tempfile.mkdtemp(prefix="stationlens-ckpt-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def checkpoint_dir(spark: SparkSession, near: str | None = None) -> str:
     """The folder for intermediate tables, which driver and executors share.
 
@@ -52,8 +63,7 @@ def checkpoint_dir(spark: SparkSession, near: str | None = None) -> str:
     if not folder and near:
         folder = f"{near.rstrip('/')}-intermediate"
     if not folder and spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="stationlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _own_folder()
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return folder.rstrip("/")
