@@ -212,13 +212,14 @@ def test_fits_sample_only_the_documents_at_hand(spark, documents, monkeypatch):
 def test_a_hot_id_takes_one_place(spark, documents, monkeypatch):
     """Rows that repeat an id, and repeated labels, bring one text to the driver."""
     texts, labels = labelled(spark, 90)
-    docs = documents(texts + [f"again {i}" for i in range(2000)], [*range(90), *[4] * 2000])
-    labels = labels.unionByName(spark.range(500).selectExpr("4L as doc_id", "1 as quality", "0 as toxic", "'x' as score"))
+    hot = next(i for i in range(90) if i % 3 and i % 6 != 1 and fold(i, 3) != 1)
+    docs = documents(texts + [f"again {i}" for i in range(2000)], [*range(90), *[hot] * 2000])
+    labels = labels.unionByName(spark.range(500).selectExpr(f"{hot}L as doc_id", "1 as quality", "0 as toxic", "'x' as score"))
     taken = []
     monkeypatch.setattr(toxicity, "train", lambda *found: taken.append(found))
     toxicity.fit(docs, labels)
     ((found, toxic),) = taken
-    assert len(found) == len(set(found)) <= 90 and min([texts[4], "again 0"]) in found
+    assert len(found) == len(set(found)) <= 90 and min([texts[hot], "again 0"]) in found
     model = quality.fit(docs, labels)
     assert np.isfinite(model.weights["w"]).all()
 
@@ -480,6 +481,34 @@ def test_pipeline(spark, documents, tmp_path, path_of):
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").collect()} == kept
 
 
+def test_pipeline_with_repeated_and_null_ids_and_clashing_names(spark, tmp_path, path_of):
+    """No text is lost because another one has its id, or none; only copies go."""
+    import corpus_pipeline
+    from stationlens.llm import packing
+
+    texts, labels = labelled(spark, 360)
+    own = list(enumerate(texts))
+    more = [(None, prose(9_000 + i, 60)) for i in range(6)] + [(2, prose(9_100 + i, 60)) for i in range(6)]
+    copies = [(None, more[0][1]), (2, more[7][1]), (2, more[7][1]), (9_999, texts[3]), (None, texts[4])]
+    names = ["row_id", "row_text", "node", "score", "kept", "out_id", "part", "length", "ids", "role", "bucket"]
+    rows = [(i, t, *names) for i, t in own + more + copies]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    docs = common.table(spark, str(tmp_path), "documents")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, str(tmp_path))
+        assert after.columns == docs.columns
+        docs, _ = common.stored(after, "stage")
+    kept = collections.Counter((r.doc_id, r.text) for r in docs.collect())
+    assert max(kept.values()) == 1 and set(kept) <= set(own + more)
+    good = {(i, t) for i, t in own if i % 10 and i % 6 != 1}
+    assert len(set(more) & set(kept)) >= 11 and len(good & set(kept)) >= 0.9 * len(good)
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+    want = packing.word_ids(path_of("word_bpe_49k.json"))
+    assert sum(r.length for r in pieces) == sum(len(want.of_text(t) + packing.END_ID) // 4 for _, t in kept)
+
+
 def test_pipeline_on_an_empty_table(spark, documents, tmp_path):
     import corpus_pipeline
 

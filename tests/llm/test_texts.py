@@ -96,6 +96,22 @@ def test_packing(spark, documents, path_of, monkeypatch):
     assert packing.pack(docs.limit(0), path_of("word_bpe_49k.json")).count() == 0
 
 
+def test_packing_repeated_ids(spark, documents, path_of, monkeypatch):
+    """Rows that share an id, or have none, are packed one by one."""
+    monkeypatch.setattr(packing, "ROW_IDS", 40)
+    texts = [prose(i, 30 + i) for i in range(12)] + [prose(3, 33)] * 3 + [None, ""]
+    docs = documents(texts, [None if i % 3 == 0 else 5 if i % 3 == 1 else i for i in range(len(texts))])
+    whole = packing.sequences(packing.pack(docs.repartition(4), path_of("word_bpe_49k.json"), length=64)).orderBy("sequence_id").collect()
+    packed = [i for r in whole for i in as_ids(r.ids)]
+    found, now = [], []
+    for i in packed:
+        now.append(i)
+        if i == 1:
+            found.append(now)
+            now = []
+    assert not now and sorted(found) == sorted(plain_ids(path_of, t) + [1] for t in texts)
+
+
 def test_byte_bpe(spark, documents, path_of):
     import tiktoken
     from public_tokenizers import PATTERN
