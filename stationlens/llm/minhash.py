@@ -13,8 +13,11 @@ least of them.  Documents with one set (a 128-bit digest of all its hashes, and
    to do; in the others pairs of different components are compared, block by block, by their sketches.
 
 In both rounds the union sketch (the K least values of two sketches) estimates the Jaccard
-index; pairs whose estimate is near or over the threshold, and only those, are confirmed on the
-full sets.  What sketches must share and how near an estimate must be follow from the threshold.
+index; pairs whose estimate is near or over the threshold are confirmed on the full sets.  In round 2
+blocks also carry the ``WIDE`` least values of each set (most sets are whole in these), and only pairs
+that are near enough by them leave the task, so a large group of half-similar texts doesn't
+become all its pairs.  What sketches must share and how near an estimate must be follow from the
+threshold.
 
 Defined cases: null and empty texts have an empty set and are linked with nothing; texts of
 fewer than five words are one shingle; rows with a null id take part by their text (a component
@@ -37,6 +40,8 @@ from .word_blocks import Numbered, batch_of
 
 K = 64
 WORDS = 5
+#: Values of a set that blocks are compared by.
+WIDE = 512
 #: Fills up sketches of fewer than K values; no value of a sketch, as those are the least ones.
 NONE = np.iinfo(np.int64).max
 #: Standard deviations by which a sketch may understate a pair before it is passed over: in what it
@@ -176,6 +181,22 @@ def estimates(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (inside & ~first).sum(axis=1) / np.maximum((inside & first).sum(axis=1), 1)
 
 
+def near_enough(x: np.ndarray, n: int, y: np.ndarray, m: int, threshold: int) -> bool:
+    """Whether sets of n and m values may be linked, by their least values ``x`` and ``y``: exact if
+    these are all, else but for ``ESTIMATE_DEVIATIONS``."""
+    missing = [v[-1] for v, size in ((x, n), (y, m)) if size > len(v)]
+    if missing:  # below this value both are whole
+        cut = min(missing)
+        x, y = x[: np.searchsorted(x, cut, side="right")], y[: np.searchsorted(y, cut, side="right")]
+    at = np.searchsorted(x, y)
+    shared = int((x[np.minimum(at, len(x) - 1)] == y).sum()) if len(x) and len(y) else 0
+    union = len(x) + len(y) - shared
+    if not missing:
+        return 100 * shared >= threshold * union
+    t = threshold / 100
+    return shared >= (t - ESTIMATE_DEVIATIONS * math.sqrt(t * (1 - t) / union)) * union
+
+
 def _across(rows: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a, b) of different components in each pair of blocks that may be similar enough."""
     margin = bounds(threshold)[2]
@@ -202,10 +223,16 @@ def _across(rows: DataFrame, threshold: int) -> DataFrame:
         if one:
             near &= left[:, None] < right
         x, y = (side[z] for side, z in zip((left, right), np.nonzero(near), strict=True))
+        wide: dict[int, np.ndarray] = {}
         for start in range(0, len(x), 8192):
             u, v = x[start : start + 8192], y[start : start + 8192]
             likely = estimates(sketch[u], sketch[v]) >= threshold / 100 - margin
-            yield from zip(np.minimum(cls[u], cls[v])[likely].tolist(), np.maximum(cls[u], cls[v])[likely].tolist(), strict=True)
+            for p, q in zip(u[likely].tolist(), v[likely].tolist(), strict=True):
+                for z in (p, q):
+                    if z not in wide:
+                        wide[z] = np.frombuffer(group[z][5], np.uint64)
+                if near_enough(wide[p], int(n[p]), wide[q], int(n[q]), threshold):
+                    yield min(cls[p], cls[q]), max(cls[p], cls[q])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, []
@@ -318,10 +345,11 @@ def _grouped(texts: DataFrame, threshold: int) -> DataFrame:
     )
     open_lists = (
         _joined(placed, several, "lead", "classes").join(side, "cls")
+        .join(sets.select("cls", F.substring("shingles", 1, 8 * WIDE).alias("wide")), "cls")
         .withColumn("block", F.expr("cast(pmod(xxhash64(cls), blocks) as int)"))
         .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
         .select("lead", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
-                "cls", "n", "component", "sketch")
+                "cls", "n", "component", "sketch", "wide")
     )
     second = stored(_across(open_lists, threshold).distinct(), "pairs")
     more = stored(_confirmed(second, sets, threshold), "linked")

@@ -101,6 +101,20 @@ def test_bounds_follow_from_the_threshold():
         assert (least[n <= whole] >= n[n <= whole] * threshold / 100).all() and (least[n > whole] == shared).all()
 
 
+def test_least_values_tell_whether_sets_may_be_linked():
+    rng = np.random.default_rng(8)
+    for size in (10, 300, 5000):
+        for share in (0.2, 0.55, 0.74, 0.76, 0.8, 0.95, 1.0):
+            both = int(size * share)
+            values = rng.choice(2**62, 2 * size, replace=False).astype(np.uint64)
+            x, y = np.sort(values[:size]), np.sort(np.concatenate([values[:both], values[size : 2 * size - both]]))
+            linked = 100 * both >= 75 * (2 * size - both)
+            found = minhash.near_enough(x[: minhash.WIDE], size, y[: minhash.WIDE], size, 75)
+            assert found or not linked
+            if size <= minhash.WIDE or both / (2 * size - both) < 0.6:
+                assert found == linked
+
+
 @pytest.mark.parametrize("broadcast", [minhash.MAX_BROADCAST_IDS, 0])
 def test_one_of_each_tells_rows_by_id_and_text(spark, monkeypatch, broadcast):
     monkeypatch.setattr(minhash, "MAX_BROADCAST_IDS", broadcast)
