@@ -40,6 +40,8 @@ FIT = 16_384
 BLOCK = 2_048
 #: Vectors of a label that a cell should list, about.
 CELL = 512
+#: Cells (some 30 bytes each) are broadcast up to this number.
+MAX_BROADCAST_CELLS = 500_000
 #: Vectors of the sample for each code, at least.
 FOR_CODE = 8
 
@@ -121,15 +123,15 @@ def fit(classes: DataFrame, dims: int, least_cosine: float, target_recall: float
     rows = classes.where(F.col("dims") == dims)
     n, labels = rows.agg(F.count("*"), F.count_distinct("label")).first()
     taken = common.sampled(rows.select("vector"), F.xxhash64("vector"), FIT).collect()
-    sample = _unit(np.stack([np.frombuffer(r.vector, np.float64) for r in taken]))
+    sample = _unit(vectors.expanded(pa.array([bytes(r.vector) for r in taken], pa.binary()), dims))
     codes = int(np.clip(round((n / (CELL * labels)) ** 0.5), 1, max(1, FIT // FOR_CODE)))
     index = MultiIndex(sample, codes, least_cosine, target_recall)
     if target_recall >= 1:
-        index.radii = _radii(rows, index)
+        index.radii = _radii(rows, index, dims)
     return index
 
 
-def _radii(rows: DataFrame, index: MultiIndex) -> list[np.ndarray]:
+def _radii(rows: DataFrame, index: MultiIndex, dims: int) -> list[np.ndarray]:
     """Of each code of both halves the distance that covers all vectors nearest to it."""
     shared = rows.sparkSession.sparkContext.broadcast(index)
     schema = pa.schema([("half", pa.int32()), ("code", pa.int32()), ("far", pa.float64())])
@@ -137,7 +139,7 @@ def _radii(rows: DataFrame, index: MultiIndex) -> list[np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         far = [np.zeros(len(b)) for b in shared.value.books]
         for batch in (b.slice(at, 1024) for b in batches for at in range(0, b.num_rows, 1024)):
-            for into, d in zip(far, shared.value.distances(_unit(vectors.matrix(batch.column(0)))), strict=True):
+            for into, d in zip(far, shared.value.distances(_unit(vectors.expanded(batch.column(0), dims))), strict=True):
                 near = d.argmin(axis=1)
                 np.maximum.at(into, near, np.sqrt(d[np.arange(len(d)), near]))
         yield batch_of([(h, c, float(x)) for h, own in enumerate(far) for c, x in enumerate(own)], schema)
@@ -159,12 +161,11 @@ def _indexed(classes: DataFrame, index: MultiIndex, dims: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, 1024) for b in batches for at in range(0, b.num_rows, 1024)):
-            whole = vectors.matrix(batch.column(3))
-            first, second = shared.value.distances(_unit(whole))
+            first, second = shared.value.distances(_unit(vectors.expanded(batch.column(3), dims)))
             home = shared.value.home(first, second).tolist()
             visits = [shared.value.visits(a, b) for a, b in zip(first, second, strict=True)]
             cols = [batch.column(i).to_pylist() for i in range(3)]
-            yield batch_of(zip(*cols, vectors.compact(whole), home, visits, strict=True), schema)
+            yield batch_of(zip(*cols, batch.column(3).to_pylist(), home, visits, strict=True), schema)
 
     return classes.where(F.col("dims") == dims).select("cls", "label", "members", "vector").mapInArrow(
         run, "cls long, label string, members long, vector binary, home long, visits array<long>"
@@ -176,6 +177,8 @@ def _verified(indexed: DataFrame, dims: int, least_cosine: float) -> DataFrame:
     cells = indexed.groupBy("label", F.col("home").alias("cell")).agg(
         F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")
     )
+    if cells.count() <= MAX_BROADCAST_CELLS:
+        cells = F.broadcast(cells)  # else the copies below are shuffled once more
     listed = indexed.join(cells.withColumnRenamed("cell", "home"), ["label", "home"]).select(
         "label", F.col("home").alias("cell"), F.expr("cast(pmod(xxhash64(cls), blocks) as int)").alias("block"),
         F.lit(0).alias("kind"), "cls", "members", "vector",
@@ -241,7 +244,7 @@ def near_duplicates(
         used.append(path)
         return made
 
-    good = vectors.usable(embeddings.where(_not_zero(vector_col)), id_col, vector_col, label_col).where("label is not null")
+    good = vectors.usable(embeddings.where(_not_zero(vector_col)), id_col, vector_col, label_col, short=True).where("label is not null")
     key = F.unhex(F.md5(F.concat(F.col("label").cast("binary"), F.lit(b"\0"), F.col("vector"))))
     good = stored(good.withColumns({"key": key, "check": F.xxhash64("label", "vector")}), "vectors")
     one = F.when(F.min("check") == F.max("check"), F.min("vec_id")).otherwise(

@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 USABLE = "vec_id long, label string, dims int, vector binary"
 
 
-def usable(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str | None = "label") -> DataFrame:
+def usable(
+    embeddings: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str | None = "label", short: bool = False
+) -> DataFrame:
     """(vec_id, label, dims, vector) of rows without null or non-finite components; no others.
 
-    Labels are compared as they are written, whatever their type.
+    Labels are compared as they are written, whatever their type.  ``short`` vectors are as
+    :func:`compact` makes them, else doubles.
     """
     label = F.col(label_col).cast("string") if label_col else F.lit(None).cast("string")
     rows = embeddings.select(
@@ -29,7 +32,8 @@ def usable(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
             bad = np.zeros(len(flat) + 1, np.int64)
             np.cumsum(~np.isfinite(flat), out=bad[1:])
             keep = np.flatnonzero(bad[ends] == bad[ends - sizes])
-            vectors = [flat[ends[i] - sizes[i] : ends[i]].tobytes() for i in keep]
+            rows = [flat[ends[i] - sizes[i] : ends[i]] for i in keep]
+            vectors = [compact(r[None])[0] if short else r.tobytes() for r in rows]
             at = pa.array(keep)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(at), batch.column(1).take(at), pa.array(sizes[keep].astype(np.int32)), pa.array(vectors, pa.binary())],
