@@ -15,8 +15,8 @@ least of them.  Documents with one set (a 128-bit digest of all its hashes, and
 In both rounds the union sketch (the K least values of two sketches) estimates the Jaccard
 index; pairs whose estimate is near or over the threshold are confirmed on the full sets.  In round 2
 blocks also carry the ``WIDE`` least values of each set (most sets are whole in these), and only pairs
-that are near enough by them leave the task, so a large group of half-similar texts doesn't
-become all its pairs.  What sketches must share and how near an estimate must be follow from the
+that are near enough by them, and join components that the task's pairs haven't joined yet, leave the
+task; so a large group doesn't become all its pairs.  What sketches must share and how near an estimate must be follow from the
 threshold.
 
 Defined cases: null and empty texts have an empty set and are linked with nothing; texts of
@@ -224,15 +224,27 @@ def _across(rows: DataFrame, threshold: int) -> DataFrame:
             near &= left[:, None] < right
         x, y = (side[z] for side, z in zip((left, right), np.nonzero(near), strict=True))
         wide: dict[int, np.ndarray] = {}
+        above: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while x in above:
+                x = above[x]
+            return x
+
         for start in range(0, len(x), 8192):
             u, v = x[start : start + 8192], y[start : start + 8192]
             likely = estimates(sketch[u], sketch[v]) >= threshold / 100 - margin
             for p, q in zip(u[likely].tolist(), v[likely].tolist(), strict=True):
+                a, b = root(int(component[p])), root(int(component[q]))
+                if a == b:  # linked by pairs that have left already
+                    continue
                 for z in (p, q):
                     if z not in wide:
                         wide[z] = np.frombuffer(group[z][5], np.uint64)
                 if near_enough(wide[p], int(n[p]), wide[q], int(n[q]), threshold):
                     yield min(cls[p], cls[q]), max(cls[p], cls[q])
+                    if max(n[p], n[q]) <= WIDE:  # compared whole, so this is a link
+                        above[max(a, b)] = min(a, b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, []
