@@ -8,7 +8,7 @@ scores looked for any more leaves the bitmap of candidates.  Rows still in it wh
 dimensions are read have their exact scores.
 
 First every anchor looks for its positives among rows of its label: the scores looked for are those of its
-kth best so far or higher.  Then for its negatives, among rows of other labels: between
+kth best so far or higher, or the kth best of the sums so far with the least that they can still get.  Then for its negatives, among rows of other labels: between
 ``least_share`` percent of the lowest positive's score (or the lowest of the windows' kth best so far) and the
 highest positive's score; at the end every positive's own window decides.
 
@@ -41,7 +41,7 @@ from .word_blocks import batch_of
 
 BLOCK = 4_096
 #: Dimensions read between two prunings.
-STEP = 16
+STEP = 8
 #: Anchors' vectors sent to the tasks at once.
 CHUNK_BYTES = 16 << 20
 
@@ -144,9 +144,15 @@ class Block:
         self.low, self.high = (np.concatenate([x.cumsum(axis=1)[:, ::-1], none], axis=1) for x in (lows, highs))
 
 
-def vertical_scan(block: Block, anchors: Anchors, i: int, rows: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray, int]:
+def vertical_scan(
+    block: Block, anchors: Anchors, i: int, rows: np.ndarray, low: int, high: int, k: int = 0
+) -> tuple[np.ndarray, np.ndarray, int]:
     """Of ``rows`` those whose score with anchor i is from ``low`` to ``high``, with the scores; and
-    the number of components read."""
+    the number of components read.
+
+    With ``k``, rows that cannot be among the k best are left out: k others have a higher score
+    already, even with the least that is still to come.
+    """
     order, a = anchors.order[i], block.anchors[i]
     score, read = np.zeros(len(rows), block.columns.dtype), 0
     for d in range(0, block.dims, STEP):
@@ -158,7 +164,10 @@ def vertical_scan(block: Block, anchors: Anchors, i: int, rows: np.ndarray, low:
             score = score + a[some] @ block.columns[np.ix_(some, rows)]
         read += len(some) * len(rows)
         end = min(d + STEP, block.dims)
-        alive = (score >= low - int(block.high[i, end])) & (score <= high - int(block.low[i, end]))
+        least, most = int(block.low[i, end]), int(block.high[i, end])
+        if 0 < k < len(rows):
+            low = max(low, int(np.partition(score, len(rows) - k)[len(rows) - k]) + least)
+        alive = (score >= low - most) & (score <= high - least)
         rows, score = rows[alive], score[alive]
         if not len(rows):
             break
@@ -198,7 +207,7 @@ def search_positives(block: Block, anchors: Anchors, kept: Kept) -> int:
             continue
         a, b = block.at[label]
         rows = a + np.flatnonzero(block.ids[a:b] != anchors.ids[i])
-        rows, scores, n = vertical_scan(block, anchors, i, rows, kept.floor(i, LOWEST), HIGHEST)
+        rows, scores, n = vertical_scan(block, anchors, i, rows, kept.floor(i, LOWEST), HIGHEST, kept.k)
         read += n
         kept.add(i, block.ids[rows], scores)
     return read

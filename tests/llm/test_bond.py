@@ -95,3 +95,7 @@ def test_scan_reads_less_than_all():
     rows, exact, read = bond.vertical_scan(block, anchors, 0, np.arange(400), low, bond.HIGHEST)
     assert sorted(rows.tolist()) == np.flatnonzero(scores >= low).tolist() and (exact == scores[rows]).all()
     assert read < 0.7 * near.size
+    # Without a score to reach, the sums so far tell which rows can't be among the best.
+    rows, exact, read = bond.vertical_scan(block, anchors, 0, np.arange(400), bond.LOWEST, bond.HIGHEST, k=5)
+    assert set(np.flatnonzero(scores >= low)) <= set(rows.tolist()) and (exact == scores[rows]).all()
+    assert read < 0.8 * near.size
