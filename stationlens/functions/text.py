@@ -48,7 +48,12 @@ def _count(line: Column, what: str) -> Column:
     return (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(what), F.lit("")))) / F.lit(len(what))
 
 
-def split_fields(line: Column) -> Column:
+def between_quotes(line: Column) -> Column:
+    """A line without its outer quotes and with ``","`` as one character (see :func:`split_fields`)."""
+    return F.replace(F.substring(line, 2, F.length(line) - 2), F.lit('","'), F.lit(_SEP))
+
+
+def split_fields(line: Column, pieces: Column | None = None) -> Column:
     """``STRUCT<kind INT, v ARRAY<STRING>>``: the line's fields, as the reader splits them.
 
     Two shapes cover real files and split without a regular expression:
@@ -60,15 +65,15 @@ def split_fields(line: Column) -> Column:
       first opens a quote, so a plain comma split gives the raw tokens; only the
       first may still need unquoting (``kind`` 1).
 
-    Any other line is tokenised by :func:`tokenize` (``kind`` 2: all raw).
+    Any other line is tokenised by :func:`tokenize` (``kind`` 2: all raw).  ``pieces`` is the line's
+    :func:`between_quotes`, which is read twice; pass it where it is a column already.
     """
-    n = F.length(line)
-    quoted_ends = line.startswith('"') & line.endswith('"') & (n >= 2)
-    pieces = F.replace(F.substring(line, 2, n - 2), F.lit('","'), F.lit(_SEP))
-    compact = quoted_ends & (F.instr(line, _SEP) == 0) & (F.instr(pieces, '"') == 0)
+    pieces = between_quotes(line) if pieces is None else pieces
+    quoted_ends = line.startswith('"') & line.endswith('"') & (F.octet_length(line) >= 2)
+    compact = quoted_ends & ~line.contains(_SEP) & ~pieces.contains('"')
     first = F.substring_index(line, ",", 1)
     first_simple = ~first.startswith('"') | (first.endswith('"') & (F.length(first) >= 2) & (_count(first, '"') == 2))
-    padded = (F.instr(line, ',"') == 0) & first_simple
+    padded = ~line.contains(',"') & first_simple
     return (F.when(compact, F.struct(F.lit(VALUES).alias("kind"),
                                      F.split(pieces, _SEP, -1).alias("v")))
             .when(padded, F.struct(F.lit(FIRST_RAW).alias("kind"), F.split(line, ",", -1).alias("v")))

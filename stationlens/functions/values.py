@@ -43,6 +43,15 @@ def is_plain_number(s: Column) -> Column:
             & (F.octet_length(s) > 0) & ~s.contains("x") & ~s.contains("X") & ~s.contains("_"))
 
 
+def are_plain_numbers(n: int) -> str:
+    """Pattern of ``n`` numbers with a comma between them, each of digits with a sign or a point at most.
+
+    A number that is missing or has a comma itself changes how many there are.
+    """
+    number = r"[+-]?[0-9]+(?:\.[0-9]*)?"
+    return rf"^{number}(?:,{number}){{{n - 1}}}\z"
+
+
 def parse_float(value: Column, stripped: bool = False) -> Column:
     """DOUBLE of ``float(value.strip())``, NULL where Python would raise.
 

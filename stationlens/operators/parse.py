@@ -13,13 +13,15 @@ inlines ``tokenize`` dozens of times and the generated code overflows 64 KB.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date, season
 from ..functions.events import EVENT_NAMES, decode_events, event_flag
-from ..functions.text import ALL_RAW, VALUES, csv_value, has_plain_edges, py_strip, split_fields, strip_quotes
-from ..functions.values import below_missing, is_plain_number, parse_float
+from ..functions.text import ALL_RAW, VALUES, between_quotes, csv_value, has_plain_edges, py_strip, split_fields, strip_quotes
+from ..functions.values import are_plain_numbers, below_missing, parse_float
 
 # Position of each used field in the 28-field layout.  In the
 # 29-field layout (a station name split at its comma) every index from TEMP on
@@ -41,7 +43,8 @@ def once(expr: Column) -> Column:
 
 def _tokens_all(lines: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     """``_t`` (the line's fields) and ``_k`` (which of them are still raw tokens)."""
-    f = lines.select(*keep, once(split_fields(F.col("value"))).alias("_f"))
+    quoted = lines.select(*keep, "value", between_quotes(F.col("value")).alias("_q"))
+    f = quoted.select(*keep, once(split_fields(F.col("value"), F.col("_q"))).alias("_f"))
     return f.select(*keep, F.col("_f.kind").alias("_k"), F.col("_f.v").alias("_t"))
 
 
@@ -60,16 +63,34 @@ def _trimmed(name: str) -> Column:
     return F.trim(token)
 
 
-def _any_record(kind: Column, t: Column) -> Column:
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once however often ``body`` reads it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _any_record(line: Column) -> Column:
     """The record of any line, by the exact expressions."""
-    def value(name: str) -> Column:
-        token = _raw_token(name, t)
-        raw = (kind != VALUES) if FIELD_INDEX[name] == 0 else (kind == ALL_RAW)
-        return strip_quotes(py_strip(F.when(raw, csv_value(token)).otherwise(token)))
+    names = ("STATION", "DATE", *[source for _, source, _ in MEASURES], "FRSHTT")
+
+    def tokens(f: Column) -> Column:
+        return F.struct(F.size(f["v"]).alias("n"), f["kind"].alias("k"), *[_raw_token(x, f["v"]).alias(x) for x in names])
+
+    def texts(t: Column) -> Column:
+        def value(name: str) -> Column:
+            raw = (t["k"] != VALUES) if FIELD_INDEX[name] == 0 else (t["k"] == ALL_RAW)
+            return strip_quotes(py_strip(F.when(raw, csv_value(t[name])).otherwise(t[name])))
+        return F.struct(t["n"].alias("n"), *[value(x).alias(x) for x in names])
+
+    def numbers(v: Column) -> Column:
+        return F.struct(v.alias("v"), *[py_strip(v[source]).alias(source) for _, source, _ in MEASURES])
+
+    def record(x: Column) -> Column:
+        v = x["v"]
+        return F.struct(
+            v["n"].isin(*LAYOUT_SIZES).alias("layout_ok"), v["STATION"].alias("station"), v["DATE"].alias("date"),
+            *[parse_float(x[source], stripped=True).alias(name) for name, source, _ in MEASURES], v["FRSHTT"].alias("frshtt"))
 
-    return F.struct(
-        F.size(t).isin(*LAYOUT_SIZES).alias("layout_ok"), value("STATION").alias("station"), value("DATE").alias("date"),
-        *[parse_float(value(source)).alias(name) for name, source, _ in MEASURES], value("FRSHTT").alias("frshtt"))
+    return _let(split_fields(line), lambda f: _let(tokens(f), lambda t: _let(texts(t), lambda v: _let(numbers(v), record))))
 
 
 def parsed_lines(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -77,25 +98,27 @@ def parsed_lines(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
     Nothing is filtered here; :func:`valid_records` and :func:`ingest_profile`
     decide.  Almost all lines have plain numbers and no whitespace but spaces around their
-    fields: two trims a field and a cast.  For the others the exact expressions stand in a ``transform`` over a
-    one-element array, which Spark evaluates outside the generated loops; these so stay
-    short enough for the JIT compiler (8,000 bytes).  The record is computed behind a
+    fields: two trims a field and a cast.  For the others the exact expressions stand in ``transform`` over
+    one-element arrays, which Spark evaluates outside the generated loops; these so stay
+    short enough for the JIT compiler (8,000 bytes).  Only such a line goes on whole, all others
+    as the texts of their used fields.  The record is computed behind a
     generator barrier, so the validity filter that follows cannot be pushed into (and
     duplicate) it.
     """
-    t = _tokens_all(lines, keep)
+    t = _tokens_all(lines, (*keep, "value"))
     sources = {"station": "STATION", "date": "DATE", "frshtt": "FRSHTT", **{d: s for d, s, _ in MEASURES}}
     texts = list(sources)
-    f = t.select(*keep, "_k", "_t", *[
+    f = t.select(*keep, "value", ((F.col("_k") != ALL_RAW) & F.size("_t").isin(*LAYOUT_SIZES)).alias("_plain"), *[
         F.trim(F.btrim(_trimmed(s), F.lit('"'))).alias(d) if d in MEASURE_COLUMNS else _trimmed(s).alias(d)
         for d, s in sources.items()])
-    plain = (F.col("_k") != ALL_RAW) & F.size("_t").isin(*LAYOUT_SIZES)
-    for name in texts:
-        plain = plain & (is_plain_number if name in MEASURE_COLUMNS else has_plain_edges)(F.col(name))
-    f = f.select(*keep, "_k", "_t", F.coalesce(plain, F.lit(False)).alias("_plain"), *texts)
-    odd = F.transform(F.array(F.struct(F.col("_k").alias("k"), F.col("_t").alias("t"))),
-                      lambda x: _any_record(x["k"], x["t"]))
-    f = f.select(*keep, "_plain", *texts, F.when(~F.col("_plain"), F.element_at(odd, 1)).alias("_odd"))
+    numbers = F.concat_ws(",", *MEASURE_COLUMNS).rlike(are_plain_numbers(len(MEASURE_COLUMNS)))
+    plain = F.col("_plain") & numbers
+    for name in ("station", "date", "frshtt"):
+        plain = plain & has_plain_edges(F.col(name))
+    # A missing line is none of the plain ones and has no text to go by.
+    f = f.select(*keep, F.coalesce(plain, F.lit(False)).alias("_plain"), "value", *texts)
+    f = f.select(*keep, "_plain", F.when(~F.col("_plain"), F.col("value")).alias("_line"), *texts)
+    f = f.select(*keep, "_plain", *texts, F.when(~F.col("_plain"), _any_record(F.col("_line"))).alias("_odd"))
     record = F.struct(F.lit(True).alias("layout_ok"), strip_quotes(F.col("station")).alias("station"),
                       strip_quotes(F.col("date")).alias("date"),
                       *[F.col(d).try_cast("double").alias(d) for d in MEASURE_COLUMNS],

@@ -30,75 +30,97 @@ def _station_id(key: Column) -> Column:
     return F.lpad(key.cast("string"), 11, "0")
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed-as-text daily readings from ``lineitem`` (one row per line item).
+# The columns of ``lineitem`` that a reading is made of.
+READING_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax",
+                   "l_returnflag", "l_shipdate")
+
+
+def _line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(*READING_COLUMNS)
+
+
+def _reading_fields() -> dict[str, Column]:
+    """The GSOD columns of a daily reading as text, from the columns of ``lineitem``.
 
     Sentinels (9999.9, 999.9), the unfiltered 99.99 PRCP code, malformed FRSHTT codes,
     readings of three decimals, impossible dates, unreadable numbers and lines of 27 or 30
-    fields are injected by fixed rules so the parsing and cleaning rules have work to do.
+    fields (:func:`_odd_fields`) are injected by fixed rules so the parsing and cleaning rules have
+    work to do.
     """
-    # Line parsing is CPU work and a table of one row group would be one task: deal the rows evenly,
-    # by their own key (never by station, which may hold a third of them).
-    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    li = table(spark, sf_dir, "lineitem").repartition(parts, "l_orderkey", "l_linenumber")
     m = lambda e: F.expr(e).cast("decimal(18,3)").cast("string")
     frshtt = F.expr(
         "case when l_linenumber = 7 then '123' else concat("
         "cast(l_orderkey % 2 as string), cast(l_partkey % 2 as string), cast(l_suppkey % 2 as string),"
         " case when l_orderkey % 50 = 0 then '1' else '0' end,"
         " case when l_returnflag = 'R' then '1' else '0' end, '0') end")
-    return li.select(
-        F.col("l_suppkey").alias("suppkey"),
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line_pos"),
-        _station_id(F.col("l_suppkey")).alias("STATION"),
-        F.expr("case when l_orderkey % 53 = 0 then '1995-13-41'"
-               " else substring(cast(l_shipdate as string), 1, 10) end").alias("DATE"),
-        m("case when l_orderkey % 97 = 0 then 9999.9 when l_orderkey % 7 = 0 then l_quantity + 0.125"
-          " else l_quantity + 0.1 * l_linenumber end").alias("TEMP"),
-        m("case when l_partkey % 89 = 0 then 9999.9 else l_quantity + 20 end").alias("MAX"),
-        m("l_quantity - 20").alias("MIN"),
-        m("case when l_orderkey % 11 = 0 then 99.99 else l_discount end").alias("PRCP"),
-        m("l_tax * 100").alias("WDSP"),
-        F.when(F.col("l_partkey") % 71 == 0, F.lit("n/a")).otherwise(
-            m("case when l_partkey % 13 = 0 then 999.9 else l_quantity end")).alias("GUST"),
-        frshtt.alias("FRSHTT"),
-        F.expr("case when l_orderkey % 61 = 0 and l_linenumber = 1 then 27"
-               " when l_orderkey % 67 = 0 and l_linenumber = 2 then 30 end").alias("odd_fields"),
-    )
-
-
-def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Station attributes from ``supplier`` joined with ``nation`` (text values)."""
-    s = table(spark, sf_dir, "supplier")
-    n = table(spark, sf_dir, "nation")
-    return s.join(n, s.s_nationkey == n.n_nationkey, "left").select(
-        F.col("s_suppkey").alias("suppkey"),
-        _station_id(F.col("s_suppkey")).alias("STATION"),
-        F.concat(F.col("s_name"), F.lit(", "), F.coalesce(F.col("n_name"), F.lit(""))).alias("NAME"),
-        F.expr("cast((s_suppkey * 7) % 180 - 90 as double)").cast("string").alias("LATITUDE"),
-        F.expr("cast((s_suppkey * 13 + s_nationkey) % 360 - 180 as double)").cast("string").alias("LONGITUDE"),
-        F.when(F.col("s_suppkey") % 17 == 0, F.lit("unknown")).otherwise(
-            F.col("s_acctbal").cast("string")).alias("ELEVATION"),
-    )
+    return {
+        "STATION": _station_id(F.col("l_suppkey")),
+        "DATE": F.expr("case when l_orderkey % 53 = 0 then '1995-13-41'"
+                       " else substring(cast(l_shipdate as string), 1, 10) end"),
+        "TEMP": m("case when l_orderkey % 97 = 0 then 9999.9 when l_orderkey % 7 = 0 then l_quantity + 0.125"
+                  " else l_quantity + 0.1 * l_linenumber end"),
+        "MAX": m("case when l_partkey % 89 = 0 then 9999.9 else l_quantity + 20 end"),
+        "MIN": m("l_quantity - 20"),
+        "PRCP": m("case when l_orderkey % 11 = 0 then 99.99 else l_discount end"),
+        "WDSP": m("l_tax * 100"),
+        "GUST": F.when(F.col("l_partkey") % 71 == 0, F.lit("n/a")).otherwise(
+            m("case when l_partkey % 13 = 0 then 999.9 else l_quantity end")),
+        "FRSHTT": frshtt,
+    }
+
+
+def _odd_fields() -> Column:
+    return F.expr("case when l_orderkey % 61 = 0 and l_linenumber = 1 then 27"
+                  " when l_orderkey % 67 = 0 and l_linenumber = 2 then 30 end")
+
+
+def _line_pos() -> Column:
+    return F.col("l_orderkey") * 8 + F.col("l_linenumber")
+
+
+def _with_stations(spark: SparkSession, sf_dir: str, items: DataFrame) -> DataFrame:
+    """``items`` with the columns of their supplier and its nation, as the tables have them.
+
+    The two tables are joined one after the other and not with each other first: Catalyst takes
+    the size of a join for the product of its sides, but knows that of a table, and so
+    broadcasts them as long as they are small.
+    """
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return (items.join(s, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+            .join(n, F.col("s_nationkey") == F.col("n_nationkey"), "left"))
+
+
+def _station_fields() -> dict[str, Column]:
+    """Station attributes as text, from the columns of ``supplier`` and ``nation``."""
+    return {
+        "NAME": F.concat(F.col("s_name"), F.lit(", "), F.coalesce(F.col("n_name"), F.lit(""))),
+        "LATITUDE": F.expr("cast((s_suppkey * 7) % 180 - 90 as double)").cast("string"),
+        "LONGITUDE": F.expr("cast((s_suppkey * 13 + s_nationkey) % 360 - 180 as double)").cast("string"),
+        "ELEVATION": F.when(F.col("s_suppkey") % 17 == 0, F.lit("unknown")).otherwise(F.col("s_acctbal").cast("string")),
+    }
+
+
+MEASURES = frozenset({"TEMP", "MAX", "MIN", "PRCP", "WDSP", "GUST"})
 
 
 def _render(fields: dict[str, Column], padded: Column) -> Column:
     """One CSV line: every field quoted; padded files use ``", "`` separators and
     right-aligned numbers, which turns the comma in NAME into a field break for a
-    CSV reader (the 29-field layout); compact files give 28 fields."""
-    def q(c: Column, width: int = 0) -> Column:
-        v = F.coalesce(c, F.lit(""))
-        if width:
-            v = F.when(padded, F.lpad(v, width, " ")).otherwise(v)
-        return F.concat(F.lit('"'), v, F.lit('"'))
-    measures = {"TEMP", "MAX", "MIN", "PRCP", "WDSP", "GUST"}
-    parts = [q(fields[c], 7 if c in measures else 0) for c in GSOD_COLUMNS]
-    return F.when(padded, F.concat_ws(", ", *parts)).otherwise(F.concat_ws(",", *parts))
-
-
-def _with_odd_fields(line: Column, padded: Column) -> Column:
-    """Cut or lengthen a line (28 fields if compact, 29 if padded) to ``odd_fields`` fields."""
-    n = F.col("odd_fields")
+    CSV reader (the 29-field layout); compact files give 28 fields.
+
+    The fields are joined by the text between two of them, closing and opening quote included, so
+    the expression is short enough for the JIT compiler (8,000 bytes).
+    """
+    def v(c: str) -> Column:
+        text = F.coalesce(fields[c], F.lit(""))
+        return F.when(padded, F.lpad(text, 7, " ")).otherwise(text) if c in MEASURES else text
+    between = F.when(padded, F.lit('", "')).otherwise(F.lit('","'))
+    return F.concat(F.lit('"'), F.call_function("concat_ws", between, *[v(c) for c in GSOD_COLUMNS]), F.lit('"'))
+
+
+def _with_odd_fields(line: Column, padded: Column, n: Column) -> Column:
+    """Cut or lengthen a line (28 fields if compact, 29 if padded) to ``n`` fields, if given."""
     short = F.when(padded, F.substring_index(line, ", ", 27)).otherwise(F.substring_index(line, ',"', 27))
     more = F.when(padded, F.lit(", 0")).otherwise(F.lit(",0,0"))
     return F.when(n == 27, short).when(n == 30, F.concat(line, more)).otherwise(line)
@@ -111,34 +133,72 @@ def _filler(name: str) -> Column:
     return F.lit("9999.9" if name == "SLP" else "999.9")
 
 
+def _with_lines(data: DataFrame, keep: tuple, fixed: dict[str, str] | None = None) -> DataFrame:
+    """``keep``, whether the station is padded, and ``value``, the line of a reading of :func:`_with_stations`.
+
+    Two projections, so that a line is made once and the few odd ones are cut from it.
+    """
+    made = {**_station_fields(), **_reading_fields()}
+    fields = {c: made[c] if c in made else _filler(c) for c in GSOD_COLUMNS}
+    fields |= {c: F.lit(v) for c, v in (fixed or {}).items()}
+    padded = F.col("l_suppkey") % 2 == 1
+    names = [f"_{i}" for i in range(len(keep))]
+    lines = data.select(*[c.alias(n) for n, c in zip(names, keep)], padded.alias("_padded"),
+                        _odd_fields().alias("_odd"), _render(fields, padded).alias("_line"))
+    return lines.select(*names, "_padded", _with_odd_fields(F.col("_line"), F.col("_padded"), F.col("_odd")).alias("value"))
+
+
+def _header(padded: Column) -> Column:
+    return _render({c: F.lit(c) for c in GSOD_COLUMNS}, padded)
+
+
+def _path(station: Column) -> Column:
+    return F.concat(F.lit("gsod/"), station, F.lit(".csv"))
+
+
+def _nation_file() -> Column:
+    """The station id of a file with nothing but its header, one for every nation."""
+    return F.concat(F.lit("N"), F.col("n_nationkey").cast("string"))
+
+
 def gsod_lines(spark: SparkSession, sf_dir: str, fixed: dict[str, str] | None = None) -> DataFrame:
     """Raw GSOD lines: one "file" per station (odd station keys padded, even
     compact), a header line first, then one line per reading.  ``fixed`` gives columns one
     value in all readings.
 
-    Columns: ``value, file_path, line_pos``.  The join with the station table is
-    an equi-join on the supplier key; Catalyst broadcasts the station side only
-    when its statistics say it is small, otherwise it sort-merge joins.
+    Columns: ``value, file_path, line_pos``.  The join with the station tables are
+    equi-joins; Catalyst broadcasts a table only when its statistics say it is small,
+    otherwise it sort-merge joins.
     """
-    r = readings(spark, sf_dir)
-    st = stations(spark, sf_dir)
-    data = r.join(st.drop("STATION"), "suppkey", "left")
-    padded = (F.col("suppkey") % 2) == 1
-    fields = {c: (F.col(c) if c in data.columns else _filler(c)) for c in GSOD_COLUMNS}
-    fields |= {c: F.lit(v) for c, v in (fixed or {}).items()}
-    path = F.concat(F.lit("gsod/"), _station_id(F.col("suppkey")), F.lit(".csv"))
-    body = data.select(_with_odd_fields(_render(fields, padded), padded).alias("value"), path.alias("file_path"), "line_pos")
-    header = st.select(
-        _render({c: F.lit(c) for c in GSOD_COLUMNS}, padded).alias("value"),
-        path.alias("file_path"), F.lit(-1).cast("bigint").alias("line_pos"))
-    # A file with nothing but its header for every nation.
+    # Line parsing is CPU work and a table of one row group would be one task: deal the rows evenly,
+    # by their own key (never by station, which may hold a third of them).
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    items = _line_items(spark, sf_dir).repartition(parts, "l_orderkey", "l_linenumber")
+    body = _with_lines(_with_stations(spark, sf_dir, items),
+                       (_path(_station_id(F.col("l_suppkey"))), _line_pos()), fixed).select(
+        "value", F.col("_0").alias("file_path"), F.col("_1").alias("line_pos"))
+    before = F.lit(-1).cast("bigint").alias("line_pos")
+    header = table(spark, sf_dir, "supplier").select(
+        _header(F.col("s_suppkey") % 2 == 1).alias("value"),
+        _path(_station_id(F.col("s_suppkey"))).alias("file_path"), before)
     empty = table(spark, sf_dir, "nation").select(
-        _render({c: F.lit(c) for c in GSOD_COLUMNS}, F.lit(False)).alias("value"),
-        F.concat(F.lit("gsod/N"), F.col("n_nationkey").cast("string"), F.lit(".csv")).alias("file_path"),
-        F.lit(-1).cast("bigint").alias("line_pos"))
+        _header(F.lit(False)).alias("value"), _path(_nation_file()).alias("file_path"), before)
     return header.unionByName(body).unionByName(empty)
 
 
+# How rendered lines are written: about a sixth of their bytes, at little cost.
+LINE_FILES = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+
+
+def render_lines(spark: SparkSession, sf_dir: str, out: str) -> str:
+    """Write :func:`gsod_lines` as files of many stations each, as the lines were dealt; their glob.
+
+    For what reads lines wherever they stand: the files are as many as tasks, not as stations.
+    """
+    gsod_lines(spark, sf_dir).select("value").write.options(**LINE_FILES).text(out)
+    return f"{out}/part-*"
+
+
 # Lines in one rendered file, about.
 FILE_LINES = 1_000_000
 
@@ -149,15 +209,32 @@ def render_files(spark: SparkSession, sf_dir: str, out: str, fixed: dict[str, st
     A station with more than ``FILE_LINES`` lines is dealt to several files by the hash of the line's
     position, so none of its tasks has more; the first has the header and the first
     reading, as the only file of a smaller station has.
+
+    Rows of ``lineitem`` are dealt and sorted with the columns of their station, and become lines
+    only as they are written: a row has about a quarter of a line's bytes.  The files are
+    compressed, and each task moves its own into place (``out`` is read only when all are written).
     """
-    name = F.regexp_extract("file_path", r"([0-9N]+)\.csv$", 1).alias("name")
-    sizes = gsod_lines(spark, sf_dir).groupBy(name).agg(
-        F.min(F.when(F.col("line_pos") >= 0, F.col("line_pos"))).alias("first"),
-        F.ceil(F.count(F.lit(1)) / FILE_LINES).cast("int").alias("parts"))
-    lines = gsod_lines(spark, sf_dir, fixed).select("value", "line_pos", name)
-    part = F.when((F.col("line_pos") < 0) | (F.col("line_pos") == F.col("first")), 0).otherwise(
+    items = _line_items(spark, sf_dir).withColumn("line_pos", _line_pos())
+    large = items.groupBy("l_suppkey").agg(
+        F.min("line_pos").alias("first"), F.ceil(F.count(F.lit(1)) / FILE_LINES).cast("int").alias("parts"))
+    # One row for a million lines at most.
+    large = F.broadcast(large.where("parts > 1").withColumnRenamed("l_suppkey", "large_suppkey"))
+    part = F.when(F.col("parts").isNull() | (F.col("line_pos") == F.col("first")), 0).otherwise(
         F.pmod(F.xxhash64("line_pos"), F.col("parts")).cast("int"))
-    placed = lines.join(sizes, "name").select("value", "line_pos", "name", part.alias("part"))
-    (placed.repartition("name", "part").sortWithinPartitions("name", "part", "line_pos")
-     .select("name", "part", "value").write.partitionBy("name", "part").text(out))
+    body = _with_stations(spark, sf_dir, items.join(large, F.col("l_suppkey") == F.col("large_suppkey"), "left")
+                          .select(*READING_COLUMNS, "line_pos", part.alias("part"))).withColumn(
+        "name", _station_id(F.col("l_suppkey")))
+    before = (F.lit(-1).cast("bigint").alias("line_pos"), F.lit(0).alias("part"))
+    header = table(spark, sf_dir, "supplier").select(
+        _station_id(F.col("s_suppkey")).alias("name"), F.col("s_suppkey").cast("bigint").alias("l_suppkey"), *before)
+    empty = table(spark, sf_dir, "nation").select(
+        _nation_file().alias("name"), F.lit(0).cast("bigint").alias("l_suppkey"), *before)
+    rows = body.unionByName(header.unionByName(empty), allowMissingColumns=True)
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    placed = rows.repartition(parts, "name", "part").sortWithinPartitions("name", "part", "line_pos")
+    lines = _with_lines(placed, tuple(F.col(c) for c in ("name", "part", "line_pos")), fixed)
+    value = F.when(F.col("_2") < 0, _header(F.col("_padded")))
+    (lines.select(F.col("_0").alias("name"), F.col("_1").alias("part"), value.otherwise(F.col("value")).alias("value"))
+     .write.partitionBy("name", "part").options(**LINE_FILES)
+     .option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(out))
     return f"{out}/name=*/part=*/part-*"
