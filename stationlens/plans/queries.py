@@ -17,7 +17,7 @@ from ..functions.events import EVENT_NAMES
 from ..functions.text import ALL_RAW, VALUES, clean_field, csv_value, split_fields, tokenize
 from ..operators import climate, cube, parse, stations
 from ..session import checkpoint_dir
-from ..sources.tables import gsod_lines, render_files, table
+from ..sources.tables import gsod_lines, render_files, render_lines, table
 from ..sources.text import InputFiles, first_row_of_each_file, preview, read_lines
 from .jobs import JOB_REPORT, OUTPUTS, path_exists, run_climate_job, run_station_job
 from .report import summary_lines
@@ -90,8 +90,10 @@ def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _climate_output(spark: SparkSession, sf_dir: str) -> tuple[str, dict]:
-    out = f"{checkpoint_dir(spark)}/climate-{uuid.uuid4().hex}"
-    return out, run_climate_job(spark, _rendered(spark, sf_dir), out)
+    """The climate job on files of all lines; it takes lines from any files, so these hold many stations."""
+    run = uuid.uuid4().hex
+    out = f"{checkpoint_dir(spark)}/climate-{run}"
+    return out, run_climate_job(spark, render_lines(spark, sf_dir, f"{checkpoint_dir(spark)}/gsod-{run}"), out)
 
 
 def _text_columns(spark: SparkSession, path: str, schema: str) -> DataFrame:
