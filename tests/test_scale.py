@@ -1,7 +1,7 @@
 """What the work for each line costs, seen in the plans and in the files."""
 
 from stationlens.operators import climate, parse
-from stationlens.sources.tables import gsod_lines, render_lines
+from stationlens.sources.tables import gsod_lines, lines_by_file, render_files, render_lines
 from stationlens.sources.text import read_lines
 
 SF = "/root/testdata/sf0.001"
@@ -29,3 +29,19 @@ def test_lines_for_the_climate_job_stand_in_files_of_many_stations(spark, tmp_pa
     assert sorted(r.value for r in lines.select("value").collect()) == sorted(r.value for r in want.collect())
     assert len(lines.inputFiles()) <= spark.sparkContext.defaultParallelism + int(
         spark.conf.get("spark.sql.shuffle.partitions")) + 2
+
+
+def test_rows_become_lines_after_they_are_sorted_into_files(spark):
+    plan = lines_by_file(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    # The outer operators come first: the lines' expression stands above the sort.
+    assert plan.index("concat_ws") < plan.index("Sort [") and "concat_ws" not in plan[plan.index("Sort ["):]
+
+
+def test_written_station_files_hold_the_lines_once(spark, tmp_path):
+    out = render_files(spark, SF, str(tmp_path / "out"))
+    lines = read_lines(spark, out)
+    want = gsod_lines(spark, SF).select("value")
+    assert sorted(r.value for r in lines.select("value").collect()) == sorted(r.value for r in want.collect())
+    names = {f.split("/name=")[1].split("/")[0] for f in lines.inputFiles()}
+    assert len(names) == len(lines.inputFiles()) == spark.read.parquet(f"{SF}/supplier.parquet").count() + 25
+    assert all(f.endswith(".gz") for f in lines.inputFiles())
