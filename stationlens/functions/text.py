@@ -111,12 +111,6 @@ def csv_value(token: Column) -> Column:
             .otherwise(unquote(token)))
 
 
-def has_plain_edges(trimmed: Column) -> Column:
-    """True where a space-trimmed text has no other whitespace at its ends (or is empty)."""
-    return (F.length(trimmed) == 0) | (F.left(trimmed, F.lit(1)).between("!", "~")
-                                       & F.right(trimmed, F.lit(1)).between("!", "~"))
-
-
 def clean_field(token: Column) -> Column:
     """The reference's ``field.strip().strip('"')`` of a raw token."""
     return strip_quotes(py_strip(csv_value(token)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,15 +45,6 @@ def is_plain_number(s: Column) -> Column:
             & (F.octet_length(s) > 0) & ~s.contains("x") & ~s.contains("X") & ~s.contains("_"))
 
 
-def are_plain_numbers(n: int) -> str:
-    """Pattern of ``n`` numbers with a comma between them, each of digits with a sign or a point at most.
-
-    A number that is missing or has a comma itself changes how many there are.
-    """
-    number = r"[+-]?[0-9]+(?:\.[0-9]*)?"
-    return rf"^{number}(?:,{number}){{{n - 1}}}\z"
-
-
 def parse_float(value: Column, stripped: bool = False) -> Column:
     """DOUBLE of ``float(value.strip())``, NULL where Python would raise.
 
@@ -72,14 +65,31 @@ def below_missing(x: Column, absolute: bool) -> Column:
     return F.coalesce(v < F.lit(MISSING_THRESHOLD), F.lit(False))
 
 
+def scaled(x: Column, places: int, digits: int) -> tuple[Column, Column]:
+    """Whether a DOUBLE is below ``10^digits`` and the nearest to a decimal of ``places`` places; this decimal.
+
+    Such a DOUBLE (15 digits at most) has that decimal as its text, so this is what a cast gives,
+    without the text: the decimal is made of a whole number.
+    """
+    whole = F.rint(x * F.lit(float(10**places)))
+    near = (F.abs(x) < F.lit(float(10**digits))) & (whole / F.lit(float(10**places)) == x)
+    return near, whole.cast("bigint").cast(f"decimal({digits + places},0)") * F.lit(Decimal(1).scaleb(-places))
+
+
+def _summand(x: Column) -> Column:
+    """The reading as SUM_TYPE, or nearly."""
+    near, value = scaled(x, 6, 5)
+    return F.when(near, value).otherwise(x.try_cast(SUM_TYPE))
+
+
 def _held(x: Column) -> Column:
     """True where SUM_TYPE holds the reading exactly."""
-    return F.coalesce(x.try_cast(SUM_TYPE).cast("double") == x, F.lit(False))
+    return F.coalesce(scaled(x, 6, 5)[0] | (x.try_cast(SUM_TYPE).cast("double") == x), F.lit(False))
 
 
 def exact_part(x: Column) -> Column:
     """Sum of the readings that SUM_TYPE holds, as a decimal."""
-    return F.sum(F.when(_held(x), x.try_cast(SUM_TYPE)))
+    return F.sum(F.when(_held(x), _summand(x)))
 
 
 def other_part(x: Column) -> Column:

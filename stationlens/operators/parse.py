@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date, season
 from ..functions.events import EVENT_NAMES, decode_events, event_flag
-from ..functions.text import ALL_RAW, VALUES, between_quotes, csv_value, has_plain_edges, py_strip, split_fields, strip_quotes
-from ..functions.values import are_plain_numbers, below_missing, parse_float
+from ..functions.text import ALL_RAW, VALUES, between_quotes, csv_value, py_strip, split_fields, strip_quotes
+from ..functions.values import below_missing, parse_float
 
 # Position of each used field in the 28-field layout.  In the
 # 29-field layout (a station name split at its comma) every index from TEMP on
@@ -35,6 +35,9 @@ MEASURES = (("temp", "TEMP", True), ("max_temp", "MAX", True), ("min_temp", "MIN
             ("prcp", "PRCP", False), ("wdsp", "WDSP", False), ("gust", "GUST", False))
 MEASURE_COLUMNS = tuple(m[0] for m in MEASURES)
 
+# Fixed value: stands before each used field of a plain line, which has no control character there.
+MARK = "\u0001"
+
 
 def once(expr: Column) -> Column:
     """Evaluate ``expr`` once per row, as a generator output (see module doc)."""
@@ -54,15 +57,6 @@ def _raw_token(name: str, t: Column) -> Column:
     return F.get(t, F.lit(idx) if idx < 2 else F.size(t) - F.lit(28 - idx))
 
 
-def _trimmed(name: str) -> Column:
-    """A field without the spaces around it."""
-    token = _raw_token(name, F.col("_t"))
-    if FIELD_INDEX[name] == 0:  # the one field that may still be in its quotes
-        quoted = (F.col("_k") != VALUES) & token.startswith('"')
-        token = F.when(quoted, F.substring(token, 2, F.length(token) - 2)).otherwise(token)
-    return F.trim(token)
-
-
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, which is evaluated once however often ``body`` reads it."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -93,36 +87,61 @@ def _any_record(line: Column) -> Column:
     return _let(split_fields(line), lambda f: _let(tokens(f), lambda t: _let(texts(t), lambda v: _let(numbers(v), record))))
 
 
+def plain_line() -> tuple[str, str]:
+    """Pattern of a plain line, and its replacement: :data:`MARK` before each used field, in file order.
+
+    A line is plain in one of two shapes (see :func:`split_fields`), whose fields can be told without
+    the reader's state machine: each quoted and no quote between, or no quote after a comma and the first
+    field quoted whole or not at all.  The used fields have no whitespace but spaces around them, and
+    numbers are of digits with a sign or a point at most, which a cast reads as Python does.  A text
+    between spaces and quotes is not plain in the second shape, as there its spaces stay.
+    """
+    word, number = r"[!#-+\--~]*+", r"[+-]?+[0-9]++(?:\.[0-9]*+)?+"
+    readings = {source for _, source, _ in MEASURES}
+    indexes = {i: number if n in readings else word for n, i in FIELD_INDEX.items()}
+
+    # The layouts differ in the fields between DATE and TEMP: ``likely`` is "?" to try the shorter one first.
+    def line(first: str, comma: str, text: str, reading: str, other: str, likely: str) -> str:
+        out, skipped = first, 0
+        for i in range(1, LAYOUT_SIZES[0]):
+            if i not in indexes:
+                skipped += 1
+                continue
+            n = f"{{{skipped}}}" if i != FIELD_INDEX["TEMP"] else f"{{{skipped},{skipped + LAYOUT_SIZES[1] - LAYOUT_SIZES[0]}}}{likely}"
+            out += (f"(?:{comma}{other}){n}" if skipped else "") + comma + (reading if indexes[i] == number else text) % f"({indexes[i]})"
+            skipped = 0
+        return out
+
+    quoted = '" *+%s *+"'
+    first = quoted % f"({word})"
+    compact = line(first, ",", quoted, quoted, '"[^"]*+"', "?")
+    padded = line(f"(?:{first}| *+({word}) *+)", ',(?!")', ' *+"?+%s"?+ *+', ' *+"?+ *+%s *+"?+ *+', "[^,]*+", "")
+    n = len(FIELD_INDEX)
+    # The second shape's first field has two groups; a group that took no part is empty.
+    groups = [f"$1${n + 1}${n + 2}", *[f"${i}${i + n + 1}" for i in range(2, n + 1)]]
+    return rf"^(?:{compact}|{padded})\z", "".join(MARK + g for g in groups)
+
+
 def parsed_lines(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Every line with ``layout_ok``, the used fields and the six readings as DOUBLE.
 
     Nothing is filtered here; :func:`valid_records` and :func:`ingest_profile`
-    decide.  Almost all lines have plain numbers and no whitespace but spaces around their
-    fields: two trims a field and a cast.  For the others the exact expressions stand in ``transform`` over
+    decide.  Almost all lines are plain (:func:`plain_line`): one pattern takes their used fields, and a cast
+    reads the numbers.  For the others the exact expressions stand in ``transform`` over
     one-element arrays, which Spark evaluates outside the generated loops; these so stay
-    short enough for the JIT compiler (8,000 bytes).  Only such a line goes on whole, all others
-    as the texts of their used fields.  The record is computed behind a
+    short enough for the JIT compiler (8,000 bytes).  The record is computed behind a
     generator barrier, so the validity filter that follows cannot be pushed into (and
     duplicate) it.
     """
-    t = _tokens_all(lines, (*keep, "value"))
-    sources = {"station": "STATION", "date": "DATE", "frshtt": "FRSHTT", **{d: s for d, s, _ in MEASURES}}
-    texts = list(sources)
-    f = t.select(*keep, "value", ((F.col("_k") != ALL_RAW) & F.size("_t").isin(*LAYOUT_SIZES)).alias("_plain"), *[
-        F.trim(F.btrim(_trimmed(s), F.lit('"'))).alias(d) if d in MEASURE_COLUMNS else _trimmed(s).alias(d)
-        for d, s in sources.items()])
-    numbers = F.concat_ws(",", *MEASURE_COLUMNS).rlike(are_plain_numbers(len(MEASURE_COLUMNS)))
-    plain = F.col("_plain") & numbers
-    for name in ("station", "date", "frshtt"):
-        plain = plain & has_plain_edges(F.col(name))
-    # A missing line is none of the plain ones and has no text to go by.
-    f = f.select(*keep, F.coalesce(plain, F.lit(False)).alias("_plain"), "value", *texts)
-    f = f.select(*keep, "_plain", F.when(~F.col("_plain"), F.col("value")).alias("_line"), *texts)
-    f = f.select(*keep, "_plain", *texts, F.when(~F.col("_plain"), _any_record(F.col("_line"))).alias("_odd"))
-    record = F.struct(F.lit(True).alias("layout_ok"), strip_quotes(F.col("station")).alias("station"),
-                      strip_quotes(F.col("date")).alias("date"),
-                      *[F.col(d).try_cast("double").alias(d) for d in MEASURE_COLUMNS],
-                      strip_quotes(F.col("frshtt")).alias("frshtt"))
+    f = lines.select(*keep, "value", F.regexp_replace("value", *plain_line()).alias("_r"))
+    columns = {"STATION": "station", "DATE": "date", "FRSHTT": "frshtt", **{s: d for d, s, _ in MEASURES}}
+    # A plain line has no mark of its own.  A missing line is none of them and has no text to go by.
+    plain = F.coalesce(F.col("_r").startswith(MARK) & ~F.col("value").startswith(MARK), F.lit(False))
+    f = f.select(*keep, plain.alias("_plain"), "value", once(F.split("_r", MARK, -1)).alias("_t"))
+    f = f.select(*keep, "_plain", *[F.get("_t", F.lit(i + 1)).alias(columns[s]) for i, s in enumerate(FIELD_INDEX)],
+                 F.when(~F.col("_plain"), _any_record(F.col("value"))).alias("_odd"))
+    record = F.struct(F.lit(True).alias("layout_ok"), F.col("station"), F.col("date"),
+                      *[F.col(d).try_cast("double").alias(d) for d in MEASURE_COLUMNS], F.col("frshtt"))
     p = f.select(*keep, once(F.when(F.col("_plain"), record).otherwise(F.col("_odd"))).alias("_p"))
     return p.select(*keep, "_p.*")
 

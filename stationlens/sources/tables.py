@@ -12,6 +12,7 @@ import gzip
 import os
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -46,6 +47,18 @@ def _line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(*READING_COLUMNS)
 
 
+# The readings as numbers.
+READINGS = {
+    "TEMP": "case when l_orderkey % 97 = 0 then 9999.9 when l_orderkey % 7 = 0 then l_quantity + 0.125"
+            " else l_quantity + 0.1 * l_linenumber end",
+    "MAX": "case when l_partkey % 89 = 0 then 9999.9 else l_quantity + 20 end",
+    "MIN": "l_quantity - 20",
+    "PRCP": "case when l_orderkey % 11 = 0 then 99.99 else l_discount end",
+    "WDSP": "l_tax * 100",
+    "GUST": "case when l_partkey % 13 = 0 then 999.9 else l_quantity end",
+}
+
+
 def _reading_fields() -> dict[str, Column]:
     """The GSOD columns of a daily reading as text, from the columns of ``lineitem``.
 
@@ -54,7 +67,7 @@ def _reading_fields() -> dict[str, Column]:
     fields (:func:`_odd_fields`) are injected by fixed rules so the parsing and cleaning rules have
     work to do.
     """
-    m = lambda e: F.expr(e).cast("decimal(18,3)").cast("string")
+    readings = {c: F.expr(x).cast("decimal(18,3)").cast("string") for c, x in READINGS.items()}
     frshtt = F.expr(
         "case when l_linenumber = 7 then '123' else concat("
         "cast(l_orderkey % 2 as string), cast(l_partkey % 2 as string), cast(l_suppkey % 2 as string),"
@@ -63,15 +76,8 @@ def _reading_fields() -> dict[str, Column]:
     return {
         "STATION": _station_id(F.col("l_suppkey")),
         "DATE": F.expr("case when l_orderkey % 53 = 0 then '1995-13-41'"
-                       " else substring(cast(l_shipdate as string), 1, 10) end"),
-        "TEMP": m("case when l_orderkey % 97 = 0 then 9999.9 when l_orderkey % 7 = 0 then l_quantity + 0.125"
-                  " else l_quantity + 0.1 * l_linenumber end"),
-        "MAX": m("case when l_partkey % 89 = 0 then 9999.9 else l_quantity + 20 end"),
-        "MIN": m("l_quantity - 20"),
-        "PRCP": m("case when l_orderkey % 11 = 0 then 99.99 else l_discount end"),
-        "WDSP": m("l_tax * 100"),
-        "GUST": F.when(F.col("l_partkey") % 71 == 0, F.lit("n/a")).otherwise(
-            m("case when l_partkey % 13 = 0 then 999.9 else l_quantity end")),
+                       " else substring(cast(cast(l_shipdate as date) as string), 1, 10) end"),
+        **readings, "GUST": F.when(F.col("l_partkey") % 71 == 0, F.lit("n/a")).otherwise(readings["GUST"]),
         "FRSHTT": frshtt,
     }
 
@@ -102,28 +108,35 @@ def _station_fields() -> dict[str, Column]:
     """Station attributes as text, from the columns of ``supplier`` and ``nation``."""
     return {
         "NAME": F.concat(F.col("s_name"), F.lit(", "), F.coalesce(F.col("n_name"), F.lit(""))),
-        "LATITUDE": F.expr("cast((s_suppkey * 7) % 180 - 90 as double)").cast("string"),
-        "LONGITUDE": F.expr("cast((s_suppkey * 13 + s_nationkey) % 360 - 180 as double)").cast("string"),
+        "LATITUDE": F.expr("concat(cast((s_suppkey * 7) % 180 - 90 as string), '.0')"),
+        "LONGITUDE": F.expr("concat(cast((s_suppkey * 13 + s_nationkey) % 360 - 180 as string), '.0')"),
         "ELEVATION": F.when(F.col("s_suppkey") % 17 == 0, F.lit("unknown")).otherwise(F.col("s_acctbal").cast("string")),
     }
 
 
-MEASURES = frozenset({"TEMP", "MAX", "MIN", "PRCP", "WDSP", "GUST"})
-
-
-def _render(fields: dict[str, Column], padded: Column) -> Column:
+def _render(fields: dict[str, Column | str], padded: Column) -> Column:
     """One CSV line: every field quoted; padded files use ``", "`` separators and
     right-aligned numbers, which turns the comma in NAME into a field break for a
     CSV reader (the 29-field layout); compact files give 28 fields.
 
-    The fields are joined by the text between two of them, closing and opening quote included, so
+    The fields are joined by the text between two of them, closing and opening quote included, and
+    constant fields that follow each other are one text, so
     the expression is short enough for the JIT compiler (8,000 bytes).
     """
     def v(c: str) -> Column:
         text = F.coalesce(fields[c], F.lit(""))
-        return F.when(padded, F.lpad(text, 7, " ")).otherwise(text) if c in MEASURES else text
+        return F.when(padded, F.lpad(text, 7, " ")).otherwise(text) if c in READINGS else text
+    parts = []
+    for constant, names in groupby(GSOD_COLUMNS, lambda c: isinstance(fields[c], str)):
+        texts = list(names)
+        if constant:
+            joined = [between.join(fields[c].rjust(7)[:7] if wide and c in READINGS else fields[c] for c in texts)
+                      for between, wide in (('", "', True), ('","', False))]
+            parts.append(F.when(padded, F.lit(joined[0])).otherwise(F.lit(joined[1])))
+        else:
+            parts += [v(c) for c in texts]
     between = F.when(padded, F.lit('", "')).otherwise(F.lit('","'))
-    return F.concat(F.lit('"'), F.call_function("concat_ws", between, *[v(c) for c in GSOD_COLUMNS]), F.lit('"'))
+    return F.concat(F.lit('"'), F.call_function("concat_ws", between, *parts), F.lit('"'))
 
 
 def _with_odd_fields(line: Column, padded: Column, n: Column) -> Column:
@@ -133,11 +146,11 @@ def _with_odd_fields(line: Column, padded: Column, n: Column) -> Column:
     return F.when(n == 27, short).when(n == 30, F.concat(line, more)).otherwise(line)
 
 
-def _filler(name: str) -> Column:
+def _filler(name: str) -> str:
     # Fixed filler values for columns no operator reads.
     if name.endswith("_ATTRIBUTES"):
-        return F.lit("8")
-    return F.lit("9999.9" if name == "SLP" else "999.9")
+        return "8"
+    return "9999.9" if name == "SLP" else "999.9"
 
 
 def _with_lines(data: DataFrame, keep: tuple, fixed: dict[str, str] | None = None) -> DataFrame:
@@ -147,7 +160,7 @@ def _with_lines(data: DataFrame, keep: tuple, fixed: dict[str, str] | None = Non
     """
     made = {**_station_fields(), **_reading_fields()}
     fields = {c: made[c] if c in made else _filler(c) for c in GSOD_COLUMNS}
-    fields |= {c: F.lit(v) for c, v in (fixed or {}).items()}
+    fields |= fixed or {}
     padded = F.col("l_suppkey") % 2 == 1
     names = [f"_{i}" for i in range(len(keep))]
     lines = data.select(*[c.alias(n) for n, c in zip(names, keep)], padded.alias("_padded"),

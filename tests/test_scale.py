@@ -1,5 +1,10 @@
 """What the work for each line costs, seen in the plans and in the files."""
 
+import random
+
+from pyspark.sql import functions as F
+
+from stationlens.functions.values import exact_part, other_part
 from stationlens.operators import climate, parse
 from stationlens.sources.tables import gsod_lines, lines_by_file, render_files, render_lines
 from stationlens.sources.text import read_lines
@@ -45,3 +50,49 @@ def test_written_station_files_hold_the_lines_once(spark, tmp_path):
     names = {f.split("/name=")[1].split("/")[0] for f in lines.inputFiles()}
     assert len(names) == len(lines.inputFiles()) == spark.read.parquet(f"{SF}/supplier.parquet").count() + 25
     assert all(f.endswith(".gz") for f in lines.inputFiles())
+
+
+def test_constant_fields_that_follow_each_other_are_one_text(spark):
+    plan = gsod_lines(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert '8","999.9","8","9999.9","8","999.9","8","999.9","8' in plan
+
+
+def test_one_pattern_reads_a_plain_line(spark):
+    plan = parse.parsed_lines(gsod_lines(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
+    # The replaced text is all that is cut; of the exact expressions only those of odd lines are left.
+    assert "generate explode(array(split(_r#" in plan.lower() or "explode(array(split(_r#" in plan.lower()
+    pattern = parse.plain_line()
+    plain = gsod_lines(spark, SF).where(F.regexp_replace("value", *pattern).startswith(parse.MARK)).count()
+    assert plain > 0.97 * gsod_lines(spark, SF).count()
+
+
+def test_plain_lines_have_the_record_of_the_exact_expressions(spark):
+    rng = random.Random(3)
+    lines = [r.value for r in gsod_lines(spark, SF).select("value").limit(400).collect()]
+    lines += [line.replace('"', "") for line in lines[::7]] + [line.replace(", ", ",") for line in lines[::9]]
+    for line in list(lines):
+        for _ in range(6):
+            at = rng.randrange(len(line) + 1)
+            put = rng.choice(['"', ",", " ", '""', '",', ',"', ', "', "\t", "\u0001", ".", "-", "_", "e5", "x", " ", " ", ""])
+            line = line[:at] + put + line[at + rng.randrange(3):]
+            lines.append(line)
+    lines += [parse.MARK + line for line in lines[:5]] + ["", parse.MARK, None, ',"a","b"']
+    given = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i long, value string")
+    got = parse.parsed_lines(given, ("i",)).collect()
+    want = given.select("i", parse.once(parse._any_record(F.col("value"))).alias("p")).select("i", "p.*").collect()
+    assert len(got) == len(lines)
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+def test_sums_without_texts_of_numbers(spark):
+    rng = random.Random(4)
+    xs = [round(rng.uniform(-2000, 2000), rng.randrange(9)) for _ in range(2000)]
+    xs += [rng.uniform(-1, 1) * 10.0 ** rng.randrange(-9, 15) for _ in range(2000)]
+    xs += [0.0, -0.0, 1.0005, 0.0000005, 1e5, 99999.9999995, float("nan"), float("inf"), -float("inf"), None]
+    x = F.col("x")
+    held = F.coalesce(x.try_cast("decimal(18,6)").cast("double") == x, F.lit(False))
+    rows = spark.createDataFrame(list(enumerate(xs)), "i long, x double")
+    got = rows.groupBy("i").agg(exact_part(x).alias("e"), other_part(x).alias("o"))
+    want = rows.groupBy("i").agg(F.sum(F.when(held, x.try_cast("decimal(18,6)"))).alias("e"), F.sum(F.when(~held, x)).alias("o"))
+    assert got.schema["e"] == want.schema["e"]
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
