@@ -32,7 +32,7 @@ from .gru import Adam, sigmoid
 
 FIT_POSITIVE = 3_000
 FIT_START = 5_000
-#: Texts in a step of the pass over all texts, and its learning rate.
+#: Texts in a step of the pass over all texts (and that are scored together), and its learning rate.
 STEP_TEXTS, STEP_RATE = 256, 0.002
 RIDGE = 2e-3
 BINS = 512
@@ -243,9 +243,12 @@ def scorer(model: Model):
 
     @F.pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:
-        if not len(text):
-            return pd.Series([], dtype="float64")
-        return pd.Series(model.scores(np.stack([inputs(t) for t in text]).astype(np.float64)))
+        # Some texts at a time: the inputs of a whole batch are held several times as doubles.
+        out = np.empty(len(text))
+        for at in range(0, len(text), STEP_TEXTS):
+            some = text.iloc[at : at + STEP_TEXTS]
+            out[at : at + len(some)] = model.scores(np.stack([inputs(t) for t in some]).astype(np.float64))
+        return pd.Series(out)
 
     return score
 

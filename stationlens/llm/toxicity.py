@@ -32,7 +32,7 @@ FIT_TOXIC = 800
 FIT_CLEAN = 3_000
 WINDOW, STRIDE = 48, 36
 #: Characters of texts that are scored together, and of a piece of a longer text.
-LONG = 4 << 20
+LONG = 1 << 20
 WORD_SLOTS, TRIGRAM_SLOTS, PREFIX_SLOTS, WIDTH, HIDDEN = 1 << 15, 1 << 13, 1 << 14, 12, 8
 #: Lengths of the beginnings of words, in bytes, that are inputs besides trigrams.
 PREFIXES = (4, 6)

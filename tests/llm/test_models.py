@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -516,3 +517,16 @@ def test_pipeline_on_an_empty_table(spark, documents, tmp_path):
     documents(["a"]).limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_quality_scores_some_texts_at_a_time(spark):
+    model = quality.Model(np.zeros(quality.INPUTS), np.ones(quality.INPUTS))
+    model.weights = {"w": np.linspace(-1, 1, quality.INPUTS), "b": np.zeros(1)}
+    texts = pd.Series([f"word {i} of {i * i}," * (i % 5) for i in range(3 * quality.STEP_TEXTS + 7)])
+    want = model.scores(np.stack([quality.inputs(t) for t in texts]).astype(np.float64))
+    sizes, whole = [], model.scores
+    model.scores = lambda x: sizes.append(len(x)) or whole(x)
+    got = quality.scorer(model).func(texts)
+    assert np.allclose(got, want, rtol=0, atol=1e-12) and sum(sizes) == len(texts)
+    assert max(sizes) <= quality.STEP_TEXTS
+    assert not len(quality.scorer(model).func(texts[:0]))
