@@ -1,10 +1,14 @@
 """Shared helpers: scratch tables in the shared folder, column picking, fixed folds."""
 
 import atexit
+import ctypes
+import functools
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +62,31 @@ def remove(spark: SparkSession, *paths: str) -> None:
         where.getFileSystem(conf).delete(where, True)
 
 
+def give_back() -> None:
+    """Return freed memory to the system, which Arrow's pool and the C library else keep.
+
+    Python workers wait for their next task with all that they kept, beside those that run.
+    """
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the GNU C library
+        pass
+
+
+def giving_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, a function from batches to batches, that gives memory back when a task is done."""
+
+    @functools.wraps(run)
+    def whole(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
+
+
 def sampled(rows: DataFrame, key: Column, n: int) -> DataFrame:
     """``n`` different rows, those of the least ``key`` (a hash); all, if there are fewer.
 

@@ -91,6 +91,7 @@ def class_key(shingles: np.ndarray) -> bytes:
 
 
 def sketches(texts: DataFrame) -> DataFrame:
+    @common.giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, 1024) for b in batches for at in range(0, b.num_rows, 1024)):
             rows = []
@@ -108,6 +109,7 @@ def sketches(texts: DataFrame) -> DataFrame:
 def full_sets(rows: DataFrame) -> DataFrame:
     """(cls, shingles as bytes) of rows (cls, key, text) whose text is of the class."""
 
+    @common.giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("cls", pa.int64()), ("shingles", pa.binary())])
         for batch in (b.slice(at, 512) for b in batches for at in range(0, b.num_rows, 512)):
@@ -147,6 +149,7 @@ def least_shared(n, threshold: int):
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Of pairs (a, b) those with 100 * shared >= threshold * all, by the full sets."""
 
+    @common.giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -246,6 +249,7 @@ def _across(rows: DataFrame, threshold: int) -> DataFrame:
                     if max(n[p], n[q]) <= WIDE:  # compared whole, so this is a link
                         above[max(a, b)] = min(a, b)
 
+    @common.giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, []
         for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):

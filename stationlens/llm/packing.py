@@ -31,6 +31,7 @@ STORED = (
 def tokenised(docs: DataFrame, vocabulary: str, remembered: int = REMEMBERED) -> DataFrame:
     """Rows of at most ROW_IDS ids with their starts in the document and the partition."""
 
+    @common.giving_back
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, part, at = word_ids(vocabulary, remembered), TaskContext.get().partitionId(), 0
         # A few documents at a time: their ids are held as bytes and again as Arrow columns.

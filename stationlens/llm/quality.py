@@ -22,7 +22,6 @@ empty table.
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -156,6 +155,7 @@ def _taught_by_all(texts: DataFrame, model: Model, positive: np.ndarray, prior:
     shared = texts.sparkSession.sparkContext.broadcast((model, positive))
     schema = pa.schema([("texts", pa.int64()), ("weights", pa.binary())])
 
+    @common.giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, positive = shared.value
         own = Model(model.mean, model.scale)
@@ -200,15 +200,16 @@ def fit(
     seen = common.fold(F.col("doc_id").cast("long"), folds) != held_out
     rows = _training_rows(texts, labels, seen, n_positive, n_start)
 
-    def take(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            x = [inputs(t).tobytes() for t in frame["text"]]
-            yield pd.DataFrame({"role": frame["role"], "x": x})
+    @common.giving_back
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = [inputs(t.as_py()).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.binary())], names=["role", "x"])
 
     # At most n_positive + n_start ids are broadcast and as many input rows collected: of rows that
     # share an id one text, the least.
     found = texts.join(F.broadcast(rows), "doc_id").groupBy("doc_id", "role").agg(F.min("text").alias("text")).orderBy("doc_id", "role")
-    kept = found.mapInPandas(take, "role int, x binary").collect()
+    kept = found.select("role", "text").mapInArrow(take, "role int, x binary").collect()
     x = np.frombuffer(b"".join(r.x for r in kept), np.float32).reshape(-1, INPUTS).astype(np.float64)
     role = np.array([r.role for r in kept])
     mean = x.mean(axis=0) if len(x) else np.zeros(INPUTS)
@@ -241,14 +242,15 @@ def fit(
 def scorer(model: Model):
     """A column function from text to score."""
 
-    @F.pandas_udf("double")
-    def score(text: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
         # Some texts at a time: the inputs of a whole batch are held several times as doubles.
-        out = np.empty(len(text))
-        for at in range(0, len(text), STEP_TEXTS):
-            some = text.iloc[at : at + STEP_TEXTS]
+        out = np.empty(len(texts))
+        for at in range(0, len(texts), STEP_TEXTS):
+            some = texts[at : at + STEP_TEXTS].tolist()
             out[at : at + len(some)] = model.scores(np.stack([inputs(t) for t in some]).astype(np.float64))
-        return pd.Series(out)
+        common.give_back()
+        return pa.array(out)
 
     return score
 

@@ -21,7 +21,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +33,8 @@ FIT_CLEAN = 3_000
 WINDOW, STRIDE = 48, 36
 #: Characters of texts that are scored together, and of a piece of a longer text.
 LONG = 1 << 20
+#: Texts of a batch that are Python strings at a time.
+SCORED_TEXTS = 512
 WORD_SLOTS, TRIGRAM_SLOTS, PREFIX_SLOTS, WIDTH, HIDDEN = 1 << 15, 1 << 13, 1 << 14, 12, 8
 #: Lengths of the beginnings of words, in bytes, that are inputs besides trigrams.
 PREFIXES = (4, 6)
@@ -329,10 +331,15 @@ def scorer(spark, net: Net):
     """A column function from text to score; the weights (1.6 MB, fixed) are broadcast."""
     shared = spark.sparkContext.broadcast(net)
 
-    @F.pandas_udf("double")
-    def score(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in frames:
-            yield pd.Series(score_texts(shared.value, texts.tolist()), dtype="float64")
+    @F.arrow_udf("double")
+    @common.giving_back
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            out = np.empty(len(texts))
+            for at in range(0, len(texts), SCORED_TEXTS):
+                some = texts.slice(at, SCORED_TEXTS).to_pylist()
+                out[at : at + len(some)] = score_texts(shared.value, some)
+            yield pa.array(out)
 
     return score
 

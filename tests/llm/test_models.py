@@ -2,11 +2,15 @@
 
 import collections
 import math
+import pathlib
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -530,3 +534,26 @@ def test_quality_scores_some_texts_at_a_time(spark):
     assert np.allclose(got, want, rtol=0, atol=1e-12) and sum(sizes) == len(texts)
     assert max(sizes) <= quality.STEP_TEXTS
     assert not len(quality.scorer(model).func(texts[:0]))
+
+
+def test_scoring_workers_hold_no_pandas():
+    """Workers that run the pipeline's stages don't load pandas (24 MB in each of them)."""
+    stages = "quality, toxicity, minhash, packing"
+    code = f"import sys; from stationlens.llm import {stages}; sys.exit('pandas' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], cwd=pathlib.Path(quality.__file__).parents[2]).returncode == 0
+
+
+def test_toxicity_scores_some_texts_at_a_time(monkeypatch):
+    texts = ["" if i % 7 == 0 else f"word{i} of {i * i}, " * (i % 90) for i in range(toxicity.SCORED_TEXTS + 200)]
+    net = toxicity.Net()
+    net.slope, net.shift = 1.0, 0.0
+    sizes, freed, whole = [], [], toxicity.score_texts
+    want = whole(net, texts)
+    monkeypatch.setattr(toxicity, "score_texts", lambda net, some: sizes.append(len(some)) or whole(net, some))
+    monkeypatch.setattr(common, "give_back", lambda: freed.append(len(sizes)))
+    shared = type("Broadcast", (), {"value": net})
+    context = type("Context", (), {"broadcast": lambda self, x: shared})()
+    score = toxicity.scorer(type("Session", (), {"sparkContext": context}), net).func
+    got = list(score(iter([pa.array(texts, pa.string()), pa.array([], pa.string())])))
+    assert np.allclose(got[0], want, rtol=0, atol=1e-6) and [len(x) for x in got] == [len(texts), 0]
+    assert sizes == [toxicity.SCORED_TEXTS, 200] and freed == [2]
