@@ -93,10 +93,14 @@ def plain_line() -> tuple[str, str]:
     A line is plain in one of two shapes (see :func:`split_fields`), whose fields can be told without
     the reader's state machine: each quoted and no quote between, or no quote after a comma and the first
     field quoted whole or not at all.  The used fields have no whitespace but spaces around them, and
-    numbers are of digits with a sign or a point at most, which a cast reads as Python does.  A text
-    between spaces and quotes is not plain in the second shape, as there its spaces stay.
+    readings are of digits with a sign or a point at most, or of letters and slashes alone ("n/a", "inf"):
+    a cast reads both as Python does.  A text between spaces and quotes is not plain in the second shape,
+    as there its spaces stay.
+
+    Runs that end before a character which is none of theirs are greedy: Java reads these in a loop of
+    their own, possessive ones step by step.  Where spaces could be shared out they stay possessive.
     """
-    word, number = r"[!#-+\--~]*+", r"[+-]?+[0-9]++(?:\.[0-9]*+)?+"
+    word, number = r"[!#-+\--~]*", r"[+-]?+[0-9]+(?:\.[0-9]*)?+|[A-Za-z/]+"
     readings = {source for _, source, _ in MEASURES}
     indexes = {i: number if n in readings else word for n, i in FIELD_INDEX.items()}
 
@@ -114,8 +118,8 @@ def plain_line() -> tuple[str, str]:
 
     quoted = '" *+%s *+"'
     first = quoted % f"({word})"
-    compact = line(first, ",", quoted, quoted, '"[^"]*+"', "?")
-    padded = line(f"(?:{first}| *+({word}) *+)", ',(?!")', ' *+"?+%s"?+ *+', ' *+"?+ *+%s *+"?+ *+', "[^,]*+", "")
+    compact = line(first, ",", quoted, quoted, '"[^"]*"', "?")
+    padded = line(f"(?:{first}| *+({word}) *+)", ',(?!")', ' *+"?+%s"?+ *+', ' *+"?+ *+%s *+"?+ *+', "[^,]*", "")
     n = len(FIELD_INDEX)
     # The second shape's first field has two groups; a group that took no part is empty.
     groups = [f"$1${n + 1}${n + 2}", *[f"${i}${i + n + 1}" for i in range(2, n + 1)]]

@@ -1,6 +1,7 @@
 """What the work for each line costs, seen in the plans and in the files."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -66,6 +67,35 @@ def test_one_pattern_reads_a_plain_line(spark):
     assert plain > 0.97 * gsod_lines(spark, SF).count()
 
 
+def test_readings_of_letters_take_the_pattern_too(spark):
+    """A reading such as n/a is no reason for the exact expressions, which cost some 20 plain lines."""
+    def line(reading, sep):
+        texts = ["1"] * 28
+        for name, i in parse.FIELD_INDEX.items():
+            texts[i] = reading if name in ("TEMP", "GUST") else "2001-02-03" if name == "DATE" else "3"
+        return sep.join(f'"{t}"' for t in texts)
+
+    letters = ["n/a", "NaN", "nan", "inf", "Infinity", "iNFINITY", "infinit", "d", "F", "N/A/", "/"]
+    others = ["", "-", "+nan", "-inf", "1d", "0x1", "1e3", "n a", "1_0", ".5", "\u0660", "1 f"]
+    rows = [(line(x, sep), x) for x in letters + others for sep in (",", ", ")]
+    lines = spark.createDataFrame(rows, "value string, reading string")
+    plain = F.regexp_replace("value", *parse.plain_line()).startswith(parse.MARK)
+    assert {r.reading for r in lines.where(plain).collect()} == set(letters)
+    fast = parse.parsed_lines(lines, ("value",)).collect()
+    exact = lines.select("value", parse._any_record(F.col("value")).alias("p")).select("value", "p.*").collect()
+    assert sorted(map(repr, fast)) == sorted(map(repr, exact))
+
+
+def test_a_long_line_that_is_nearly_plain_is_refused_at_once(spark):
+    """Greedy runs must not try one after another: these lines fail at their last field."""
+    ends = ['x"y', '"', " "]
+    rows = [(sep.join(['"' + " " * 300 + "1" * 300 + " " * 300 + '"'] * 27 + [end]),) for sep in (",", ", ") for end in ends]
+    began = time.monotonic()
+    plain = F.regexp_replace("value", *parse.plain_line()).startswith(parse.MARK)
+    spark.createDataFrame(rows, "value string").select(plain).collect()
+    assert time.monotonic() - began < 30
+
+
 def test_plain_lines_have_the_record_of_the_exact_expressions(spark):
     rng = random.Random(3)
     lines = [r.value for r in gsod_lines(spark, SF).select("value").limit(400).collect()]
