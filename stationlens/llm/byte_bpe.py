@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +27,9 @@ ID_BYTES = 4
 RUNS = re.compile(r"\s{3}|\s\s\Z")
 #: Signs on which libraries differ as to whether they are white space.
 DOUBTFUL = re.compile("[\x00\x1c-\x1f\x85]")
+#: Texts with either, for Arrow's expressions, whose own \s has fewer signs than that of Python.
+_SPACES = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+ODD = r"[\x00\x1c-\x1f\x{85}]|" + _SPACES + "{3}|" + _SPACES + r"{2}\z"
 
 
 def ranks(rank_file: str) -> dict[bytes, int]:
@@ -49,6 +53,41 @@ def splitter(pattern: str):
     return split
 
 
+def array_splitter(pattern: str):
+    """``splitter`` for arrays of texts: arrays of their words, and the number of words of each text."""
+    split = splitter(pattern)
+
+    def at_spaces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The words lie in the texts' own buffer; only where they begin is worked out."""
+        ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+        first, last = int(ends[0]), int(ends[-1])
+        if first == last:
+            return pa.array([], pa.binary()), np.zeros(len(texts), np.int64)
+        begins = np.frombuffer(texts.buffers()[2], np.uint8)[first:last] == ord(" ")
+        begins[ends[:-1][ends[:-1] < ends[1:]] - first] = True
+        starts = np.append(np.flatnonzero(begins) + first, last).astype(np.int32)
+        words = pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer(starts), texts.buffers()[2]])
+        return words, np.diff(np.searchsorted(starts, ends))
+
+    def split_array(texts: pa.Array) -> tuple[list[pa.Array], np.ndarray]:
+        texts = texts.cast(pa.string())
+        odd = pc.match_substring_regex(texts, ODD).to_numpy(zero_copy_only=False)
+        edges = (np.flatnonzero(odd[1:] != odd[:-1]) + 1).tolist()
+        words, sizes = [], []
+        for a, b in zip([0, *edges], [*edges, len(texts)], strict=True):
+            if odd[a]:
+                listed = [split(text) for text in texts.slice(a, b - a).to_pylist()]
+                words.append(pa.array([w for own in listed for w in own], pa.binary()))
+                sizes.append(np.fromiter(map(len, listed), np.int64, b - a))
+            else:
+                found, each = at_spaces(texts.slice(a, b - a))
+                words.append(found)
+                sizes.append(each)
+        return words, np.concatenate(sizes)
+
+    return split_array
+
+
 _encoders: dict = {}
 
 
@@ -71,8 +110,9 @@ def encode(
     is not read from files (see ``word_blocks``).
     """
     texts = common.id_and_text(docs, id_col, text_col).withColumn("flag", F.lit(0))
-    blocks = wb.cut_blocks(texts, splitter(pattern), store=store)
+    blocks = wb.cut_blocks(texts, split_array=array_splitter(pattern), store=store)
 
+    @common.giving_back
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("n", pa.int32()), ("check", pa.int64()), ("body", pa.binary())])
         encoder, bucket, known = _encoder(rank_file, pattern), None, {}
@@ -90,6 +130,7 @@ def encode(
 
     encoded = wb.by_bucket(blocks).mapInArrow(encode_words, "block long, part int, n int, check long, body binary")
 
+    @common.giving_back
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
         block, lengths, ids, checks, ready, places = None, [], [], [], None, wb.Places()
@@ -134,12 +175,27 @@ LOOKED_UP = 256
 _ASKED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("rank", pa.int64())])
 
 
+#: Ranks below this are marked in an array as long, others sorted.
+MARKED = 1 << 20
+
+
+def _different(ids: list[np.ndarray]) -> np.ndarray:
+    """The different ids of some documents, ascending."""
+    if max((int(x.max()) for x in ids if len(x)), default=0) >= MARKED:
+        return np.unique(np.concatenate(ids)).astype(np.int64)
+    met = np.zeros(MARKED, np.bool_)
+    for x in ids:
+        met[x] = True
+    return np.flatnonzero(met).astype(np.int64)
+
+
 def _with_ranks(encoded: DataFrame) -> DataFrame:
     """The documents, before each ``LOOKED_UP`` of them a row for every rank they have."""
 
+    @common.giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, LOOKED_UP) for b in batches for at in range(0, b.num_rows, LOOKED_UP)):
-            used = np.unique(np.concatenate([np.frombuffer(ids.as_py(), "<u4") for ids in batch.column(2)])).astype(np.int64)
+            used = _different([np.frombuffer(ids.as_py(), "<u4") for ids in batch.column(2)])
             none = pa.nulls(len(used), pa.int64())
             yield pa.RecordBatch.from_arrays([none, none, pa.nulls(len(used), pa.binary()), pa.array(used)], schema=_ASKED)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.nulls(batch.num_rows, pa.int64())], schema=_ASKED)
@@ -158,8 +214,9 @@ def decode(encoded: DataFrame, rank_file: str, keep_ids: bool = False) -> DataFr
     kinds = "doc_id long, n_tokens long, decoded binary" + ", ids_decimal binary" * keep_ids
     names = ["doc_id", "n_tokens", "decoded"] + ["ids_decimal"] * keep_ids
 
+    @common.giving_back
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, tokens, decimal, open_ = np.empty(0, np.int64), [], [], False
+        known, place, tokens, decimal, open_ = np.empty(0, np.int64), None, [], [], False
         for batch in batches:
             is_rank = batch.column(2).is_null().to_numpy(zero_copy_only=False)
             edges = [0, *(np.flatnonzero(is_rank[1:] != is_rank[:-1]) + 1).tolist(), batch.num_rows]
@@ -169,7 +226,7 @@ def decode(encoded: DataFrame, rank_file: str, keep_ids: bool = False) -> DataFr
                 part = batch.slice(a, b - a)
                 if is_rank[a]:
                     if not open_:
-                        known, tokens, decimal, open_ = np.empty(0, np.int64), [], [], True
+                        known, place, tokens, decimal, open_ = np.empty(0, np.int64), None, [], [], True
                     if part.column(4).null_count:
                         raise ValueError("an id that the vocabulary doesn't have")
                     known = np.concatenate([known, part.column(3).to_numpy()])
@@ -177,9 +234,12 @@ def decode(encoded: DataFrame, rank_file: str, keep_ids: bool = False) -> DataFr
                     decimal = [str(x).encode() for x in known.tolist()] if keep_ids else []
                     continue
                 open_ = False
+                if place is None:  # of every rank in the lists: as long as the vocabulary
+                    place = np.zeros(int(known.max(initial=-1)) + 1, np.int32)
+                    place[known] = np.arange(len(known), dtype=np.int32)
                 decoded, written = [], []
                 for ids in part.column(2):
-                    at = np.searchsorted(known, np.frombuffer(ids.as_py(), "<u4")).tolist()
+                    at = place[np.frombuffer(ids.as_py(), "<u4")].tolist()
                     decoded.append(b"".join([tokens[i] for i in at]))
                     if keep_ids:
                         written.append(b" ".join([decimal[i] for i in at]))

@@ -41,6 +41,9 @@ COLUMNS = (
 #: A block ends with the document that brings it to so many bytes of words, or distinct words.
 BLOCK_BYTES = 32 << 20
 BLOCK_WORDS = 600_000
+#: Where texts are cut in whole arrays: the bytes of those cut at a time, and the words that end a block.
+SLICE_BYTES = 4 << 20
+BLOCK_LENGTH = 8_000_000
 #: Words of a block that get short codes.
 COMMON = 1 << 16
 #: Words in one row of documents, unless one document has more.
@@ -106,14 +109,35 @@ def batch_of(rows: Iterable[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts whose texts have some ``SLICE_BYTES``, or one longer text."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), dtype=np.int64)
+    edges = np.flatnonzero(np.diff(ends // SLICE_BYTES)) + 1
+    for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows], strict=True):
+        yield batch.slice(a, b - a)
+
+
+def _as_list(words: pa.Array) -> Iterator[bytes]:
+    for at in range(0, len(words), COMMON):
+        yield from words.slice(at, COMMON).to_pylist()
+
+
+def _distinct(chunks: list[pa.DictionaryArray]) -> tuple[pa.Array, np.ndarray]:
+    """The different words of all chunks, and the number of every word.  The chunks are used up."""
+    if not chunks:
+        return pa.array([], pa.binary()), np.empty(0, np.int32)
+    unified = pa.chunked_array(chunks).unify_dictionaries()
+    chunks.clear()
+    return unified.chunk(0).dictionary, np.concatenate([c.indices.to_numpy() for c in unified.chunks])
+
+
 def _finished(
-    block: int, buckets: int, numbered: Numbered, docs: list, counted: Callable, kinds: tuple = (WORDS, DOCUMENTS)
+    block: int, buckets: int, words: pa.Array, docs: list, counted: Callable, kinds: tuple = (WORDS, DOCUMENTS)
 ) -> Iterator[tuple]:
-    words = list(numbered)
     count = len(words)
     # Bucket by bucket, sorted inside, which packs well; a word's place is its place in this list.
-    order = pc.sort_indices(pa.array(words, pa.binary())).to_numpy().astype(np.int64)
-    bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, count)
+    order = pc.sort_indices(words).to_numpy().astype(np.int64)
+    bucket = np.fromiter((zlib.crc32(w) % buckets for w in _as_list(words)), np.int64, count)
     order = order[np.argsort(bucket[order], kind="stable")]
     place = np.empty(count, np.int64)
     place[order] = np.arange(count)
@@ -133,7 +157,7 @@ def _finished(
     for b in range(buckets):
         at = order[edges[b] : edges[b + 1]]
         if len(at):
-            own = [words[i] for i in at.tolist()]
+            own = words.take(pa.array(at)).to_pylist()
             crc = zlib.crc32(b"\0".join(own), b)
             check ^= crc
             if WORDS in kinds:
@@ -192,13 +216,15 @@ class Blocks:
 
 def cut_blocks(
     docs: DataFrame,
-    split: Callable[[str], list[bytes]],
+    split: Callable[[str], list[bytes]] | None = None,
     counted: Callable[[int], bool] | None = None,
     store: bool = True,
+    split_array: Callable[[pa.Array], tuple[list[pa.Array], np.ndarray]] | None = None,
 ) -> Blocks:
     """Cut ``docs`` (doc_id, text, flag) into blocks.
 
-    ``split`` gives a text's words; a word's count in a block takes in the documents whose
+    ``split`` gives a text's words, or ``split_array`` those of an array of texts, in arrays, and the
+    number of each text's words; a word's count in a block takes in the documents whose
     flag ``counted`` accepts (all without it).  Without ``store`` the input is read twice and
     nothing is written.
     """
@@ -206,13 +232,45 @@ def cut_blocks(
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     counted = counted or (lambda flag: True)
 
+    def cut_arrays(kinds: tuple) -> Callable:
+        @common.giving_back
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            task, blocks = TaskContext.get().partitionId(), 0
+            chunks, ids, flags, sizes, size, length = [], [], [], [], 0, 0
+
+            def flush() -> Iterator[pa.RecordBatch]:
+                words, numbers = _distinct(chunks)
+                common.give_back()  # what the texts took, before the words are sorted
+                found = zip(ids, flags, np.split(numbers, np.cumsum(np.concatenate(sizes))[:-1]), strict=True)
+                for row in _finished((task << 32) + blocks, buckets, words, list(found), counted, kinds):
+                    yield batch_of([row], SCHEMA)
+
+            for batch in batches:
+                for part in slices(batch, 1) if batch.num_rows else ():
+                    words, each = split_array(part.column(1))
+                    chunks += [w.dictionary_encode() for w in words if len(w)]  # which keeps no text
+                    ids += part.column(0).to_pylist()
+                    flags += part.column(2).to_pylist()
+                    sizes.append(each)
+                    size += pc.sum(pc.binary_length(part.column(1))).as_py()
+                    length += int(each.sum())
+                    if size >= BLOCK_BYTES or length >= BLOCK_LENGTH:
+                        yield from flush()
+                        blocks += 1
+                        chunks, ids, flags, sizes, size, length = [], [], [], [], 0, 0
+            if ids:
+                batch = part = words = None
+                yield from flush()
+
+        return run
+
     def cut(kinds: tuple) -> Callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             task, blocks = TaskContext.get().partitionId(), 0
             numbered, found, size = Numbered(), [], 0
 
             def flush() -> Iterator[pa.RecordBatch]:
-                for row in _finished((task << 32) + blocks, buckets, numbered, found, counted, kinds):
+                for row in _finished((task << 32) + blocks, buckets, pa.array(list(numbered), pa.binary()), found, counted, kinds):
                     yield batch_of([row], SCHEMA)
 
             for batch in batches:
@@ -232,7 +290,7 @@ def cut_blocks(
         return run
 
     def rows(*kinds: int) -> DataFrame:
-        return docs.select("doc_id", "text", "flag").mapInArrow(cut(kinds), COLUMNS)
+        return docs.select("doc_id", "text", "flag").mapInArrow((cut_arrays if split_array else cut)(kinds), COLUMNS)
 
     if not store:
         return Blocks(rows(WORDS).drop("kind"), rows(DOCUMENTS).drop("kind"), buckets)

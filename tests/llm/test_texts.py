@@ -148,6 +148,55 @@ def test_byte_bpe_null_and_repeated_ids(spark, documents, path_of, monkeypatch,
     assert got == sorted((t, " ".join(map(str, ids)), len(ids)) for t, ids in want)
 
 
+def test_arrays_of_texts_are_cut_like_each_text():
+    """Whole arrays of texts are cut as each text alone, odd ones among plain ones."""
+    import sys
+
+    import pyarrow as pa
+    from public_tokenizers import PATTERN
+    split, split_array = byte_bpe.splitter(PATTERN), byte_bpe.array_splitter(PATTERN)
+    spaces = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace()]
+    texts = [t or "" for t in ODD] + [x for c in spaces for x in (f"a{c * 3}b", f"a b{c * 2}", f" a{c}b c ")]
+    for array in (pa.array(texts), pa.array(texts)[5:9], pa.array(["", ""]), pa.array(["a b", "", " c"], pa.large_string())):
+        words, sizes = split_array(array)
+        want = [split(t) for t in array.to_pylist()]
+        assert sizes.tolist() == [len(w) for w in want]
+        assert [w for part in words for w in part.to_pylist()] == [w for own in want for w in own]
+
+
+def test_cutting_holds_texts_once(spark, documents, path_of, monkeypatch):
+    """Words stay in the texts' own buffer until a block's different ones are taken: no object for each."""
+    import tiktoken
+    from public_tokenizers import PATTERN
+
+    def refuse(*_):
+        raise AssertionError("a list of words is made")
+    texts = [prose(i, 400) for i in range(40)] + ["", None, " a", "b "]
+    ranks = path_of("byte_bpe_50k.tiktoken")
+    plain = tiktoken.Encoding("t", pat_str=PATTERN, mergeable_ranks=byte_bpe.ranks(ranks), special_tokens={})
+    monkeypatch.setattr(byte_bpe, "splitter", lambda pattern: refuse)
+    monkeypatch.setattr(byte_bpe.wb, "SLICE_BYTES", 3000)
+    monkeypatch.setattr(byte_bpe.wb, "BLOCK_LENGTH", 2500)  # several blocks of several slices
+    blocks = byte_bpe.encode(documents(texts), ranks, PATTERN, store=True)
+    assert {r.doc_id: as_ids(r.ids) for r in blocks.collect()} == {
+        i: plain.encode_ordinary(t or "") for i, t in enumerate(texts)
+    }
+
+
+def test_byte_bpe_workers_give_memory_back():
+    """What waits for its next task keeps nothing: every step of encoding and decoding gives memory back."""
+    import inspect
+    source = inspect.getsource(byte_bpe)
+    assert source.count("(batches: Iterator[pa.RecordBatch])") == source.count("@common.giving_back")
+
+
+def test_ranks_above_the_marked_ones(monkeypatch):
+    ids = [np.array(x, "<u4") for x in ([5, 3, 5], [], [4_000_000_000, 3])]
+    assert byte_bpe._different(ids).tolist() == [3, 5, 4_000_000_000]
+    assert byte_bpe._different(ids[:2]).tolist() == [3, 5]
+    assert byte_bpe._different([]).tolist() == []
+
+
 def test_byte_bpe_refuses_unknown_ids(spark, path_of):
     rows = spark.createDataFrame([(1, 1, bytearray((60_000_000).to_bytes(4, "little")))], "doc_id long, n_tokens long, ids binary")
     with pytest.raises(Exception, match="doesn't have"):
