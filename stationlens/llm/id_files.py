@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from . import common, simple8b
 from .packing import part_offsets
 from .token_ids import END_ID, ID_BYTES, word_ids
+from .word_blocks import slices
 
 SEGMENT_IDS = 1 << 19
 SEGMENTS = pa.schema([
@@ -37,28 +38,38 @@ def write_ids(
 ) -> str:
     """Write the files to the shared folder; returns their path."""
 
+    end = int.from_bytes(END_ID, "little")
+
+    @common.giving_back
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, part, at = word_ids(vocabulary), TaskContext.get().partitionId(), 0
         doc_ids: list = []
-        texts: list[bytes] = []
-        waiting = 0
+        sizes: list[int] = []
+        waiting: list[np.ndarray] = []
+        size = 0
 
         def segment() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(texts), "<u4")
-            row = (part, at, len(ids), doc_ids, [len(t) // ID_BYTES for t in texts], simple8b.encode_segment(ids))
+            ids = np.concatenate(waiting)
+            row = (part, at, len(ids), doc_ids, sizes, simple8b.encode_segment(ids))
             return pa.RecordBatch.from_arrays(
                 [pa.array([v], f.type) for v, f in zip(row, SEGMENTS, strict=True)], schema=SEGMENTS
             )
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        for batch in (some for b in batches if b.num_rows for some in slices(b, 1)):
+            ids, counts = ids_of.of_array(batch.column(1))
+            ids = np.insert(ids, np.cumsum(counts), end)
+            begin = upto = 0
+            for doc_id, n in zip(batch.column(0).to_pylist(), (counts + 1).tolist(), strict=True):
                 doc_ids.append(doc_id)
-                texts.append(ids_of.of_text(text.as_py()) + END_ID)
-                waiting += len(texts[-1]) // ID_BYTES
-                if waiting >= SEGMENT_IDS:
+                sizes.append(n)
+                size += n
+                upto += n
+                if size >= SEGMENT_IDS:
+                    waiting.append(ids[begin:upto])
                     yield segment()
-                    at += waiting
-                    doc_ids, texts, waiting = [], [], 0
+                    at += size
+                    begin, doc_ids, sizes, waiting, size = upto, [], [], [], 0
+            waiting.append(ids[begin:])
         if doc_ids:
             yield segment()
 
@@ -77,6 +88,7 @@ def write_ids(
 def read_ids(spark, path: str) -> DataFrame:
     """Per document: doc_id, start (ids before it), n_tokens and ids (little-endian unsigned 32-bit)."""
 
+    @common.giving_back
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():

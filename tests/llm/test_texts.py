@@ -37,6 +37,62 @@ def test_word_ids_are_the_librarys(path_of):
             assert as_ids(ids.of_text(text)) == plain_ids(path_of, text), text
 
 
+@pytest.mark.parametrize("limit", [5, 500_000])
+def test_arrays_of_texts_have_the_librarys_ids(path_of, monkeypatch, limit):
+    """A word that an array has often is looked up once, and new words reach the library together."""
+    import pyarrow as pa
+    from stationlens.llm import token_ids
+    monkeypatch.setattr(token_ids, "JOINED_WORDS", 7)
+    monkeypatch.setattr(token_ids, "CALL_WORDS", 3)
+    ids = WordIds(path_of("word_bpe_49k.json"), limit=limit)
+    texts = [t or "" for t in ODD] + ["\u0344 x", " lead", "trail ", "a\x0bb\x0cc", "<|startoftext|> <|", "it's we'll", "A-b_c9"]
+    for array in (pa.array(texts * 2), pa.array(texts)[3:8], pa.array(["", " "]), pa.array([], pa.string()), pa.array(["a"], pa.large_string())):
+        found, counts = ids.of_array(array)
+        want = [plain_ids(path_of, t) for t in array.to_pylist()]
+        assert counts.tolist() == [len(w) for w in want]
+        assert found.tolist() == [i for w in want for i in w]
+    asked = []
+    monkeypatch.setattr(WordIds, "__missing__", lambda self, word: asked.append(word))
+    monkeypatch.setattr(WordIds, "of_text", lambda self, text: asked.append(text))
+    ids.of_array(pa.array(["seldom seen wordds"] * 3))
+    assert not asked
+
+
+def test_letters_reach_the_model_as_they_are(path_of):
+    import random
+    rng = random.Random(5)
+    ids = WordIds(path_of("word_bpe_49k.json"))
+    assert ids.model is not None
+    words = ["".join(rng.choice("etaoinshrdlux") for _ in range(rng.randrange(1, 25))) for _ in range(2000)]
+    assert [as_ids(x) for x in ids._of_new([w.encode() for w in words])] == [plain_ids_of(ids, w) for w in words]
+    for changed in ("normalizer", "pre_tokenizer"):
+        from tokenizers import normalizers, pre_tokenizers
+        other = WordIds(path_of("word_bpe_49k.json"))
+        setattr(other.tokenizer, changed, {"normalizer": normalizers.Replace("e", "i"), "pre_tokenizer": pre_tokenizers.Split("e", "isolated")}[changed])
+        assert not other._leaves_letters()
+
+
+def plain_ids_of(ids, text):
+    return ids.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_id_files_in_small_segments(spark, documents, path_of, monkeypatch):
+    """Segments end with the document that fills them, wherever slices end."""
+    from stationlens.llm import word_blocks
+    monkeypatch.setattr(id_files, "SEGMENT_IDS", 40)
+    monkeypatch.setattr(word_blocks, "SLICE_BYTES", 100)
+    texts = [*ODD, *(prose(i, i) for i in range(30))]
+    path = id_files.write_ids(documents(texts), path_of("word_bpe_49k.json"))
+    at = 0
+    for row in id_files.read_ids(spark, path).orderBy("doc_id").collect():
+        want = plain_ids(path_of, texts[row.doc_id]) + [1]
+        assert (row.start, row.n_tokens, as_ids(row.ids)) == (at, len(want), want)
+        at += len(want)
+    segments = spark.read.parquet(path).collect()
+    assert all(sum(s.doc_tokens[:-1]) < 40 and s.tokens == sum(s.doc_tokens) for s in segments)
+    assert len(segments) > 10
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 60_000), st.integers(0, 2**64 - 1)), max_size=400))
 def test_simple8b_round_trip(ids):
